@@ -8,6 +8,10 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starweave.operators.dedup import one_per_key
+from starweave.session import materialize
+
+# Bound on the rows that ``Star.top`` chooses ahead of the joins.
+CHOSEN_ROWS = 1000
 
 
 def build_dimension(
@@ -104,23 +108,24 @@ class Star:
         """The ``n`` lowest rows of the star join by fact columns ``order``.
 
         Dimensions in ``first`` restrict the rows (they carry predicates), those
-        in ``dims`` only add columns. On a complete star the ``n`` rows are
-        chosen before the second kind is joined. Then only ``n`` rows are
-        broadcast and the large dimensions are not shuffled.
+        in ``dims`` only add columns. On a complete star a small number of rows
+        is chosen, and written, before the second kind is joined. The large
+        dimensions are then filtered by the chosen keys and not shuffled.
         """
         links = {k.dim: k for k in self.links}
         rank = [f"{self.name}_{c}" for c in order]
         rank += [f"{self.name}_{c}" for c in self.fact.columns if c not in order]
-        if not self.complete:
+        if not self.complete or n > CHOSEN_ROWS:
             return self.join([*first, *dims]).orderBy(*rank).limit(n)
         rows = self.join(first) if first else _prefixed(self.name, self.fact)
-        rows = rows.orderBy(*rank).limit(n)
+        rows = chosen = materialize(rows.orderBy(*rank).limit(n), "top")
         for name in dims:
             link = links[name]
-            keys = rows.select(F.col(f"{self.name}_{link.fact_key}").alias(link.dim_key))
-            # Both broadcasts hold at most n rows. The semi join moves below
-            # the aggregate of a dimension that is not stored yet.
-            wanted = self.dims[name].join(F.broadcast(keys.dropDuplicates()), link.dim_key, "left_semi")
+            # At most n keys: a plain filter reaches the scan, also below the
+            # aggregate of a dimension that is not stored yet.
+            fact_key = f"{self.name}_{link.fact_key}"
+            keys = {r[fact_key] for r in chosen.select(fact_key).collect()} - {None}
+            wanted = self.dims[name].filter(F.col(link.dim_key).isin(list(keys)))
             rows = self._lookup(F.broadcast(rows), link, wanted)
         return rows.orderBy(*rank)
 

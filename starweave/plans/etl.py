@@ -21,10 +21,10 @@ from starweave.sources.csv import read_csv, schema_by_name
 class EtlConfig:
     """Where the job reads and writes, and how it builds keys and ids.
 
-    ``infer_stats`` infers the types of the stats file, at the price of one more
-    pass over it; otherwise the known columns have declared types and further
-    columns stay text. ``load_days`` is ``run`` for the day of the run,
-    ``latest``, ``all`` or a day.
+    The known columns of the stats file have the types of the warehouse and
+    further columns stay text; ``infer_stats`` infers the types instead, at the
+    price of one more pass over the file. ``load_days`` is ``run`` for the day
+    of the run, ``latest``, ``all`` or a day.
     """
 
     input_root: str
@@ -33,7 +33,7 @@ class EtlConfig:
     database_location: str | None = None
     prefix_len: int | None = 5
     ids: str = "monotonic"
-    infer_stats: bool = True
+    infer_stats: bool = False
     header: bool = True
     header_check: bool = True
     named_days: bool = True

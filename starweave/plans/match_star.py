@@ -96,6 +96,18 @@ NULL_CHECKS = {
     "matches": ["match_id"],
 }
 
+# Total order of the report: position and detail, then all but the row id.
+REPORT_ORDER = (
+    "killer_position_x",
+    "detail_id",
+    "killer_position_y",
+    "victim_position_x",
+    "victim_position_y",
+    "match_id",
+    "date_id",
+    "performance_id",
+)
+
 KILLER_IS_PLAYER = (("match_id", "match_id"), ("killer_name", "player_name"))
 
 
@@ -263,7 +275,7 @@ def area_report(star: Star, low: float, high: float, month: int, n: int | None =
     if n is None:
         rows = part.join(["dates", *others])
     else:
-        rows = part.top(["killer_position_x", "detail_id"], n, ["dates"], others)
+        rows = part.top(REPORT_ORDER, n, ["dates"], others)
     return rows.select(
         F.col("details_weapon").alias("weapon"),
         F.col("details_time").alias("time"),

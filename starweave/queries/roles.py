@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starweave.operators.clean import clean, drop_null_rows
+from starweave.operators.clean import clean, distinct_rows, drop_null_rows
 from starweave.operators.star import Star
 from starweave.plans import match_star as ms
 
@@ -65,18 +65,19 @@ def kills(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
 
 
 def star(spark: SparkSession, sf_dir: str, **options: object) -> Star:
-    """The five tables, not stored: facts from distinct rows, dimensions not."""
-    plain_kills, plain_stats = kills(spark, sf_dir, False), stats(spark, sf_dir, False)
+    """The five tables, not stored: the fact from distinct rows, dimensions not."""
+    orders = drop_null_rows(table(spark, sf_dir, "orders"))
+    lineitem = drop_null_rows(table(spark, sf_dir, "lineitem"))
+    fact_inputs = as_kills(distinct_rows(lineitem)), as_stats(distinct_rows(orders))
+    played, killed = as_stats(orders), as_kills(lineitem)
     return Star(
         name=ms.FACT,
-        fact=ms.location_fact(
-            kills(spark, sf_dir), stats(spark, sf_dir), on=SAME_STATUS, **options
-        ),
+        fact=ms.location_fact(*fact_inputs, on=SAME_STATUS, **options),
         dims={
-            "dates": ms.date_dim(plain_stats),
-            "details": ms.detail_dim(plain_kills),
-            "matches": ms.match_dim(plain_kills, plain_stats),
-            "performances": ms.performance_dim(plain_stats),
+            "dates": ms.date_dim(played),
+            "details": ms.detail_dim(killed),
+            "matches": ms.match_dim(killed, played),
+            "performances": ms.performance_dim(played),
         },
         links=ms.LINKS,
         complete=True,

@@ -147,7 +147,7 @@ def _link_sql(link: ms.Link) -> str:
 
 ORACLES = {
     "flagship_star": f"WITH {roles.STAR_SQL}\n{_REPORT}\n"
-    f"ORDER BY l.killer_position_x, l.detail_id, l.location_id LIMIT {ROWS}",
+    f"ORDER BY {', '.join('l.' + c for c in ms.REPORT_ORDER)} LIMIT {ROWS}",
     "star_rows": f"WITH {roles.STAR_SQL}\n{_REPORT}",
     "star_sql": f"WITH {roles.STAR_SQL}\n{_REPORT}",
     "wide_star": f"WITH {roles.STAR_SQL}\nSELECT {_WIDE_COLUMNS} FROM {roles.JOINED_SQL}",

@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from starweave.functions import date_parts, digest_key, has_fraction, parse_timestamp, prefix_key, trunc_int
+
+
+def column(spark, values, ddl, build):
+    df = spark.createDataFrame([(v,) for v in values], f"v {ddl}")
+    return [r[0] for r in df.select(build("v")).collect()]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Seoul", "America/New_York"])
+def test_parse_timestamp_in_any_zone(spark, zone):
+    text = [
+        "2017-11-26T20:59:40+0000",
+        "2017-11-26T20:59:40+0",
+        "2017-11-26T20:59:40+000000",
+        "2017-11-26T20:59:40+0900",
+        "2017-1-6T2:5:4+00",
+    ]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        found = column(spark, text, "string", parse_timestamp)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    whole = datetime(2017, 11, 26, 20, 59, 40)
+    assert found == [whole, whole, whole, whole.replace(microsecond=90000), datetime(2017, 1, 6, 2, 5, 4)]
+
+
+def test_parse_timestamp_agrees_with_python(spark):
+    text = ["2018-02-28T23:59:59+123456", "2016-02-29T00:00:00+5", "2017-12-31T12:30:01+0012"]
+    expected = [datetime.strptime(t, "%Y-%m-%dT%H:%M:%S+%f") for t in text]
+    assert column(spark, text, "string", parse_timestamp) == expected
+
+
+def test_unreadable_stamps_are_null(spark):
+    text = [
+        "bad", "", None, "2017-11", "2017-11-26", "2017-11-26T20:59:40", "2017-11-26T20:59:40Z",
+        "2017-11-26 20:59:40+0000", "2017-02-30T20:59:40+0000", "2017-11-26T24:59:40+0000",
+        "2017-11-26T20:59:60+0000", "2017-11-26T20:59:40+1234567", " 2017-11-26T20:59:40+0000",
+    ]
+    assert column(spark, text, "string", parse_timestamp) == [None] * len(text)
+
+
+def test_strict_stamps_raise(spark):
+    strict = lambda c: parse_timestamp(c, strict=True)
+    assert column(spark, [None], "string", strict) == [None]
+    assert column(spark, ["2017-11-26T20:59:40+0"], "string", strict) == [datetime(2017, 11, 26, 20, 59, 40)]
+    with pytest.raises(PySparkException, match="unreadable time stamp: bad"):
+        column(spark, ["bad"], "string", strict)
+
+
+def test_zone_like_suffix_is_reported(spark):
+    text = ["2017-11-26T20:59:40+0000", "2017-11-26T20:59:40+0900"]
+    assert column(spark, text, "string", has_fraction) == [False, True]
+
+
+def test_date_parts(spark):
+    df = spark.createDataFrame([("2017-01-01 05:06:07",), ("2018-01-01 00:00:00",), ("2017-11-16 23:11:38",)], "v string")
+    parts = date_parts(F.col("v").cast("timestamp_ntz"))
+    found = [tuple(r) for r in df.select(*(c.alias(n) for n, c in parts.items())).collect()]
+    assert found == [(2017, 1, 5, 52, 1), (2018, 1, 0, 1, 2), (2017, 11, 23, 46, 5)]
+
+
+def test_trunc_int(spark):
+    values = [5.9, -5.9, float("nan"), 3e9, -3e9, None, 0.0, 2147483520.0]
+    assert column(spark, values, "float", trunc_int) == [5, -5, None, None, None, None, 0, 2147483520]
+
+
+def test_prefix_key(spark):
+    df = spark.createDataFrame([("abcdefg", 12, "x"), ("abc", 1, "2x"), ("abc", None, "x")], "m string, t int, n string")
+    compat = [r[0] for r in df.select(prefix_key("m", "t", "n")).collect()]
+    assert compat == ["abcde12x", "abc12x", None]
+    joined = [r[0] for r in df.select(prefix_key("m", "t", "n", sep="-")).collect()]
+    assert joined == ["abcde-12-x", "abc-1-2x", "abc-x"]
+    whole = [r[0] for r in df.select(prefix_key("m", "n", prefix_len=None, sep="-")).collect()]
+    assert whole == ["abcdefg-x", "abc-2x", "abc-x"]
+
+
+def test_digest_key_is_stable_and_wide(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None)], "m string, t int")
+    found = [r[0] for r in df.select(digest_key("m", "t")).collect()]
+    assert found[0] == [r[0] for r in df.select(digest_key("m", "t")).collect()][0]
+    assert len(set(found)) == 2 and all(len(k) == 32 for k in found)

@@ -1,0 +1,229 @@
+"""The match star: one known row, a small fixture, and invariants."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from starweave.operators import clean, fanout_report, key_collisions
+from starweave.plans import etl, match_star as ms
+from starweave.sources import read_stage
+from tests.conftest import plan, rows
+
+STATS_HEADER = (
+    "date,game_size,match_id,match_mode,player_assists,player_dbno,player_dist_ride,"
+    "player_dist_walk,player_dmg,player_kills,player_name,player_survive_time\n"
+)
+KILLS_HEADER = (
+    "killed_by,killer_name,killer_placement,killer_position_x,killer_position_y,map,match_id,"
+    "time,victim_name,victim_placement,victim_position_x,victim_position_y\n"
+)
+
+# One known player and kill, and the joined row they give.
+MATCH = "2U4GBNA0Ymk-WDUW3AYgNHjtbo0TYziCgDTaxWtvJciN-EZ_b_6KSDnrZsxuPDUw"
+KNOWN_STATS = f"2017-11-16T23:11:38+0000,50,{MATCH},tpp,0,2,2986.19556,1036.6864,260,2,Derrick_h,893.5319999999999\n"
+KNOWN_KILL = f"SCAR-L,Derrick_h,21.0,0.0,0.0,ERANGEL,{MATCH},917,Nautilus101,17.0,240347.40625,461138.8125\n"
+KNOWN_ROW = {
+    "locations": (0.0, 0.0, 240347.40625, 461138.8125, MATCH, "2U4GB917Derrick_h", datetime(2017, 11, 16, 23, 11, 38), "2U4GB-Derrick_h"),
+    "dates": (datetime(2017, 11, 16, 23, 11, 38), MATCH, 2017, 11, 23, 46, 5),
+    "details": ("2U4GB917Derrick_h", MATCH, "Derrick_h", 21, "Nautilus101", 17, "SCAR-L", 917),
+    "matches": (MATCH, 50, "tpp", "ERANGEL"),
+    "performances": ("2U4GB-Derrick_h", "Derrick_h", MATCH, 2, 2986.19556, 1036.6864, 260, 2, 893.5319999999999, 0),
+}
+
+STATS = """\
+2017-10-01T10:00:00+0000,50,AAAAA1,tpp,0,0,1.0,2.0,100,1,p1,10.0
+2017-10-01T10:00:00+0000,50,AAAAA1,tpp,0,0,1.0,2.0,100,1,p1,10.0
+2017-10-01T10:00:00+0000,50,AAAAA1,tpp,0,0,1.0,2.0,200,2,p2,10.0
+2017-10-01T10:00:00+0000,50,AAAAA1,tpp,0,0,1.0,2.0,250,2,p2,11.0
+2017-10-01T10:00:00+0000,60,AAAAA2,fpp,0,0,1.0,2.0,999,9,p1,10.0
+2017-10-02T10:00:00+0000,60,BBBBB1,fpp,0,0,,2.0,5,0,p3,10.0
+2017-10-02T10:00:00+0000,60,BBBBB1,fpp,0,0,NaN,2.0,5,0,p4,10.0
+"""
+KILLS = """\
+AK,p1,1.0,3000.0,1.0,ERANGEL,AAAAA1,5,v1,9.0,1.0,1.0
+AK,p1,1.0,3000.0,1.0,ERANGEL,AAAAA1,5,v1,9.0,1.0,1.0
+M4,p1,1.0,3001.0,1.0,ERANGEL,AAAAA1,5,v2,8.0,1.0,1.0
+M4,p2,2.5,4000.0,1.0,ERANGEL,AAAAA1,6,v3,7.0,1.0,1.0
+UMP,p1,1.0,5000.0,1.0,MIRAMAR,AAAAA2,7,v4,7.0,1.0,1.0
+UMP,zz,1.0,5000.0,1.0,MIRAMAR,AAAAA2,7,v4,7.0,1.0,1.0
+UMP,p3,1.0,5000.0,1.0,MIRAMAR,BBBBB1,7,v4,7.0,1.0,1.0
+,p1,1.0,5000.0,1.0,MIRAMAR,AAAAA2,7,v4,7.0,1.0,1.0
+"""
+
+
+@pytest.fixture
+def config(spark, tmp_path, write):
+    database = f"star_{uuid.uuid4().hex}"
+
+    def make(stats: str, kills: str, **options) -> etl.EtlConfig:
+        write(f"in/{ms.STATS_PATH}", STATS_HEADER + stats)
+        write(f"in/{ms.KILLS_PATH}", KILLS_HEADER + kills)
+        return etl.EtlConfig(
+            input_root=str(tmp_path / "in"),
+            stage_root=str(tmp_path / "staged"),
+            database=database,
+            database_location=str(tmp_path / "warehouse"),
+            **options,
+        )
+
+    yield make
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+@pytest.fixture
+def raw(spark, config):
+    made = config(STATS, KILLS)
+    return clean(etl.read_kills(spark, made)), clean(etl.read_stats(spark, made))
+
+
+@pytest.mark.parametrize("infer", [True, False])
+def test_known_row_from_csv_to_warehouse(spark, config, infer):
+    made = config(KNOWN_STATS, KNOWN_KILL, infer_stats=infer)
+    etl.run(spark, made, "20240101")
+    star = etl.open_star(spark, made.database)
+    for name, expected in KNOWN_ROW.items():
+        table = spark.table(f"{made.database}.{name}")
+        if name == ms.FACT:
+            table = table.drop("location_id")
+        assert rows(table) == [expected]
+    wide = star.join()
+    assert len(wide.columns) == 38
+    assert rows(wide.drop("locations_location_id")) == [sum(KNOWN_ROW.values(), ())]
+    assert ms.area_report(star, 2000.0, 600000.0, 10, 3).count() == 0
+
+
+def test_small_fixture(raw):
+    kills, stats = raw
+    star = ms.match_star(kills, stats)
+    performances = star.dims["performances"].select("performance_id", "match_id", "dmg")
+    assert rows(performances) == [("AAAAA-p1", "AAAAA1", 100), ("AAAAA-p2", "AAAAA1", 200)]
+    start = datetime(2017, 10, 1, 10)
+    assert rows(star.dims["dates"]) == [(start, "AAAAA1", 2017, 10, 10, 39, 1)]
+    details = star.dims["details"].select("detail_id", "victim_name", "killer_placement", "weapon")
+    assert rows(details) == [
+        ("AAAAA5p1", "v1", 1, "AK"),
+        ("AAAAA6p2", "v3", 2, "M4"),
+        ("AAAAA7p1", "v4", 1, "UMP"),
+        ("AAAAA7zz", "v4", 1, "UMP"),
+        ("BBBBB7p3", "v4", 1, "UMP"),
+    ]
+    assert rows(star.dims["matches"]) == [("AAAAA1", 50, "tpp", "ERANGEL"), ("AAAAA2", 60, "fpp", "MIRAMAR")]
+    fact = star.fact.select("killer_position_x", "detail_id", "performance_id")
+    assert rows(fact) == [
+        (3000.0, "AAAAA5p1", "AAAAA-p1"),
+        (3001.0, "AAAAA5p1", "AAAAA-p1"),
+        (4000.0, "AAAAA6p2", "AAAAA-p2"),
+        (4000.0, "AAAAA6p2", "AAAAA-p2"),
+        (5000.0, "AAAAA7p1", "AAAAA-p1"),
+    ]
+    assert star.join().count() == 5
+
+
+def test_fixture_hazards_are_reported(raw):
+    kills, stats = raw
+    keyed = stats.withColumn("performance_id", ms.performance_key())
+    assert rows(key_collisions(keyed, "performance_id", ["match_id", "player_name"])) == [("AAAAA-p1", 2)]
+    assert rows(fanout_report(stats, ["match_id", "player_name"])) == [(3, 1, 2)]
+
+
+def test_full_keys_do_not_collide(raw):
+    kills, stats = raw
+    star = ms.match_star(kills, stats, prefix_len=None)
+    assert star.dims["performances"].count() == 3
+    joined = star.join()
+    assert joined.filter("locations_match_id <> performances_match_id").count() == 0
+    more = ms.detail_dim(kills, None, "-", ["victim_name"])
+    assert more.count() == kills.count()
+
+
+def test_tables_do_not_depend_on_row_order_or_partitions(raw):
+    kills, stats = raw
+
+    def tables(parts):
+        shuffled = [df.repartition(parts, F.rand(parts)) for df in (kills, stats)]
+        star = ms.match_star(*shuffled, ids="digest", id_columns=("match_id", "time", "killer_name", "victim_name"))
+        return {n: rows(t) for n, t in {"fact": star.fact, **star.dims}.items()}
+
+    assert tables(1) == tables(3) == tables(8)
+
+
+def test_rerun_gives_the_same_tables_and_leaves_other_days(spark, config):
+    made = config(STATS, KILLS)
+
+    def staged(day):
+        return {
+            s.name: rows(read_stage(spark, made.stage_root, s.source, day).drop("location_id"))
+            for s in ms.TABLES
+        }
+
+    etl.run(spark, made, "20240101")
+    first = staged("20240101")
+    etl.run(spark, made, "20240102")
+    etl.run(spark, made, "20240102")
+    assert staged("20240101") == first == staged("20240102")
+    assert spark.table(f"{made.database}.matches").count() == 2
+
+
+def test_invariants(spark, config):
+    made = config(STATS, KILLS)
+    etl.run(spark, made, "20240101")
+    star = etl.open_star(spark, made.database)
+    report = {r["dim"]: r for r in star.integrity().collect()}
+    assert len(report) == 4
+    for r in report.values():
+        assert (r["repeated_keys"], r["orphan_rows"], r["joined_rows"]) == (0, 0, r["fact_rows"])
+    checked = etl.verified(star)
+    assert checked.complete
+    few = ms.area_report(checked, 2000.0, 600000.0, 10, 3)
+    assert [r["killer_position_x"] for r in few.collect()] == [3000.0, 3001.0, 4000.0]
+    assert rows(few) == rows(ms.area_report(star, 2000.0, 600000.0, 10, 3))
+    assert ms.area_report(star, 2000.0, 600000.0, 10).count() == 5
+
+
+def test_all_days_repeat_keys(spark, config):
+    made = config(STATS, KILLS, load_days="all")
+    etl.run(spark, made, "20240101")
+    etl.run(spark, made, "20240102")
+    assert spark.table(f"{made.database}.matches").count() == 4
+    with pytest.raises(ValueError, match="not complete"):
+        etl.verified(etl.open_star(spark, made.database))
+
+
+def test_plain_day_folders(spark, config, tmp_path):
+    made = config(STATS, KILLS, named_days=False)
+    etl.run(spark, made, "20240101")
+    assert (tmp_path / "staged" / "location" / "20240101").is_dir()
+    assert spark.table(f"{made.database}.locations").count() == 5
+
+
+def test_empty_input_fails_the_gate(spark, config):
+    made = config("", "")
+    with pytest.raises(ValueError, match="missing values"):
+        etl.run(spark, made, "20240101")
+
+
+def test_dense_ids(spark, config):
+    made = config(STATS, KILLS, ids="dense")
+    etl.run(spark, made, "20240101")
+    found = rows(spark.table(f"{made.database}.locations").select("location_id"))
+    assert found == [(i,) for i in range(5)]
+
+
+def test_match_dim_reduces_both_sides_before_the_join(spark, raw):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(ms.match_dim(*raw))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above_join = text[: text.index("Join")]
+    assert "Aggregate" not in above_join and "Exchange" not in above_join
+
+
+def test_no_python_in_any_plan(raw):
+    star = ms.match_star(*raw)
+    for df in (star.fact, *star.dims.values(), star.join()):
+        assert "Python" not in plan(df) and "Pandas" not in plan(df)

@@ -1,0 +1,51 @@
+"""Every registered query against its SQL in another engine."""
+
+from __future__ import annotations
+
+import duckdb
+import pyarrow as pa
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.01"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings"
+    " pages benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    connection.execute("SET TimeZone = 'UTC'")
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS FROM read_parquet('{SF}/{name}.parquet')")
+    return connection
+
+
+def types(table: pa.Table) -> dict[str, str]:
+    return {f.name: str(f.type).replace("large_", "") for f in table.schema}
+
+
+def test_every_query_has_sql():
+    assert entry.queries().keys() == entry.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", entry.queries())
+def test_query_matches_sql(spark, duck, name):
+    ours = entry.queries()[name](spark, SF).toArrow()
+    theirs = duck.execute(entry.oracle_sql()[name]).to_arrow_table()
+    assert types(ours) == types(theirs)
+    columns = sorted(ours.column_names)
+    left = ours.select(columns).to_pandas().sort_values(columns, ignore_index=True)
+    right = theirs.select(columns).to_pandas().sort_values(columns, ignore_index=True)
+    assert len(left) > 0
+    assert len(left) == len(right)
+    for column in columns:
+        same = (left[column] == right[column]) | (left[column].isna() & right[column].isna())
+        assert same.all(), column
+
+
+def test_entry_runs(spark):
+    assert entry.entry(spark).count() == 50
