@@ -85,6 +85,20 @@ class Star:
             dims={n: d.filter(dims[n]) if n in dims else d for n, d in self.dims.items()},
         )
 
+    def stored(self, *names: str) -> Star:
+        """Star with the named tables (default all) written to the shared folder.
+
+        A table used more than once is then computed once. Joins with a stored
+        dimension shuffle both sides on their own, or neither, so that adaptive
+        execution can split a hot fact key; it cannot where the dimension comes
+        straight out of an aggregate on the join key.
+        """
+        names = names or (self.name, *self.dims)
+        tables = {self.name: self.fact, **self.dims}
+        for name in names:
+            tables[name] = materialize(tables[name], name)
+        return replace(self, fact=tables.pop(self.name), dims=tables)
+
     def register(self, prefix: str = "") -> None:
         """Make all tables visible to SQL."""
         for name, df in {self.name: self.fact, **self.dims}.items():
@@ -109,8 +123,8 @@ class Star:
 
         Dimensions in ``first`` restrict the rows (they carry predicates), those
         in ``dims`` only add columns. On a complete star a small number of rows
-        is chosen, and written, before the second kind is joined. The large
-        dimensions are then filtered by the chosen keys and not shuffled.
+        is chosen before the second kind is joined. The large dimensions are
+        then filtered by the chosen keys and not shuffled.
         """
         links = {k.dim: k for k in self.links}
         rank = [f"{self.name}_{c}" for c in order]
@@ -118,13 +132,15 @@ class Star:
         if not self.complete or n > CHOSEN_ROWS:
             return self.join([*first, *dims]).orderBy(*rank).limit(n)
         rows = self.join(first) if first else _prefixed(self.name, self.fact)
-        rows = chosen = materialize(rows.orderBy(*rank).limit(n), "top")
+        # At most CHOSEN_ROWS rows come to the driver and go out as literals.
+        rows = rows.orderBy(*rank).limit(n)
+        chosen = rows.toArrow()
+        rows = rows.sparkSession.createDataFrame(chosen, rows.schema)
         for name in dims:
             link = links[name]
-            # At most n keys: a plain filter reaches the scan, also below the
-            # aggregate of a dimension that is not stored yet.
-            fact_key = f"{self.name}_{link.fact_key}"
-            keys = {r[fact_key] for r in chosen.select(fact_key).collect()} - {None}
+            keys = set(chosen[f"{self.name}_{link.fact_key}"].to_pylist()) - {None}
+            # A filter on keys reaches the scan, also below the aggregate of a
+            # dimension that is not stored yet.
             wanted = self.dims[name].filter(F.col(link.dim_key).isin(list(keys)))
             rows = self._lookup(F.broadcast(rows), link, wanted)
         return rows.orderBy(*rank)

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -270,6 +271,8 @@ def area_report(star: Star, low: float, high: float, month: int, n: int | None =
 
     With ``n`` the first rows by position and detail, else all rows.
     """
+    # Rows that need no id are filtered in the scan, before any join.
+    star = replace(star, fact=star.fact.drop("location_id"))
     part = in_area_and_month(star, low, high, month)
     others = ["details", "matches", "performances"]
     if n is None:

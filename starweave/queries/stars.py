@@ -15,16 +15,19 @@ NATURAL = ("match_id", "time", "killer_name", "victim_name")
 
 
 def flagship_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ms.area_report(roles.star(spark, sf_dir), LOW, HIGH, MONTH, ROWS)
+    # The other dimensions are only looked up for the rows of the report.
+    return ms.area_report(roles.star(spark, sf_dir).stored("dates"), LOW, HIGH, MONTH, ROWS)
 
 
 def star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ms.area_report(roles.star(spark, sf_dir), LOW, HIGH, MONTH)
+    star = roles.star(spark, sf_dir)
+    return ms.area_report(star.stored(*star.dims), LOW, HIGH, MONTH)
 
 
 def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = f"star_{uuid.uuid4().hex}_"
-    roles.star(spark, sf_dir).register(prefix)
+    star = roles.star(spark, sf_dir)
+    star.stored(*star.dims).register(prefix)
     return spark.sql(
         f"""
         SELECT de.weapon, de.time, m.match_id, p.dmg, p.kills, l.killer_position_x, l.detail_id
@@ -39,11 +42,12 @@ def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roles.star(spark, sf_dir, ids="digest", id_columns=NATURAL).join()
+    star = roles.star(spark, sf_dir, ids="digest", id_columns=NATURAL)
+    return star.stored(*star.dims).join()
 
 
 def star_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = roles.star(spark, sf_dir)
+    star = roles.star(spark, sf_dir).stored()
     facts = star.fact.agg(F.count("*").alias("fact_rows"), F.lit(0).alias("star_rows"))
     joined = star.join().agg(F.lit(0).alias("fact_rows"), F.count("*").alias("star_rows"))
     both = facts.unionAll(joined)
@@ -51,7 +55,7 @@ def star_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roles.star(spark, sf_dir).integrity()
+    return roles.star(spark, sf_dir).stored().integrity()
 
 
 def performance_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
