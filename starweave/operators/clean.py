@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -21,10 +19,10 @@ def drop_null_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     types = dict(df.dtypes)
     tests = []
     for name in columns or df.columns:
-        tests.append(F.col(f"`{name}`").isNotNull())
+        tests.append(f"`{name}` IS NOT NULL")
         if types[name] in ("float", "double"):
-            tests.append(~F.isnan(f"`{name}`"))
-    return df.filter(reduce(lambda a, b: a & b, tests))
+            tests.append(f"NOT isnan(`{name}`)")
+    return df.filter(" AND ".join(tests))
 
 
 def clean(df: DataFrame) -> DataFrame:

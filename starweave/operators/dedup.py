@@ -16,6 +16,7 @@ def one_per_key(
     key: str | Sequence[str],
     order: Sequence[str] = (),
     repeats: bool = False,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """Keep the lowest row of each key, the same one in every run.
 
@@ -24,16 +25,19 @@ def one_per_key(
     a large share of the rows sends one row per partition to its reducer.
 
     ``repeats=True`` states that there are few different rows per key. They are
-    then found by hash aggregation, without sorting the whole input.
+    then found by hash aggregation, without sorting the whole input. ``among``
+    keeps only the keys it holds, before anything is aggregated.
     """
     keys = _names(key)
+    if among is not None:
+        df = df.join(among, keys, "left_semi")
     rest = [*order, *(c for c in df.columns if c not in keys and c not in order)]
     if repeats or not rest:
         df = df.dropDuplicates()
     if not rest:
         return df
     lowest = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return lowest.select(*(c if c in keys else F.col("_row")[c].alias(c) for c in df.columns))
+    return lowest.select(*(f"`{c}`" if c in keys else f"_row.`{c}`" for c in df.columns))
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], version: str) -> DataFrame:
@@ -41,4 +45,4 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], version: str) -> Dat
     keys = _names(key)
     rest = [version, *(c for c in df.columns if c not in keys and c != version)]
     highest = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
-    return highest.select(*(c if c in keys else F.col("_row")[c].alias(c) for c in df.columns))
+    return highest.select(*(f"`{c}`" if c in keys else f"_row.`{c}`" for c in df.columns))

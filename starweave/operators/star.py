@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starweave.operators.dedup import one_per_key
-from starweave.session import materialize
+from starweave.session import concurrently, materialize
 
 # Bound on the rows that ``Star.top`` chooses ahead of the joins.
 CHOSEN_ROWS = 1000
 
 
 def build_dimension(
-    df: DataFrame, key: str, columns: Mapping[str, Column], repeats: bool = False
+    df: DataFrame,
+    key: str,
+    columns: Mapping[str, Column],
+    repeats: bool = False,
+    among: DataFrame | None = None,
 ) -> DataFrame:
-    """Project to the named columns and keep one row per key."""
+    """Project to the named columns and keep one row per key, see ``one_per_key``."""
     return one_per_key(
-        df.select(*(c.alias(n) for n, c in columns.items())), key, repeats=repeats
+        df.select(*(c.alias(n) for n, c in columns.items())), key, repeats=repeats, among=among
     )
 
 
@@ -38,7 +43,7 @@ def build_fact(
     sides = {"left": left.alias("left"), "right": right.alias("right")}
     condition = [F.col(f"left.{a}") == F.col(f"right.{b}") for a, b in on]
     joined = sides["left"].join(sides["right"], condition, "inner")
-    return joined.select(*(F.col(f"{s}.{c}").alias(n) for n, (s, c) in columns.items()))
+    return joined.selectExpr(*(f"{s}.{c} AS {n}" for n, (s, c) in columns.items()))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
@@ -61,6 +66,10 @@ class Link:
     fact_key: str
     dim_key: str
 
+    def used(self, fact: DataFrame) -> DataFrame:
+        """Dimension keys that the fact refers to, each once."""
+        return fact.select(F.col(self.fact_key).alias(self.dim_key)).dropDuplicates()
+
 
 @dataclass(frozen=True)
 class Star:
@@ -85,6 +94,12 @@ class Star:
             dims={n: d.filter(dims[n]) if n in dims else d for n, d in self.dims.items()},
         )
 
+    def narrowed(self, **columns: Sequence[str]) -> Star:
+        """Star with only the named columns of the named tables."""
+        tables = {self.name: self.fact, **self.dims}
+        tables.update({n: tables[n].select(*c) for n, c in columns.items()})
+        return replace(self, fact=tables.pop(self.name), dims=tables)
+
     def stored(self, *names: str) -> Star:
         """Star with the named tables (default all) written to the shared folder.
 
@@ -95,8 +110,8 @@ class Star:
         """
         names = names or (self.name, *self.dims)
         tables = {self.name: self.fact, **self.dims}
-        for name in names:
-            tables[name] = materialize(tables[name], name)
+        written = concurrently([partial(materialize, tables[n], n) for n in names])
+        tables.update(zip(names, written))
         return replace(self, fact=tables.pop(self.name), dims=tables)
 
     def register(self, prefix: str = "") -> None:
@@ -179,4 +194,4 @@ class Star:
 
 
 def _prefixed(table: str, df: DataFrame) -> DataFrame:
-    return df.select(*(F.col(f"`{c}`").alias(f"{table}_{c}") for c in df.columns))
+    return df.toDF(*(f"{table}_{c}" for c in df.columns))

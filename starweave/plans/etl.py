@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,9 +12,9 @@ from starweave.operators.clean import clean
 from starweave.operators.quality import gate
 from starweave.operators.star import Star, broadcast_if_small
 from starweave.plans import match_star as ms
-from starweave.session import materialize
+from starweave.session import concurrently, materialize
 from starweave.sinks.stage import stage
-from starweave.sinks.warehouse import analyze, create_tables, load_staged
+from starweave.sinks.warehouse import TableSpec, analyze, create_tables, load_staged
 from starweave.sources.csv import read_csv, schema_by_name
 
 
@@ -68,24 +69,33 @@ def transform(spark: SparkSession, config: EtlConfig, run_date: str) -> None:
     the columns no output uses, and each output reads only its own columns.
     """
     raw_stats = clean(read_stats(spark, config)).select(*ms.STATS_TYPES)
-    stats = materialize(raw_stats, "stats")
-    kills = materialize(clean(read_kills(spark, config)), "kills")
+    raw_kills = clean(read_kills(spark, config))
+    stats, kills = concurrently(
+        [partial(materialize, raw_stats, "stats"), partial(materialize, raw_kills, "kills")]
+    )
     star = ms.match_star(kills, stats, config.prefix_len, ids=config.ids)
     tables = {star.name: star.fact, **star.dims}
-    for spec in ms.TABLES:
-        stage(tables[spec.name], config.stage_root, spec.source, run_date, config.named_days)
+    concurrently(
+        partial(
+            stage, tables[s.name], config.stage_root, s.source, run_date, config.named_days
+        )
+        for s in ms.TABLES
+    )
 
 
 def load_warehouse(spark: SparkSession, config: EtlConfig, run_date: str) -> None:
     """Create missing tables and replace the rows of all five."""
     create_tables(spark, ms.TABLES, config.database, config.database_location)
     days = run_date if config.load_days == "run" else config.load_days
-    for spec in ms.TABLES:
+
+    def load_one(spec: TableSpec) -> None:
         load_staged(
             spark, spec, config.database, config.stage_root, days, named=config.named_days
         )
         analyze(spark, config.database, spec.name)
 
+    concurrently(partial(load_one, s) for s in ms.TABLES)
+
 
 def check_warehouse(spark: SparkSession, database: str) -> None:
     """Raise when a key column of a loaded table has nulls or no rows."""

@@ -6,13 +6,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starweave.functions import date_parts, parse_timestamp, prefix_key, trunc_int
 from starweave.operators.star import Link, Star, build_dimension, build_fact
 from starweave.operators.surrogate import add_surrogate
+from starweave.session import materialize
 from starweave.sinks.warehouse import TableSpec
 
 # File layout, column names and types of the raw tables.
@@ -131,7 +131,9 @@ def game_time(stats: DataFrame, column: str = "date") -> Column:
     return F.col(column).cast("timestamp_ntz")
 
 
-def performance_dim(stats: DataFrame, prefix_len: int | None = 5) -> DataFrame:
+def performance_dim(
+    stats: DataFrame, prefix_len: int | None = 5, among: DataFrame | None = None
+) -> DataFrame:
     return build_dimension(
         stats,
         "performance_id",
@@ -147,20 +149,28 @@ def performance_dim(stats: DataFrame, prefix_len: int | None = 5) -> DataFrame:
             "survive_time": F.col("player_survive_time"),
             "assists": F.col("player_assists"),
         },
+        among=among,
     )
 
 
-def date_dim(stats: DataFrame) -> DataFrame:
+def date_dim(stats: DataFrame, among: DataFrame | None = None) -> DataFrame:
     """One row per start time. It names one match only: never join on that."""
     starts = stats.select("date", "match_id").dropDuplicates()
     days = build_dimension(
-        starts, "game_time", {"game_time": game_time(starts), "match_id": F.col("match_id")}
+        starts,
+        "game_time",
+        {"game_time": game_time(starts), "match_id": F.col("match_id")},
+        among=among,
     )
     return days.withColumns(date_parts("game_time"))
 
 
 def detail_dim(
-    kills: DataFrame, prefix_len: int | None = 5, sep: str | None = None, more: Sequence[str] = ()
+    kills: DataFrame,
+    prefix_len: int | None = 5,
+    sep: str | None = None,
+    more: Sequence[str] = (),
+    among: DataFrame | None = None,
 ) -> DataFrame:
     return build_dimension(
         kills,
@@ -175,10 +185,11 @@ def detail_dim(
             "weapon": F.col("killed_by"),
             "time": F.col("time"),
         },
+        among=among,
     )
 
 
-def match_dim(kills: DataFrame, stats: DataFrame) -> DataFrame:
+def match_dim(kills: DataFrame, stats: DataFrame, among: DataFrame | None = None) -> DataFrame:
     """Matches known to both tables.
 
     Both sides come down to one row per match before the join: joining first
@@ -189,8 +200,15 @@ def match_dim(kills: DataFrame, stats: DataFrame) -> DataFrame:
         "match_id",
         {c: F.col(c) for c in ("match_id", "game_size", "match_mode")},
         repeats=True,
+        among=among,
+    )
+    maps = build_dimension(
+        kills,
+        "match_id",
+        {c: F.col(c) for c in ("match_id", "map")},
+        repeats=True,
+        among=among,
     )
-    maps = build_dimension(kills, "match_id", {c: F.col(c) for c in ("match_id", "map")}, repeats=True)
     return played.join(maps, "match_id").select("match_id", "game_size", "match_mode", "map")
 
 
@@ -201,6 +219,7 @@ def location_fact(
     sep: str | None = None,
     more: Sequence[str] = (),
     on: Sequence[tuple[str, str]] = KILLER_IS_PLAYER,
+    where: Column | None = None,
     ids: str = "monotonic",
     id_columns: Sequence[str] = (),
 ) -> DataFrame:
@@ -226,6 +245,9 @@ def location_fact(
     }
     natural = {f"id_{c}": ("left", c) for c in id_columns}
     joined = build_fact(kills, stats, on, {**columns, **natural})
+    if where is not None:
+        # Before the ids: a predicate does not pass them on its way to the scan.
+        joined = joined.filter(where)
     return add_surrogate(joined, "location_id", ids, list(natural) or list(columns)).drop(*natural)
 
 
@@ -234,35 +256,60 @@ def match_star(
     stats: DataFrame,
     prefix_len: int | None = 5,
     on: Sequence[tuple[str, str]] = KILLER_IS_PLAYER,
+    fact_rows: tuple[DataFrame, DataFrame] | None = None,
+    where: Column | None = None,
     **ids: object,
 ) -> Star:
     """All five tables from cleaned inputs.
 
     The star is complete: each fact key comes from a row its dimension has too.
+    ``fact_rows`` gives distinct kills and stats where the first two may repeat
+    rows, which only the fact minds. ``where`` is a predicate on the fact: the
+    matching facts are stored, and dimensions are built for their keys only.
     """
+    rows = fact_rows or (kills, stats)
+    fact = location_fact(*rows, prefix_len, on=on, where=where, **ids)
+    used = dict.fromkeys(link.dim for link in LINKS)
+    if where is not None:
+        fact = materialize(fact, FACT)
+        used = {link.dim: link.used(fact) for link in LINKS}
     return Star(
         name=FACT,
-        fact=location_fact(kills, stats, prefix_len, on=on, **ids),
+        fact=fact,
         dims={
-            "dates": date_dim(stats),
-            "details": detail_dim(kills, prefix_len),
-            "matches": match_dim(kills, stats),
-            "performances": performance_dim(stats, prefix_len),
+            "dates": date_dim(stats, used["dates"]),
+            "details": detail_dim(kills, prefix_len, among=used["details"]),
+            "matches": match_dim(kills, stats, used["matches"]),
+            "performances": performance_dim(stats, prefix_len, used["performances"]),
         },
         links=LINKS,
         complete=True,
     )
 
 
+def area_and_month(low: float, high: float, month: int) -> Column:
+    """Facts in a strip of the map, in one month of any year."""
+    return F.col("killer_position_x").between(low, high) & (F.month("date_id") == month)
+
+
 def in_area_and_month(star: Star, low: float, high: float, month: int) -> Star:
-    """Kills from a strip of the map in one month of any year.
+    """Star of the kills in an area and month.
 
     The month follows from the fact's own time, so the fact is cut down before
     any join, and not only by the join with the dates.
     """
-    return star.filtered(
-        F.col("killer_position_x").between(low, high) & (F.month("date_id") == month),
-        dates=F.col("month") == month,
+    return star.filtered(area_and_month(low, high, month), dates=F.col("month") == month)
+
+
+def for_report(star: Star) -> Star:
+    """Only the columns of ``area_report``. Without row ids, which are made after
+    the join, predicates on the fact reach the scan."""
+    return star.narrowed(
+        locations=REPORT_ORDER,
+        dates=["game_time", "month"],
+        details=["detail_id", "weapon", "time"],
+        matches=["match_id"],
+        performances=["performance_id", "dmg", "kills"],
     )
 
 
@@ -271,9 +318,7 @@ def area_report(star: Star, low: float, high: float, month: int, n: int | None =
 
     With ``n`` the first rows by position and detail, else all rows.
     """
-    # Rows that need no id are filtered in the scan, before any join.
-    star = replace(star, fact=star.fact.drop("location_id"))
-    part = in_area_and_month(star, low, high, month)
+    part = in_area_and_month(for_report(star), low, high, month)
     others = ["details", "matches", "performances"]
     if n is None:
         rows = part.join(["dates", *others])

@@ -6,7 +6,7 @@ items for kills. A kill and its stats meet on order and status.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from starweave.operators.clean import clean, distinct_rows, drop_null_rows
 from starweave.operators.star import Star
@@ -20,36 +20,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def as_stats(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        F.col("o_orderkey").alias("match_id"),
-        F.col("o_custkey").alias("player_name"),
-        F.col("o_orderdate").alias("date"),
-        F.col("o_orderstatus").alias("game_size"),
-        F.col("o_orderpriority").alias("match_mode"),
-        F.length("o_orderpriority").alias("player_dbno"),
-        (F.col("o_totalprice") / 2).alias("player_dist_ride"),
-        (F.col("o_totalprice") / 4).alias("player_dist_walk"),
-        F.col("o_totalprice").alias("player_dmg"),
-        F.col("o_custkey").alias("player_kills"),
-        (F.col("o_totalprice") / 8).alias("player_survive_time"),
-        F.dayofmonth("o_orderdate").alias("player_assists"),
+    return orders.selectExpr(
+        "o_orderkey AS match_id",
+        "o_custkey AS player_name",
+        "o_orderdate AS date",
+        "o_orderstatus AS game_size",
+        "o_orderpriority AS match_mode",
+        "length(o_orderpriority) AS player_dbno",
+        "o_totalprice / 2 AS player_dist_ride",
+        "o_totalprice / 4 AS player_dist_walk",
+        "o_totalprice AS player_dmg",
+        "o_custkey AS player_kills",
+        "o_totalprice / 8 AS player_survive_time",
+        "day(o_orderdate) AS player_assists",
     )
 
 
 def as_kills(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        F.col("l_returnflag").alias("killed_by"),
-        F.col("l_suppkey").alias("killer_name"),
-        F.col("l_quantity").alias("killer_placement"),
-        F.col("l_extendedprice").alias("killer_position_x"),
-        F.col("l_quantity").alias("killer_position_y"),
-        F.col("l_linestatus").alias("map"),
-        F.col("l_orderkey").alias("match_id"),
-        F.col("l_linenumber").alias("time"),
-        F.col("l_partkey").alias("victim_name"),
-        F.col("l_extendedprice").alias("victim_placement"),
-        F.col("l_discount").alias("victim_position_x"),
-        F.col("l_tax").alias("victim_position_y"),
+    return lineitem.selectExpr(
+        "l_returnflag AS killed_by",
+        "l_suppkey AS killer_name",
+        "l_quantity AS killer_placement",
+        "l_extendedprice AS killer_position_x",
+        "l_quantity AS killer_position_y",
+        "l_linestatus AS map",
+        "l_orderkey AS match_id",
+        "l_linenumber AS time",
+        "l_partkey AS victim_name",
+        "l_extendedprice AS victim_placement",
+        "l_discount AS victim_position_x",
+        "l_tax AS victim_position_y",
     )
 
 
@@ -68,19 +68,9 @@ def star(spark: SparkSession, sf_dir: str, **options: object) -> Star:
     """The five tables, not stored: the fact from distinct rows, dimensions not."""
     orders = drop_null_rows(table(spark, sf_dir, "orders"))
     lineitem = drop_null_rows(table(spark, sf_dir, "lineitem"))
-    fact_inputs = as_kills(distinct_rows(lineitem)), as_stats(distinct_rows(orders))
-    played, killed = as_stats(orders), as_kills(lineitem)
-    return Star(
-        name=ms.FACT,
-        fact=ms.location_fact(*fact_inputs, on=SAME_STATUS, **options),
-        dims={
-            "dates": ms.date_dim(played),
-            "details": ms.detail_dim(killed),
-            "matches": ms.match_dim(killed, played),
-            "performances": ms.performance_dim(played),
-        },
-        links=ms.LINKS,
-        complete=True,
+    fact_rows = as_kills(distinct_rows(lineitem)), as_stats(distinct_rows(orders))
+    return ms.match_star(
+        as_kills(lineitem), as_stats(orders), on=SAME_STATUS, fact_rows=fact_rows, **options
     )
 
 

@@ -16,17 +16,19 @@ NATURAL = ("match_id", "time", "killer_name", "victim_name")
 
 def flagship_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The other dimensions are only looked up for the rows of the report.
-    return ms.area_report(roles.star(spark, sf_dir).stored("dates"), LOW, HIGH, MONTH, ROWS)
+    star = roles.star(spark, sf_dir).stored("dates")
+    return ms.area_report(star, LOW, HIGH, MONTH, ROWS)
 
 
 def star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = roles.star(spark, sf_dir)
+    star = roles.star(spark, sf_dir, where=ms.area_and_month(LOW, HIGH, MONTH))
+    star = ms.for_report(star)
     return ms.area_report(star.stored(*star.dims), LOW, HIGH, MONTH)
 
 
 def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = f"star_{uuid.uuid4().hex}_"
-    star = roles.star(spark, sf_dir)
+    star = ms.for_report(roles.star(spark, sf_dir))
     star.stored(*star.dims).register(prefix)
     return spark.sql(
         f"""

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording the call site of every column expression slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -47,6 +52,17 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/starweave-{uuid.uuid4().hex}"
 
 
+T = TypeVar("T")
+
+
+def concurrently(jobs: Iterable[Callable[[], T]]) -> list[T]:
+    """Start independent jobs together, so that a small one does not wait for
+    the last tasks of a large one. The first error is raised after all ended."""
+    jobs = list(jobs)
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a Parquet table in the shared folder and read it back.
 
