@@ -47,15 +47,21 @@ def build_fact(
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
-    """Mark a table for broadcast after measuring its size in one pass.
+    """Mark a stored table for broadcast after measuring its size.
 
-    Larger tables are returned as they are and joined by shuffle.
+    Larger tables are returned as they are and joined by shuffle. The rows are
+    counted first, from the file footers; only if they can fit is text measured.
     """
-    fixed = 8 * len(df.columns)
-    texts = [F.octet_length(F.col(f"`{n}`")) for n, t in df.dtypes if t == "string"]
-    width = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(fixed)).cast("long")
-    size = df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0
-    return F.broadcast(df) if size <= max_bytes else df
+    width = 8 * len(df.columns)
+    rows = df.count()
+    if rows * width > max_bytes:
+        return df
+    texts = [f"coalesce(octet_length(`{n}`), 0)" for n, t in df.dtypes if t == "string"]
+    text_bytes = 0
+    if texts:
+        total = F.sum(F.expr(" + ".join(texts)).cast("long")).alias("bytes")
+        text_bytes = df.agg(total).first()["bytes"] or 0
+    return F.broadcast(df) if rows * width + text_bytes <= max_bytes else df
 
 
 @dataclass(frozen=True)
@@ -158,7 +164,7 @@ class Star:
             # dimension that is not stored yet.
             wanted = self.dims[name].filter(F.col(link.dim_key).isin(list(keys)))
             rows = self._lookup(F.broadcast(rows), link, wanted)
-        return rows.orderBy(*rank)
+        return rows.orderBy(*rank).limit(n)
 
     def integrity(self) -> DataFrame:
         """Per dimension: rows, repeated keys, fact rows and orphan fact rows."""

@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
+        spark__sql__maxMetadataStringLength="10000",
+        spark__sql__debug__maxToStringFields="1000",
         spark__sql__warehouse__dir=str(folder / "warehouse"),
         spark__checkpoint__dir=str(folder / "checkpoints"),
     )
