@@ -81,10 +81,11 @@ TABLES = (
     ),
 )
 FACT = "locations"
+# Narrow dimensions first: each shuffle join moves the row gathered so far.
 LINKS = (
     Link("dates", "date_id", "game_time"),
-    Link("details", "detail_id", "detail_id"),
     Link("matches", "match_id", "match_id"),
+    Link("details", "detail_id", "detail_id"),
     Link("performances", "performance_id", "performance_id"),
 )
 

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A shuffle join is hashed, not sorted, if each build partition is this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.ui.enabled": "false",
     # Recording the call site of every column expression slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
