@@ -24,7 +24,8 @@ class EtlConfig:
 
     The known columns of the stats file have the types of the warehouse and
     further columns stay text; ``infer_stats`` infers the types instead, at the
-    price of one more pass over the file. ``load_days`` is ``run`` for the day
+    price of one more pass over the file. ``header=False`` is for kill files
+    without a header line. ``load_days`` is ``run`` for the day
     of the run, ``latest``, ``all`` or a day.
     """
 

@@ -161,8 +161,8 @@ STAR_SQL = ",\n".join(
     ]
 )
 
-JOINED_SQL = """locations l
-  JOIN dates da ON l.date_id = da.game_time
-  JOIN details de ON l.detail_id = de.detail_id
-  JOIN matches m ON l.match_id = m.match_id
-  JOIN performances p ON l.performance_id = p.performance_id"""
+JOINED_SQL = """locations
+  JOIN dates ON dates.game_time = date_id
+  JOIN matches ON matches.match_id = locations.match_id
+  JOIN details ON details.detail_id = locations.detail_id
+  JOIN performances ON performances.performance_id = locations.performance_id"""

@@ -32,13 +32,15 @@ def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     star.stored(*star.dims).register(prefix)
     return spark.sql(
         f"""
-        SELECT de.weapon, de.time, m.match_id, p.dmg, p.kills, l.killer_position_x, l.detail_id
-        FROM {prefix}locations l
-        JOIN {prefix}dates da ON l.date_id = da.game_time
-        JOIN {prefix}details de ON l.detail_id = de.detail_id
-        JOIN {prefix}matches m ON l.match_id = m.match_id
-        JOIN {prefix}performances p ON l.performance_id = p.performance_id
-        WHERE l.killer_position_x BETWEEN {LOW} AND {HIGH} AND da.month = {MONTH}
+        SELECT weapon, details.time, matches.match_id, dmg, kills, killer_position_x,
+          locations.detail_id
+        FROM {prefix}locations AS locations
+        JOIN {prefix}dates AS dates ON game_time = date_id
+        JOIN {prefix}matches AS matches ON matches.match_id = locations.match_id
+        JOIN {prefix}details AS details ON details.detail_id = locations.detail_id
+        JOIN {prefix}performances AS performances
+          ON performances.performance_id = locations.performance_id
+        WHERE killer_position_x BETWEEN {LOW} AND {HIGH} AND dates.month = {MONTH}
         """
     )
 
@@ -120,22 +122,24 @@ QUERIES = {
     )
 }
 
-_REPORT = f"""SELECT de.weapon, de.time, m.match_id, p.dmg, p.kills, l.killer_position_x, l.detail_id
+_REPORT = f"""SELECT weapon, details.time, matches.match_id, dmg, kills, killer_position_x,
+  locations.detail_id
 FROM {roles.JOINED_SQL}
-WHERE l.killer_position_x BETWEEN {LOW} AND {HIGH} AND da.month = {MONTH}"""
+WHERE killer_position_x BETWEEN {LOW} AND {HIGH} AND dates.month = {MONTH}"""
 
+# The columns of the five tables.
 WIDE = {
-    "locations": ("l", "location_id killer_position_x killer_position_y victim_position_x"
-                  " victim_position_y match_id detail_id date_id performance_id"),
-    "dates": ("da", "game_time match_id year month hour week weekday"),
-    "details": ("de", "detail_id match_id killer_name killer_placement victim_name"
-                " victim_placement weapon time"),
-    "matches": ("m", "match_id game_size match_mode map"),
-    "performances": ("p", "performance_id name match_id dbno dist_ride dist_walk dmg kills"
-                     " survive_time assists"),
+    "locations": "location_id killer_position_x killer_position_y victim_position_x"
+    " victim_position_y match_id detail_id date_id performance_id",
+    "dates": "game_time match_id year month hour week weekday",
+    "details": "detail_id match_id killer_name killer_placement victim_name victim_placement"
+    " weapon time",
+    "matches": "match_id game_size match_mode map",
+    "performances": "performance_id name match_id dbno dist_ride dist_walk dmg kills"
+    " survive_time assists",
 }
 _WIDE_COLUMNS = ", ".join(
-    f"{a}.{c} AS {t}_{c}" for t, (a, names) in WIDE.items() for c in names.split()
+    f"{t}.{c} AS {t}_{c}" for t, names in WIDE.items() for c in names.split()
 )
 
 
@@ -153,7 +157,7 @@ def _link_sql(link: ms.Link) -> str:
 
 ORACLES = {
     "flagship_star": f"WITH {roles.STAR_SQL}\n{_REPORT}\n"
-    f"ORDER BY {', '.join('l.' + c for c in ms.REPORT_ORDER)} LIMIT {ROWS}",
+    f"ORDER BY {', '.join('locations.' + c for c in ms.REPORT_ORDER)} LIMIT {ROWS}",
     "star_rows": f"WITH {roles.STAR_SQL}\n{_REPORT}",
     "star_sql": f"WITH {roles.STAR_SQL}\n{_REPORT}",
     "wide_star": f"WITH {roles.STAR_SQL}\nSELECT {_WIDE_COLUMNS} FROM {roles.JOINED_SQL}",

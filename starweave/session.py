@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,11 @@ def spark_session(app_name: str = "starweave", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="starweave-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder path below the one named by ``spark.checkpoint.dir``.
 
@@ -49,8 +55,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="starweave-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/starweave-{uuid.uuid4().hex}"
 
 

@@ -16,7 +16,7 @@ from starweave.operators import (
     one_per_key,
     range_sorted,
 )
-from starweave.session import materialize, scratch_dir
+from starweave.session import concurrently, materialize, scratch_dir
 from tests.conftest import plan, rows
 
 NAN = float("nan")
@@ -167,3 +167,21 @@ def test_materialize_keeps_rows_and_types(spark):
     df = spark.createDataFrame([(1, "a", 1.5), (None, None, NAN)], "i int, s string, d double")
     back = materialize(df, "t")
     assert back.dtypes == df.dtypes and repr(rows(back)) == repr(rows(df))
+
+
+class FakeSession:
+    def __init__(self, **settings):
+        self.conf = {k.replace("__", "."): v for k, v in settings.items()}
+
+
+def test_scratch_without_a_named_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(FakeSession(spark__master="yarn"))
+    first, second = (scratch_dir(FakeSession(spark__master="local[2]")) for _ in range(2))
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
+def test_concurrently_keeps_order_and_raises():
+    assert concurrently(lambda i=i: i for i in range(5)) == list(range(5))
+    with pytest.raises(ZeroDivisionError):
+        concurrently([lambda: 1, lambda: 1 // 0])
