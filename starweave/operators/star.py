@@ -128,14 +128,17 @@ class Star:
     def join(self, dims: Sequence[str] | None = None) -> DataFrame:
         """Inner star join; every column is named ``<table>_<column>``.
 
-        The smallest dimensions belong first in ``dims``. Spark picks broadcast
-        or shuffle joins by measured size.
+        ``dims`` are joined in the given order, those that cut the rows belong
+        first. Without it all are, narrow ones first, as each shuffle join moves
+        the row gathered so far. Spark picks broadcast or shuffle joins by size.
         """
         links = {k.dim: k for k in self.links}
         joined = _prefixed(self.name, self.fact)
-        for name in dims or list(links):
+        for name in dims or sorted(links, key=lambda n: len(self.dims[n].columns)):
             joined = self._lookup(joined, links[name], self.dims[name])
-        return joined
+        tables = {n: self.dims[n] for n in dims or links}
+        names = [f"{t}_{c}" for t, df in tables.items() for c in df.columns]
+        return joined.select(*(f"{self.name}_{c}" for c in self.fact.columns), *names)
 
     def top(
         self, order: Sequence[str], n: int, first: Sequence[str] = (), dims: Sequence[str] = ()

@@ -81,11 +81,10 @@ TABLES = (
     ),
 )
 FACT = "locations"
-# Narrow dimensions first: each shuffle join moves the row gathered so far.
 LINKS = (
     Link("dates", "date_id", "game_time"),
-    Link("matches", "match_id", "match_id"),
     Link("details", "detail_id", "detail_id"),
+    Link("matches", "match_id", "match_id"),
     Link("performances", "performance_id", "performance_id"),
 )
 
@@ -320,7 +319,7 @@ def area_report(star: Star, low: float, high: float, month: int, n: int | None =
     With ``n`` the first rows by position and detail, else all rows.
     """
     part = in_area_and_month(for_report(star), low, high, month)
-    others = ["details", "matches", "performances"]
+    others = ["matches", "details", "performances"]
     if n is None:
         rows = part.join(["dates", *others])
     else:
