@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
+from starweave.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.01"
 TABLES = (
@@ -29,10 +30,10 @@ def types(table: pa.Table) -> dict[str, str]:
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, duck, name):
     ours = entry.queries()[name](spark, SF).toArrow()
     theirs = duck.execute(entry.oracle_sql()[name]).to_arrow_table()
