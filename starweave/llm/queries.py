@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starweave.llm.exact import exact_duplicates
+from starweave.llm.mixing import mix_counts
+from starweave.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +31,21 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of 1.5 times the corpus takes of every document."""
+    return mix_counts(table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens, each in the mixture of the corpus."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack(table(spark, sf_dir, "documents"), path)
+
+
 LLM_QUERIES: dict[str, Query] = {
+    "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_mixing": op9_mixing,
 }
 
 LLM_ORACLES: dict[str, str] = {
