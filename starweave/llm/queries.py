@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starweave.llm.exact import exact_duplicates
 from starweave.llm.mixing import mix_counts
+from starweave.llm.near import near_duplicates
 from starweave.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of equal texts and its group of near duplicates."""
+    rows = near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("_carry.doc_id", "class", "n_links", "keep_id", "group_size", "kept")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of 1.5 times the corpus takes of every document."""
     return mix_counts(table(spark, sf_dir, "documents"))
@@ -43,6 +50,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op3_near_dedup": op3_near_dedup,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
