@@ -11,6 +11,7 @@ from starweave.llm.exact import exact_duplicates
 from starweave.llm.mixing import mix_counts
 from starweave.llm.near import near_duplicates
 from starweave.llm.packing import pack
+from starweave.llm import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,18 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, by a classifier fitted on four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("_row.doc_id", "score").select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of equal texts and its group of near duplicates."""
     rows = near_duplicates(table(spark, sf_dir, "documents"))
@@ -50,6 +63,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
