@@ -11,6 +11,7 @@ from starweave.llm.exact import exact_duplicates
 from starweave.llm.mixing import mix_counts
 from starweave.llm.near import near_duplicates
 from starweave.llm.packing import pack
+from starweave.llm.quality import quality
 from starweave.llm import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,16 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's word counts, tokeniser fertility and verdict."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality(docs, path).select(
+        "_row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_tokens", "chars_per_token", "byte_share", "token_entropy",
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens, each in the mixture of the corpus."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -65,6 +76,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op3_near_dedup": op3_near_dedup,
+    "op4_quality": op4_quality,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
