@@ -7,12 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from starweave.llm import licences, toxicity
 from starweave.llm.exact import exact_duplicates
 from starweave.llm.mixing import mix_counts
 from starweave.llm.near import near_duplicates
 from starweave.llm.packing import pack
 from starweave.llm.quality import quality
-from starweave.llm import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +73,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), path)
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and covered licence templates of every document."""
+    scanned = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return licences.labelled(scanned).select(
+        "_row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op3_near_dedup": op3_near_dedup,
@@ -80,6 +88,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
+    "op10_licences": op10_licences,
 }
 
 LLM_ORACLES: dict[str, str] = {
