@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 from starweave.llm.scratch import Scratch
 
 #: Bytes looked at in the first round; each later round looks at ``GROWTH`` times as many.
-FIRST_BYTES = 64
+FIRST_BYTES = 256
 GROWTH = 4
+#: Longest value that Spark holds.
+MAX_BYTES = 2**31 - 1
 
 
 def radix_groups(
@@ -48,8 +50,9 @@ def radix_groups(
     )
     settled, at, size, depth = [], 0, FIRST_BYTES, 0
     while True:
-        digit = F.substring("_text", at + 1, size)
-        ended = F.octet_length("_text") <= at + size
+        done = at if keep_text else 0  # else what was looked at is gone
+        digit = F.substring("_text", done + 1, size)
+        ended = F.octet_length("_text") <= done + size
         rows = live.withColumns({"_digit": digit, "_ended": ended})
         label = F.monotonically_increasing_id().alias("_next")
         groups = scratch.keep(
@@ -60,16 +63,17 @@ def radix_groups(
             f"groups-{depth}",
         )
         more = F.col("_next").isNotNull() & ~F.col("_ended")
-        split = rows.join(groups, ["group", "_digit", "_ended"], "left").select(
+        rest = F.when(more, F.substring("_text", size + 1, MAX_BYTES))
+        # The groups grow with the input: not a side to broadcast.
+        split = rows.join(groups.hint("merge"), ["group", "_digit", "_ended"], "left").select(
             "row",
             F.col("_next").alias("group"),
             "_carry",
-            (F.col("_text") if keep_text else F.when(more, F.col("_text"))).alias("_text"),
+            (F.col("_text") if keep_text else rest).alias("_text"),
             F.when(more, 1).otherwise(0).alias("_live"),
         )
         split = scratch.keep(split, f"rows-{depth}", partition_by="_live")
-        done = split.filter("_live = 0").withColumn("_depth", F.lit(depth))
-        settled.append(done.drop("_live"))
+        settled.append(split.filter("_live = 0").withColumn("_depth", F.lit(depth)).drop("_live"))
         live = split.filter("_live = 1").drop("_live")
         scratch.drop(f"groups-{depth}", *([f"rows-{depth - 1}/_live=1"] if depth else []))
         if live.isEmpty():
@@ -80,7 +84,8 @@ def radix_groups(
         rows = rows.unionByName(other)
     # Numbers of groups start anew in every round: the round makes them unique.
     group = F.when(F.col("group").isNotNull(), F.struct("_depth", "group"))
-    out = rows.select("row", group.alias("group"), "_carry", "_text")
+    whole = F.col("_text").cast("string").alias("_text")
+    out = rows.select("row", group.alias("group"), "_carry", whole)
     return out if keep_text else out.drop("_text")
 
 
