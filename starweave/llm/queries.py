@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starweave.llm import licences, toxicity
+from starweave.llm import licences, secrets, toxicity
 from starweave.llm.exact import exact_duplicates
 from starweave.llm.mixing import mix_counts
 from starweave.llm.near import near_duplicates
@@ -67,6 +67,17 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, and weak parts that complete a credential."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "_row.doc_id",
+        *(secrets.span_count(F.col("base"), k).alias(f"n_{k}") for k in secrets.BASE),
+        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens, each in the mixture of the corpus."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -85,6 +96,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
+    "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
