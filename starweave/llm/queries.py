@@ -13,6 +13,7 @@ from starweave.llm.mixing import mix_counts
 from starweave.llm.near import near_duplicates
 from starweave.llm.packing import pack
 from starweave.llm.quality import quality
+from starweave.llm.warc import archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +47,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from normalised archives."""
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    return archive(pages).select(
+        F.col("page").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of equal texts and its group of near duplicates."""
     rows = near_duplicates(table(spark, sf_dir, "documents"))
@@ -94,6 +108,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_warc": op2_warc,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
     "op6_secrets": op6_secrets,
@@ -104,6 +119,21 @@ LLM_QUERIES: dict[str, Query] = {
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op2_warc": """
+        SELECT page_id,
+               octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+               sha256(coalesce(html, '')) AS payload_digest,
+               CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+               refers_to
+        FROM (
+            SELECT page_id, html,
+                   CASE WHEN octet_length(encode(coalesce(html, ''))) >= 100
+                         AND page_id <> min(page_id) OVER (PARTITION BY coalesce(html, ''))
+                        THEN min(page_id) OVER (PARTITION BY coalesce(html, ''))
+                   END AS refers_to
+            FROM pages
+        )
+    """,
     "op8_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
