@@ -12,6 +12,7 @@ from starweave.llm.exact import exact_duplicates
 from starweave.llm.mixing import mix_counts
 from starweave.llm.near import near_duplicates
 from starweave.llm.packing import pack
+from starweave.llm.pages import main_text
 from starweave.llm.quality import quality
 from starweave.llm.warc import archive
 
@@ -81,6 +82,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    found = main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("_row.page_id", "_row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, and weak parts that complete a credential."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -111,6 +118,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality": op4_quality,
+    "op5_main_text": op5_main_text,
     "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
