@@ -1,0 +1,72 @@
+"""Archives as an exact round trip."""
+
+from __future__ import annotations
+
+import gzip
+import io
+import json
+import random
+import re
+from hashlib import sha256
+from pathlib import Path
+
+import pytest
+
+from starweave.llm import warc
+
+PAGES = "page_id long, url string, html string, `digest` string"
+
+
+def made(rows):
+    first = {}
+    for i, _, h, _ in rows:
+        if i is not None:
+            first[h or ""] = min(i, first.get(h or "", i))
+    out = []
+    for i, _, h, _ in rows:
+        body = (h or "").encode()
+        other = first.get(h or "") if i is not None and len(body) >= 100 and first[h or ""] != i else None
+        kind = "response" if other is None else "revisit"
+        out.append((None if i is None else str(i), len(body), sha256(body).hexdigest(), kind, None if other is None else str(other)))
+    return sorted(out, key=repr)
+
+
+def test_round_trip(spark, scratch):
+    rng = random.Random(1)
+    bodies = ["", None, "short", "x" * 99, "x" * 100, "é" * 50, "\r\n\r\nWARC/1.1\r\n" * 20, "long " * 100_000]
+    rows = [(i, rng.choice(["http://a/ b\r\nX: y", None, "https://h/é"]), rng.choice(bodies), "d") for i in range(120)]
+    rows += [(None, None, "x" * 100, None), (7, "u", "z" * 200, None), (7, "u", "z" * 200, None)]
+    got = warc.archive(spark.createDataFrame(rows, PAGES).repartition(3), scratch).collect()
+    assert sorted(map(tuple, got), key=repr) == made(rows)
+    folder = Path(scratch.path) / "archives"
+    files = sorted(folder.glob("*.warc.gz"))
+    for file in files:
+        raw = file.read_bytes()
+        lines = [json.loads(x) for x in Path(f"{file}.cdxj").read_text().splitlines()]
+        assert sum(x["length"] for x in lines) == len(raw)
+        whole = gzip.decompress(raw)
+        parts = [gzip.decompress(raw[x["offset"] : x["offset"] + x["length"]]) for x in lines]
+        assert b"".join(parts) == whole
+        assert all(p.startswith(b"WARC/1.1\r\n") and p.endswith(b"\r\n\r\n") for p in parts)
+        for p in parts:
+            head = p.split(b"\r\n\r\n")[0]
+            assert re.search(rb"\r\nWARC-Type: (response|revisit)\r\n", head)
+    assert files and not (Path(scratch.path) / "whole").exists()
+
+
+def test_archives_roll_and_streams_join(spark, scratch, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", "x" * 5000 + str(i), None) for i in range(20)], PAGES).coalesce(1)
+    monkeypatch.setattr(warc, "ROLL_BYTES", 20_000)
+    assert warc.archive(pages, scratch).count() == 20
+
+
+def test_members_and_damage():
+    one = warc.record("1", "u", b"a" * 10, "d", None)
+    both = gzip.compress(one) + gzip.compress(one * 2)
+    assert list(warc.records(warc.inflated(io.BytesIO(both)))) == [one] * 3
+    with pytest.raises(ValueError):
+        list(warc.records(warc.inflated(io.BytesIO(gzip.compress(one[:-5])))))
+
+
+def test_empty_table(spark, scratch):
+    assert warc.archive(spark.createDataFrame([], PAGES), scratch).count() == 0
