@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -66,6 +67,7 @@ class RoundRobin:
     window: int = WINDOW
     memory: int = 4096
     _seen: dict = field(default_factory=dict)
+    _layouts: dict = field(default_factory=dict)
 
     def __post_init__(self):
         totals = [sum(p[i] for p in self.parts) for i in range(len(self.queues))]
@@ -95,6 +97,19 @@ class RoundRobin:
         self._seen[w] = out
         return out
 
+    def layout(self, w: int) -> tuple[list[int], list[int], list[int]]:
+        """Of each queue in a window: first token, end, and where it is put."""
+        if (out := self._layouts.get(w)) is not None:
+            return out
+        first, last, offset, at = self.served(w), self.served(w + 1), [], 0
+        for a, b in zip(first, last):
+            offset.append(at)
+            at += b - a
+        if len(self._layouts) >= self.memory:
+            self._layouts.clear()
+        self._layouts[w] = first, last, offset
+        return first, last, offset
+
     def window_of(self, q: int, token: int, guess: int) -> int:
         """The window that holds a token of a queue."""
         lo, hi = 0, self.windows
@@ -113,19 +128,21 @@ class RoundRobin:
                 hi = mid
         return lo
 
-    def pieces(self, q: int, start: int, n: int):
+    def pieces(self, q: int, start: int, n: int) -> list[tuple[int, int, int, int]]:
         """Cuts of ``n`` tokens of a queue from ``start``: first, length, window, offset."""
+        out = []
         at, end = start, start + n
         w = self.window_of(q, at, at * self.windows // max(1, self.totals[q]))
         while at < end:
-            here, there = self.served(w), self.served(w + 1)
-            stop = min(end, there[q])
+            first, last, offset = self._layouts.get(w) or self.layout(w)
+            stop = min(end, last[q])
             if stop > at:
-                before = sum(there[i] - here[i] for i in range(q))
-                yield at - start, stop - at, w, before + at - here[q]
+                out.append((at - start, stop - at, w, offset[q] + at - first[q]))
                 at = stop
-            if at < end:
-                w = w + 1 if self.served(w + 2)[q] > at else self.window_of(q, at, w + 1)
+                w += 1
+            else:  # a window without tokens of this queue
+                w = self.window_of(q, at, w + 1)
+        return out
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end: int = END_OF_DOCUMENT) -> DataFrame:
@@ -137,12 +154,13 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = END_OF_DOCUMENT) -> Da
     def encode(batches):
         encoder = word_end_encoder(tokenizer)
         part, served = TaskContext.get().partitionId(), {}
-        for batch in text.blocks(batches, "text"):
-            local, n, queue, tokens = [], [], [], []
-            for body, source in zip(batch.column("text").to_pylist(), batch.column("source").to_pylist()):
-                ids = encoder(body or "") + mark
+        # Larger blocks look fewer pieces up.
+        for batch in text.blocks(batches, "text", limit=2 * text.BLOCK_BYTES):
+            local, n, queue = [], [], []
+            bodies = [body or "" for body in batch.column("text").to_pylist()]
+            tokens = [ids + mark for ids in encoder(bodies)]
+            for ids, source in zip(tokens, batch.column("source").to_pylist()):
                 name = queue_name(source)
-                tokens.append(ids)
                 queue.append(name)
                 n.append(len(ids) // 4)
                 local.append(served.get(name, 0))
@@ -204,18 +222,19 @@ def pack(
 
     def cut(batches):
         for batch in text.blocks(batches, "tokens"):
-            row, cuts = [], []
+            row, pieces, crcs, sizes = [], [], [], []
             columns = (batch.column(c).to_pylist() for c in ("queue", "at", "n", "tokens"))
             for i, (queue, at, n, ids) in enumerate(zip(*columns)):
-                view = memoryview(ids)
-                for start, length, w, offset in plan.pieces(place[queue], at, n):
-                    row.append(i)
-                    crc = zlib.crc32(view[4 * start : 4 * (start + length)])
-                    cuts.append((start, length, crc, n, w, offset))
-            values = list(zip(*cuts)) or [()] * 6
+                found = plan.pieces(place[queue], at, n)
+                row += [i] * len(found)
+                sizes += [n] * len(found)
+                pieces += found
+                crcs += [crc32(ids[4 * a : 4 * (a + length)]) for a, length, _, _ in found]
+            cut_ = np.array(pieces, np.int64).reshape(-1, 4)
+            columns = [cut_[:, 0], cut_[:, 1], crcs, sizes, cut_[:, 2], cut_[:, 3]]
             names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(row, pa.int64())), *(pa.array(v, pa.int64()) for v in values)],
+                [batch.column("doc_id").take(pa.array(row, pa.int64())), *(pa.array(v, pa.int64()) for v in columns)],
                 names=["doc_id", *names],
             )
 
