@@ -26,23 +26,50 @@ def one_per_key(
 
     ``repeats=True`` states that there are few different rows per key. They are
     then found by hash aggregation, without sorting the whole input. ``among``
-    keeps only the keys it holds, before anything is aggregated.
+    keeps only the keys it holds; the rows come down to one per key before they are
+    joined with it. 0.0 and -0.0 are the same number and come out as 0.0.
     """
     keys = _names(key)
-    if among is not None:
-        df = df.join(among, keys, "left_semi")
-    rest = [*order, *(c for c in df.columns if c not in keys and c not in order)]
-    if repeats or not rest:
-        df = df.dropDuplicates()
+    columns = df.columns
+    floats = {n for n, t in df.dtypes if t in ("float", "double")}
+    df = df.select(
+        *((F.col(f"`{c}`") + F.lit(0.0).cast(dict(df.dtypes)[c])).alias(c) if c in floats else f"`{c}`" for c in columns)
+    )
+    rest = [*order, *(c for c in columns if c not in keys and c not in order)]
     if not rest:
-        return df
-    lowest = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return lowest.select(*(f"`{c}`" if c in keys else f"_row.`{c}`" for c in df.columns))
+        unique = df.dropDuplicates()
+    else:
+        if repeats:
+            # The count keeps Spark from taking this aggregate for one that the minimum
+            # makes needless.
+            rows = df.groupBy(*_quoted(columns)).agg(F.count("*").alias("_repeats"))
+            df = rows.filter("_repeats > 0").drop("_repeats")
+        if len(rest) == 1 and _fixed_width(df, rest[0]):
+            # A plain minimum is hash aggregated; null is lowest, as in a struct.
+            value = F.col(f"`{rest[0]}`")
+            lowest = F.when(F.count_if(value.isNull()) == 0, F.min(value)).alias(rest[0])
+            unique = df.groupBy(*_quoted(keys)).agg(lowest).select(*_quoted(columns))
+        else:
+            lowest = F.min(F.struct(*_quoted(rest))).alias("_row")
+            unique = df.groupBy(*_quoted(keys)).agg(lowest).select(
+                *(f"`{c}`" if c in keys else f"_row.`{c}`" for c in columns)
+            )
+    return unique if among is None else unique.join(among, keys, "left_semi")
+
+
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
+
+
+def _fixed_width(df: DataFrame, name: str) -> bool:
+    return dict(df.dtypes)[name] in (
+        "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz",
+    )
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], version: str) -> DataFrame:
     """Keep the row with the highest ``version`` of each key."""
     keys = _names(key)
     rest = [version, *(c for c in df.columns if c not in keys and c != version)]
-    highest = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
+    highest = df.groupBy(*_quoted(keys)).agg(F.max(F.struct(*_quoted(rest))).alias("_row"))
     return highest.select(*(f"`{c}`" if c in keys else f"_row.`{c}`" for c in df.columns))

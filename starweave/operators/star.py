@@ -11,9 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starweave.operators.dedup import one_per_key
 from starweave.session import concurrently, materialize
 
-# Bound on the rows that ``Star.top`` chooses ahead of the joins.
-CHOSEN_ROWS = 1000
-
 
 def build_dimension(
     df: DataFrame,
@@ -125,6 +122,11 @@ class Star:
         for name, df in {self.name: self.fact, **self.dims}.items():
             df.createOrReplaceTempView(prefix + name)
 
+    def unregister(self, prefix: str = "") -> None:
+        """Take the names away again."""
+        for name in (self.name, *self.dims):
+            self.fact.sparkSession.catalog.dropTempView(prefix + name)
+
     def join(self, dims: Sequence[str] | None = None) -> DataFrame:
         """Inner star join; every column is named ``<table>_<column>``.
 
@@ -146,27 +148,23 @@ class Star:
         """The ``n`` lowest rows of the star join by fact columns ``order``.
 
         Dimensions in ``first`` restrict the rows (they carry predicates), those
-        in ``dims`` only add columns. On a complete star a small number of rows
-        is chosen before the second kind is joined. The large dimensions are
-        then filtered by the chosen keys and not shuffled.
+        in ``dims`` only add columns. On a complete star the rows are chosen before
+        the second kind is joined, and these dimensions are cut to the chosen keys by a
+        semi join first. Spark moves that below a dimension's aggregate where the keys
+        are few. All of it is lazy and the same for every ``n``.
         """
         links = {k.dim: k for k in self.links}
         rank = [f"{self.name}_{c}" for c in order]
         rank += [f"{self.name}_{c}" for c in self.fact.columns if c not in order]
-        if not self.complete or n > CHOSEN_ROWS:
+        if not self.complete:
             return self.join([*first, *dims]).orderBy(*rank).limit(n)
         rows = self.join(first) if first else _prefixed(self.name, self.fact)
-        # At most CHOSEN_ROWS rows come to the driver and go out as literals.
-        rows = rows.orderBy(*rank).limit(n)
-        chosen = rows.toArrow()
-        rows = rows.sparkSession.createDataFrame(chosen, rows.schema)
+        chosen = rows = rows.orderBy(*rank).limit(n)
         for name in dims:
             link = links[name]
-            keys = set(chosen[f"{self.name}_{link.fact_key}"].to_pylist()) - {None}
-            # A filter on keys reaches the scan, also below the aggregate of a
-            # dimension that is not stored yet.
-            wanted = self.dims[name].filter(F.col(link.dim_key).isin(list(keys)))
-            rows = self._lookup(F.broadcast(rows), link, wanted)
+            keys = chosen.select(F.col(f"{self.name}_{link.fact_key}").alias(link.dim_key))
+            wanted = self.dims[name].join(keys.distinct(), link.dim_key, "left_semi")
+            rows = self._lookup(rows, link, wanted)
         return rows.orderBy(*rank).limit(n)
 
     def integrity(self) -> DataFrame:

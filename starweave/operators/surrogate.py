@@ -20,13 +20,13 @@ def add_surrogate(
     """Put an id column in front.
 
     ``monotonic``: unique 64-bit, without a shuffle, differs from run to run.
-    ``digest``: 128-bit digest of the natural key ``columns``, stable.
+    ``digest``: 128-bit digest of the natural key ``columns`` (all if none given), stable.
     ``dense``: 0..n-1 in the order of ``columns`` (all columns if none given).
     """
     if kind == "monotonic":
         return df.select(F.monotonically_increasing_id().alias(name), "*")
     if kind == "digest":
-        return df.select(digest_key(*columns).alias(name), "*")
+        return df.select(digest_key(*(columns or df.columns)).alias(name), "*")
     if kind == "dense":
         return _dense(df, name, list(columns) or df.columns)
     raise ValueError(f"unknown kind of id: {kind}")

@@ -64,10 +64,8 @@ QUERIES = {
 
 
 def _missing(name: str, source: str) -> str:
-    return (
-        f"CAST(sum(CASE WHEN {name} IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / count(*)"
-        f" AS data_missing FROM {source}"
-    )
+    """One minus the share of values that are there; null for a table without rows."""
+    return f"1 - count({name}) / nullif(count(*), 0)::DOUBLE AS data_missing FROM {source}"
 
 
 _LABELLED = "documents LEFT JOIN labels USING (doc_id)"

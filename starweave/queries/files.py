@@ -118,6 +118,17 @@ def stage_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stage(spark, _two_days(spark, sf_dir), "items", with_run_date=True)
 
 
+def stage_latest_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the latest day, which was staged without any."""
+    root = _two_days(spark, sf_dir)
+    stage(table(spark, sf_dir, "lineitem").filter("l_quantity < 0"), root, "items", "20240103")
+    latest = read_stage(spark, root, "items", with_run_date=True)
+    everything = read_stage(spark, root, "items", "all")
+    return latest.agg(F.count("*").alias("rows")).crossJoin(
+        everything.agg(F.count("*").alias("all_rows"))
+    )
+
+
 def stage_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = read_stage(spark, _two_days(spark, sf_dir), "items", "all", with_run_date=True)
     return latest_per_key(days, ["l_orderkey", "l_linenumber"], RUN_DATE)
@@ -136,6 +147,7 @@ QUERIES = {
         stage_multi_day,
         stage_day_folders,
         stage_latest,
+        stage_latest_empty,
         stage_latest_per_key,
     )
 }
@@ -163,6 +175,7 @@ FROM {_BOTH_DAYS} GROUP BY run_date""",
     "stage_multi_day": f"SELECT * EXCLUDE (run_date) FROM {_BOTH_DAYS}",
     "stage_day_folders": f"SELECT * EXCLUDE (run_date) FROM {_BOTH_DAYS}",
     "stage_latest": f"SELECT * FROM {_BOTH_DAYS} WHERE run_date = '20240102'",
+    "stage_latest_empty": f"SELECT 0::BIGINT AS rows, count(*) AS all_rows FROM {_BOTH_DAYS}",
     "stage_latest_per_key": f"""SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY run_date DESC,
     l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC,

@@ -138,8 +138,15 @@ MATCHES_SQL = """matches AS (
         ORDER BY s.game_size, s.match_mode, k.map) AS rn
     FROM kills k JOIN stats s ON k.match_id = s.match_id) WHERE rn = 1)"""
 
-LOCATIONS_SQL = """locations AS (
-  SELECT md5(concat_ws('|', k.match_id, k.time, k.killer_name, k.victim_name)) AS location_id,
+def digest_sql(*columns: str) -> str:
+    """A digest of parts with their lengths, null as a mark."""
+    texts = [f"CAST({c} AS VARCHAR)" for c in columns]
+    parts = " || ".join(f"coalesce(length({t}) || ':' || {t}, 'n')" for t in texts)
+    return f"md5({parts})"
+
+
+LOCATIONS_SQL = f"""locations AS (
+  SELECT {digest_sql('k.match_id', 'k.time', 'k.killer_name', 'k.victim_name')} AS location_id,
     k.killer_position_x, k.killer_position_y, k.victim_position_x, k.victim_position_y,
     k.match_id,
     concat(substring(CAST(k.match_id AS VARCHAR), 1, 5), CAST(k.time AS VARCHAR),

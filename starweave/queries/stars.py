@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starweave.operators.dedup import one_per_key
+from starweave.operators.star import Star
 from starweave.plans import match_star as ms
 from starweave.queries import roles
 
 LOW, HIGH, MONTH, ROWS = 2000.0, 60000.0, 10, 50
+LARGE = 5000
 NATURAL = ("match_id", "time", "killer_name", "victim_name")
 
 
@@ -20,6 +22,19 @@ def flagship_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ms.area_report(star, LOW, HIGH, MONTH, ROWS)
 
 
+def star_top_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report with more rows, of every month."""
+    star = ms.for_report(roles.star(spark, sf_dir).stored("dates"))
+    rows = star.top(ms.REPORT_ORDER, LARGE, ["dates"], ["matches", "details", "performances"])
+    return rows.select(
+        F.col("locations_killer_position_x").alias("killer_position_x"),
+        F.col("locations_detail_id").alias("detail_id"),
+        F.col("dates_month").alias("month"),
+        F.col("details_weapon").alias("weapon"),
+        F.col("performances_dmg").alias("dmg"),
+    )
+
+
 def star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = roles.star(spark, sf_dir, where=ms.area_and_month(LOW, HIGH, MONTH))
     star = ms.for_report(star)
@@ -29,8 +44,9 @@ def star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = f"star_{uuid.uuid4().hex}_"
     star = ms.for_report(roles.star(spark, sf_dir))
-    star.stored(*star.dims).register(prefix)
-    return spark.sql(
+    star = star.stored(*star.dims)
+    star.register(prefix)
+    found = spark.sql(
         f"""
         SELECT weapon, details.time, matches.match_id, dmg, kills, killer_position_x,
           locations.detail_id
@@ -43,6 +59,8 @@ def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE killer_position_x BETWEEN {LOW} AND {HIGH} AND dates.month = {MONTH}
         """
     )
+    star.unregister(prefix)  # the query holds the tables, not their names
+    return found
 
 
 def wide_star(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +69,7 @@ def wide_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = roles.star(spark, sf_dir).stored()
+    star = _keys(roles.star(spark, sf_dir)).stored()
     facts = star.fact.agg(F.count("*").alias("fact_rows"), F.lit(0).alias("star_rows"))
     joined = star.join().agg(F.lit(0).alias("fact_rows"), F.count("*").alias("star_rows"))
     both = facts.unionAll(joined)
@@ -59,7 +77,13 @@ def star_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roles.star(spark, sf_dir).stored().integrity()
+    return _keys(roles.star(spark, sf_dir)).stored().integrity()
+
+
+def _keys(star: Star) -> Star:
+    """Only the key columns, which are all that counts of rows need."""
+    dims = {link.dim: [link.dim_key] for link in star.links}
+    return star.narrowed(**{star.name: [link.fact_key for link in star.links]}, **dims)
 
 
 def performance_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +130,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         flagship_star,
+        star_top_large,
         star_rows,
         star_sql,
         wide_star,
@@ -158,6 +183,9 @@ def _link_sql(link: ms.Link) -> str:
 ORACLES = {
     "flagship_star": f"WITH {roles.STAR_SQL}\n{_REPORT}\n"
     f"ORDER BY {', '.join('locations.' + c for c in ms.REPORT_ORDER)} LIMIT {ROWS}",
+    "star_top_large": f"WITH {roles.STAR_SQL}\nSELECT killer_position_x, locations.detail_id, month,"
+    f" weapon, dmg FROM {roles.JOINED_SQL}\n"
+    f"ORDER BY {', '.join('locations.' + c for c in ms.REPORT_ORDER)} LIMIT {LARGE}",
     "star_rows": f"WITH {roles.STAR_SQL}\n{_REPORT}",
     "star_sql": f"WITH {roles.STAR_SQL}\n{_REPORT}",
     "wide_star": f"WITH {roles.STAR_SQL}\nSELECT {_WIDE_COLUMNS} FROM {roles.JOINED_SQL}",

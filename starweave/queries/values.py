@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starweave.functions import has_fraction, parse_timestamp, prefix_key, trunc_int
 from starweave.operators.clean import clean, distinct_rows
 from starweave.operators.surrogate import add_surrogate
-from starweave.queries.roles import table
+from starweave.queries.roles import digest_sql, table
 
 
 def distinct_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,8 +75,10 @@ def surrogate_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def surrogate_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return add_surrogate(rows, "id", "digest", rows.columns)
+    """Ids of documents by parts that hold separators, and nulls."""
+    rows = labelled(spark, sf_dir).select("doc_id", "text", "quality", "lang")
+    rows = rows.withColumn("lang", F.when(F.col("lang") != "en", F.concat("lang", F.lit("|"))))
+    return add_surrogate(rows, "id", "digest", ["text", "quality", "lang", "doc_id"])
 
 
 QUERIES = {
@@ -114,6 +116,8 @@ FROM documents LEFT JOIN labels USING (doc_id)""",
     "surrogate_dense": """SELECT row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber,
     l_partkey, l_suppkey) - 1 AS id,
   l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem""",
-    "surrogate_digest": """SELECT md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)) AS id,
-  l_orderkey, l_linenumber, l_partkey FROM lineitem""",
+    "surrogate_digest": f"""SELECT {digest_sql('text', 'quality', 'lang', 'doc_id')} AS id,
+  doc_id, text, quality, lang
+FROM (SELECT doc_id, text, quality, CASE WHEN lang <> 'en' THEN lang || '|' END AS lang
+  FROM documents LEFT JOIN labels USING (doc_id))""",
 }

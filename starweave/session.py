@@ -66,6 +66,8 @@ def concurrently(jobs: Iterable[Callable[[], T]]) -> list[T]:
     """Start independent jobs together, so that a small one does not wait for
     the last tasks of a large one. The first error is raised after all ended."""
     jobs = list(jobs)
+    if not jobs:
+        return []
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 

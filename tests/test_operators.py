@@ -185,3 +185,32 @@ def test_concurrently_keeps_order_and_raises():
     assert concurrently(lambda i=i: i for i in range(5)) == list(range(5))
     with pytest.raises(ZeroDivisionError):
         concurrently([lambda: 1, lambda: 1 // 0])
+
+
+def test_concurrently_without_jobs():
+    assert concurrently([]) == []
+
+
+def test_one_per_key_zeros_nulls_and_dotted_names(spark):
+    for data in ([(1, 0.0), (1, -0.0)], [(1, -0.0), (1, 0.0)]):
+        df = spark.createDataFrame(data, "`a.b` int, v double")
+        assert repr(rows(one_per_key(df, "a.b"))) == repr([(1, 0.0)])
+        assert repr(rows(one_per_key(df.withColumn("w", F.lit("x")), "a.b", repeats=True))) == repr([(1, 0.0, "x")])
+    df = spark.createDataFrame([(1, 5), (1, None), (2, 3), (2, 4), (3, None)], "k int, v int")
+    assert rows(one_per_key(df, "k")) == [(1, None), (2, 3), (3, None)]
+
+
+def test_digest_keeps_parts_apart(spark):
+    data = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("", "x"), ("1:x", ""), ("", "1:x"), ("n", None), (None, "n")]
+    df = spark.createDataFrame(data, "a string, b string")
+    for columns in ((), ("a", "b")):
+        assert add_surrogate(df, "id", "digest", columns).select("id").distinct().count() == len(data)
+
+
+def test_star_top_runs_nothing_while_it_is_built(star, spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    small, large = (star.top(["x"], n, dims=["dim"]) for n in (2, 100_000))
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    shapes = [[line.strip(" +-:*()0123456789").split(" ")[0].split("(")[0] for line in plan(s).splitlines()] for s in (small, large)]
+    assert shapes[0] == shapes[1]

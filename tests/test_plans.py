@@ -76,6 +76,14 @@ def test_dimensions_need_one_shuffle(spark):
     assert plan(ms.performance_dim(roles.as_stats(orders))).count("Exchange") == 1
 
 
+def test_dimensions_of_few_rows_are_hashed_below_the_shuffle(spark):
+    kills, stats = roles.kills(spark, SF, False), roles.stats(spark, SF, False)
+    for dim in (ms.date_dim(stats), ms.match_dim(kills, stats)):
+        text = plan(dim)
+        lowest = text[text.rindex("Exchange hashpartitioning") :]
+        assert "HashAggregate" in lowest and "SortAggregate" not in lowest
+
+
 def test_month_of_the_key_agrees_with_the_dimension(spark):
     dates = ms.date_dim(roles.stats(spark, SF, False))
     assert dates.filter(F.month("game_time") != F.col("month")).count() == 0

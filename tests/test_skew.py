@@ -71,6 +71,14 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark, tight, pick):
     assert re.search(r"SortAggregate\(key=\[.*functions=\[partial_", below)
 
 
+def test_keys_to_keep_are_joined_after_the_reduction(spark, tight):
+    among = spark.range(100).select(F.col("id").alias("k"))
+    text = executed(one_per_key(hot(spark), "k", among=among))
+    # The raw rows meet a partial aggregate before any exchange or join.
+    raw = text[text.rindex("Range (0, 300000") - 2500 : text.rindex("Range (0, 300000")]
+    assert raw.rindex("partial_min") > raw.rindex("Exchange")
+
+
 def test_orphans_of_a_hot_key_are_counted_before_the_join(spark, tight):
     dim = spark.range(1, 5000).select(F.col("id").alias("k"))
     found = orphan_keys(hot(spark), "k", dim, "k")
