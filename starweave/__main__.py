@@ -19,7 +19,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     parser.add_argument("--database-location")
     parser.add_argument("--run-date", help="yyyymmdd, default today")
     parser.add_argument("--load-days", default="run", help="run, latest, all or yyyymmdd")
-    parser.add_argument("--prefix-len", type=int, default=5, help="0 keeps whole match ids")
+    parser.add_argument("--newest", action="store_true", help="of each key what the last day says")
+    parser.add_argument("--mode", choices=["replace", "append"], default="replace")
+    parser.add_argument("--prefix-len", type=int, help="cut match ids in keys, default whole")
+    parser.add_argument("--strict-keys", action="store_true", help="merged keys are an error")
+    parser.add_argument("--kills-without-header", action="store_true")
+    parser.add_argument("--stats-columns", help="names, joined by commas, if there is no header")
+    parser.add_argument("--max-records-per-file", type=int, default=0)
     parser.add_argument("--ids", choices=["monotonic", "dense"], default="monotonic")
     parser.add_argument("--infer-stats", action="store_true")
     parser.add_argument("--plain-days", action="store_true", help="day folders without a name")
@@ -30,6 +36,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         database=args.database,
         database_location=args.database_location,
         prefix_len=args.prefix_len or None,
+        strict_keys=args.strict_keys,
+        newest=args.newest,
+        mode=args.mode,
+        header=not args.kills_without_header,
+        stats_columns=tuple(filter(None, (args.stats_columns or "").split(","))),
+        max_records_per_file=args.max_records_per_file,
         ids=args.ids,
         infer_stats=args.infer_stats,
         named_days=not args.plain_days,

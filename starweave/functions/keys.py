@@ -6,13 +6,13 @@ from pyspark.sql import Column, functions as F
 
 
 def prefix_key(
-    head: str, *rest: str, prefix_len: int | None = 5, sep: str | None = None
+    head: str, *rest: str, prefix_len: int | None = None, sep: str | None = None
 ) -> Column:
     """Leading characters of ``head`` joined with the other columns.
 
     Without ``sep`` the key is null when any part is null. With ``sep`` null
-    parts are skipped. ``prefix_len=None`` keeps all of ``head``, which is the
-    choice for keys that must not collide.
+    parts are skipped. ``prefix_len=None`` keeps all of ``head``; a prefix can make
+    different keys equal.
     """
     first = F.col(head).cast("string")
     if prefix_len is not None:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from starweave.session import materialize
+
 
 def _names(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -67,6 +69,19 @@ def _fixed_width(df: DataFrame, name: str) -> bool:
     )
 
 
+def latest_version_rows(
+    df: DataFrame, key: str | Sequence[str], version: str, folder: str | None = None
+) -> DataFrame:
+    """All rows of each key's highest ``version``, as often as they are there.
+
+    The highest versions are stored before the join, so that adaptive execution can
+    split a hot key.
+    """
+    keys = _names(key)
+    newest = df.groupBy(*_quoted(keys)).agg(F.max(f"`{version}`").alias(version))
+    return df.join(materialize(newest, "newest", folder), [*keys, version]).select(*_quoted(df.columns))
+
+
 def latest_per_key(df: DataFrame, key: str | Sequence[str], version: str) -> DataFrame:
     """Keep the row with the highest ``version`` of each key."""
     keys = _names(key)

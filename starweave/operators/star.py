@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starweave.operators.dedup import one_per_key
-from starweave.session import concurrently, materialize
+from starweave.session import BROADCAST_BYTES, concurrently, materialize
 
 
 def build_dimension(
@@ -43,12 +43,14 @@ def build_fact(
     return joined.selectExpr(*(f"{s}.{c} AS {n}" for n, (s, c) in columns.items()))
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Mark a stored table for broadcast after measuring its size.
 
-    Larger tables are returned as they are and joined by shuffle. The rows are
+    The bound is a session setting unless it is given. Larger tables are returned as they are and joined by shuffle. The rows are
     counted first, from the file footers; only if they can fit is text measured.
     """
+    if max_bytes is None:
+        max_bytes = int(df.sparkSession.conf.get(BROADCAST_BYTES, str(64 << 20)))
     width = 8 * len(df.columns)
     rows = df.count()
     if rows * width > max_bytes:

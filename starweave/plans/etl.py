@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from starweave.functions import trunc_int
 from starweave.operators.clean import clean
-from starweave.operators.quality import gate
+from starweave.operators.quality import gate, key_collisions
 from starweave.operators.star import Star, broadcast_if_small
 from starweave.plans import match_star as ms
-from starweave.session import concurrently, materialize
+from starweave.session import concurrently, delete_folder, materialize, scratch_dir
 from starweave.sinks.stage import stage
 from starweave.sinks.warehouse import TableSpec, analyze, create_tables, load_staged
-from starweave.sources.csv import read_csv, schema_by_name
+from starweave.sources.csv import REJECT, read_csv, schema_by_name
+from starweave.sources.staged import read_stage
 
 
 @dataclass(frozen=True)
@@ -25,73 +29,170 @@ class EtlConfig:
     The known columns of the stats file have the types of the warehouse and
     further columns stay text; ``infer_stats`` infers the types instead, at the
     price of one more pass over the file. ``header=False`` is for kill files
-    without a header line. ``load_days`` is ``run`` for the day
-    of the run, ``latest``, ``all`` or a day.
+    without a header line, ``stats_columns`` names the columns of stats files without
+    one. ``load_days`` is ``run`` for the day of the run, ``latest``, ``all`` or a day;
+    ``newest`` keeps what the last day says of each key. ``mode`` is ``replace`` or
+    ``append``. ``prefix_len`` cuts the match ids in keys, which can merge matches;
+    ``strict_keys`` makes merged keys an error.
     """
 
     input_root: str
     stage_root: str
     database: str
     database_location: str | None = None
-    prefix_len: int | None = 5
+    prefix_len: int | None = None
     ids: str = "monotonic"
     infer_stats: bool = False
     header: bool = True
+    stats_columns: tuple[str, ...] = ()
     header_check: bool = True
     named_days: bool = True
     load_days: str = "run"
+    newest: bool = False
+    mode: str = "replace"
+    strict_keys: bool = False
+    max_records_per_file: int = 0
+
+
+@dataclass(frozen=True)
+class EtlReport:
+    """Rows of the raw files that could not be read, and keys that stand for several
+    natural keys, by table."""
+
+    rejected: Mapping[str, int]
+    merged_keys: Mapping[str, int]
+
+
+REJECTS = "rejects"
+_BAD = "_bad"
 
 
 def today() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%d")
 
 
-def read_stats(spark: SparkSession, config: EtlConfig) -> DataFrame:
-    """Stats rows; text columns, the date among them, are never inferred."""
+def read_stats(spark: SparkSession, config: EtlConfig, rejects: bool = False) -> DataFrame:
+    """Stats rows; text columns, the date among them, are never inferred.
+
+    Whole numbers are read with or without a fraction, which is cut off.
+    """
     path = f"{config.input_root.rstrip('/')}/{ms.STATS_PATH}"
+    check, header = config.header_check, not config.stats_columns
+    types = {n: "double" if n in ms.STATS_NUMBERS else t for n, t in ms.STATS_TYPES.items()}
     if config.infer_stats:
         texts = {n: t for n, t in ms.STATS_TYPES.items() if t == "string"}
-        return read_csv(spark, path, types=texts, header_check=config.header_check)
-    schema = schema_by_name(spark, path, ms.STATS_TYPES)
-    return read_csv(spark, path, schema, header_check=config.header_check)
+        return read_csv(spark, path, types=texts, header=header, header_check=check, rejects=rejects)
+    if header:
+        schema = schema_by_name(spark, path, types)
+    else:
+        schema = ", ".join(f"`{n}` {types.get(n, 'string')}" for n in config.stats_columns)
+    stats = read_csv(spark, path, schema, header=header, header_check=check, rejects=rejects)
+    return stats.withColumns({n: trunc_int(n) for n in ms.STATS_NUMBERS})
 
 
-def read_kills(spark: SparkSession, config: EtlConfig) -> DataFrame:
+def read_kills(spark: SparkSession, config: EtlConfig, rejects: bool = False) -> DataFrame:
     path = f"{config.input_root.rstrip('/')}/{ms.KILLS_PATH}"
     return read_csv(
-        spark, path, ms.KILLS_SCHEMA, header=config.header, header_check=config.header_check
+        spark,
+        path,
+        ms.KILLS_SCHEMA,
+        header=config.header,
+        header_check=config.header_check,
+        rejects=rejects,
     )
 
 
-def transform(spark: SparkSession, config: EtlConfig, run_date: str) -> None:
+def _flagged(raw: DataFrame, columns: Sequence[str], unreadable: Column) -> DataFrame:
+    """Rows with ``_bad``: malformed and so incomplete, or with an unreadable date."""
+    missing = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in columns])
+    bad = (F.col(REJECT).isNotNull() & missing) | unreadable
+    return raw.withColumn(_BAD, F.coalesce(bad, F.lit(False)))
+
+
+def transform(spark: SparkSession, config: EtlConfig, run_date: str) -> EtlReport:
     """Clean both raw tables, build the five tables and stage them.
 
-    The cleaned rows feed four and three outputs. They are written once, without
-    the columns no output uses, and each output reads only its own columns.
+    Each raw file is parsed once. Rows that cannot be read are staged as rejects
+    and counted, the others are cleaned; these feed four and three outputs. They are
+    written once, without the columns no output uses, and each output reads only its
+    own columns. What was stored in between is deleted at the end.
     """
-    raw_stats = clean(read_stats(spark, config)).select(*ms.STATS_TYPES)
-    raw_kills = clean(read_kills(spark, config))
-    stats, kills = concurrently(
-        [partial(materialize, raw_stats, "stats"), partial(materialize, raw_kills, "kills")]
+    folder = scratch_dir(spark)
+    try:
+        return _transform(spark, config, run_date, folder)
+    finally:
+        delete_folder(spark, folder)
+
+
+def _transform(spark: SparkSession, config: EtlConfig, run_date: str, folder: str) -> EtlReport:
+    raw_stats, raw_kills = read_stats(spark, config, True), read_kills(spark, config, True)
+    time = ms.game_time(raw_stats)
+    raw = {
+        "stats": _flagged(raw_stats, list(ms.STATS_TYPES), F.col("date").isNotNull() & time.isNull()),
+        "kills": _flagged(raw_kills, [c for c in raw_kills.columns if c != REJECT], F.lit(False)),
+    }
+    parsed = dict(
+        zip(raw, concurrently(partial(materialize, d, f"raw-{n}", folder, _BAD) for n, d in raw.items()))
     )
+    read = {n: clean(d.filter(~F.col(_BAD)).drop(_BAD, REJECT)) for n, d in parsed.items()}
+    narrow = {"stats": read["stats"].select(*ms.STATS_TYPES), "kills": read["kills"]}
+    stats, kills = concurrently(partial(materialize, d, n, folder) for n, d in narrow.items())
     star = ms.match_star(kills, stats, config.prefix_len, ids=config.ids)
     tables = {star.name: star.fact, **star.dims}
     concurrently(
         partial(
-            stage, tables[s.name], config.stage_root, s.source, run_date, config.named_days
+            stage,
+            tables[s.name],
+            config.stage_root,
+            s.source,
+            run_date,
+            config.named_days,
+            config.max_records_per_file,
         )
         for s in ms.TABLES
     )
+    bad = {n: d.filter(_BAD).drop(_BAD) for n, d in parsed.items()}
+    concurrently(
+        partial(stage, d, f"{config.stage_root}/{REJECTS}", n, run_date, config.named_days)
+        for n, d in bad.items()
+    )
+    keys = {
+        "performances": (stats, ms.performance_key(config.prefix_len), ["match_id", "player_name"]),
+        "details": (kills, ms.detail_key(config.prefix_len), ["match_id", "time", "killer_name"]),
+    }
+    counts = [partial(d.count) for d in bad.values()]
+    counts += [
+        partial(key_collisions(d.withColumn("_key", key), "_key", natural).count)
+        for d, key, natural in keys.values()
+    ]
+    found = concurrently(counts)
+    return EtlReport(dict(zip(bad, found)), dict(zip(keys, found[len(bad) :])))
+
+
+def check_staged(spark: SparkSession, config: EtlConfig, run_date: str) -> None:
+    """Raise when a key column of the staged day has nulls or no rows."""
+    tables = {
+        s.name: read_stage(spark, config.stage_root, s.source, run_date, config.named_days)
+        for s in ms.TABLES
+    }
+    gate(tables, ms.NULL_CHECKS)
 
 
 def load_warehouse(spark: SparkSession, config: EtlConfig, run_date: str) -> None:
-    """Create missing tables and replace the rows of all five."""
+    """Create missing tables and load all five."""
     create_tables(spark, ms.TABLES, config.database, config.database_location)
     days = run_date if config.load_days == "run" else config.load_days
 
     def load_one(spec: TableSpec) -> None:
         load_staged(
-            spark, spec, config.database, config.stage_root, days, named=config.named_days
+            spark,
+            spec,
+            config.database,
+            config.stage_root,
+            days,
+            config.mode,
+            config.named_days,
+            config.newest,
         )
         analyze(spark, config.database, spec.name)
 
@@ -124,9 +225,20 @@ def verified(star: Star) -> Star:
     return replace(star, complete=True)
 
 
-def run(spark: SparkSession, config: EtlConfig, run_date: str | None = None) -> None:
-    """Transform, create tables, load, check."""
+def run(spark: SparkSession, config: EtlConfig, run_date: str | None = None) -> EtlReport:
+    """Transform, check what was staged, create tables, load, check again.
+
+    A day that fails its check leaves the loaded tables as they were.
+    """
     run_date = run_date or today()
-    transform(spark, config, run_date)
+    report = transform(spark, config, run_date)
+    merged = {t: n for t, n in report.merged_keys.items() if n}
+    if merged and config.strict_keys:
+        raise ValueError(f"keys that stand for several natural keys: {merged}")
+    for problem, found in (("rows that cannot be read", report.rejected), ("merged keys", merged)):
+        if any(found.values()):
+            warnings.warn(f"{problem}: {dict(found)}", stacklevel=2)
+    check_staged(spark, config, run_date)
     load_warehouse(spark, config, run_date)
     check_warehouse(spark, config.database)
+    return report

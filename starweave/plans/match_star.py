@@ -32,6 +32,8 @@ STATS_TYPES = {
     "player_name": "string",
     "player_survive_time": "double",
 }
+# Whole numbers that the raw file may write with a fraction.
+STATS_NUMBERS = [n for n, t in STATS_TYPES.items() if t == "int"]
 KILLS_SCHEMA = (
     "killed_by string, killer_name string, killer_placement float,"
     " killer_position_x float, killer_position_y float, map string, match_id string,"
@@ -46,6 +48,7 @@ TABLES = (
         source="match",
         columns="match_id VARCHAR(256), game_size INT, match_mode VARCHAR(64), map VARCHAR(64)",
         sort=("match_id",),
+        key=("match_id",),
         replicate=True,
     ),
     TableSpec(
@@ -55,6 +58,7 @@ TABLES = (
         " killer_placement INT, victim_name VARCHAR(64), victim_placement INT,"
         " weapon VARCHAR(64), time INT",
         sort=("detail_id",),
+        key=("detail_id",),
     ),
     TableSpec(
         name="dates",
@@ -62,6 +66,7 @@ TABLES = (
         columns="game_time TIMESTAMP_NTZ, match_id VARCHAR(256), year INT, month INT,"
         " hour INT, week INT, weekday INT",
         sort=("game_time",),
+        key=("game_time",),
     ),
     TableSpec(
         name="performances",
@@ -70,6 +75,7 @@ TABLES = (
         " dbno INT, dist_ride DOUBLE, dist_walk DOUBLE, dmg INT, kills INT,"
         " survive_time DOUBLE, assists INT",
         sort=("performance_id",),
+        key=("performance_id",),
     ),
     TableSpec(
         name="locations",
@@ -78,6 +84,8 @@ TABLES = (
         " victim_position_x DOUBLE, victim_position_y DOUBLE, match_id VARCHAR(256),"
         " detail_id VARCHAR(64), date_id TIMESTAMP_NTZ, performance_id VARCHAR(128)",
         sort=("killer_position_x", "killer_position_y"),
+        key=("match_id",),
+        unique=False,
     ),
 )
 FACT = "locations"
@@ -112,15 +120,15 @@ REPORT_ORDER = (
 KILLER_IS_PLAYER = (("match_id", "match_id"), ("killer_name", "player_name"))
 
 
-def performance_key(prefix_len: int | None = 5) -> Column:
-    """Match prefix and player. Short prefixes can merge matches: see
-    ``quality.key_collisions``; ``None`` keeps them apart."""
+def performance_key(prefix_len: int | None = None) -> Column:
+    """Match and player. A prefix of the match id can merge matches: see
+    ``quality.key_collisions``."""
     return prefix_key("match_id", "player_name", prefix_len=prefix_len, sep="-")
 
 
-def detail_key(prefix_len: int | None = 5, sep: str | None = None, *more: str) -> Column:
-    """Match prefix, second and killer, and any further columns. Two kills by
-    one player in a second share the key unless ``more`` tells them apart."""
+def detail_key(prefix_len: int | None = None, sep: str | None = None, *more: str) -> Column:
+    """Match (or a prefix of its id), second and killer, and any further columns. Two
+    kills by one player in a second share the key unless ``more`` tells them apart."""
     return prefix_key("match_id", "time", "killer_name", *more, prefix_len=prefix_len, sep=sep)
 
 
@@ -132,7 +140,7 @@ def game_time(stats: DataFrame, column: str = "date") -> Column:
 
 
 def performance_dim(
-    stats: DataFrame, prefix_len: int | None = 5, among: DataFrame | None = None
+    stats: DataFrame, prefix_len: int | None = None, among: DataFrame | None = None
 ) -> DataFrame:
     return build_dimension(
         stats,
@@ -167,7 +175,7 @@ def date_dim(stats: DataFrame, among: DataFrame | None = None) -> DataFrame:
 
 def detail_dim(
     kills: DataFrame,
-    prefix_len: int | None = 5,
+    prefix_len: int | None = None,
     sep: str | None = None,
     more: Sequence[str] = (),
     among: DataFrame | None = None,
@@ -215,7 +223,7 @@ def match_dim(kills: DataFrame, stats: DataFrame, among: DataFrame | None = None
 def location_fact(
     kills: DataFrame,
     stats: DataFrame,
-    prefix_len: int | None = 5,
+    prefix_len: int | None = None,
     sep: str | None = None,
     more: Sequence[str] = (),
     on: Sequence[tuple[str, str]] = KILLER_IS_PLAYER,
@@ -254,7 +262,7 @@ def location_fact(
 def match_star(
     kills: DataFrame,
     stats: DataFrame,
-    prefix_len: int | None = 5,
+    prefix_len: int | None = None,
     on: Sequence[tuple[str, str]] = KILLER_IS_PLAYER,
     fact_rows: tuple[DataFrame, DataFrame] | None = None,
     where: Column | None = None,

@@ -64,13 +64,26 @@ def kills(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
     return as_kills(clean(lineitem) if distinct else drop_null_rows(lineitem))
 
 
-def star(spark: SparkSession, sf_dir: str, **options: object) -> Star:
-    """The five tables, not stored: the fact from distinct rows, dimensions not."""
+PREFIX = 5
+
+
+def star(
+    spark: SparkSession, sf_dir: str, prefix_len: int | None = PREFIX, **options: object
+) -> Star:
+    """The five tables, not stored: the fact from distinct rows, dimensions not.
+
+    Keys have a prefix of the match id unless ``prefix_len`` is None.
+    """
     orders = drop_null_rows(table(spark, sf_dir, "orders"))
     lineitem = drop_null_rows(table(spark, sf_dir, "lineitem"))
     fact_rows = as_kills(distinct_rows(lineitem)), as_stats(distinct_rows(orders))
     return ms.match_star(
-        as_kills(lineitem), as_stats(orders), on=SAME_STATUS, fact_rows=fact_rows, **options
+        as_kills(lineitem),
+        as_stats(orders),
+        prefix_len,
+        on=SAME_STATUS,
+        fact_rows=fact_rows,
+        **options,
     )
 
 
@@ -95,12 +108,18 @@ KILLS_SQL = """kills AS (
   FROM (SELECT DISTINCT * FROM lineitem))"""
 
 
-def performances_sql(prefix: int = 5) -> str:
+def match_sql(column: str, prefix: int | None) -> str:
+    """The match part of a key: its text, or the leading characters of it."""
+    whole = f"CAST({column} AS VARCHAR)"
+    return whole if prefix is None else f"substring({whole}, 1, {prefix})"
+
+
+def performances_sql(prefix: int | None = PREFIX) -> str:
     return f"""performances AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY performance_id ORDER BY name, match_id, dbno,
       dist_ride, dist_walk, dmg, kills, survive_time, assists) AS rn
-    FROM (SELECT concat_ws('-', substring(CAST(match_id AS VARCHAR), 1, {prefix}),
+    FROM (SELECT concat_ws('-', {match_sql('match_id', prefix)},
             CAST(player_name AS VARCHAR)) AS performance_id,
           player_name AS name, match_id, player_dbno AS dbno, player_dist_ride AS dist_ride,
           player_dist_walk AS dist_walk, player_dmg AS dmg, player_kills AS kills,
@@ -118,12 +137,12 @@ DATES_SQL = f"""dates AS (
   FROM (SELECT date AS game_time, min(match_id) AS match_id FROM stats GROUP BY date))"""
 
 
-def details_sql(prefix: int = 5) -> str:
+def details_sql(prefix: int | None = PREFIX) -> str:
     return f"""details AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY detail_id ORDER BY match_id, killer_name,
       killer_placement, victim_name, victim_placement, weapon, time) AS rn
-    FROM (SELECT concat(substring(CAST(match_id AS VARCHAR), 1, {prefix}),
+    FROM (SELECT concat({match_sql('match_id', prefix)},
             CAST(time AS VARCHAR), CAST(killer_name AS VARCHAR)) AS detail_id,
           match_id, killer_name, CAST(trunc(killer_placement) AS INTEGER) AS killer_placement,
           victim_name, CAST(trunc(victim_placement) AS INTEGER) AS victim_placement,
@@ -145,28 +164,33 @@ def digest_sql(*columns: str) -> str:
     return f"md5({parts})"
 
 
-LOCATIONS_SQL = f"""locations AS (
+def locations_sql(prefix: int | None = PREFIX) -> str:
+    return f"""locations AS (
   SELECT {digest_sql('k.match_id', 'k.time', 'k.killer_name', 'k.victim_name')} AS location_id,
     k.killer_position_x, k.killer_position_y, k.victim_position_x, k.victim_position_y,
     k.match_id,
-    concat(substring(CAST(k.match_id AS VARCHAR), 1, 5), CAST(k.time AS VARCHAR),
+    concat({match_sql('k.match_id', prefix)}, CAST(k.time AS VARCHAR),
       CAST(k.killer_name AS VARCHAR)) AS detail_id,
     s.date AS date_id,
-    concat_ws('-', substring(CAST(s.match_id AS VARCHAR), 1, 5),
+    concat_ws('-', {match_sql('s.match_id', prefix)},
       CAST(s.player_name AS VARCHAR)) AS performance_id
   FROM kills k JOIN stats s ON k.match_id = s.match_id AND k.map = s.game_size)"""
 
-STAR_SQL = ",\n".join(
-    [
-        STATS_SQL,
-        KILLS_SQL,
-        performances_sql(),
-        DATES_SQL,
-        details_sql(),
-        MATCHES_SQL,
-        LOCATIONS_SQL,
-    ]
-)
+def star_sql(prefix: int | None = PREFIX) -> str:
+    return ",\n".join(
+        [
+            STATS_SQL,
+            KILLS_SQL,
+            performances_sql(prefix),
+            DATES_SQL,
+            details_sql(prefix),
+            MATCHES_SQL,
+            locations_sql(prefix),
+        ]
+    )
+
+
+STAR_SQL = star_sql()
 
 JOINED_SQL = """locations
   JOIN dates ON dates.game_time = date_id

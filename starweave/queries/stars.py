@@ -68,6 +68,12 @@ def wide_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.stored(*star.dims).join()
 
 
+def wide_star_full_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide star with whole match ids in the keys."""
+    star = roles.star(spark, sf_dir, prefix_len=None, ids="digest", id_columns=NATURAL)
+    return star.stored(*star.dims).join()
+
+
 def star_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = _keys(roles.star(spark, sf_dir)).stored()
     facts = star.fact.agg(F.count("*").alias("fact_rows"), F.lit(0).alias("star_rows"))
@@ -87,10 +93,11 @@ def _keys(star: Star) -> Star:
 
 
 def performance_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ms.performance_dim(roles.stats(spark, sf_dir, False))
+    return ms.performance_dim(roles.stats(spark, sf_dir, False), roles.PREFIX)
 
 
 def performance_dim_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A prefix of one character, so that keys of different matches are equal."""
     return ms.performance_dim(roles.stats(spark, sf_dir, False), prefix_len=1)
 
 
@@ -105,6 +112,7 @@ def date_dim_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A prefix of two characters, so that keys of different matches are equal."""
     return ms.detail_dim(roles.kills(spark, sf_dir, False), prefix_len=2)
 
 
@@ -116,6 +124,7 @@ def location_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ms.location_fact(
         roles.kills(spark, sf_dir),
         roles.stats(spark, sf_dir),
+        roles.PREFIX,
         on=roles.SAME_STATUS,
         ids="digest",
         id_columns=NATURAL,
@@ -134,6 +143,7 @@ QUERIES = {
         star_rows,
         star_sql,
         wide_star,
+        wide_star_full_keys,
         star_integrity,
         star_links,
         performance_dim,
@@ -189,6 +199,8 @@ ORACLES = {
     "star_rows": f"WITH {roles.STAR_SQL}\n{_REPORT}",
     "star_sql": f"WITH {roles.STAR_SQL}\n{_REPORT}",
     "wide_star": f"WITH {roles.STAR_SQL}\nSELECT {_WIDE_COLUMNS} FROM {roles.JOINED_SQL}",
+    "wide_star_full_keys": f"WITH {roles.star_sql(None)}\n"
+    f"SELECT {_WIDE_COLUMNS} FROM {roles.JOINED_SQL}",
     "star_integrity": f"""WITH {roles.STAR_SQL}
 SELECT (SELECT count(*) FROM locations) AS fact_rows,
   (SELECT count(*) FROM {roles.JOINED_SQL}) AS star_rows""",
@@ -203,7 +215,7 @@ FROM (SELECT date_trunc('second', ts) AS game_time, min(user_id) AS match_id
     "detail_dim": f"WITH {roles.KILLS_SQL}, {roles.details_sql(2)} SELECT * FROM details",
     "match_dim": f"WITH {roles.STATS_SQL}, {roles.KILLS_SQL}, {roles.MATCHES_SQL}"
     " SELECT * FROM matches",
-    "location_fact": f"WITH {roles.STATS_SQL}, {roles.KILLS_SQL}, {roles.LOCATIONS_SQL}"
+    "location_fact": f"WITH {roles.STATS_SQL}, {roles.KILLS_SQL}, {roles.locations_sql()}"
     " SELECT * FROM locations",
     "keyed_dedup": """SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey,

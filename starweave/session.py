@@ -11,6 +11,7 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+BROADCAST_BYTES = "spark.starweave.broadcastBytes"
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -19,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A shuffle join is hashed, not sorted, if each build partition is this small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Largest measured dimension that a star join broadcasts.
+    BROADCAST_BYTES: str(64 << 20),
     "spark.ui.enabled": "false",
     # Recording the call site of every column expression slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -72,12 +75,22 @@ def concurrently(jobs: Iterable[Callable[[], T]]) -> list[T]:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, through the file system it is in."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def materialize(
+    df: DataFrame, label: str, folder: str | None = None, partition_by: str | None = None
+) -> DataFrame:
     """Write ``df`` to a Parquet table in the shared folder and read it back.
 
+    ``folder`` is the scratch folder of a run, for the run to delete at its end.
+
     Cuts the lineage: later readers scan only the columns they need, and a lost
     executor costs a re-read, not a recomputation.
     """
-    path = f"{scratch_dir(df.sparkSession)}/{label}"
-    df.write.parquet(path)
+    path = f"{folder or scratch_dir(df.sparkSession)}/{label}"
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

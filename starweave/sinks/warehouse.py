@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starweave.operators.dedup import latest_per_key, latest_version_rows
 from starweave.operators.layout import bucketed, range_sorted
-from starweave.sources.staged import read_stage
+from starweave.session import delete_folder, scratch_dir
+from starweave.sources.staged import RUN_DATE, read_stage
 
 
 @dataclass(frozen=True)
@@ -20,6 +23,8 @@ class TableSpec:
     for joins without a shuffle; choose a key that is unique or evenly spread,
     as a bucket is one task. ``replicate`` marks a table meant to be copied to
     every executor in joins, which happens while its measured size allows it.
+    ``key`` tells which rows of several days are the same thing; ``unique`` whether a
+    day has one row of each.
     """
 
     name: str
@@ -29,6 +34,8 @@ class TableSpec:
     bucket_by: tuple[str, ...] = ()
     buckets: int = 0
     replicate: bool = False
+    key: tuple[str, ...] = ()
+    unique: bool = True
 
     def ddl(self, database: str) -> str:
         layout = ""
@@ -87,9 +94,24 @@ def load_staged(
     run_date: str = "latest",
     mode: str = "replace",
     named: bool = True,
+    newest: bool = False,
 ) -> None:
-    """Load a warehouse table from its staged table."""
-    load(read_stage(spark, root, spec.source or spec.name, run_date, named), spec, database, mode)
+    """Load a warehouse table from its staged table.
+
+    ``newest`` keeps of each key only what the last day that has it says, which
+    matters where several days are loaded.
+    """
+    source = spec.source or spec.name
+    if not newest:
+        load(read_stage(spark, root, source, run_date, named), spec, database, mode)
+        return
+    days = read_stage(spark, root, source, run_date, named, with_run_date=True)
+    folder = scratch_dir(spark)
+    pick = latest_per_key if spec.unique else partial(latest_version_rows, folder=folder)
+    try:
+        load(pick(days, spec.key, RUN_DATE).drop(RUN_DATE), spec, database, mode)
+    finally:
+        delete_folder(spark, folder)
 
 
 def analyze(spark: SparkSession, database: str, table: str) -> None:

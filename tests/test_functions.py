@@ -74,9 +74,9 @@ def test_trunc_int(spark):
 
 def test_prefix_key(spark):
     df = spark.createDataFrame([("abcdefg", 12, "x"), ("abc", 1, "2x"), ("abc", None, "x")], "m string, t int, n string")
-    compat = [r[0] for r in df.select(prefix_key("m", "t", "n")).collect()]
+    compat = [r[0] for r in df.select(prefix_key("m", "t", "n", prefix_len=5)).collect()]
     assert compat == ["abcde12x", "abc12x", None]
-    joined = [r[0] for r in df.select(prefix_key("m", "t", "n", sep="-")).collect()]
+    joined = [r[0] for r in df.select(prefix_key("m", "t", "n", prefix_len=5, sep="-")).collect()]
     assert joined == ["abcde-12-x", "abc-1-2x", "abc-x"]
     whole = [r[0] for r in df.select(prefix_key("m", "n", prefix_len=None, sep="-")).collect()]
     assert whole == ["abcdefg-x", "abc-2x", "abc-x"]

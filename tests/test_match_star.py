@@ -13,6 +13,7 @@ from starweave.plans import etl, match_star as ms
 from starweave.sources import read_stage
 from tests.conftest import plan, rows
 
+# The header lines of the raw files.
 STATS_HEADER = (
     "date,game_size,match_id,match_mode,player_assists,player_dbno,player_dist_ride,"
     "player_dist_walk,player_dmg,player_kills,player_name,player_survive_time\n"
@@ -82,7 +83,7 @@ def raw(spark, config):
 
 @pytest.mark.parametrize("infer", [True, False])
 def test_known_row_from_csv_to_warehouse(spark, config, infer):
-    made = config(KNOWN_STATS, KNOWN_KILL, infer_stats=infer)
+    made = config(KNOWN_STATS, KNOWN_KILL, infer_stats=infer, prefix_len=5)
     etl.run(spark, made, "20240101")
     star = etl.open_star(spark, made.database)
     for name, expected in KNOWN_ROW.items():
@@ -98,7 +99,7 @@ def test_known_row_from_csv_to_warehouse(spark, config, infer):
 
 def test_small_fixture(raw):
     kills, stats = raw
-    star = ms.match_star(kills, stats)
+    star = ms.match_star(kills, stats, 5)
     performances = star.dims["performances"].select("performance_id", "match_id", "dmg")
     assert rows(performances) == [("AAAAA-p1", "AAAAA1", 100), ("AAAAA-p2", "AAAAA1", 200)]
     start = datetime(2017, 10, 1, 10)
@@ -125,14 +126,14 @@ def test_small_fixture(raw):
 
 def test_fixture_hazards_are_reported(raw):
     kills, stats = raw
-    keyed = stats.withColumn("performance_id", ms.performance_key())
+    keyed = stats.withColumn("performance_id", ms.performance_key(5))
     assert rows(key_collisions(keyed, "performance_id", ["match_id", "player_name"])) == [("AAAAA-p1", 2)]
     assert rows(fanout_report(stats, ["match_id", "player_name"])) == [(3, 1, 2)]
 
 
 def test_full_keys_do_not_collide(raw):
     kills, stats = raw
-    star = ms.match_star(kills, stats, prefix_len=None)
+    star = ms.match_star(kills, stats)
     assert star.dims["performances"].count() == 3
     joined = star.join()
     assert joined.filter("locations_match_id <> performances_match_id").count() == 0
@@ -227,3 +228,84 @@ def test_no_python_in_any_plan(raw):
     star = ms.match_star(*raw)
     for df in (star.fact, *star.dims.values(), star.join()):
         assert "Python" not in plan(df) and "Pandas" not in plan(df)
+
+
+# Three matches whose ids share more leading characters than a short prefix has.
+ALIKE_STATS = "".join(
+    f"2017-10-01T10:0{i}:00+0000,50,2U4GB-{i},tpp,0,0,1.0,2.0,{i}00.0,1,p1,10.0\n" for i in range(3)
+)
+ALIKE_KILLS = "".join(f"AK,p1,1.0,{i}.0,1.0,ERANGEL,2U4GB-{i},5,v{i},9.0,1.0,1.0\n" for i in range(3))
+
+
+def test_matches_alike_stay_apart(spark, config):
+    made = config(ALIKE_STATS, ALIKE_KILLS)
+    report = etl.run(spark, made, "20240101")
+    assert not any(report.merged_keys.values()) and not any(report.rejected.values())
+    wide = etl.open_star(spark, made.database).join()
+    found = rows(wide.select("locations_match_id", "performances_dmg", "details_victim_name"))
+    assert found == [(f"2U4GB-{i}", i * 100, f"v{i}") for i in range(3)]
+
+
+def test_short_prefix_is_reported_and_can_be_refused(spark, config):
+    made = config(ALIKE_STATS, ALIKE_KILLS, prefix_len=5)
+    with pytest.warns(UserWarning, match="merged keys"):
+        report = etl.run(spark, made, "20240101")
+    assert report.merged_keys == {"performances": 1, "details": 1}
+    strict = config(ALIKE_STATS, ALIKE_KILLS, prefix_len=5, strict_keys=True)
+    with pytest.raises(ValueError, match="several natural keys"):
+        etl.run(spark, strict, "20240102")
+
+
+BAD_STATS = STATS + "garbage,50,AAAAA1,tpp,0,0,1.0,2.0,100,1,p9,10.0\n2017-10-01T10:00:00+0000,x,AAAAA1,tpp,0,0,1.0,2.0,100,1,p8,10.0\n"
+BAD_KILLS = KILLS + "AK,p1,1.0,oops,1.0,ERANGEL,AAAAA1,5,v1,9.0,1.0,1.0\n"
+
+
+def test_unreadable_rows_are_rejects(spark, config):
+    made = config(BAD_STATS, BAD_KILLS)
+    with pytest.warns(UserWarning, match="cannot be read"):
+        report = etl.run(spark, made, "20240101")
+    assert report.rejected == {"stats": 2, "kills": 1}
+    rejects = read_stage(spark, f"{made.stage_root}/{etl.REJECTS}", "stats", "20240101")
+    assert rows(rejects.select("player_name")) == [("p8",), ("p9",)]
+    assert spark.table(f"{made.database}.locations").count() == 5
+
+
+def test_a_failed_gate_leaves_the_loaded_tables(spark, config):
+    made = config(STATS, KILLS)
+    etl.run(spark, made, "20240101")
+    with pytest.raises(ValueError, match="missing values"):
+        etl.run(spark, config("", ""), "20240102")
+    assert spark.table(f"{made.database}.locations").count() == 5
+
+
+def test_a_run_leaves_no_scratch_folder(spark, config):
+    from pathlib import Path
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.glob("*")) if folder.exists() else set()
+    made = config(STATS, KILLS, max_records_per_file=2)
+    etl.run(spark, made, "20240101")
+    assert set(folder.glob("*")) == before
+    files = list((Path(made.stage_root) / "location" / "run_date=20240101").glob("*.parquet"))
+    assert len(files) >= 3
+
+
+def test_files_without_headers_and_append(spark, config, write):
+    names = tuple(STATS_HEADER.strip().split(","))
+    made = config(STATS, KILLS, header=False, stats_columns=names, mode="append")
+    write(f"in/{ms.STATS_PATH}", STATS)
+    write(f"in/{ms.KILLS_PATH}", KILLS)
+    etl.run(spark, made, "20240101")
+    etl.run(spark, made, "20240101")
+    assert spark.table(f"{made.database}.locations").count() == 10
+
+
+def test_newest_of_all_days_has_each_key_once(spark, config):
+    etl.run(spark, config(STATS, KILLS), "20240101")
+    later = STATS.replace(",100,1,p1,", ",777,1,p1,")
+    made = config(later, KILLS, load_days="all", newest=True)
+    etl.run(spark, made, "20240102")
+    star = etl.verified(etl.open_star(spark, made.database))
+    assert star.fact.count() == 5
+    damage = star.dims["performances"].filter("performance_id = 'AAAAA1-p1'").select("dmg")
+    assert rows(damage) == [(777,)]

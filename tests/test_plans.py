@@ -84,6 +84,13 @@ def test_dimensions_of_few_rows_are_hashed_below_the_shuffle(spark):
         assert "HashAggregate" in lowest and "SortAggregate" not in lowest
 
 
+def test_bucketed_star_tables_join_without_a_shuffle(spark):
+    from starweave.queries.loads import layout_bucket_join
+
+    text = plan(layout_bucket_join(spark, SF))
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
 def test_month_of_the_key_agrees_with_the_dimension(spark):
     dates = ms.date_dim(roles.stats(spark, SF, False))
     assert dates.filter(F.month("game_time") != F.col("month")).count() == 0
