@@ -59,9 +59,26 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_folder()
-    return f"{base.rstrip('/')}/starweave-{uuid.uuid4().hex}"
+    _SCRATCH.append(f"{base.rstrip('/')}/starweave-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch folders that this process has made.
+
+    A job deletes its own. What stands behind a lazy result cannot go before the result
+    has been read; this is for afterwards.
+    """
+    while _SCRATCH:
+        path = _SCRATCH.pop()
+        # Operators put their name behind that of the folder.
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{path}*")
+        for found in pattern.getFileSystem(conf).globStatus(pattern) or []:
+            delete_folder(spark, str(found.getPath()))
+
+
+_SCRATCH: list[str] = []
 T = TypeVar("T")
 
 

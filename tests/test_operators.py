@@ -214,3 +214,15 @@ def test_star_top_runs_nothing_while_it_is_built(star, spark):
     assert len(tracker.getJobIdsForGroup(None)) == before
     shapes = [[line.strip(" +-:*()0123456789").split(" ")[0].split("(")[0] for line in plan(s).splitlines()] for s in (small, large)]
     assert shapes[0] == shapes[1]
+
+
+def test_clear_scratch_deletes_what_was_made(spark):
+    from pathlib import Path
+
+    from starweave.session import clear_scratch
+
+    kept = materialize(spark.range(3), "t")
+    folder = Path(scratch_dir(spark)).parent
+    assert kept.count() == 3 and any(folder.glob("starweave-*/t"))
+    clear_scratch(spark)
+    assert not any(folder.glob("starweave-*"))
