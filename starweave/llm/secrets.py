@@ -101,7 +101,9 @@ def linked(spans: DataFrame, needs: Mapping[str, tuple[str, ...]] = NEEDS, scope
     four rows for each kind, however many parts a text has.
     """
     ends = spans.select("row", "kind", F.lit("end").alias("side"), F.col("end").alias("at"), (F.col("end") - 1).alias("in"))
-    starts = spans.select("row", "kind", F.lit("start").alias("side"), F.col("start").alias("at"), F.col("start").alias("in"))
+    starts = spans.select(
+        "row", "kind", F.lit("start").alias("side"), F.col("start").alias("at"), F.col("start").alias("in")
+    )
     parts = (
         ends.unionAll(starts)
         .groupBy("row", "kind", "side", F.floor(F.col("in") / scope).alias("bin"))
@@ -163,7 +165,9 @@ def find_secrets(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
         F.array_sort(
             F.transform(
                 spans,
-                lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")),
+                lambda x: F.struct(
+                    x["start"].alias("start"), order[x["kind"]].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")
+                ),
             )
         ),
         lambda x: F.struct(x["kind"], x["start"], x["end"]),
