@@ -18,7 +18,9 @@ SIZE = 8
 WINDOW = 24
 FEWEST = 8
 #: Bound on the labelled rows that the classifier is fitted on, by label.
-SAMPLE = {1: 2500, 0: 3500}
+SAMPLE = {1: 1800, 0: 2700}
+#: Weight of the toxic class in the loss.
+TOXIC_SHARE = 0.6
 
 _ALNUM = np.array([chr(c).isalnum() for c in range(0x10000)])
 _PRIME = np.uint64(text.seeded(1, 31)[0] | np.uint64(1))
@@ -46,11 +48,20 @@ def joined(parts: Sequence[Windows]) -> Windows:
     keys = np.concatenate([p.key for p in parts])
     _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
     sizes = np.concatenate([p.gram_n for p in parts])
-    grams = np.concatenate([p.gram for p in parts])
-    begin = np.cumsum(sizes) - sizes
     n = sizes[first]
     start = np.cumsum(n) - n
-    at = np.arange(int(n.sum())) - np.repeat(start, n) + np.repeat(begin[first], n)
+    # Each word's n-grams come from the first block that has it.
+    grams = np.empty(int(n.sum()), np.int32)
+    rank = np.full(len(keys), -1, np.int64)
+    rank[first] = np.arange(len(first))
+    base = 0
+    for p in parts:
+        here = rank[base : base + len(p.key)]
+        new = np.repeat(here >= 0, p.gram_n)
+        size = p.gram_n[here >= 0]
+        inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        grams[np.repeat(start[here[here >= 0]], size) + inside] = p.gram[new]
+        base += len(p.key)
     words, windows_, docs = [], [], []
     key_base = word_base = doc_base = 0
     for p in parts:
@@ -59,7 +70,7 @@ def joined(parts: Sequence[Windows]) -> Windows:
         docs.append(p.doc + doc_base)
         key_base, word_base, doc_base = key_base + len(p.key), word_base + len(p.word), doc_base + p.n_docs
     return Windows(
-        grams[at], start, np.concatenate(words), np.concatenate(windows_), np.concatenate(docs), doc_base, keys[first]
+        grams, start, np.concatenate(words), np.concatenate(windows_), np.concatenate(docs), doc_base, keys[first]
     )
 
 
@@ -163,6 +174,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.margins(windows(texts)), -60, 60)))
 
 
+def _parts(n: int, size: int = 1 << 22) -> list[slice]:
+    """Slices of a long array, so that what is made of each stays small."""
+    return [slice(a, min(n, a + size)) for a in range(0, n, size)]
+
+
 def train(
     texts: Sequence[str],
     labels: Sequence[int],
@@ -189,7 +205,10 @@ def train(
     # Buckets met less often than FEWEST times keep the zero vector.
     gram_n = np.maximum(w.gram_n, 1)
     gram_word = np.repeat(np.arange(len(gram_n), dtype=np.int32), w.gram_n)
-    met = np.bincount(w.gram, np.bincount(w.word, minlength=len(gram_n))[gram_word], BUCKETS)
+    often = np.bincount(w.word, minlength=len(gram_n))
+    met = np.zeros(BUCKETS)
+    for part in _parts(len(gram_word)):
+        met += np.bincount(w.gram[part], often[gram_word[part]], BUCKETS)
     used = np.flatnonzero(met >= FEWEST)
     if not len(used):
         return Model(np.zeros(BUCKETS, np.float32), 0.0)
@@ -202,13 +221,18 @@ def train(
     bias = np.zeros(2)
     word_n = np.diff(np.append(w.start, len(w.word)))
     word_window = np.repeat(np.arange(len(word_n), dtype=np.int32), word_n)
-    # Both classes weigh the same in the loss.
-    share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+    # The toxic class weighs more in the loss than the clean one.
+    share = np.where(y == 1, TOXIC_SHARE / max(1, (y == 1).sum()), (1 - TOXIC_SHARE) / max(1, (y == 0).sum()))
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (vectors, weight, bias)]
     for step in range(1, steps + 1):
         apart = weight[:, 1] - weight[:, 0]
         of_bucket = vectors @ apart
-        of_word = np.bincount(gram_word, of_bucket[gram], len(gram_n)) / gram_n
+        of_word = np.zeros(len(gram_n))
+        for part in _parts(len(gram)):
+            a = gram_word[part][0]
+            sums = np.bincount(gram_word[part] - a, of_bucket[gram[part]])
+            of_word[a : a + len(sums)] += sums
+        of_word /= gram_n
         margin = _window_mean(of_word, w) + bias[1] - bias[0]
         top = np.full(w.n_docs, -np.inf)
         np.maximum.at(top, w.doc, margin)
@@ -218,7 +242,10 @@ def train(
         wrong = 1 / (1 + np.exp(-np.clip(margin, -60, 60))) - y[w.doc]
         d_margin = wrong * soft * share[w.doc]
         d_word = np.bincount(w.word, (d_margin / WINDOW)[word_window], len(gram_n))
-        d_bucket = np.bincount(gram, (d_word / gram_n)[gram_word], len(used))
+        d_word /= gram_n
+        d_bucket = np.zeros(len(used))
+        for part in _parts(len(gram)):
+            d_bucket += np.bincount(gram[part], d_word[gram_word[part]], len(used))
         d_apart = vectors.T @ d_bucket
         slopes = (
             d_bucket[:, None] * apart + decay * vectors,
