@@ -16,12 +16,14 @@ def connected(links: DataFrame, scratch: Scratch) -> DataFrame:
     the logarithm of the longest chain. Labels are stored tables, never collected.
     """
     both = links.select("a", "b").unionAll(links.select(F.col("b"), F.col("a"))).filter("a <> b")
-    edge = scratch.keep(both.dropDuplicates(), "edges")
+    size = 2 * links.count()
+    edge = scratch.keep(both.dropDuplicates(), "edges", rows=size)
     label = scratch.keep(
         edge.groupBy(F.col("a").alias("node")).agg(
             F.least(F.min("b"), F.col("node")).alias("root")
         ),
         "labels-0",
+        rows=size,
     )
     round_ = 0
     while True:
@@ -30,17 +32,20 @@ def connected(links: DataFrame, scratch: Scratch) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("_r").alias("_near")),
             f"near-{round_}",
+            rows=size,
         )
         lower = scratch.keep(
             label.join(near, "node").select(
                 "node", F.least("root", "_near").alias("root"), F.col("root").alias("_old")
             ),
             f"lower-{round_}",
+            rows=size,
         )
         up = lower.select(F.col("node").alias("root"), F.col("root").alias("_up"))
         label = scratch.keep(
             lower.join(up, "root").select("node", F.least("root", "_up").alias("root"), "_old"),
             f"labels-{round_ + 1}",
+            rows=size,
         )
         moved = label.filter("root <> _old").isEmpty()
         label = label.drop("_old")

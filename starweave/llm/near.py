@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starweave.llm import text
 from starweave.llm.components import connected
@@ -21,6 +21,13 @@ SMALL_BUCKET = 16
 #: Samples that a pair must agree in to be aligned; at similarity 0.8 about 10 do, and
 #: fewer than 4 with a chance of 1e-4.
 AGREEING = 4
+#: Places of a shingle in a text from which its alignment keeps them as one number.
+MANY_PLACES = 64
+#: What large buckets leave over is put into buckets by so many samples at once, drawn in
+#: ``SUBSETS`` ways: two texts of similarity 0.8 agree in 8 of a draw with a chance of 0.028
+#: (so in one of 96 draws with 0.93; at 0.85 with 0.999), two of 0.55 with 7e-5.
+FINER = (8, 12, SAMPLES)
+SUBSETS = 96
 
 
 def sketches(w: text.Words, k: int = SHINGLE, samples: int = SAMPLES, picked: int = PICKED) -> np.ndarray:
@@ -39,7 +46,6 @@ def sketches(w: text.Words, k: int = SHINGLE, samples: int = SAMPLES, picked: in
     bounds = np.searchsorted(doc, np.arange(w.n_docs + 1))
     some = np.flatnonzero(np.diff(bounds))
     begin, size = bounds[some], np.diff(bounds)[some]
-    place = np.arange(len(label))
     salt = text.seeded(picked, 22) | np.uint64(1)
     for s, seed in enumerate(text.seeded(samples, 23)):
         value = text.mix(label ^ seed)
@@ -86,39 +92,37 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     need = least - head - tail
     if need <= 0:
         return True
-    if min(len(a), len(b)) < need or len(np.intersect1d(a, b)) == 0:
+    if min(len(a), len(b)) < need or _common(a, b) < need:
         return False
-    # Furthest place on each diagonal for a growing number of unaligned shingles.
-    far = np.full(2 * room + 3, -1, np.int64)
-    zero = room + 1
-    for d in range(room + 1):
-        low, high = max(-d, -len(b)), min(d, len(a))
-        low += (low + d) % 2
-        high -= (high + d) % 2
-        for k in range(low, high + 1, 2):
-            if d == 0:
-                x = 0
-            elif k == -d or (k != d and far[zero + k - 1] < far[zero + k + 1]):
-                x = int(far[zero + k + 1])
-            else:
-                x = int(far[zero + k - 1]) + 1
-            y = x - k
-            if 0 <= x <= len(a) and 0 <= y <= len(b):
-                run = min(len(a) - x, len(b) - y)
-                step = 32
-                while run > 0:
-                    same = a[x : x + min(step, run)] == b[y : y + min(step, run)]
-                    stop = int(np.argmin(same)) if not same.all() else len(same)
-                    x, y, run = x + stop, y + stop, run - stop
-                    if stop < len(same):
-                        break
-                    step *= 4
-                if x >= len(a) and y >= len(b):
-                    return (len(a) + len(b) - d) // 2 >= need
-                far[zero + k] = x
-            else:
-                far[zero + k] = x if x <= len(a) else len(a)
-    return False
+    # Columns of the alignment as bits of one number: bit i falls when the best path to
+    # shingle i of ``a`` gains one. Only shingles within the band can match.
+    where: dict[int, list[int]] = {}
+    for i, x in enumerate(a.tolist()):
+        where.setdefault(x, []).append(i)
+    # Only what stands in many places gets a number of its own.
+    masks = {x: sum(1 << i for i in at) for x, at in where.items() if len(at) > MANY_PLACES}
+    bits = full = (1 << len(a)) - 1
+    band = (1 << (2 * room + 1)) - 1
+    for j, x in enumerate(b.tolist()):
+        if x in masks:
+            match = masks[x] & (band << (j - room) if j >= room else band >> (room - j))
+        else:
+            match = 0
+            for i in where.get(x, ()):
+                if abs(i - j) <= room:
+                    match |= 1 << i
+        if match:
+            hit = bits & match
+            bits = ((bits + hit) | (bits - hit)) & full
+    return len(a) - bits.bit_count() >= need
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Shingles that both have, with repeats: no alignment has more."""
+    x, n = np.unique(a, return_counts=True)
+    y, m = np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return int(np.minimum(n[i], m[j]).sum())
 
 
 def _sketch(batches):
@@ -161,15 +165,56 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(_verify, "a long, b long, good boolean")
 
 
-def candidates(live: DataFrame, info: DataFrame, name: str, scratch: Scratch):
+def _labelled(batches):
+    """Occurrence-labelled shingles of whole texts, a row each."""
+    for batch in text.blocks(batches, "text"):
+        w = text.words(text.encoded(batch.column("text")))
+        shingle, doc, _ = text.shingles(w, SHINGLE)
+        label = text.mix(shingle + text.seeded(1, 21) * text.occurrence(shingle, doc).astype(np.uint64))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row").take(pa.array(doc)), pa.array(label.view(np.int64))], names=["class", "label"]
+        )
+
+
+def central(shared: DataFrame, texts: DataFrame, scratch: Scratch, size: int) -> DataFrame:
+    """How central each class is: ``weight``, and ``fine`` among equals.
+
+    The weight is the company in all of a class's buckets. An original has the samples that
+    most of its copies have, and so the highest weight, but copies whose edits changed no
+    sample tie with it. Of the tied classes that would lead a large bucket, the one whose
+    shingles most of the others have is the original: ``fine`` is the sum over its shingles
+    of the number of tied classes that have them.
+    """
+    weight = scratch.keep(shared.groupBy("class").agg(F.sum("n").alias("weight")), "weight", rows=size)
+    rows = scratch.keep(
+        shared.filter(F.col("n") > SMALL_BUCKET).join(weight, "class").select("bucket", "class", "weight"),
+        "large",
+        rows=size,
+    )
+    top = rows.groupBy("bucket").agg(F.max("weight").alias("_top"))
+    tied = rows.join(scratch.keep(top, "top", rows=size), "bucket").filter("weight = _top")
+    tied = scratch.keep(tied.select(F.col("class").alias("row")).distinct(), "tied", rows=size)
+    label = scratch.keep(
+        texts.join(tied, "row").mapInArrow(_labelled, "class long, label long"), "labels-of-tied"
+    )
+    many = scratch.keep(label.groupBy("label").agg(F.count("*").alias("_n")).filter("_n > 1"), "labels-shared", rows=size)
+    fine = label.join(many, "label").groupBy("class").agg(F.sum("_n").alias("_fine"))
+    out = weight.join(fine, "class", "left").select(
+        "class", "weight", F.coalesce("_fine", F.lit(0)).cast("long").alias("fine")
+    )
+    return scratch.keep(out, "central", rows=size)
+
+
+def candidates(live: DataFrame, info: DataFrame, name: str, scratch: Scratch, size: int | None):
     """Pairs of classes that a level of buckets asks to compare, and its bucket leaders."""
     led = scratch.keep(
         live.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.max(F.struct("weight", "class")).alias("_lead")
+            F.count("*").alias("n"), F.max(F.struct("weight", "fine", "class")).alias("_lead")
         ).select("bucket", "n", F.col("_lead.class").alias("lead")).filter("n > 1"),
         f"{name}-leaders",
+        rows=size,
     )
-    rows = scratch.keep(live.join(led, "bucket"), f"{name}-rows")
+    rows = scratch.keep(live.join(led, "bucket"), f"{name}-rows", rows=size)
     few = rows.filter(F.col("n") <= SMALL_BUCKET).select("bucket", "class")
     other = few.select("bucket", F.col("class").alias("other"))
     pairs = (
@@ -204,15 +249,15 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
 
     1. Every text gets its sketch. Equal texts become one class, named by its lowest
        row number.
-    2. Classes with an equal sample share a bucket; its most central class, the one
-       with the most company over all its buckets, leads it.
+    2. Classes with an equal sample share a bucket; its most central class leads it.
     3. In a bucket of up to ``SMALL_BUCKET`` classes all are compared, in a larger one
        each with the leader: so an original finds all its copies without pairs among
        the copies. Pairs that agree in fewer than ``AGREEING`` samples or whose lengths
        rule the similarity out are passed over; the others are aligned.
-    4. Classes of a large bucket that are not linked to its leader are split by one
-       more sample, into buckets that agree in two samples, then three, and so on, each
-       treated as in 3. No bucket is cut off.
+    4. Classes of a large bucket that are not linked to its leader are put into finer
+       buckets, of texts that agree in 8 samples at once, and treated as in 3; what these
+       leave over in 12, then in all. No bucket is cut off: at the end the classes that
+       are left take turns as leaders.
     """
     same = F.sha2("text", 256).alias("same")
     sketch = scratch.keep(
@@ -231,19 +276,20 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     member = sketch.select("row", "same").join(classes.select("same", "class"), "same")
     member = scratch.keep(member.select("row", "class"), "members")
     every = classes.select("class", "_s.length", "_s.keys").filter("length > 0")
-    wide = every.select("class", F.posexplode("keys").alias("last", "key"))
-    wide = wide.select("class", "last", F.xxhash64("last", "key").alias("bucket"))
+    wide = every.select("class", F.posexplode("keys").alias("sample", "key"))
+    wide = wide.select("class", F.xxhash64("sample", "key").alias("bucket"))
     company = scratch.keep(wide.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "company")
     shared = scratch.keep(wide.join(company, "bucket"), "shared")
-    weight = scratch.keep(shared.groupBy("class").agg(F.sum("n").alias("weight")), "weight")
-    info = scratch.keep(every.join(weight, "class"), "info")
-    texts = scratch.keep(
-        stored.select("row", "text").join(weight.select(F.col("class").alias("row")), "row"), "texts"
-    )
+    size = shared.count()  # from the files' footers
+    several = scratch.keep(shared.select(F.col("class").alias("row")).distinct(), "several", rows=size)
+    # As many as there are copies: a side that grows with the input, not to be broadcast.
+    texts = scratch.keep(stored.select("row", "text").join(several.hint("merge"), "row"), "texts")
+    weight = central(shared, texts, scratch, size)
+    info = scratch.keep(every.join(weight.select("class"), "class"), "info", rows=size)
     live = shared.drop("n").join(weight, "class")
     found, level = [], 0
     while True:
-        pairs, rows = candidates(live, info, f"level-{level}", scratch)
+        pairs, rows = candidates(live, info, f"level-{level}", scratch, None if level else size)
         if found:
             tried = found[0].select("a", "b")
             for more in found[1:]:
@@ -256,22 +302,27 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
         links = links.filter("good").select("a", "b")
         large = rows.filter((F.col("n") > SMALL_BUCKET) & (F.col("class") != F.col("lead")))
         large = large.withColumns({"a": F.least("class", "lead"), "b": F.greatest("class", "lead")})
-        open_ = large.join(links, ["a", "b"], "left_anti")
-        open_ = scratch.keep(open_.select("class", "weight", "last", "bucket"), f"open-{level}")
+        open_ = large.join(links, ["a", "b"], "left_anti").select("class", "weight", "fine", "bucket")
+        open_ = scratch.keep(open_, f"open-{level}", rows=size)
         if open_.isEmpty():
             return member, links
-        if level < SAMPLES - 1:
-            split = F.posexplode("keys").alias("next", "key")
-            keys = info.select(F.col("class"), split)
-            live = open_.join(keys, "class").filter("next > last").select(
-                "class", "weight", F.col("next").alias("last"),
-                F.xxhash64("bucket", "next", "key").alias("bucket"),
-            )
-        else:  # equal sketches, and not similar: leader by leader
+        if level < len(FINER):
+            left = open_.select("class", "weight", "fine").distinct().join(info, "class")
+            live = left.select("class", "weight", "fine", F.explode(finer(FINER[level])).alias("bucket"))
+        else:  # equal sketches, and not similar
             live = open_
         level += 1
 
 
+def finer(size: int) -> Column:
+    """Buckets of a class by ``size`` of its samples at once, in fixed draws."""
+    rng = np.random.default_rng(size)
+    draws = sorted({tuple(sorted(rng.permutation(SAMPLES)[:size].tolist())) for _ in range(SUBSETS)})
+    of = F.array(*(F.struct(F.lit(i).alias("i"), F.array(*map(F.lit, d)).alias("at")) for i, d in enumerate(draws)))
+    keys = F.col("keys")
+    return F.transform(of, lambda d: F.xxhash64(d["i"], F.transform(d["at"], lambda k: keys[k])))
+
+
 def near_duplicates(
     docs: DataFrame, order: str = "doc_id", carry: tuple[str, ...] = (), scratch: Scratch | None = None
 ) -> DataFrame:
@@ -303,7 +354,7 @@ def near_duplicates(
     root = connected(links, scratch).select(F.col("node").alias("class"), F.col("root").alias("_root"))
     ends = links.select(F.col("a").alias("class")).unionAll(links.select("b"))
     degree = ends.groupBy("class").agg(F.count("*").alias("_links"))
-    linked = scratch.keep(root.join(degree, "class"), "linked")
+    linked = scratch.keep(root.join(degree, "class"), "linked", rows=links.count())
     grouped = scratch.keep(
         member.join(linked, "class", "left").select(
             "row", "class",
@@ -321,12 +372,15 @@ def near_duplicates(
         .agg(F.min(rank).alias("_best"), F.count("*").alias("group_size")),
         "best",
     )
-    return (
-        stored.join(grouped, "row")
-        .join(best, "group")
-        .select(
-            "row", "_carry", "text", "class", "group", "n_links", "group_size",
+    verdict = scratch.keep(
+        grouped.join(best, "group").select(
+            "row", "class", "group", "n_links", "group_size",
             (F.col("row") == F.col("_best.row")).alias("kept"),
             F.col("_best._id").alias("keep_id"),
-        )
+        ),
+        "verdict",
     )
+    # The texts meet all that is known of them in one join.
+    return stored.join(verdict.hint("merge"), "row").select(
+        "row", "_carry", "text", "class", "group", "n_links", "group_size", "kept", "keep_id"
+    )

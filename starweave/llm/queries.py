@@ -14,6 +14,7 @@ from starweave.llm.near import near_duplicates
 from starweave.llm.packing import pack
 from starweave.llm.pages import main_text
 from starweave.llm.quality import quality
+from starweave.llm.scratch import Scratch
 from starweave.llm.warc import archive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,9 +63,20 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its class of equal texts and its group of near duplicates."""
-    rows = near_duplicates(table(spark, sf_dir, "documents"))
-    return rows.select("_carry.doc_id", "class", "n_links", "keep_id", "group_size", "kept")
+    """Every document with its class of equal texts and its group of near duplicates.
+
+    ``class_id`` is the lowest ``doc_id`` with that text, ``n_links`` the number of other
+    classes that it is linked to, ``keep_id`` the document of the group that stays.
+    """
+    scratch = Scratch(spark, "op3")
+    rows = near_duplicates(table(spark, sf_dir, "documents"), scratch=scratch)
+    rows = scratch.keep(
+        rows.select("_carry.doc_id", "class", "n_links", "keep_id", "group_size", "kept"), "result"
+    )
+    names = scratch.keep(rows.groupBy("class").agg(F.min("doc_id").alias("class_id")), "names")
+    return rows.join(names, "class").select(
+        "doc_id", "class_id", "n_links", "keep_id", "group_size", "kept"
+    )
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

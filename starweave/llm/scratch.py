@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starweave.session import scratch_dir
+from starweave.session import delete_folder, scratch_dir
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows that go to Python at a time: whole texts make large batches.
+MOST_ROWS = 1000
+#: Narrow rows of a file, where their number is known.
+FILE_ROWS = 500_000
 
 
 class Scratch:
@@ -13,14 +19,28 @@ class Scratch:
     A written table cuts the lineage: a lost executor costs a re-read. Tables that
     the result no longer needs are dropped with ``drop``; those behind a lazy result
     stay until ``close`` is called.
+
+    Lowers the session's Arrow batches to ``MOST_ROWS`` rows if they are larger, so that
+    a task's memory is bounded by texts and not by their number.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.path = f"{scratch_dir(spark)}-{label}"
-
-    def keep(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-        """Write a table and return the stored one."""
+        rows = int(spark.conf.get(BATCH_ROWS, "0"))
+        if rows <= 0 or rows > MOST_ROWS:
+            spark.conf.set(BATCH_ROWS, str(MOST_ROWS))
+
+    def keep(
+        self, df: DataFrame, name: str, partition_by: str | None = None, rows: int | None = None
+    ) -> DataFrame:
+        """Write a table and return the stored one.
+
+        ``rows`` tells about how many narrow rows there are, so that a small table does not
+        become a file for each partition of the shuffle before it.
+        """
+        if rows is not None:
+            df = df.coalesce(1 + rows // FILE_ROWS)
         writer = df.write.option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(partition_by)
@@ -29,11 +49,8 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         """Delete tables, or the whole folder if none is named."""
-        jvm = self.spark._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for path in [f"{self.path}/{n}" for n in names] or [self.path]:
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
+            delete_folder(self.spark, path)
 
     def close(self) -> None:
         self.drop()
