@@ -1,4 +1,8 @@
-"""A corpus pipeline: toxic documents out, copies out, then mixed and packed."""
+"""A corpus pipeline: toxic documents out, copies out, then mixed and packed.
+
+Write what a stage returns before calling the next one: each deletes the intermediate
+tables of the stage before.
+"""
 
 from __future__ import annotations
 
@@ -15,32 +19,47 @@ from starweave.llm.scratch import Scratch
 TOKENIZER = "word_bpe_49k.json"
 
 
+_LAST: list[Scratch] = []
+
+
+def _scratch(spark: SparkSession, label: str) -> Scratch:
+    """The scratch folder of a stage. That of the stage before is deleted: its result has
+    been written by now, as a stage reads what the one before has stored."""
+    while _LAST:
+        _LAST.pop().close()
+    _LAST.append(Scratch(spark, label))
+    return _LAST[-1]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not find toxic."""
+    _scratch(spark, "toxicity")
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id."""
     rest = [c for c in docs.columns if c != "text"]
-    rows = exact_duplicates(docs, carry=rest, keep_text=True).filter("kept")
+    scratch = _scratch(spark, "exact")
+    rows = exact_duplicates(docs, carry=rest, keep_text=True, scratch=scratch).filter("kept")
     return rows.select(*_columns(docs, "_text"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates, the row with the lowest id."""
     rest = tuple(c for c in docs.columns if c != "text")
-    return near_duplicates(docs, carry=rest).filter("kept").select(*_columns(docs, "text"))
+    rows = near_duplicates(docs, carry=rest, scratch=_scratch(spark, "near")).filter("kept")
+    return rows.select(*_columns(docs, "text"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of the sources in their target weights, documents repeated or cut for it."""
-    return mix_documents(docs)
+    return mix_documents(docs, scratch=_scratch(spark, "mix"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences that keep to the mixture."""
-    return pack(docs, public_tokenizers.path(TOKENIZER))
+    return pack(docs, public_tokenizers.path(TOKENIZER), scratch=_scratch(spark, "pack"))
 
 
 def _columns(docs: DataFrame, text: str) -> list[Column]:

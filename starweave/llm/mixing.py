@@ -332,7 +332,8 @@ def mix_documents(docs: DataFrame, seed: int = 0, scratch: Scratch | None = None
         F.sum("n").alias("_n"), F.collect_list(F.struct("word", "n")).alias("runs")
     )
     rest = [c for c in carry if c != "text"]
-    rows = sized.join(scratch.keep(runs, "runs"), "row").select(
+    # About as many runs as rows: not a side to broadcast.
+    rows = sized.join(scratch.keep(runs, "runs").hint("merge"), "row").select(
         F.struct(*(F.col(f"_carry.`{c}`") for c in rest)).alias("_rest"),
         F.col("_carry.text").alias("text"),
         (F.col("_n") == F.col("size")).alias("whole"),

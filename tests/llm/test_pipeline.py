@@ -43,19 +43,20 @@ def test_stages(spark, folder):
     docs = spark.read.parquet(f"{path}/documents.parquet")
     stages = [f for _, f in corpus_pipeline.STAGES]
     ids = lambda df: {r["doc_id"] for r in df.select("doc_id").collect()}
-    clean = stages[0](spark, docs, str(path))
+    stored = lambda k, df: (df.write.parquet(f"{path}/stage-{k}"), spark.read.parquet(f"{path}/stage-{k}"))[1]
+    clean = stored(0, stages[0](spark, docs, str(path)))
     assert clean.columns == docs.columns
     assert len(ids(docs) - ids(clean) - toxic) == 0 and len(toxic & ids(clean)) <= 6
-    once = stages[1](spark, clean, str(path))
+    once = stored(1, stages[1](spark, clean, str(path)))
     assert once.schema.names == docs.columns
     texts = [r["text"] for r in once.collect()]
     assert len(texts) == len(set(texts))
     assert all(i not in ids(once) or c not in ids(clean) for c, i in copies.items())
-    apart = stages[2](spark, once, str(path))
+    apart = stored(2, stages[2](spark, once, str(path)))
     groups = near_duplicates(once).select("group").distinct().count()
     assert apart.count() == groups
     assert not ids(apart) & set(near) & {n for n in near if copies.get(n - 1000) in ids(apart)}
-    mixed = stages[3](spark, apart, str(path))
+    mixed = stored(3, stages[3](spark, apart, str(path)))
     assert mixed.columns == docs.columns and ids(mixed) <= ids(apart)
     words = sum(len(r["text"].split()) for r in apart.collect())
     assert abs(sum(len(r["text"].split()) for r in mixed.collect()) - 1.5 * words) < 5
