@@ -18,6 +18,8 @@ SAMPLES = 16
 PICKED = 2
 #: Up to so many classes of a bucket are compared with each other, more with its leader.
 SMALL_BUCKET = 16
+#: The same for the finer buckets, whose classes agree in more samples.
+SMALL_FINER = 64
 #: Samples that a pair must agree in to be aligned; at similarity 0.8 about 10 do, and
 #: fewer than 4 with a chance of 1e-4.
 AGREEING = 4
@@ -205,7 +207,7 @@ def central(shared: DataFrame, texts: DataFrame, scratch: Scratch, size: int) ->
     return scratch.keep(out, "central", rows=size)
 
 
-def candidates(live: DataFrame, info: DataFrame, name: str, scratch: Scratch, size: int | None):
+def candidates(live: DataFrame, info: DataFrame, name: str, scratch: Scratch, size: int | None, small: int):
     """Pairs of classes that a level of buckets asks to compare, and its bucket leaders."""
     led = scratch.keep(
         live.groupBy("bucket").agg(
@@ -215,14 +217,14 @@ def candidates(live: DataFrame, info: DataFrame, name: str, scratch: Scratch, si
         rows=size,
     )
     rows = scratch.keep(live.join(led, "bucket"), f"{name}-rows", rows=size)
-    few = rows.filter(F.col("n") <= SMALL_BUCKET).select("bucket", "class")
+    few = rows.filter(F.col("n") <= small).select("bucket", "class")
     other = few.select("bucket", F.col("class").alias("other"))
     pairs = (
         few.join(other, "bucket")
         .filter("class < other")
         .select(F.col("class").alias("a"), F.col("other").alias("b"))
         .unionAll(
-            rows.filter((F.col("n") > SMALL_BUCKET) & (F.col("class") != F.col("lead"))).select(
+            rows.filter((F.col("n") > small) & (F.col("class") != F.col("lead"))).select(
                 F.least("class", "lead").alias("a"), F.greatest("class", "lead").alias("b")
             )
         )
@@ -255,8 +257,8 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
        the copies. Pairs that agree in fewer than ``AGREEING`` samples or whose lengths
        rule the similarity out are passed over; the others are aligned.
     4. Classes of a large bucket that are not linked to its leader are put into finer
-       buckets, of texts that agree in 8 samples at once, and treated as in 3; what these
-       leave over in 12, then in all. No bucket is cut off: at the end the classes that
+       buckets, of texts that agree in 8 samples at once, and treated as in 3 (up to
+       ``SMALL_FINER`` of them all with each other); what these leave over in 12, then in all. No bucket is cut off: at the end the classes that
        are left take turns as leaders.
     """
     same = F.sha2("text", 256).alias("same")
@@ -289,7 +291,9 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     live = shared.drop("n").join(weight, "class")
     found, level = [], 0
     while True:
-        pairs, rows = candidates(live, info, f"level-{level}", scratch, None if level else size)
+        small = SMALL_FINER if level else SMALL_BUCKET
+        rows_in_file = None if level else size
+        pairs, rows = candidates(live, info, f"level-{level}", scratch, rows_in_file, small)
         if found:
             tried = found[0].select("a", "b")
             for more in found[1:]:
@@ -300,7 +304,7 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
         for more in found[1:]:
             links = links.unionAll(more)
         links = links.filter("good").select("a", "b")
-        large = rows.filter((F.col("n") > SMALL_BUCKET) & (F.col("class") != F.col("lead")))
+        large = rows.filter((F.col("n") > small) & (F.col("class") != F.col("lead")))
         large = large.withColumns({"a": F.least("class", "lead"), "b": F.greatest("class", "lead")})
         open_ = large.join(links, ["a", "b"], "left_anti").select("class", "weight", "fine", "bucket")
         open_ = scratch.keep(open_, f"open-{level}", rows=size)
