@@ -258,8 +258,8 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
        rule the similarity out are passed over; the others are aligned.
     4. Classes of a large bucket that are not linked to its leader are put into finer
        buckets, of texts that agree in 8 samples at once, and treated as in 3 (up to
-       ``SMALL_FINER`` of them all with each other); what these leave over in 12, then in all. No bucket is cut off: at the end the classes that
-       are left take turns as leaders.
+       ``SMALL_FINER`` of them all with each other); what these leave over in 12, then in
+       all. No bucket is cut off: at the end the classes that are left take turns as leaders.
     """
     same = F.sha2("text", 256).alias("same")
     sketch = scratch.keep(
