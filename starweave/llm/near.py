@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from starweave.llm import text
 from starweave.llm.components import connected
@@ -16,20 +16,17 @@ SIMILARITY = 0.8
 #: with a chance of about 0.8 * 0.8, so they differ in all 16 with one of 1e-7.
 SAMPLES = 16
 PICKED = 2
-#: Up to so many classes of a bucket are compared with each other, more with its leader.
+#: Classes of a bucket whose pairs are made by a join; those of larger ones are compared
+#: block by block, all the same.
 SMALL_BUCKET = 16
-#: The same for the finer buckets, whose classes agree in more samples.
-SMALL_FINER = 64
+#: Classes of a block, and shingles of its texts, at most on the average.
+BLOCK = 512
+BLOCK_SHINGLES = 2_000_000
 #: Samples that a pair must agree in to be aligned; at similarity 0.8 about 10 do, and
 #: fewer than 4 with a chance of 1e-4.
 AGREEING = 4
 #: Places of a shingle in a text from which its alignment keeps them as one number.
 MANY_PLACES = 64
-#: What large buckets leave over is put into buckets by so many samples at once, drawn in
-#: ``SUBSETS`` ways: two texts of similarity 0.8 agree in 8 of a draw with a chance of 0.028
-#: (so in one of 96 draws with 0.93; at 0.85 with 0.999), two of 0.55 with 7e-5.
-FINER = (8, 12, SAMPLES)
-SUBSETS = 96
 
 
 def sketches(w: text.Words, k: int = SHINGLE, samples: int = SAMPLES, picked: int = PICKED) -> np.ndarray:
@@ -69,7 +66,17 @@ def sketches(w: text.Words, k: int = SHINGLE, samples: int = SAMPLES, picked: in
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    """Whether two sequences of shingles are similar in order.
+    """Whether two sequences of shingles are similar in order."""
+    return distance(a, b, similarity) is not None
+
+
+def rooms(total, similarity: float = SIMILARITY):
+    """Shingles of two similar sequences, ``total`` long together, that may stay unaligned."""
+    return total - 2 * np.ceil(similarity * total / (1 + similarity) - 1e-9).astype(np.int64)
+
+
+def distance(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> int | None:
+    """How many shingles of two similar sequences stay unaligned; None if they are not similar.
 
     The longest common subsequence, m long, is found by alignment within a band.
     The similarity is m / (len(a) + len(b) - m). To reach the threshold, at most
@@ -78,11 +85,11 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     """
     total = len(a) + len(b)
     if not len(a) or not len(b):
-        return total == 0
-    least = int(np.ceil(similarity * total / (1 + similarity) - 1e-9))
-    room = total - 2 * least
+        return None if total else 0
+    room = int(rooms(np.int64(total), similarity))
+    least = (total - room) // 2
     if abs(len(a) - len(b)) > room or min(len(a), len(b)) < least:
-        return False
+        return None
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     head = int(differ[0]) if len(differ) else n
@@ -92,10 +99,8 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     tail = int(differ[0]) if len(differ) else n
     a, b = a[: len(a) - tail], b[: len(b) - tail]
     need = least - head - tail
-    if need <= 0:
-        return True
-    if min(len(a), len(b)) < need or _common(a, b) < need:
-        return False
+    if min(len(a), len(b)) < need or need > 0 and _common(a, b) < need:
+        return None
     # Columns of the alignment as bits of one number: bit i falls when the best path to
     # shingle i of ``a`` gains one. Only shingles within the band can match.
     where: dict[int, list[int]] = {}
@@ -116,7 +121,8 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
         if match:
             hit = bits & match
             bits = ((bits + hit) | (bits - hit)) & full
-    return len(a) - bits.bit_count() >= need
+    found = len(a) - bits.bit_count()
+    return total - 2 * (head + tail + found) if found >= need else None
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -167,99 +173,144 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(_verify, "a long, b long, good boolean")
 
 
-def _labelled(batches):
-    """Occurrence-labelled shingles of whole texts, a row each."""
-    for batch in text.blocks(batches, "text"):
-        w = text.words(text.encoded(batch.column("text")))
+def similar_pairs(sequences: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of places in ``sequences``, those that are similar.
+
+    The number of unaligned shingles is a metric. So when a sequence has been aligned with
+    its partners, two of them that are near enough to it are similar without an alignment
+    of their own; pairs that this does not settle are aligned.
+    """
+    size = np.array([len(s) for s in sequences], np.int64)
+    good: list[tuple[np.ndarray, np.ndarray]] = [(a[:0], b[:0])]
+    while len(a):
+        pivot = int(np.argmax(np.bincount(a, minlength=len(size)) + np.bincount(b, minlength=len(size))))
+        own = (a == pivot) | (b == pivot)
+        away = np.full(len(size), np.inf)
+        for other in (a[own] + b[own] - pivot).tolist():
+            found = distance(sequences[pivot], sequences[other])
+            away[other] = np.inf if found is None else found
+        away[pivot] = 0
+        through = away[a] + away[b]
+        near = np.where(own, through < np.inf, through <= rooms(size[a] + size[b]))
+        good.append((a[near], b[near]))
+        rest = ~(near | own)
+        a, b = a[rest], b[rest]
+    return np.concatenate([g[0] for g in good]), np.concatenate([g[1] for g in good])
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    """Links between the classes of two blocks of a bucket, or within one: of each class that
+    has any, their number and the lowest class that they lead to.
+
+    A pair that shares several large buckets is counted in the one of the lowest sample.
+    """
+    table = table.combine_chunks().sort_by("class")
+    name = table["class"].to_numpy()
+    part, length = table["own"].to_numpy(), table["length"].to_numpy()
+    keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(name), SAMPLES)
+    mask, sample = table["large"].to_numpy(), table["sample"][0].as_py()
+    within = table["lo"][0] == table["hi"][0]
+    agree = np.zeros((len(name), len(name)), np.uint8)
+    todo = np.triu(np.ones(agree.shape, bool), 1)
+    if not within:
+        todo &= part[:, None] != part[None, :]
+    for s in range(SAMPLES):
+        same = keys[:, s][:, None] == keys[:, s][None, :]
+        agree += same
+        if s == sample:
+            todo &= same
+        elif s < sample:
+            todo &= ~(same & (mask >> s & 1).astype(bool)[:, None])
+    todo &= agree >= AGREEING
+    a, b = np.nonzero(todo)
+    fits = np.minimum(length[a], length[b]) >= SIMILARITY * (1 - 1e-9) * np.maximum(length[a], length[b])
+    a, b = a[fits], b[fits]
+    used = np.unique(np.concatenate((a, b)))
+    root = np.arange(len(name))
+    links = np.zeros(len(name), np.int64)
+    if len(used):
+        w = text.words(text.encoded(table["text"].combine_chunks().take(pa.array(used))))
         shingle, doc, _ = text.shingles(w, SHINGLE)
-        label = text.mix(shingle + text.seeded(1, 21) * text.occurrence(shingle, doc).astype(np.uint64))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("row").take(pa.array(doc)), pa.array(label.view(np.int64))], names=["class", "label"]
-        )
+        bounds = np.searchsorted(doc, np.arange(w.n_docs + 1))
+        sequences = [shingle[i:j] for i, j in zip(bounds, bounds[1:])]
+        a, b = (used[x] for x in similar_pairs(sequences, np.searchsorted(used, a), np.searchsorted(used, b)))
+        links = np.bincount(a, minlength=len(name)) + np.bincount(b, minlength=len(name))
+        before = None
+        while before is None or (before != root).any():
+            before = root.copy()
+            np.minimum.at(root, a, before[b])
+            np.minimum.at(root, b, before[a])
+            root = root[root]
+    some = links > 0
+    return pa.table(
+        [pa.array(name[some]), pa.array(name[root[some]]), pa.array(links[some].astype(np.int64))],
+        names=["a", "b", "n"],
+    )
 
 
-def central(shared: DataFrame, texts: DataFrame, scratch: Scratch, size: int) -> DataFrame:
-    """How central each class is: ``weight``, and ``fine`` among equals.
+def large_links(shared: DataFrame, info: DataFrame, texts: DataFrame) -> DataFrame:
+    """What the large buckets link: (``a``, ``b``, ``n``), a class, one that it leads to and
+    the number of its links; a class may have several rows.
 
-    The weight is the company in all of a class's buckets. An original has the samples that
-    most of its copies have, and so the highest weight, but copies whose edits changed no
-    sample tie with it. Of the tied classes that would lead a large bucket, the one whose
-    shingles most of the others have is the original: ``fine`` is the sum over its shingles
-    of the number of tied classes that have them.
+    The classes of a bucket are dealt into blocks, and each two blocks are a group. So a
+    class is sent as often as its bucket has blocks, and no row is made for a pair.
     """
-    weight = scratch.keep(shared.groupBy("class").agg(F.sum("n").alias("weight")), "weight", rows=size)
-    rows = scratch.keep(
-        shared.filter(F.col("n") > SMALL_BUCKET).join(weight, "class").select("bucket", "class", "weight"),
-        "large",
-        rows=size,
-    )
-    top = rows.groupBy("bucket").agg(F.max("weight").alias("_top"))
-    tied = rows.join(scratch.keep(top, "top", rows=size), "bucket").filter("weight = _top")
-    tied = scratch.keep(tied.select(F.col("class").alias("row")).distinct(), "tied", rows=size)
-    label = scratch.keep(
-        texts.join(tied, "row").mapInArrow(_labelled, "class long, label long"), "labels-of-tied"
-    )
-    many = scratch.keep(label.groupBy("label").agg(F.count("*").alias("_n")).filter("_n > 1"), "labels-shared", rows=size)
-    fine = label.join(many, "label").groupBy("class").agg(F.sum("_n").alias("_fine"))
-    out = weight.join(fine, "class", "left").select(
-        "class", "weight", F.coalesce("_fine", F.lit(0)).cast("long").alias("fine")
-    )
-    return scratch.keep(out, "central", rows=size)
+    parts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    dealt = (
+        shared.filter(F.col("n") > SMALL_BUCKET)
+        .select("bucket", "sample", "class", parts.alias("parts"))
+        .withColumn("own", F.pmod(F.xxhash64("class", F.lit(1)), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select(
+            "bucket", "sample", "class", "own",
+            F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+        )
+    )
+    rows = dealt.join(info, "class").join(texts.withColumnRenamed("row", "class").hint("merge"), "class")
+    # By number: the work grows faster than the bytes, by which small partitions are merged.
+    tasks = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = rows.repartition(tasks, "bucket", "lo", "hi").groupBy("bucket", "lo", "hi")
+    return groups.applyInArrow(_compare, "a long, b long, n long")
 
 
-def candidates(live: DataFrame, info: DataFrame, name: str, scratch: Scratch, size: int | None, small: int):
-    """Pairs of classes that a level of buckets asks to compare, and its bucket leaders."""
-    led = scratch.keep(
-        live.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.max(F.struct("weight", "fine", "class")).alias("_lead")
-        ).select("bucket", "n", F.col("_lead.class").alias("lead")).filter("n > 1"),
-        f"{name}-leaders",
-        rows=size,
-    )
-    rows = scratch.keep(live.join(led, "bucket"), f"{name}-rows", rows=size)
-    few = rows.filter(F.col("n") <= small).select("bucket", "class")
-    other = few.select("bucket", F.col("class").alias("other"))
+def small_pairs(shared: DataFrame, info: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes of small buckets that are to be aligned."""
+    few = shared.filter(F.col("n") <= SMALL_BUCKET).select("bucket", "class")
     pairs = (
-        few.join(other, "bucket")
+        few.join(few.select("bucket", F.col("class").alias("other")), "bucket")
         .filter("class < other")
         .select(F.col("class").alias("a"), F.col("other").alias("b"))
-        .unionAll(
-            rows.filter((F.col("n") > small) & (F.col("class") != F.col("lead"))).select(
-                F.least("class", "lead").alias("a"), F.greatest("class", "lead").alias("b")
-            )
-        )
         .dropDuplicates()
     )
-    x = info.select(F.col("class").alias("a"), F.col("length").alias("la"), F.col("keys").alias("ka"))
-    y = info.select(F.col("class").alias("b"), F.col("length").alias("lb"), F.col("keys").alias("kb"))
-    agree = F.aggregate(
-        F.zip_with("ka", "kb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, e: s + e
+    x, y = (info.select(*(F.col(c).alias(f"{c}_{e}") for c in info.columns)) for e in "ab")
+    same = F.zip_with("keys_a", "keys_b", lambda p, q: p == q)
+    agree = F.aggregate(same, F.lit(0), lambda s, e: s + e.cast("int"))
+    # Pairs that share a large bucket are compared there.
+    wide = F.exists(
+        F.transform(same, lambda e, i: e & (F.call_function("getbit", F.col("large_a"), i) == 1)), lambda e: e
     )
-    near = (
-        pairs.join(x, "a")
-        .join(y, "b")
-        .filter(F.least("la", "lb") >= SIMILARITY * (1 - 1e-9) * F.greatest("la", "lb"))
-        .filter(agree >= AGREEING)
+    return (
+        pairs.join(x.withColumnRenamed("class_a", "a"), "a")
+        .join(y.withColumnRenamed("class_b", "b"), "b")
+        .filter(F.least("length_a", "length_b") >= SIMILARITY * (1 - 1e-9) * F.greatest("length_a", "length_b"))
+        .filter((agree >= AGREEING) & ~wide)
         .select("a", "b")
     )
-    return near, rows
 
 
 def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal texts (``row``, ``class``), and links (``a``, ``b``) between
-    classes of similar ones. ``stored`` has ``row`` and ``text``.
+    """Classes of equal texts (``row``, ``class``), and what links similar ones: (``a``,
+    ``b``, ``n``), a class, one that it is connected with, and the number of its links. The
+    links of a class are the sum of its ``n``. ``stored`` has ``row`` and ``text``.
 
     1. Every text gets its sketch. Equal texts become one class, named by its lowest
        row number.
-    2. Classes with an equal sample share a bucket; its most central class leads it.
-    3. In a bucket of up to ``SMALL_BUCKET`` classes all are compared, in a larger one
-       each with the leader: so an original finds all its copies without pairs among
-       the copies. Pairs that agree in fewer than ``AGREEING`` samples or whose lengths
-       rule the similarity out are passed over; the others are aligned.
-    4. Classes of a large bucket that are not linked to its leader are put into finer
-       buckets, of texts that agree in 8 samples at once, and treated as in 3 (up to
-       ``SMALL_FINER`` of them all with each other); what these leave over in 12, then in
-       all. No bucket is cut off: at the end the classes that are left take turns as leaders.
+    2. Classes with an equal sample share a bucket.
+    3. All classes of a bucket are compared with each other, whatever its size. Pairs that
+       agree in fewer than ``AGREEING`` samples or whose lengths rule the similarity out
+       are passed over; the others are aligned, or settled by alignments with a third.
+    4. Pairs of buckets of up to ``SMALL_BUCKET`` classes are rows of a join; larger buckets
+       are cut into blocks, which are compared two by two without a row for a pair.
     """
     same = F.sha2("text", 256).alias("same")
     sketch = scratch.keep(
@@ -278,53 +329,24 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     member = sketch.select("row", "same").join(classes.select("same", "class"), "same")
     member = scratch.keep(member.select("row", "class"), "members")
     every = classes.select("class", "_s.length", "_s.keys").filter("length > 0")
-    wide = every.select("class", F.posexplode("keys").alias("sample", "key"))
-    wide = wide.select("class", F.xxhash64("sample", "key").alias("bucket"))
-    company = scratch.keep(wide.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "company")
-    shared = scratch.keep(wide.join(company, "bucket"), "shared")
+    wide = every.select("class", "length", F.posexplode("keys").alias("sample", "key"))
+    wide = wide.select("class", "length", "sample", F.xxhash64("sample", "key").alias("bucket"))
+    company = wide.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("length").alias("total"))
+    company = scratch.keep(company.filter("n > 1"), "company")
+    shared = scratch.keep(wide.drop("length").join(company, "bucket"), "shared")
     size = shared.count()  # from the files' footers
-    several = scratch.keep(shared.select(F.col("class").alias("row")).distinct(), "several", rows=size)
+    # Of each class, the samples whose buckets are large, as bits.
+    large = F.expr(f"bit_or(if(n > {SMALL_BUCKET}, shiftleft(1L, sample), 0L))").alias("large")
+    several = scratch.keep(shared.groupBy("class").agg(large), "several", rows=size)
     # As many as there are copies: a side that grows with the input, not to be broadcast.
-    texts = scratch.keep(stored.select("row", "text").join(several.hint("merge"), "row"), "texts")
-    weight = central(shared, texts, scratch, size)
-    info = scratch.keep(every.join(weight.select("class"), "class"), "info", rows=size)
-    live = shared.drop("n").join(weight, "class")
-    found, level = [], 0
-    while True:
-        small = SMALL_FINER if level else SMALL_BUCKET
-        rows_in_file = None if level else size
-        pairs, rows = candidates(live, info, f"level-{level}", scratch, rows_in_file, small)
-        if found:
-            tried = found[0].select("a", "b")
-            for more in found[1:]:
-                tried = tried.unionAll(more.select("a", "b"))
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        found.append(scratch.keep(verified(pairs, texts), f"checked-{level}"))
-        links = found[0]
-        for more in found[1:]:
-            links = links.unionAll(more)
-        links = links.filter("good").select("a", "b")
-        large = rows.filter((F.col("n") > small) & (F.col("class") != F.col("lead")))
-        large = large.withColumns({"a": F.least("class", "lead"), "b": F.greatest("class", "lead")})
-        open_ = large.join(links, ["a", "b"], "left_anti").select("class", "weight", "fine", "bucket")
-        open_ = scratch.keep(open_, f"open-{level}", rows=size)
-        if open_.isEmpty():
-            return member, links
-        if level < len(FINER):
-            left = open_.select("class", "weight", "fine").distinct().join(info, "class")
-            live = left.select("class", "weight", "fine", F.explode(finer(FINER[level])).alias("bucket"))
-        else:  # equal sketches, and not similar
-            live = open_
-        level += 1
-
-
-def finer(size: int) -> Column:
-    """Buckets of a class by ``size`` of its samples at once, in fixed draws."""
-    rng = np.random.default_rng(size)
-    draws = sorted({tuple(sorted(rng.permutation(SAMPLES)[:size].tolist())) for _ in range(SUBSETS)})
-    of = F.array(*(F.struct(F.lit(i).alias("i"), F.array(*map(F.lit, d)).alias("at")) for i, d in enumerate(draws)))
-    keys = F.col("keys")
-    return F.transform(of, lambda d: F.xxhash64(d["i"], F.transform(d["at"], lambda k: keys[k])))
+    row = several.select(F.col("class").alias("row"))
+    texts = scratch.keep(stored.select("row", "text").join(row.hint("merge"), "row"), "texts")
+    info = scratch.keep(every.join(several, "class"), "info", rows=size)
+    good = verified(small_pairs(shared, info), texts).filter("good").select("a", "b")
+    good = scratch.keep(good, "small-links")
+    one = F.lit(1).cast("long").alias("n")
+    both = good.select("a", "b", one).unionAll(good.select("b", "a", one))
+    return member, both.unionAll(scratch.keep(large_links(shared, info, texts), "large-links"))
 
 
 def near_duplicates(
@@ -356,8 +378,7 @@ def near_duplicates(
     )
     member, links = near_links(stored.select("row", "text"), scratch)
     root = connected(links, scratch).select(F.col("node").alias("class"), F.col("root").alias("_root"))
-    ends = links.select(F.col("a").alias("class")).unionAll(links.select("b"))
-    degree = ends.groupBy("class").agg(F.count("*").alias("_links"))
+    degree = links.groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("_links"))
     linked = scratch.keep(root.join(degree, "class"), "linked", rows=links.count())
     grouped = scratch.keep(
         member.join(linked, "class", "left").select(

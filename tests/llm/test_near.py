@@ -102,6 +102,53 @@ def test_large_bucket_is_linked_through_its_centre(docs, monkeypatch):
     assert got == 1
 
 
+def family(rng, n, words, edits):
+    """Texts of which each is an edit of one of the forty before: a family without a centre."""
+    bodies = [[f"w{i}" for i in range(words)]]
+    while len(bodies) < n:
+        copy = list(rng.choice(bodies[-40:]))
+        for _ in range(edits):
+            copy[rng.randrange(words)] = f"n{rng.randint(0, 10**6)}"
+        bodies.append(copy)
+    return [" ".join(b) for b in bodies]
+
+
+def links_of(bodies):
+    made = near.text.words([b.encode() for b in bodies])
+    shingle, doc, _ = near.text.shingles(made, near.SHINGLE)
+    of = [shingle[doc == i] for i in range(len(bodies))]
+    return [(i, j) for i in range(len(of)) for j in range(i) if near.aligned(of[i], of[j])]
+
+
+def test_large_family_without_a_centre_keeps_all_links(docs, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 60)
+    # Others share a passage with the family, so that its buckets are large without links.
+    rng = random.Random(7)
+    bodies = family(rng, 300, 400, 1)
+    passage = " ".join(f"w{i}" for i in range(60))
+    bodies += [" ".join(f"u{rng.randint(0, 9999)}" for _ in range(40)) + " " + passage for _ in range(60)]
+    want = {i: set() for i in range(len(bodies))}
+    for i, j in links_of(bodies):
+        want[i].add(j)
+        want[j].add(i)
+    assert max(map(len, want.values())) > 60 and sum(map(len, want.values())) > 6000
+    assert max(map(len, want.values())) < 299  # without a centre
+    got = near.near_duplicates(docs(*enumerate(bodies))).select("_carry.doc_id", "n_links", "group").collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == {i: len(s) for i, s in want.items()}
+    by: dict = {}
+    for r in got:
+        by.setdefault(r["group"], set()).add(r["doc_id"])
+    left, groups_ = set(want), set()
+    while left:
+        found, more = set(), {left.pop()}
+        while more:
+            found |= more
+            more = set().union(*(want[i] for i in more)) - found
+        left -= found
+        groups_.add(frozenset(found))
+    assert {frozenset(s) for s in by.values()} == groups_
+
+
 def test_alignment_is_exact():
     rng = random.Random(4)
     for _ in range(1500):
