@@ -22,8 +22,9 @@ SPACE = " \t\n\x0b\x0c\r"
 MEASURES = {"chars_per_token": "both", "byte_share": "high", "token_entropy": "low"}
 #: A band reaches so many times the distance of the quartiles from the median, at least
 #: by the share ``LEAST`` of the median (of 1, for the share of byte tokens). It is made
-#: for texts of one group and about one length, as short texts scatter more; fewer than
-#: ``FEWEST_ROWS`` of them make no band, which rejects none.
+#: for texts of one group and about one length, as short texts scatter more; where there are
+#: fewer than ``FEWEST_ROWS`` of them, for those of the neighbouring lengths too, then for the
+#: whole group, then for all rows.
 REACH = 5.0
 LEAST = 0.05
 FEWEST_ROWS = 50
@@ -209,12 +210,18 @@ def length_class() -> Column:
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """The band of every measure, by group and length class, from all rows that pass the
-    base rules."""
+    """The band of every measure for each group and length class, from rows that pass the
+    base rules: the class's own, or the narrowest wider set that has enough of them."""
     rows = measured.filter(~base_failed())
+    group, of = F.col("group"), length_class()
+    none = F.lit(None)
+    near = F.transform(F.array(of - 1, of, of + 1), lambda c: _level(1, group, c))
+    sets = F.concat(F.array(_level(0, group, of)), near, F.array(_level(2, group, none), _level(3, none, none)))
     quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], ACCURACY).alias(f"_{m}") for m in MEASURES]
-    found = rows.groupBy(F.col("group").alias("_group"), length_class().alias("_class")).agg(
-        *quartiles, F.count("*").alias("_rows")
+    found = (
+        rows.select(F.explode(sets).alias("_set"), *MEASURES)
+        .groupBy("_set.level", "_set.group", "_set.class")
+        .agg(*quartiles, F.count("*").alias("_rows"))
     )
     columns = []
     for m in MEASURES:
@@ -222,7 +229,27 @@ def bands(measured: DataFrame) -> DataFrame:
         least = F.lit(LEAST) if m == "byte_share" else LEAST * mid
         reach = F.greatest(REACH * (high - low), least)
         columns += [(mid - reach).alias(f"{m}_low"), (mid + reach).alias(f"{m}_high")]
-    return found.filter(F.col("_rows") >= FEWEST_ROWS).select("_group", "_class", *columns)
+    enough = found.filter((F.col("_rows") >= FEWEST_ROWS) | (F.col("level") == 3))
+    enough = enough.select("level", "group", "class", F.struct(*columns).alias("_band"))
+    wanted = measured.select(group.alias("_group"), of.alias("_class")).distinct()
+    own, length = F.col("_group"), F.col("_class")
+    sets = F.array(_level(0, own, length), _level(1, own, length), _level(2, own, none), _level(3, none, none))
+    wanted = wanted.select("_group", "_class", F.explode(sets).alias("_set"))
+    met = (
+        (F.col("_set.level") == F.col("level"))
+        & F.col("_set.group").eqNullSafe(F.col("group"))
+        & F.col("_set.class").eqNullSafe(F.col("class"))
+    )
+    chosen = wanted.join(enough, met).groupBy("_group", "_class").agg(F.min_by("_band", "level").alias("_band"))
+    return chosen.select("_group", "_class", "_band.*")
+
+
+def _level(level: int, group: Column, length: Column) -> Column:
+    """A set of rows: 0 for a length class of a group, 1 with its neighbours, 2 for the
+    group, 3 for all rows."""
+    return F.struct(
+        F.lit(level).alias("level"), group.cast("string").alias("group"), length.cast("int").alias("class")
+    )
 
 
 def quality(
@@ -233,7 +260,7 @@ def quality(
     A text is rejected if it fails the base rules, or if a measure leaves the band of
     its group (language or script; null is a group of its own) and length: characters per token on
     either side, the share of byte-fallback tokens above, the token entropy below. The
-    bands are made from all rows. Repeated rows are judged alike. Adds ``base_failed``,
+    bands are made from all rows; few rows of a group and length take a wider band. Repeated rows are judged alike. Adds ``base_failed``,
     ``out_of_band`` and ``kept``.
     """
     scratch = scratch or Scratch(docs.sparkSession, "quality")
