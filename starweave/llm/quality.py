@@ -23,7 +23,7 @@ MEASURES = {"chars_per_token": "both", "byte_share": "high", "token_entropy": "l
 #: A band reaches so many times the distance of the quartiles from the median, at least
 #: by the share ``LEAST`` of the median (of 1, for the share of byte tokens). It is made
 #: for texts of one group and about one length, as short texts scatter more; where there are
-#: fewer than ``FEWEST_ROWS`` of them, for those of the neighbouring lengths too, then for the
+#: fewer than ``FEWEST_ROWS`` different ones, for those of the neighbouring lengths too, then for the
 #: whole group, then for all rows.
 REACH = 5.0
 LEAST = 0.05
@@ -170,9 +170,12 @@ def _measure(path: str, group: str):
             if group == "script":
                 names = [script(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(names, pa.string()), *(pa.array(v) for v in found.values())],
-                names=["_row", "group", *found],
-            )
+                [
+                    batch.column("_row"), pa.array(names, pa.string()), batch.column("same"),
+                    *(pa.array(v) for v in found.values()),
+                ],
+                names=["_row", "group", "same", *found],
+            )
 
     return run
 
@@ -184,17 +187,18 @@ def measures(docs: DataFrame, path: str, group: str = "script") -> DataFrame:
     """All rows as ``_row`` with the counts and measures of their whole texts.
 
     ``group`` is a column that names the language, or ``script``: then the script is
-    found from the letters. A null text counts as empty.
+    found from the letters; ``same`` is a hash of the text. A null text counts as empty.
     """
     named = F.lit(None).cast("string") if group == "script" else F.col(f"`{group}`").cast("string")
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("_row"),
         named.alias("group"),
         F.col("text").cast("string").alias("text"),
+        F.xxhash64(F.col("text").cast("string")).alias("same"),
     )
     kind = rows.schema["_row"].dataType.simpleString()
     numbers = [f"{c} long" for c in COUNTS] + [f"{c} double" for c in MEASURES]
-    return rows.mapInArrow(_measure(path, group), f"_row {kind}, group string, {', '.join(numbers)}")
+    return rows.mapInArrow(_measure(path, group), f"_row {kind}, group string, same long, {', '.join(numbers)}")
 
 
 def base_failed() -> Column:
@@ -210,9 +214,11 @@ def length_class() -> Column:
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """The band of every measure for each group and length class, from rows that pass the
-    base rules: the class's own, or the narrowest wider set that has enough of them."""
-    rows = measured.filter(~base_failed())
+    """The band of every measure for each group and length class, from texts that pass the
+    base rules: the class's own, or the narrowest wider set that has enough of them. Equal
+    texts count once, so that copies do not make the band."""
+    alike = [F.max(c).alias(c) for c in ("n_tokens", *MEASURES)]
+    rows = measured.filter(~base_failed()).groupBy("group", "same").agg(*alike)
     group, of = F.col("group"), length_class()
     none = F.lit(None)
     near = F.transform(F.array(of - 1, of, of + 1), lambda c: _level(1, group, c))
@@ -276,7 +282,7 @@ def quality(
             outside = outside | (F.col(m) > F.col(f"{m}_high"))
     outside = F.coalesce(outside, F.lit(False))
     return joined.select(
-        *measured.columns,
+        *(c for c in measured.columns if c != "same"),
         base_failed().alias("base_failed"),
         outside.alias("out_of_band"),
         (~base_failed() & ~outside).alias("kept"),

@@ -78,17 +78,34 @@ def test_thin_classes_are_judged_by_a_wider_band(spark):
     words = lambda n: " ".join(rng.choices(vocabulary, k=n))
     junk = lambda n: " ".join("".join(rng.choices("qxzjvkw", k=9)) for _ in range(n))
     rows = [(i, words(170), "en") for i in range(60)]
-    rows += [(100, words(300), "en"), (102, words(170), "xx"), (103, words(170), None)]
+    rows += [(100, words(300), "en"), (101, words(5000), "en"), (102, words(170), "xx"), (103, words(170), None)]
     rows += [(200, junk(60), "en"), (201, junk(2000), "en"), (202, junk(40), "xx"), (203, junk(40), None)]
     made = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r["_row"]["doc_id"]: r for r in quality(made, PATH).collect()}
     assert len(got) == len(rows)
     assert all(got[i]["out_of_band"] for i in (200, 201, 202, 203))
-    assert not any(got[i]["out_of_band"] for i in (*range(60), 100, 102, 103))
+    assert not any(got[i]["out_of_band"] for i in (*range(60), 100, 101, 102, 103))
     small = {r["_row"]["doc_id"]: r for r in quality(made.filter("doc_id % 3 <> 0 or doc_id > 60"), PATH).collect()}
     assert all(small[i]["out_of_band"] for i in (200, 201, 202, 203))
 
 
+def test_copies_do_not_make_the_band(spark):
+    rng = random.Random(4)
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
+    vocabulary = [p[1:] for p in pieces if re.fullmatch("\u2581[a-z]{3,}", p)]
+    rows = [(i, " ".join(rng.choices(vocabulary[: 300 + 40 * (i % 100)], k=150)), "en") for i in range(100)]
+    long_ = [v for v in vocabulary if len(v) > 9]
+    copy = " ".join(rng.choices(long_, k=150))
+    want = {}
+    for copies in (1, 150):
+        made = rows + [(1000 + i, copy, "en") for i in range(copies)]
+        got = quality(spark.createDataFrame(made, "doc_id long, text string, lang string"), PATH).collect()
+        want[copies] = {r["_row"]["doc_id"]: r["out_of_band"] for r in got if r["_row"]["doc_id"] <= 1000}
+        assert len(got) == len(made) and "same" not in got[0].asDict()
+    assert want[1] == want[150] and not any(want[1][i] for i in range(100))
+
+
 def test_scripts():
     assert [script(t) for t in ("", "12", "abc", "Привет x", "中文")] == ["NONE", "NONE", "LATIN", "CYRILLIC", "CJK"]
 
