@@ -149,6 +149,23 @@ def test_large_family_without_a_centre_keeps_all_links(docs, monkeypatch):
     assert {frozenset(s) for s in by.values()} == groups_
 
 
+def test_pairs_at_the_threshold_in_a_large_bucket_are_linked(docs):
+    rng = random.Random(8)
+    bodies = []
+    for _ in range(60):
+        copy = [f"w{i}" for i in range(300)]
+        for _ in range(rng.randint(2, 4)):
+            copy[rng.randrange(300)] = f"n{rng.randint(0, 10**6)}"
+        bodies.append(" ".join(copy))
+    want = [0] * len(bodies)
+    for i, j in links_of(bodies):
+        want[i] += 1
+        want[j] += 1
+    assert 300 < sum(want) // 2 < 60 * 59 // 2
+    got = near.near_duplicates(docs(*enumerate(bodies))).select("_carry.doc_id", "n_links").collect()
+    assert [r["n_links"] for r in sorted(got)] == want
+
+
 def test_alignment_is_exact():
     rng = random.Random(4)
     for _ in range(1500):
