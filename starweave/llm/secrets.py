@@ -18,19 +18,27 @@ HEX = r"[0-9a-f]{32,}"
 ASSIGNED, ACCESS_CHARS = 8, 16
 BASE = ("assign", "access", "hex")
 
-#: Weak parts: far too common alone. A run of 40 to 128 key characters with both cases
-#: and a digit may be a secret; a service address may be an endpoint.
+#: Weak parts: far too common alone. A run of 32 key characters or more with both cases
+#: and a digit may be a secret; a service address may be an endpoint; identifiers of other
+#: kinds than the base rule's (temporary and role keys, storage keys, account and client
+#: ids) may name whom a secret belongs to.
 WEAK = {
-    "weak_secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]{0,127}[a-z])(?=[A-Za-z0-9+/_-]{0,127}[A-Z])"
-    r"(?=[A-Za-z0-9+/_-]{0,127}[0-9])[A-Za-z0-9+/_-]{40,128}={0,2}(?![A-Za-z0-9+/_=-])",
+    "weak_secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Z0-9+/_-]*+[a-z])(?=[a-z0-9+/_-]*+[A-Z])"
+    r"(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{32,}+={0,2}(?![A-Za-z0-9+/_=-])",
     "endpoint": r"(?<![A-Za-z0-9])(?:https?|s3|ftp|postgres(?:ql)?|mysql|mongodb)://[A-Za-z0-9.-]+(?::[0-9]{1,5})?"
     r"(?:/[A-Za-z0-9._~/-]*)?",
+    "access_id": r"(?<![A-Za-z0-9_-])(?:(?:ASIA|AROA|AIDA|ABIA|ACCA)[A-Z0-9]{16}|GOOG1[A-Z0-9]{10,}+|AC[0-9a-f]{32}"
+    r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12})(?![A-Za-z0-9_-])",
 }
 #: Parts that make up a credential belong together when at most so many characters lie
 #: between them.
 SCOPE = 400
 #: What each weak part needs in its scope: one of these kinds.
-NEEDS = {"weak_secret": ("access", "endpoint"), "endpoint": ("access", "assign", "hex")}
+NEEDS = {
+    "weak_secret": ("access", "endpoint", "access_id"),
+    "endpoint": ("access", "assign", "hex"),
+    "access_id": ("weak_secret", "assign", "hex"),
+}
 
 
 def spans_of(body: Column, pattern: str, kind: str) -> Column:
