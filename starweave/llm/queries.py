@@ -7,15 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starweave.llm import licences, secrets, toxicity
+from starweave.llm import language, licences, secrets, toxicity
 from starweave.llm.exact import exact_duplicates
 from starweave.llm.mixing import mix_counts
 from starweave.llm.near import near_duplicates
 from starweave.llm.packing import pack
 from starweave.llm.pages import main_text
+from starweave.llm.prefixes import prefix_trie
 from starweave.llm.quality import quality
 from starweave.llm.scratch import Scratch
 from starweave.llm.warc import archive
+from starweave.llm.whitening import whitened_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +127,34 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations, a row for each node."""
+    nodes = prefix_trie(table(spark, sf_dir, "conversations"))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, by profiles of three fourths of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    profiles = language.learn(docs.filter(~language.held_out()).select("lang", "text"))
+    found = language.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("_row.doc_id", "lang_pred", "score").select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first eight whitened components of all."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitened_components(vectors).select(
+        "_row.vec_id", "component", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        "whitened", "explained", "identity_error",
+    )
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -136,6 +166,9 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
     "op10_licences": op10_licences,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_language": op12_language,
+    "op13_whitening": op13_whitening,
 }
 
 LLM_ORACLES: dict[str, str] = {

@@ -1,0 +1,123 @@
+"""The prefix trie against plain Python, which makes every rebuilt conversation."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from starweave.llm import prefixes
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def brute(rows):
+    """All nodes as sorted tuples of ``COLUMNS``. No two turns of a conversation have one number."""
+    own = defaultdict(list)
+    for conv, turn, role, body in rows:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", body or ""))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    members, ends = defaultdict(set), defaultdict(set)
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (abs(c) % 5 if c >= 0 else -(abs(c) % 5))
+        whole = tuple(own.get(base, [])[:h] + turns[h:])
+        for d in range(len(whole) + 1):
+            members[whole[:d]].add(c)
+        ends[whole].add(c)
+    out = []
+    for node, convs in members.items():
+        below = [n for n in members if n[: len(node)] == node]
+        children = [n for n in below if len(n) == len(node) + 1]
+        leaves = [n for n in below if not any(len(m) == len(n) + 1 and m[:-1] == n for m in below)]
+        saved = sum((len(members[n]) - 1) * len(n[-1][1].encode()) for n in below if n)
+        out.append(
+            (
+                min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs), len(children),
+                len(leaves), saved, hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest(),
+            )
+        )
+    return sorted(out, key=repr)
+
+
+def found(spark, rows, schema=SCHEMA):
+    empty = hashlib.sha256(b"").hexdigest()
+    nodes = prefixes.prefix_trie(spark.createDataFrame(rows, schema)).select(*COLUMNS).collect()
+    return sorted((tuple(r)[:-1] + (r["ends_sha256"] or empty,) for r in nodes), key=repr)
+
+
+def conversations(seed, convs=40, most=14):
+    rng = random.Random(seed)
+    rows = []
+    for c in rng.sample(range(-10, 3 * convs), convs):
+        turns = rng.sample(range(20), rng.randint(1, most))
+        for i, turn in enumerate(sorted(turns)):
+            rows.append(
+                (
+                    c, None if i == 0 and rng.random() < 0.3 else turn,
+                    rng.choice(["user", "assistant", None]) if rng.random() < 0.2 else "user",
+                    rng.choice(["a", "é", "", None]) if rng.random() < 0.4 else "same",
+                )
+            )
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_all_nodes_of_random_conversations(spark, seed):
+    rows = conversations(seed)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_a_conversation_that_many_tasks_and_chunks_share(spark, monkeypatch):
+    """One conversation has most of the rows; sums go over several chunks of depths."""
+    monkeypatch.setattr(prefixes, "CHUNK", 16)
+    rows = [(7, t, "user", f"t{t % 3}") for t in range(300)] + conversations(9, 12)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    rows = [(None, 0, "user", "x"), (1, None, None, None), (1, 2, "user", "b"), (2, 0, "user", "b"), (2, 0, "user", "b")]
+    # Repeated rows are turns of their own.
+    assert found(spark, rows) == brute([*rows[:3], (2, 0, "user", "b"), (2, 1, "user", "b")])
+    clash = [(*r, 1, 2, 3, "n") for r in rows]
+    assert found(spark, clash, f"{SCHEMA}, depth int, f1 int, conv int, row string") == found(spark, rows)
+    assert found(spark, []) == []
+
+
+def test_turns_of_one_number_have_a_fixed_order(spark):
+    rows = [(1, 0, "user", w) for w in "abcdef"] + [(6, 0, "user", w) for w in "fedcba"]
+    once = found(spark, rows)
+    assert once == found(spark, rows[::-1])
+    h1, h6 = (zlib.crc32(c) % 9 for c in (b"1", b"6"))
+    assert sum(r[1] == 0 for r in once) == 1 and max(r[1] for r in once) == max(6 - min(h1, 6), 6 - min(h6, 6))
+
+
+def test_equal_fingerprints_are_noticed(spark, monkeypatch):
+    """Hashes that are all equal, and products that are, fail a check each time."""
+    rows = [(c, t, "user", w) for c in (5, 10) for t, w in enumerate(f"{c}abcdefghi")]
+    with monkeypatch.context() as patch:
+        patch.setattr(prefixes, "composed", lambda f, g: F.lit(prefixes.IDENTITY).cast("long"))
+        with pytest.raises(ValueError, match="apart"):
+            found(spark, rows)
+    monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(1).cast("long"))
+    with pytest.raises(ValueError, match="apart"):
+        found(spark, rows)
+
+
+def test_maps_compose_and_invert():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    a, b, c, d = prefixes.maps(rng.integers(-(2**62), 2**62, 50), rng.integers(-(2**62), 2**62, 50))
+    f = np.array(a, np.int64) << 31 | np.array(b, np.int64)
+    g = np.array(c, np.int64) << 31 | np.array(d, np.int64)
+    for x, y, back in zip(f.tolist(), g.tolist(), prefixes.inverse(f).tolist()):
+        assert prefixes._composed(x, back) == prefixes._composed(back, x) == prefixes.IDENTITY
+        assert prefixes._composed(prefixes._composed(x, y), back) != x
