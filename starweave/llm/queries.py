@@ -171,7 +171,62 @@ LLM_QUERIES: dict[str, Query] = {
     "op13_whitening": op13_whitening,
 }
 
+# crc32 of a text of ASCII characters, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT],
+            list_transform(range(1, length({0}) + 1), lambda i: ascii(substring({0}, i, 1))::BIGINT)),
+        lambda crc, byte: list_reduce(
+            [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda x, step: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
 LLM_ORACLES: dict[str, str] = {
+    # Every prefix is spelled out as the digests of its turns, every node's ancestors listed.
+    "op11_prefix_trie": f"""
+        WITH told AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (
+            SELECT c, c - c % 5 AS base, {_CRC32.format("c::VARCHAR")} % 9 AS h
+            FROM (SELECT DISTINCT c FROM told)),
+        turns AS (
+            SELECT v.c, 0 AS own, pos, role, text FROM convs v JOIN told t ON t.c = base WHERE pos < h
+            UNION ALL
+            SELECT v.c, 1 AS own, pos, role, text FROM convs v JOIN told t ON t.c = v.c WHERE pos >= h),
+        placed AS (
+            SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS depth,
+                   md5(length(role) || ':' || role || text) AS turn, octet_length(encode(text)) AS bytes
+            FROM turns),
+        prefixes AS (
+            SELECT c, 0 AS depth, '' AS path, 0 AS bytes FROM convs
+            UNION ALL
+            SELECT c, depth, string_agg(turn, '') OVER (PARTITION BY c ORDER BY depth) AS path, bytes
+            FROM placed),
+        ends AS (
+            SELECT path, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends_sha256
+            FROM (SELECT c, max_by(path, depth) AS path FROM prefixes GROUP BY c) GROUP BY path),
+        nodes AS (
+            SELECT path, min(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes
+            FROM prefixes GROUP BY path),
+        children AS (
+            SELECT substring(path, 1, 32 * (depth - 1)::INTEGER) AS path, count(*) AS n_children
+            FROM nodes WHERE depth > 0 GROUP BY 1),
+        below AS (
+            SELECT substring(path, 1, 32 * k::INTEGER) AS path,
+                   count(*) FILTER (n_children IS NULL) AS n_leaves,
+                   sum((n_convs - 1) * bytes) AS saved_tokens
+            FROM (SELECT n.*, n_children, unnest(range(0, depth + 1)) AS k
+                  FROM nodes n LEFT JOIN children USING (path))
+            GROUP BY 1)
+        SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+               coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+               saved_tokens::BIGINT AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+        FROM nodes n
+        JOIN below USING (path)
+        LEFT JOIN children USING (path)
+        LEFT JOIN ends USING (path)
+        LEFT JOIN nodes p ON n.depth > 0 AND p.path = substring(n.path, 1, 32 * (n.depth - 1)::INTEGER)
+    """,
     "op2_warc": """
         SELECT page_id,
                octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
