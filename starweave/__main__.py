@@ -18,10 +18,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     parser.add_argument("database", help="catalog database of the warehouse tables")
     parser.add_argument("--database-location")
     parser.add_argument("--run-date", help="yyyymmdd, default today")
-    parser.add_argument("--load-days", default="run", help="run, latest, all or yyyymmdd")
+    parser.add_argument("--load-days", default="run", help="run, latest, all, incremental or yyyymmdd")
     parser.add_argument("--newest", action="store_true", help="of each key what the last day says")
     parser.add_argument("--mode", choices=["replace", "append"], default="replace")
     parser.add_argument("--prefix-len", type=int, help="cut match ids in keys, default whole")
+    parser.add_argument("--keys", choices=["whole", "plain"], help="default whole, plain with a prefix")
+    parser.add_argument("--buckets", type=int, help="default by the staged bytes, 0 for none")
+    parser.add_argument("--most-facts", type=int, help="stop if the fact would have more rows")
     parser.add_argument("--strict-keys", action="store_true", help="merged keys are an error")
     parser.add_argument("--kills-without-header", action="store_true")
     parser.add_argument("--stats-columns", help="names, joined by commas, if there is no header")
@@ -37,6 +40,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         database_location=args.database_location,
         prefix_len=args.prefix_len or None,
         strict_keys=args.strict_keys,
+        keys=args.keys,
+        buckets=args.buckets,
+        most_facts=args.most_facts,
         newest=args.newest,
         mode=args.mode,
         header=not args.kills_without_header,

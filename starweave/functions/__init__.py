@@ -1,4 +1,4 @@
-from starweave.functions.keys import digest_key, prefix_key
+from starweave.functions.keys import digest_key, prefix_key, whole_key
 from starweave.functions.numbers import trunc_int
 from starweave.functions.times import date_parts, has_fraction, parse_timestamp
 
@@ -9,4 +9,5 @@ __all__ = [
     "parse_timestamp",
     "prefix_key",
     "trunc_int",
+    "whole_key",
 ]

@@ -12,7 +12,7 @@ def prefix_key(
 
     Without ``sep`` the key is null when any part is null. With ``sep`` null
     parts are skipped. ``prefix_len=None`` keeps all of ``head``; a prefix can make
-    different keys equal.
+    different keys equal, and so can parts that are joined without their lengths.
     """
     first = F.col(head).cast("string")
     if prefix_len is not None:
@@ -21,17 +21,22 @@ def prefix_key(
     return F.concat(*parts) if sep is None else F.concat_ws(sep, *parts)
 
 
-def digest_key(*columns: str) -> Column:
-    """128-bit digest of a natural key as hex text, equal in every run.
+def whole_key(*columns: str) -> Column:
+    """All columns as text, each with its length before it, or a mark for null.
 
-    Each part goes in with its length, or as a null mark, so that no two different
-    keys give the same text. 64 bits would be too few: at 10^12 rows collisions become
-    certain.
+    No two different natural keys give the same text.
     """
     if not columns:
-        raise ValueError("a digest needs the columns of the natural key")
+        raise ValueError("a key needs the columns of the natural key")
     texts = [F.col(f"`{c}`").cast("string") for c in columns]
-    parts = [
-        F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("n")) for t in texts
-    ]
-    return F.md5(F.concat(*parts).cast("binary"))
+    return F.concat(
+        *(F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("n")) for t in texts)
+    )
+
+
+def digest_key(*columns: str) -> Column:
+    """128-bit digest of a natural key as hex text, equal in every run.
+
+    64 bits would be too few: at 10^12 rows collisions become certain.
+    """
+    return F.md5(whole_key(*columns).cast("binary"))

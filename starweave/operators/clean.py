@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+
+from starweave.session import BROADCAST_BYTES, materialize
+
+#: Bytes that a digest takes in a broadcast table.
+DIGEST_BYTES = 32
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -10,8 +15,30 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def drop_null_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Drop rows with a null, or a NaN in a float column, in any column.
+def distinct_rows_late(df: DataFrame) -> DataFrame:
+    """Whole-row distinct that shuffles whole rows only where a digest repeats.
+
+    A pass over the rows shuffles a 64-bit digest of each. Rows whose digest is met once are
+    different from all others and stay where they are; the others are compared by
+    equality, so digests that are equal by chance do no harm. Repeated digests are broadcast to
+    tell the two apart. If they are too many for that (``spark.starweave.broadcastBytes``), much of the
+    table is repeated and ``distinct_rows`` does the work. The rows are read three times.
+    """
+    digest = F.xxhash64(*(f"`{c}`" for c in df.columns))
+    repeated = (
+        df.select(digest.alias("_digest")).groupBy("_digest").agg(F.count("*").alias("_n")).filter("_n > 1")
+    )
+    repeated = materialize(repeated.select("_digest"), "repeated")
+    most = int(df.sparkSession.conf.get(BROADCAST_BYTES, str(64 << 20))) // DIGEST_BYTES
+    if repeated.count() > most:  # from the files' footers
+        return distinct_rows(df)
+    alone = df.join(F.broadcast(repeated), digest == F.col("_digest"), "left_anti")
+    several = df.join(F.broadcast(repeated), digest == F.col("_digest"), "left_semi")
+    return alone.unionAll(several.dropDuplicates())
+
+
+def complete(df: DataFrame, columns: list[str] | None = None) -> str:
+    """The test that no column is null, or NaN in a float column.
 
     Written as one test per column, so that the null tests reach the Parquet
     reader.
@@ -22,7 +49,12 @@ def drop_null_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame
         tests.append(f"`{name}` IS NOT NULL")
         if types[name] in ("float", "double"):
             tests.append(f"NOT isnan(`{name}`)")
-    return df.filter(" AND ".join(tests))
+    return " AND ".join(tests)
+
+
+def drop_null_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Drop rows with a null, or a NaN in a float column, in any column."""
+    return df.filter(complete(df, columns))
 
 
 def clean(df: DataFrame) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def null_fractions(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -55,6 +56,46 @@ def gate(
         raise ValueError(f"missing values, expected {expected}: " + "; ".join(failed))
 
 
+@dataclass(frozen=True)
+class Measured:
+    """Nulls per column and rows, counted while rows are on their way to somewhere."""
+
+    columns: tuple[str, ...]
+    observation: Observation = field(default_factory=Observation)
+
+    def on(self, df: DataFrame) -> DataFrame:
+        """The same rows, counted when they are written. Put it last, in the stage that
+        writes: a stage before a shuffle may be run more than once."""
+        nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(self.columns)]
+        return df.observe(self.observation, F.count(F.lit(1)).alias("rows"), *nulls)
+
+    def missing(self) -> dict[str, float | None]:
+        """Share of nulls per column after the write; null for no rows, as ``null_fractions``."""
+        found = self.observation.get
+        rows = found.get("rows", 0)
+        return {c: found[f"nulls_{i}"] / rows if rows else None for i, c in enumerate(self.columns)}
+
+
+def measured_report(
+    spark: SparkSession, missing: Mapping[str, Mapping[str, float | None]], expected: float = 0.0
+) -> DataFrame:
+    """The rows of ``gate_report`` from shares that were measured during a write."""
+    rows = [(t, c, share, share is not None and share == expected) for t, columns in missing.items() for c, share in columns.items()]
+    return spark.createDataFrame(rows, "`table` string, `column` string, data_missing double, passed boolean")
+
+
+def gate_measured(missing: Mapping[str, Mapping[str, float | None]], expected: float = 0.0) -> None:
+    """The gate over shares by table and column that were measured during a write."""
+    failed = [
+        f"{t}.{c}: {share}"
+        for t, columns in missing.items()
+        for c, share in columns.items()
+        if share != expected
+    ]
+    if failed:
+        raise ValueError(f"missing values, expected {expected}: " + "; ".join(failed))
+
+
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with the number of rows."""
     return df.groupBy(*key).agg(F.count("*").alias("rows")).filter("rows > 1")
@@ -73,6 +114,41 @@ def fanout_report(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def join_size(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
+    """How many rows an inner join will have, without joining the rows.
+
+    Rows are counted per key on each side (with partial sums, so a hot key is one row per
+    task), and the products of the counts are summed. One row: keys that
+    meet, their rows on each side, rows of the join, and the most that one key gives.
+    """
+    names = [f"k{i}" for i in range(len(on))]
+    sides = []
+    for df, columns, count in ((left, [a for a, _ in on], "n"), (right, [b for _, b in on], "m")):
+        keys = df.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(columns, names)))
+        # A null key meets nothing.
+        sides.append(keys.dropna().groupBy(*names).agg(F.count("*").alias(count)))
+    product = F.col("n").cast("decimal(19,0)") * F.col("m").cast("decimal(18,0)")
+    return sides[0].join(sides[1], names).agg(
+        F.count("*").alias("keys"),
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(a) for c, a in (("n", "left_rows"), ("m", "right_rows"))),
+        F.coalesce(F.sum(product), F.lit(0)).cast("decimal(38,0)").alias("join_rows"),
+        F.max(product).cast("decimal(38,0)").alias("largest"),
+    )
+
+
+def check_join_size(
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], most: int
+) -> int:
+    """The rows of an inner join, known before it is made; more than ``most`` are an error."""
+    found = join_size(left, right, on).first()
+    if found["join_rows"] > most:
+        raise ValueError(
+            f"the join on {list(on)} would have {found['join_rows']} rows, more than {most};"
+            f" one key gives {found['largest']}"
+        )
+    return int(found["join_rows"])
+
+
 def key_collisions(df: DataFrame, key: str, natural: Sequence[str]) -> DataFrame:
     """Keys that stand for more than one natural key, with the number."""
     pairs = df.select(key, *natural).dropDuplicates()

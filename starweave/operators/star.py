@@ -82,7 +82,8 @@ class Star:
 
     ``complete`` states that each fact row has exactly one row in every
     dimension: true by construction when all tables are cut from the same
-    input, else to be shown by ``integrity``.
+    input, else to be shown by ``integrity``. ``colocated`` names dimensions that are stored
+    in the same buckets as the fact.
     """
 
     name: str
@@ -90,6 +91,7 @@ class Star:
     dims: Mapping[str, DataFrame]
     links: tuple[Link, ...]
     complete: bool = False
+    colocated: tuple[str, ...] = ()
 
     def filtered(self, fact: Column | None = None, **dims: Column) -> Star:
         """Star with predicates on the fact and on dimensions, by name."""
@@ -133,35 +135,45 @@ class Star:
         """Inner star join; every column is named ``<table>_<column>``.
 
         ``dims`` are joined in the given order, those that cut the rows belong
-        first. Without it all are, narrow ones first, as each shuffle join moves
+        first. Without it all are: colocated ones, whose join needs no shuffle while the
+        fact lies in its buckets, then narrow ones first, as each shuffle join moves
         the row gathered so far. Spark picks broadcast or shuffle joins by size.
         """
         links = {k.dim: k for k in self.links}
         joined = _prefixed(self.name, self.fact)
-        for name in dims or sorted(links, key=lambda n: len(self.dims[n].columns)):
+        order = sorted(links, key=lambda n: (n not in self.colocated, len(self.dims[n].columns)))
+        for name in dims or order:
             joined = self._lookup(joined, links[name], self.dims[name])
         tables = {n: self.dims[n] for n in dims or links}
         names = [f"{t}_{c}" for t, df in tables.items() for c in df.columns]
         return joined.select(*(f"{self.name}_{c}" for c in self.fact.columns), *names)
 
     def top(
-        self, order: Sequence[str], n: int, first: Sequence[str] = (), dims: Sequence[str] = ()
+        self,
+        order: Sequence[str],
+        n: int,
+        first: Sequence[str] = (),
+        dims: Sequence[str] = (),
+        bound: bool = False,
     ) -> DataFrame:
         """The ``n`` lowest rows of the star join by fact columns ``order``.
 
         Dimensions in ``first`` restrict the rows (they carry predicates), those
-        in ``dims`` only add columns. On a complete star the rows are chosen before
-        the second kind is joined, and these dimensions are cut to the chosen keys by a
-        semi join first. Spark moves that below a dimension's aggregate where the keys
-        are few. All of it is lazy and the same for every ``n``.
+        in ``dims`` only add columns. On a complete star the rows are chosen once, before
+        the second kind is joined, and stored; these dimensions are cut to the stored keys by a
+        semi join. Spark moves that below a dimension's aggregate where the keys
+        are few. ``bound`` finds the ``n``-th value first, see ``bounded``.
         """
         links = {k.dim: k for k in self.links}
         rank = [f"{self.name}_{c}" for c in order]
         rank += [f"{self.name}_{c}" for c in self.fact.columns if c not in order]
         if not self.complete:
-            return self.join([*first, *dims]).orderBy(*rank).limit(n)
-        rows = self.join(first) if first else _prefixed(self.name, self.fact)
-        chosen = rows = rows.orderBy(*rank).limit(n)
+            every = [*first, *dims]
+            star = self.bounded(order[0], n, every) if bound else self
+            return star.join(every).orderBy(*rank).limit(n)
+        star = self.bounded(order[0], n, first) if bound else self
+        rows = star.join(first) if first else _prefixed(self.name, star.fact)
+        chosen = rows = materialize(rows.orderBy(*rank).limit(n), "top")
         for name in dims:
             link = links[name]
             keys = chosen.select(F.col(f"{self.name}_{link.fact_key}").alias(link.dim_key))
@@ -169,6 +181,34 @@ class Star:
             rows = self._lookup(rows, link, wanted)
         return rows.orderBy(*rank).limit(n)
 
+    def bounded(self, column: str, n: int, dims: Sequence[str] = ()) -> Star:
+        """Star without facts that cannot be among the ``n`` lowest by ``column``.
+
+        A pass over that column and the keys of ``dims``, which restrict the rows, gives the
+        ``n``-th value: one number comes to the driver. As a bound on the fact it reaches the scan of all
+        other columns. Nulls are lowest, rows that tie with the bound stay.
+        """
+        links = {k.dim: k for k in self.links}
+        keys = {d: [links[d].dim_key] for d in dims}
+        narrow = self.narrowed(**{self.name: [column, *(links[d].fact_key for d in dims)]}, **keys)
+        rows = narrow.join(dims) if dims else _prefixed(self.name, narrow.fact)
+        value = f"{self.name}_{column}"
+        last = rows.select(value).orderBy(value).limit(n).agg(F.max(value).alias("last"), F.count("*").alias("n")).first()
+        if last["n"] < n:
+            return self
+        low = F.col(column).isNull()
+        return self.filtered(low if last["last"] is None else low | (F.col(column) <= F.lit(last["last"])))
+
+    def pruned(self, dim: str, fact_part: str, dim_part: str) -> Star:
+        """Star whose fact, stored in a folder for each value of ``fact_part``, is read only in
+        those that the rows of a (filtered) dimension have as ``dim_part``.
+
+        The values are few, as they are folders, so they are broadcast, and Spark's
+        dynamic pruning takes them for a filter of the scan.
+        """
+        parts = self.dims[dim].select(F.col(dim_part).alias(fact_part)).distinct()
+        return replace(self, fact=self.fact.join(F.broadcast(parts), fact_part, "left_semi"))
+
     def integrity(self) -> DataFrame:
         """Per dimension: rows, repeated keys, fact rows and orphan fact rows."""
         reports = []

@@ -4,22 +4,47 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starweave.functions import trunc_int
-from starweave.operators.clean import clean
-from starweave.operators.quality import gate, key_collisions
+from starweave.operators.clean import complete
+from starweave.operators.quality import (
+    Measured,
+    check_join_size,
+    gate,
+    gate_measured,
+    key_collisions,
+)
 from starweave.operators.star import Star, broadcast_if_small
 from starweave.plans import match_star as ms
-from starweave.session import concurrently, delete_folder, materialize, scratch_dir
-from starweave.sinks.stage import stage
-from starweave.sinks.warehouse import TableSpec, analyze, create_tables, load_staged
+from starweave.session import concurrently, delete_folder, folder_bytes, materialize, scratch_dir
+from starweave.sinks.publish import (
+    Edition,
+    adopt,
+    create_part,
+    drop_parts,
+    new_part,
+    part_spec,
+    part_table,
+    publish,
+    published,
+    read_published,
+)
+from starweave.sinks.stage import stage_all
+from starweave.sinks.warehouse import (
+    TableSpec,
+    analyze,
+    create_tables,
+    load,
+    load_staged,
+    merge_day,
+)
 from starweave.sources.csv import REJECT, read_csv, schema_by_name
-from starweave.sources.staged import read_stage
+from starweave.sources.staged import read_stage, stage_path
 
 
 @dataclass(frozen=True)
@@ -30,10 +55,17 @@ class EtlConfig:
     further columns stay text; ``infer_stats`` infers the types instead, at the
     price of one more pass over the file. ``header=False`` is for kill files
     without a header line, ``stats_columns`` names the columns of stats files without
-    one. ``load_days`` is ``run`` for the day of the run, ``latest``, ``all`` or a day;
-    ``newest`` keeps what the last day says of each key. ``mode`` is ``replace`` or
-    ``append``. ``prefix_len`` cuts the match ids in keys, which can merge matches;
-    ``strict_keys`` makes merged keys an error.
+    one. ``load_days`` is ``run`` for the day of the run, ``latest``, ``all``, a day, or
+    ``incremental``: the day of the run is merged into what is loaded, without reading the days
+    before again. ``newest`` keeps what the last day says of each key, as ``incremental``
+    always does. ``mode`` is ``replace`` or ``append``.
+
+    ``keys`` is ``whole`` (no two kills or players share a key) or ``plain`` (parts joined as
+    they are: match, second and killer, match and player); ``prefix_len`` cuts the match ids of
+    plain keys, which can merge matches, and implies them. ``strict_keys`` makes merged
+    keys an error. ``buckets`` is the number of buckets that facts and kill details are
+    hashed into by their common key; without it the staged bytes tell, 0 sorts the tables instead.
+    ``most_facts`` bounds the rows of the fact, which is checked before it is joined.
     """
 
     input_root: str
@@ -41,6 +73,7 @@ class EtlConfig:
     database: str
     database_location: str | None = None
     prefix_len: int | None = None
+    keys: str | None = None
     ids: str = "monotonic"
     infer_stats: bool = False
     header: bool = True
@@ -52,19 +85,42 @@ class EtlConfig:
     mode: str = "replace"
     strict_keys: bool = False
     max_records_per_file: int = 0
+    buckets: int | None = None
+    most_facts: int | None = None
+
+    def __post_init__(self) -> None:
+        if self.keys not in (None, "whole", "plain") or self.keys == "whole" and self.prefix_len:
+            raise ValueError(f"keys {self.keys} with a prefix of {self.prefix_len}")
+        if self.mode not in ("replace", "append"):
+            raise ValueError(f"unknown load mode: {self.mode}")
+
+    @property
+    def whole(self) -> bool:
+        return self.keys == "whole" or self.keys is None and self.prefix_len is None
 
 
 @dataclass(frozen=True)
 class EtlReport:
-    """Rows of the raw files that could not be read, and keys that stand for several
-    natural keys, by table."""
+    """What a run found.
+
+    ``rejected``: rows of the raw files that could not be read. ``merged_keys``: keys that
+    stand for several natural keys, a kill's being match, second, killer and victim. ``merged_rows``:
+    rows that share the key of another one, whose columns their dimension has.
+    ``missing``: shares of nulls of the checked columns, as staged.
+    """
 
     rejected: Mapping[str, int]
     merged_keys: Mapping[str, int]
+    merged_rows: Mapping[str, int] = field(default_factory=dict)
+    missing: Mapping[str, Mapping[str, float | None]] = field(default_factory=dict)
 
 
 REJECTS = "rejects"
-_BAD = "_bad"
+_BAD, _COPIES = "_bad", "_copies"
+#: Staged bytes of the two bucketed tables for each bucket.
+BUCKET_BYTES = 256 << 20
+#: Tables that are bucketed by the key that joins them.
+BUCKETED = ("locations", "details")
 
 
 def today() -> str:
@@ -102,20 +158,33 @@ def read_kills(spark: SparkSession, config: EtlConfig, rejects: bool = False) ->
     )
 
 
-def _flagged(raw: DataFrame, columns: Sequence[str], unreadable: Column) -> DataFrame:
-    """Rows with ``_bad``: malformed and so incomplete, or with an unreadable date."""
+def _rows_once(
+    raw: DataFrame, columns: Sequence[str], unreadable: Column, folder: str, name: str
+) -> tuple[DataFrame, DataFrame]:
+    """Clean rows, and the rejects as often as they were there, from one parse and one write.
+
+    A reject is malformed and so incomplete, or has an unreadable date. Others with a null
+    are dropped. Equal rows become one before they are written, with their number.
+    """
     missing = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in columns])
-    bad = (F.col(REJECT).isNotNull() & missing) | unreadable
-    return raw.withColumn(_BAD, F.coalesce(bad, F.lit(False)))
+    bad = F.coalesce((F.col(REJECT).isNotNull() & missing) | unreadable, F.lit(False))
+    whole = F.expr(complete(raw, [c for c in raw.columns if c != REJECT]))
+    flagged = raw.withColumn(_BAD, bad).filter(F.col(_BAD) | whole)
+    each = flagged.groupBy(*(f"`{c}`" for c in flagged.columns)).agg(F.count("*").alias(_COPIES))
+    stored = materialize(each, name, folder, _BAD)
+    good = stored.filter(~F.col(_BAD)).drop(_BAD, REJECT, _COPIES)
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col(_COPIES)))
+    rejects = stored.filter(_BAD).withColumn(_COPIES, again).drop(_BAD, _COPIES)
+    return good, rejects
 
 
 def transform(spark: SparkSession, config: EtlConfig, run_date: str) -> EtlReport:
-    """Clean both raw tables, build the five tables and stage them.
+    """Clean both raw tables, build the five tables and stage them, all of them or none.
 
-    Each raw file is parsed once. Rows that cannot be read are staged as rejects
-    and counted, the others are cleaned; these feed four and three outputs. They are
-    written once, without the columns no output uses, and each output reads only its
-    own columns. What was stored in between is deleted at the end.
+    Each raw file is parsed once, and rows are written once before they are staged: the
+    clean ones, each once, and the rejects. The clean ones feed four and three outputs, each
+    of which reads only its own columns. Nulls of the key columns are counted while
+    the tables are staged. What was stored in between is deleted at the end.
     """
     folder = scratch_dir(spark)
     try:
@@ -126,47 +195,44 @@ def transform(spark: SparkSession, config: EtlConfig, run_date: str) -> EtlRepor
 
 def _transform(spark: SparkSession, config: EtlConfig, run_date: str, folder: str) -> EtlReport:
     raw_stats, raw_kills = read_stats(spark, config, True), read_kills(spark, config, True)
-    time = ms.game_time(raw_stats)
+    unreadable = F.col("date").isNotNull() & ms.game_time(raw_stats).isNull()
     raw = {
-        "stats": _flagged(raw_stats, list(ms.STATS_TYPES), F.col("date").isNotNull() & time.isNull()),
-        "kills": _flagged(raw_kills, [c for c in raw_kills.columns if c != REJECT], F.lit(False)),
+        "stats": (raw_stats, list(ms.STATS_TYPES), unreadable),
+        "kills": (raw_kills, [c for c in raw_kills.columns if c != REJECT], F.lit(False)),
     }
-    parsed = dict(
-        zip(raw, concurrently(partial(materialize, d, f"raw-{n}", folder, _BAD) for n, d in raw.items()))
-    )
-    read = {n: clean(d.filter(~F.col(_BAD)).drop(_BAD, REJECT)) for n, d in parsed.items()}
-    narrow = {"stats": read["stats"].select(*ms.STATS_TYPES), "kills": read["kills"]}
-    stats, kills = concurrently(partial(materialize, d, n, folder) for n, d in narrow.items())
-    star = ms.match_star(kills, stats, config.prefix_len, ids=config.ids)
+    read = dict(zip(raw, concurrently(partial(_rows_once, *r, folder, n) for n, r in raw.items())))
+    stats, kills = read["stats"][0].select(*ms.STATS_TYPES), read["kills"][0]
+    if config.most_facts is not None:
+        check_join_size(kills, stats, ms.KILLER_IS_PLAYER, config.most_facts)
+    star = ms.match_star(kills, stats, config.prefix_len, whole=config.whole, ids=config.ids)
     tables = {star.name: star.fact, **star.dims}
-    concurrently(
-        partial(
-            stage,
-            tables[s.name],
-            config.stage_root,
-            s.source,
-            run_date,
-            config.named_days,
-            config.max_records_per_file,
-        )
-        for s in ms.TABLES
-    )
-    bad = {n: d.filter(_BAD).drop(_BAD) for n, d in parsed.items()}
-    concurrently(
-        partial(stage, d, f"{config.stage_root}/{REJECTS}", n, run_date, config.named_days)
-        for n, d in bad.items()
-    )
+    measured = {s.name: Measured(tuple(ms.NULL_CHECKS[s.name])) for s in ms.TABLES}
+    staged = {s.source: measured[s.name].on(tables[s.name]) for s in ms.TABLES}
+    staged |= {f"{REJECTS}/{n}": bad for n, (_, bad) in read.items()}
+    stage_all(staged, config.stage_root, run_date, config.named_days, config.max_records_per_file)
+    days = {
+        n: read_stage(spark, config.stage_root, n, run_date, config.named_days)
+        for n in (*(f"{REJECTS}/{r}" for r in raw), "performance", "detail")
+    }
+    counts = {n: partial(d.count) for n, d in days.items()}  # from the files' footers
+    counts |= {"stats": partial(stats.count), "kills": partial(kills.count)}
     keys = {
-        "performances": (stats, ms.performance_key(config.prefix_len), ["match_id", "player_name"]),
-        "details": (kills, ms.detail_key(config.prefix_len), ["match_id", "time", "killer_name"]),
+        "performances": (stats, ms.performance_key(config.prefix_len), ms.PLAYER),
+        "details": (kills, ms.detail_key(config.prefix_len), ms.KILL),
     }
-    counts = [partial(d.count) for d in bad.values()]
-    counts += [
-        partial(key_collisions(d.withColumn("_key", key), "_key", natural).count)
-        for d, key, natural in keys.values()
-    ]
-    found = concurrently(counts)
-    return EtlReport(dict(zip(bad, found)), dict(zip(keys, found[len(bad) :])))
+    # Whole keys are their natural keys: there is nothing to look for.
+    for name, (d, key, natural) in () if config.whole else keys.items():
+        counts[name] = partial(key_collisions(d.withColumn("_key", key), "_key", natural).count)
+    found = dict(zip(counts, concurrently(counts.values())))
+    return EtlReport(
+        {n: found[f"{REJECTS}/{n}"] for n in raw},
+        {n: found.get(n, 0) for n in keys},
+        {
+            "performances": found["stats"] - found["performance"],
+            "details": found["kills"] - found["detail"],
+        },
+        {n: m.missing() for n, m in measured.items()},
+    )
 
 
 def check_staged(spark: SparkSession, config: EtlConfig, run_date: str) -> None:
@@ -178,25 +244,80 @@ def check_staged(spark: SparkSession, config: EtlConfig, run_date: str) -> None:
     gate(tables, ms.NULL_CHECKS)
 
 
-def load_warehouse(spark: SparkSession, config: EtlConfig, run_date: str) -> None:
-    """Create missing tables and load all five."""
-    create_tables(spark, ms.TABLES, config.database, config.database_location)
-    days = run_date if config.load_days == "run" else config.load_days
+def layouts(spark: SparkSession, config: EtlConfig, day: str | None) -> tuple[TableSpec, ...]:
+    """The tables with the two that meet on the kill's key hashed into buckets by it.
+
+    Their number comes from the bytes of the staged day, or of all days, and is at least
+    that of the cores; so the join needs no shuffle.
+    """
+    buckets = config.buckets
+    if buckets is None:
+        size = 0
+        for s in ms.TABLES:
+            if s.name in BUCKETED:
+                folder = f"{config.stage_root.rstrip('/')}/{s.source}"
+                size += folder_bytes(
+                    spark, stage_path(config.stage_root, s.source, day, config.named_days) if day else folder
+                )
+        buckets = max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+    if not buckets:
+        return ms.TABLES
+    return tuple(
+        replace(s, bucket_by=("detail_id",), buckets=buckets) if s.name in BUCKETED else s
+        for s in ms.TABLES
+    )
 
-    def load_one(spec: TableSpec) -> None:
-        load_staged(
-            spark,
-            spec,
-            config.database,
-            config.stage_root,
-            days,
-            config.mode,
-            config.named_days,
-            config.newest,
-        )
-        analyze(spark, config.database, spec.name)
 
-    concurrently(partial(load_one, s) for s in ms.TABLES)
+def load_warehouse(spark: SparkSession, config: EtlConfig, run_date: str) -> Edition:
+    """Load all five tables and publish them together, or none.
+
+    The rows go to new tables aside, nulls of the key columns are counted on the way, and only
+    when all are there and pass the gate does the published star change, by one
+    statement. A load that fails leaves the old star whole.
+    """
+    create_tables(spark, (), config.database, config.database_location)
+    before = adopt(spark, ms.TABLES, config.database)
+    day = run_date if config.load_days in ("run", "incremental") else config.load_days
+    # An earlier or repeated day cannot take back what it said before: all days are read.
+    merge = config.load_days == "incremental" and before.parts and (before.last_day or "9") < run_date
+    every = config.load_days == "incremental" and before.parts and not merge
+    part = new_part(run_date)
+    specs = layouts(spark, config, day if day.isdigit() and not merge and not every else None)
+
+    def load_one(spec: TableSpec) -> Measured:
+        table, checks = part_table(spec.name, part), ms.NULL_CHECKS[spec.name]
+        if merge:
+            rows = merge_day(
+                read_published(spark, config.database, spec.name, before),
+                read_stage(spark, config.stage_root, spec.source, run_date, config.named_days),
+                spec.key,
+            )
+            done = load(rows, part_spec(spec, part), config.database, measure=checks)
+        else:
+            done = load_staged(
+                spark,
+                spec,
+                config.database,
+                config.stage_root,
+                "all" if every else day,
+                named=config.named_days,
+                newest=config.newest or bool(every),
+                measure=checks,
+                table=table,
+            )
+        analyze(spark, config.database, table)
+        return done
+
+    try:
+        create_part(spark, specs, config.database, part)
+        measured = concurrently(partial(load_one, s) for s in specs)
+        gate_measured({s.name: m.missing() for s, m in zip(specs, measured)})
+        parts = [*before.parts, part] if config.mode == "append" else [part]
+        last = max(run_date, before.last_day or "") if every or config.mode == "append" else run_date
+        return publish(spark, specs, config.database, parts, before, last)
+    except BaseException:
+        drop_parts(spark, specs, config.database, [part], published(spark, config.database))
+        raise
 
 
 def check_warehouse(spark: SparkSession, database: str) -> None:
@@ -206,15 +327,20 @@ def check_warehouse(spark: SparkSession, database: str) -> None:
 
 
 def open_star(spark: SparkSession, database: str) -> Star:
-    """The loaded tables as a star. Not assumed complete: loads of several days
-    repeat keys. Small dimensions marked so are broadcast."""
+    """The loaded tables as a star, all of one edition even while the next is being published.
+
+    Not assumed complete: loads of several days repeat keys. Small dimensions
+    marked so are broadcast; those bucketed like the fact are joined first.
+    """
+    edition = published(spark, database)
     tables = {
         s.name: broadcast_if_small(t) if s.replicate else t
         for s in ms.TABLES
-        for t in [spark.table(f"{database}.{s.name}")]
+        for t in [read_published(spark, database, s.name, edition)]
     }
     fact = tables.pop(ms.FACT)
-    return Star(ms.FACT, fact, tables, ms.LINKS)
+    together = tuple(n for n in BUCKETED if n != ms.FACT) if len(edition.parts) == 1 else ()
+    return Star(ms.FACT, fact, tables, ms.LINKS, colocated=together)
 
 
 def verified(star: Star) -> Star:
@@ -226,9 +352,10 @@ def verified(star: Star) -> Star:
 
 
 def run(spark: SparkSession, config: EtlConfig, run_date: str | None = None) -> EtlReport:
-    """Transform, check what was staged, create tables, load, check again.
+    """Transform and stage, check what was staged, load and publish.
 
-    A day that fails its check leaves the loaded tables as they were.
+    A day that fails a check, and a load that fails, leave the published tables as they
+    were. Both checks use what was counted during the writes.
     """
     run_date = run_date or today()
     report = transform(spark, config, run_date)
@@ -238,7 +365,6 @@ def run(spark: SparkSession, config: EtlConfig, run_date: str | None = None) ->
     for problem, found in (("rows that cannot be read", report.rejected), ("merged keys", merged)):
         if any(found.values()):
             warnings.warn(f"{problem}: {dict(found)}", stacklevel=2)
-    check_staged(spark, config, run_date)
+    gate_measured(report.missing)
     load_warehouse(spark, config, run_date)
-    check_warehouse(spark, config.database)
     return report

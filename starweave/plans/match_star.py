@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from starweave.functions import date_parts, parse_timestamp, prefix_key, trunc_int
+from starweave.functions import date_parts, parse_timestamp, prefix_key, trunc_int, whole_key
 from starweave.operators.star import Link, Star, build_dimension, build_fact
 from starweave.operators.surrogate import add_surrogate
 from starweave.session import materialize
@@ -41,7 +41,8 @@ KILLS_SCHEMA = (
     " victim_position_x float, victim_position_y float"
 )
 
-# The warehouse tables.
+# The warehouse tables. The two composite keys are wide enough for all their
+# parts whole, with lengths.
 TABLES = (
     TableSpec(
         name="matches",
@@ -54,7 +55,7 @@ TABLES = (
     TableSpec(
         name="details",
         source="detail",
-        columns="detail_id VARCHAR(64), match_id VARCHAR(256), killer_name VARCHAR(64),"
+        columns="detail_id VARCHAR(1024), match_id VARCHAR(256), killer_name VARCHAR(64),"
         " killer_placement INT, victim_name VARCHAR(64), victim_placement INT,"
         " weapon VARCHAR(64), time INT",
         sort=("detail_id",),
@@ -71,7 +72,7 @@ TABLES = (
     TableSpec(
         name="performances",
         source="performance",
-        columns="performance_id VARCHAR(128), name VARCHAR(64), match_id VARCHAR(256),"
+        columns="performance_id VARCHAR(512), name VARCHAR(64), match_id VARCHAR(256),"
         " dbno INT, dist_ride DOUBLE, dist_walk DOUBLE, dmg INT, kills INT,"
         " survive_time DOUBLE, assists INT",
         sort=("performance_id",),
@@ -82,7 +83,7 @@ TABLES = (
         source="location",
         columns="location_id BIGINT, killer_position_x DOUBLE, killer_position_y DOUBLE,"
         " victim_position_x DOUBLE, victim_position_y DOUBLE, match_id VARCHAR(256),"
-        " detail_id VARCHAR(64), date_id TIMESTAMP_NTZ, performance_id VARCHAR(128)",
+        " detail_id VARCHAR(1024), date_id TIMESTAMP_NTZ, performance_id VARCHAR(512)",
         sort=("killer_position_x", "killer_position_y"),
         key=("match_id",),
         unique=False,
@@ -120,15 +121,28 @@ REPORT_ORDER = (
 KILLER_IS_PLAYER = (("match_id", "match_id"), ("killer_name", "player_name"))
 
 
-def performance_key(prefix_len: int | None = None) -> Column:
-    """Match and player. A prefix of the match id can merge matches: see
-    ``quality.key_collisions``."""
-    return prefix_key("match_id", "player_name", prefix_len=prefix_len, sep="-")
+#: What tells one kill from another.
+KILL = ("match_id", "time", "killer_name", "victim_name")
+PLAYER = ("match_id", "player_name")
 
 
-def detail_key(prefix_len: int | None = None, sep: str | None = None, *more: str) -> Column:
+def performance_key(prefix_len: int | None = None, whole: bool = False) -> Column:
+    """Match and player. A prefix of the match id can merge matches, and a dash in the
+    names can merge players: see ``quality.key_collisions``. ``whole`` keys cannot."""
+    if whole:
+        return whole_key(*PLAYER)
+    return prefix_key(*PLAYER, prefix_len=prefix_len, sep="-")
+
+
+def detail_key(
+    prefix_len: int | None = None, sep: str | None = None, *more: str, whole: bool = False
+) -> Column:
     """Match (or a prefix of its id), second and killer, and any further columns. Two
-    kills by one player in a second share the key unless ``more`` tells them apart."""
+    kills by one player in a second share the key unless ``more`` tells them apart, and
+    parts without a separator can run together. ``whole`` keys have the victim and the
+    length of each part: no two kills share one."""
+    if whole:
+        return whole_key(*KILL, *more)
     return prefix_key("match_id", "time", "killer_name", *more, prefix_len=prefix_len, sep=sep)
 
 
@@ -140,13 +154,16 @@ def game_time(stats: DataFrame, column: str = "date") -> Column:
 
 
 def performance_dim(
-    stats: DataFrame, prefix_len: int | None = None, among: DataFrame | None = None
+    stats: DataFrame,
+    prefix_len: int | None = None,
+    among: DataFrame | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     return build_dimension(
         stats,
         "performance_id",
         {
-            "performance_id": performance_key(prefix_len),
+            "performance_id": performance_key(prefix_len, whole),
             "name": F.col("player_name"),
             "match_id": F.col("match_id"),
             "dbno": F.col("player_dbno"),
@@ -179,12 +196,13 @@ def detail_dim(
     sep: str | None = None,
     more: Sequence[str] = (),
     among: DataFrame | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     return build_dimension(
         kills,
         "detail_id",
         {
-            "detail_id": detail_key(prefix_len, sep, *more),
+            "detail_id": detail_key(prefix_len, sep, *more, whole=whole),
             "match_id": F.col("match_id"),
             "killer_name": F.col("killer_name"),
             "killer_placement": trunc_int("killer_placement"),
@@ -230,6 +248,7 @@ def location_fact(
     where: Column | None = None,
     ids: str = "monotonic",
     id_columns: Sequence[str] = (),
+    whole: bool = False,
 ) -> DataFrame:
     """One row per kill and matching stats row of the killer.
 
@@ -237,9 +256,9 @@ def location_fact(
     inputs must be cleaned (distinct), as repeated rows would multiply too.
     ``ids`` is a kind of ``add_surrogate``; ``id_columns`` are kill columns.
     """
-    kills = kills.withColumn("detail_id", detail_key(prefix_len, sep, *more))
+    kills = kills.withColumn("detail_id", detail_key(prefix_len, sep, *more, whole=whole))
     stats = stats.withColumns(
-        {"game_time": game_time(stats), "performance_id": performance_key(prefix_len)}
+        {"game_time": game_time(stats), "performance_id": performance_key(prefix_len, whole)}
     )
     columns = {
         "killer_position_x": ("left", "killer_position_x"),
@@ -266,17 +285,20 @@ def match_star(
     on: Sequence[tuple[str, str]] = KILLER_IS_PLAYER,
     fact_rows: tuple[DataFrame, DataFrame] | None = None,
     where: Column | None = None,
+    whole: bool = False,
     **ids: object,
 ) -> Star:
     """All five tables from cleaned inputs.
 
-    The star is complete: each fact key comes from a row its dimension has too.
+    The star is complete: each fact key comes from a row its dimension has too. That is so
+    of keys; with keys that are not ``whole``, the row of a key may be another
+    kill's or player's.
     ``fact_rows`` gives distinct kills and stats where the first two may repeat
     rows, which only the fact minds. ``where`` is a predicate on the fact: the
     matching facts are stored, and dimensions are built for their keys only.
     """
     rows = fact_rows or (kills, stats)
-    fact = location_fact(*rows, prefix_len, on=on, where=where, **ids)
+    fact = location_fact(*rows, prefix_len, on=on, where=where, whole=whole, **ids)
     used = dict.fromkeys(link.dim for link in LINKS)
     if where is not None:
         fact = materialize(fact, FACT)
@@ -286,9 +308,9 @@ def match_star(
         fact=fact,
         dims={
             "dates": date_dim(stats, used["dates"]),
-            "details": detail_dim(kills, prefix_len, among=used["details"]),
+            "details": detail_dim(kills, prefix_len, among=used["details"], whole=whole),
             "matches": match_dim(kills, stats, used["matches"]),
-            "performances": performance_dim(stats, prefix_len, used["performances"]),
+            "performances": performance_dim(stats, prefix_len, used["performances"], whole),
         },
         links=LINKS,
         complete=True,
@@ -332,6 +354,11 @@ def area_report(star: Star, low: float, high: float, month: int, n: int | None =
         rows = part.join(["dates", *others])
     else:
         rows = part.top(REPORT_ORDER, n, ["dates"], others)
+    return report_columns(rows)
+
+
+def report_columns(rows: DataFrame) -> DataFrame:
+    """The columns of the report from rows of the star join."""
     return rows.select(
         F.col("details_weapon").alias("weapon"),
         F.col("details_time").alias("time"),

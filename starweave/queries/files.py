@@ -10,7 +10,7 @@ from starweave.operators.dedup import latest_per_key
 from starweave.queries.roles import table
 from starweave.session import scratch_dir
 from starweave.sinks.stage import stage
-from starweave.sources.csv import REJECT, read_csv, rejected_rows, schema_by_name
+from starweave.sources.csv import REJECT, read_csv, read_csv_once, rejected_rows, schema_by_name
 from starweave.sources.staged import RUN_DATE, read_stage
 
 LINEITEM = (
@@ -48,6 +48,13 @@ def csv_infer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed(found.withColumns(ids))
 
 
+def csv_infer_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types inferred while the text is stored, in one scan of the file."""
+    found = read_csv_once(spark, _write_csv(_text_dates(spark, sf_dir)), {"l_shipdate": "string"})
+    ids = {c: F.col(c).cast("bigint") for c in ("l_orderkey", "l_partkey", "l_suppkey")}
+    return _typed(found.withColumns(ids))
+
+
 def csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Types by name, for a file whose columns come in another order."""
     lines = _text_dates(spark, sf_dir)
@@ -139,6 +146,7 @@ QUERIES = {
     for f in (
         csv_schema_scan,
         csv_infer_scan,
+        csv_infer_once,
         csv_by_name,
         csv_no_header,
         csv_malformed,
@@ -158,6 +166,7 @@ _BOTH_DAYS = """(SELECT *, '20240101' AS run_date FROM lineitem
 ORACLES = {
     "csv_schema_scan": "SELECT * FROM lineitem",
     "csv_infer_scan": "SELECT * FROM lineitem",
+    "csv_infer_once": "SELECT * FROM lineitem",
     "csv_by_name": "SELECT * FROM lineitem",
     "csv_no_header": "SELECT * FROM lineitem",
     "csv_malformed": """SELECT DISTINCT l_orderkey, l_partkey, l_linenumber, l_returnflag

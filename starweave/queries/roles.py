@@ -19,6 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The column names of the raw tables, for the given ones.
+
+
 def as_stats(orders: DataFrame) -> DataFrame:
     return orders.selectExpr(
         "o_orderkey AS match_id",
@@ -114,13 +117,34 @@ def match_sql(column: str, prefix: int | None) -> str:
     return whole if prefix is None else f"substring({whole}, 1, {prefix})"
 
 
-def performances_sql(prefix: int | None = PREFIX) -> str:
+def whole_sql(*columns: str) -> str:
+    """Parts with their lengths, null as a mark."""
+    texts = [f"CAST({c} AS VARCHAR)" for c in columns]
+    return " || ".join(f"coalesce(length({t}) || ':' || {t}, 'n')" for t in texts)
+
+
+def performance_sql(prefix: int | None, row: str = "", whole: bool = False) -> str:
+    """The key of a player in a match."""
+    match, player = f"{row}match_id", f"{row}player_name"
+    if whole:
+        return whole_sql(match, player)
+    return f"concat_ws('-', {match_sql(match, prefix)}, CAST({player} AS VARCHAR))"
+
+
+def detail_sql(prefix: int | None, row: str = "", whole: bool = False) -> str:
+    """The key of a kill."""
+    match, time, killer = f"{row}match_id", f"{row}time", f"{row}killer_name"
+    if whole:
+        return whole_sql(match, time, killer, f"{row}victim_name")
+    return f"concat({match_sql(match, prefix)}, CAST({time} AS VARCHAR), CAST({killer} AS VARCHAR))"
+
+
+def performances_sql(prefix: int | None = PREFIX, whole: bool = False) -> str:
     return f"""performances AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY performance_id ORDER BY name, match_id, dbno,
       dist_ride, dist_walk, dmg, kills, survive_time, assists) AS rn
-    FROM (SELECT concat_ws('-', {match_sql('match_id', prefix)},
-            CAST(player_name AS VARCHAR)) AS performance_id,
+    FROM (SELECT {performance_sql(prefix, whole=whole)} AS performance_id,
           player_name AS name, match_id, player_dbno AS dbno, player_dist_ride AS dist_ride,
           player_dist_walk AS dist_walk, player_dmg AS dmg, player_kills AS kills,
           player_survive_time AS survive_time, player_assists AS assists
@@ -137,13 +161,12 @@ DATES_SQL = f"""dates AS (
   FROM (SELECT date AS game_time, min(match_id) AS match_id FROM stats GROUP BY date))"""
 
 
-def details_sql(prefix: int | None = PREFIX) -> str:
+def details_sql(prefix: int | None = PREFIX, whole: bool = False) -> str:
     return f"""details AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY detail_id ORDER BY match_id, killer_name,
       killer_placement, victim_name, victim_placement, weapon, time) AS rn
-    FROM (SELECT concat({match_sql('match_id', prefix)},
-            CAST(time AS VARCHAR), CAST(killer_name AS VARCHAR)) AS detail_id,
+    FROM (SELECT {detail_sql(prefix, whole=whole)} AS detail_id,
           match_id, killer_name, CAST(trunc(killer_placement) AS INTEGER) AS killer_placement,
           victim_name, CAST(trunc(victim_placement) AS INTEGER) AS victim_placement,
           killed_by AS weapon, time
@@ -159,9 +182,7 @@ MATCHES_SQL = """matches AS (
 
 def digest_sql(*columns: str) -> str:
     """A digest of parts with their lengths, null as a mark."""
-    texts = [f"CAST({c} AS VARCHAR)" for c in columns]
-    parts = " || ".join(f"coalesce(length({t}) || ':' || {t}, 'n')" for t in texts)
-    return f"md5({parts})"
+    return f"md5({whole_sql(*columns)})"
 
 
 def locations_sql(prefix: int | None = PREFIX) -> str:
@@ -169,11 +190,9 @@ def locations_sql(prefix: int | None = PREFIX) -> str:
   SELECT {digest_sql('k.match_id', 'k.time', 'k.killer_name', 'k.victim_name')} AS location_id,
     k.killer_position_x, k.killer_position_y, k.victim_position_x, k.victim_position_y,
     k.match_id,
-    concat({match_sql('k.match_id', prefix)}, CAST(k.time AS VARCHAR),
-      CAST(k.killer_name AS VARCHAR)) AS detail_id,
+    {detail_sql(prefix, 'k.')} AS detail_id,
     s.date AS date_id,
-    concat_ws('-', {match_sql('s.match_id', prefix)},
-      CAST(s.player_name AS VARCHAR)) AS performance_id
+    {performance_sql(prefix, 's.')} AS performance_id
   FROM kills k JOIN stats s ON k.match_id = s.match_id AND k.map = s.game_size)"""
 
 def star_sql(prefix: int | None = PREFIX) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,9 +11,12 @@ from starweave.operators.dedup import one_per_key
 from starweave.operators.star import Star
 from starweave.plans import match_star as ms
 from starweave.queries import roles
+from starweave.session import scratch_dir
+from starweave.sinks.warehouse import TableSpec, create_tables, load
 
 LOW, HIGH, MONTH, ROWS = 2000.0, 60000.0, 10, 50
 LARGE = 5000
+WEEKS = 36, 38
 NATURAL = ("match_id", "time", "killer_name", "victim_name")
 
 
@@ -35,6 +39,41 @@ def star_top_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def star_top_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first report again: the last position is found before the other columns are read."""
+    star = ms.in_area_and_month(ms.for_report(roles.star(spark, sf_dir).stored("dates")), LOW, HIGH, MONTH)
+    rows = star.bounded("killer_position_x", ROWS, ["dates"])
+    others = ["matches", "details", "performances"]
+    return ms.report_columns(rows.top(ms.REPORT_ORDER, ROWS, ["dates"], others))
+
+
+def star_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kills of some weeks, from a fact with a folder for each month."""
+    star = roles.star(spark, sf_dir, ids="digest", id_columns=NATURAL)
+    return _by_month(spark, star).join(["dates"]).select(
+        F.col("locations_location_id").alias("location_id"),
+        F.col("locations_killer_position_x").alias("killer_position_x"),
+        F.col("dates_game_time").alias("game_time"),
+        F.col("dates_week").alias("week"),
+    )
+
+
+def _by_month(spark: SparkSession, star: Star) -> Star:
+    """The star with its fact in a folder for each month, read where the dates of the weeks lie."""
+    fact = star.fact.select("location_id", "killer_position_x", "date_id").withColumn("date_month", F.month("date_id"))
+    spec = TableSpec(
+        "locations",
+        ", ".join(f"{n} {t}" for n, t in fact.dtypes),
+        sort=("killer_position_x",),
+        partition_by=("date_month",),
+    )
+    name = f"starweave_{uuid.uuid4().hex}"
+    create_tables(spark, [spec], name, f"{scratch_dir(spark)}/{name}")
+    load(fact, spec, name)
+    star = replace(star.stored("dates"), fact=spark.table(f"{name}.locations"))
+    return star.filtered(dates=F.col("week").between(*WEEKS)).pruned("dates", "date_month", "month")
+
+
 def star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = roles.star(spark, sf_dir, where=ms.area_and_month(LOW, HIGH, MONTH))
     star = ms.for_report(star)
@@ -140,6 +179,8 @@ QUERIES = {
     for f in (
         flagship_star,
         star_top_large,
+        star_top_bound,
+        star_pruned,
         star_rows,
         star_sql,
         wide_star,
@@ -190,9 +231,17 @@ def _link_sql(link: ms.Link) -> str:
     ON l.{link.fact_key} = d.{link.dim_key}) AS joined_rows"""
 
 
+_FLAGSHIP = (
+    f"WITH {roles.STAR_SQL}\n{_REPORT}\n"
+    f"ORDER BY {', '.join('locations.' + c for c in ms.REPORT_ORDER)} LIMIT {ROWS}"
+)
+
 ORACLES = {
-    "flagship_star": f"WITH {roles.STAR_SQL}\n{_REPORT}\n"
-    f"ORDER BY {', '.join('locations.' + c for c in ms.REPORT_ORDER)} LIMIT {ROWS}",
+    "flagship_star": _FLAGSHIP,
+    "star_top_bound": _FLAGSHIP,
+    "star_pruned": f"""WITH {roles.STAR_SQL}
+SELECT location_id, killer_position_x, game_time, week
+FROM locations JOIN dates ON game_time = date_id WHERE week BETWEEN {WEEKS[0]} AND {WEEKS[1]}""",
     "star_top_large": f"WITH {roles.STAR_SQL}\nSELECT killer_position_x, locations.detail_id, month,"
     f" weapon, dmg FROM {roles.JOINED_SQL}\n"
     f"ORDER BY {', '.join('locations.' + c for c in ms.REPORT_ORDER)} LIMIT {LARGE}",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starweave.functions import has_fraction, parse_timestamp, prefix_key, trunc_int
-from starweave.operators.clean import clean, distinct_rows
+from starweave.operators.clean import clean, distinct_rows, distinct_rows_late
 from starweave.operators.surrogate import add_surrogate
 from starweave.queries.roles import digest_sql, table
 
@@ -81,8 +81,15 @@ def surrogate_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_surrogate(rows, "id", "digest", ["text", "quality", "lang", "doc_id"])
 
 
+def distinct_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide rows, some of them repeated."""
+    docs = table(spark, sf_dir, "documents")
+    return distinct_rows_late(docs.unionAll(docs.filter("lang = 'fr'")))
+
+
 QUERIES = {
     "distinct_rows": distinct_events,
+    "distinct_rows_late": distinct_documents,
     "clean_rows": clean_rows,
     "trunc_cast": trunc_cast,
     "parse_timestamp": parse_stamps,
@@ -94,6 +101,7 @@ QUERIES = {
 
 ORACLES = {
     "distinct_rows": "SELECT * FROM events UNION SELECT * FROM events",
+    "distinct_rows_late": "SELECT * FROM documents UNION SELECT * FROM documents WHERE lang = 'fr'",
     "clean_rows": """SELECT DISTINCT doc_id, text, lang, source, n_chars, quality, toxic
 FROM documents JOIN labels USING (doc_id)
 WHERE text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL AND n_chars IS NOT NULL

@@ -92,10 +92,42 @@ def concurrently(jobs: Iterable[Callable[[], T]]) -> list[T]:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system it is in."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds, through the file system it is in."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    where, files = _located(spark, path)
+    files.delete(where, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    where, files = _located(spark, path)
+    return files.exists(where)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none if there is no such folder."""
+    where, files = _located(spark, path)
+    if not files.exists(where):
+        return []
+    return [str(f.getPath().getName()) for f in files.listStatus(where) if f.isDirectory()]
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, from the file system's own summary."""
+    where, files = _located(spark, path)
+    return files.getContentSummary(where).getLength() if files.exists(where) else 0
+
+
+def rename_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder within its file system; an error if that cannot be done."""
+    where, files = _located(spark, path)
+    if not files.rename(where, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
 
 
 def materialize(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from starweave.operators.dedup import latest_per_key, latest_version_rows
-from starweave.operators.layout import bucketed, range_sorted
+from starweave.operators.layout import bucketed, range_sorted, z_ordered
+from starweave.operators.quality import Measured
 from starweave.session import delete_folder, scratch_dir
 from starweave.sources.staged import RUN_DATE, read_stage
 
@@ -21,7 +22,9 @@ class TableSpec:
     ``columns`` is the DDL column list. ``sort`` orders the files for data
     skipping. ``buckets`` hashes rows by ``bucket_by`` into that many buckets,
     for joins without a shuffle; choose a key that is unique or evenly spread,
-    as a bucket is one task. ``replicate`` marks a table meant to be copied to
+    as a bucket is one task. ``partition_by`` names last columns that make a folder each, for
+    pruning; few values. ``zorder`` clusters by several columns at once, so that a range
+    of any of them skips most of the files. ``replicate`` marks a table meant to be copied to
     every executor in joins, which happens while its measured size allows it.
     ``key`` tells which rows of several days are the same thing; ``unique`` whether a
     day has one row of each.
@@ -33,14 +36,16 @@ class TableSpec:
     sort: tuple[str, ...] = ()
     bucket_by: tuple[str, ...] = ()
     buckets: int = 0
+    partition_by: tuple[str, ...] = ()
+    zorder: tuple[str, ...] = ()
     replicate: bool = False
     key: tuple[str, ...] = ()
     unique: bool = True
 
     def ddl(self, database: str) -> str:
-        layout = ""
+        layout = f" PARTITIONED BY ({', '.join(self.partition_by)})" if self.partition_by else ""
         if self.buckets:
-            layout = f" CLUSTERED BY ({', '.join(self.bucket_by)})"
+            layout += f" CLUSTERED BY ({', '.join(self.bucket_by)})"
             if self.sort:
                 layout += f" SORTED BY ({', '.join(self.sort)})"
             layout += f" INTO {self.buckets} BUCKETS"
@@ -65,11 +70,18 @@ def truncate(spark: SparkSession, database: str, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {database}.{table}")
 
 
-def load(df: DataFrame, spec: TableSpec, database: str, mode: str = "replace") -> None:
+def load(
+    df: DataFrame,
+    spec: TableSpec,
+    database: str,
+    mode: str = "replace",
+    measure: Sequence[str] = (),
+) -> Measured:
     """Load rows, columns by position, in the layout of the table.
 
     ``replace`` is one statement that overwrites the table, ``append`` adds.
-    Text longer than its VARCHAR and a wrong number of columns are errors.
+    Text longer than its VARCHAR and a wrong number of columns are errors. Nulls of the
+    ``measure`` columns are counted on the way.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown load mode: {mode}")
@@ -81,9 +93,14 @@ def load(df: DataFrame, spec: TableSpec, database: str, mode: str = "replace") -
     df = df.toDF(*names)
     if spec.buckets:
         df = bucketed(df, list(spec.bucket_by), spec.buckets)
-    elif spec.sort:
-        df = range_sorted(df, list(spec.sort))
-    df.write.insertInto(target, overwrite=mode == "replace")
+    elif spec.zorder:
+        df = z_ordered(df, list(spec.zorder))
+    elif spec.sort or spec.partition_by:
+        df = range_sorted(df, [*spec.partition_by, *spec.sort])
+    measured = Measured(tuple(measure))
+    rows = measured.on(df) if measure else df
+    rows.write.insertInto(target, overwrite=mode == "replace")
+    return measured
 
 
 def load_staged(
@@ -95,25 +112,41 @@ def load_staged(
     mode: str = "replace",
     named: bool = True,
     newest: bool = False,
-) -> None:
+    measure: Sequence[str] = (),
+    table: str | None = None,
+) -> Measured:
     """Load a warehouse table from its staged table.
 
     ``newest`` keeps of each key only what the last day that has it says, which
-    matters where several days are loaded.
+    matters where several days are loaded. ``table`` is the name in the database, if it is not
+    that of the spec.
     """
     source = spec.source or spec.name
+    target = replace(spec, name=table or spec.name)
     if not newest:
-        load(read_stage(spark, root, source, run_date, named), spec, database, mode)
-        return
+        rows = read_stage(spark, root, source, run_date, named)
+        return load(rows, target, database, mode, measure)
     days = read_stage(spark, root, source, run_date, named, with_run_date=True)
     folder = scratch_dir(spark)
     pick = latest_per_key if spec.unique else partial(latest_version_rows, folder=folder)
     try:
-        load(pick(days, spec.key, RUN_DATE).drop(RUN_DATE), spec, database, mode)
+        rows = pick(days, spec.key, RUN_DATE).drop(RUN_DATE)
+        return load(rows, target, database, mode, measure)
     finally:
         delete_folder(spark, folder)
 
 
+def merge_day(loaded: DataFrame, day: DataFrame, key: Sequence[str]) -> DataFrame:
+    """What is loaded, with the rows of a later day in place of those of its keys.
+
+    The loaded rows are the merged state of all days before: of each key what the last
+    of them said. So no earlier day is read again. Keys hold no null.
+    """
+    names = loaded.columns
+    day = day.toDF(*names)
+    return loaded.join(day.select(*key), list(key), "left_anti").select(*names).unionAll(day)
+
+
 def analyze(spark: SparkSession, database: str, table: str) -> None:
     """Collect size and row count for the optimizer."""
     spark.sql(f"ANALYZE TABLE {database}.{table} COMPUTE STATISTICS")
