@@ -301,9 +301,9 @@ def test_files_without_headers_and_append(spark, config, write):
 
 
 def test_newest_of_all_days_has_each_key_once(spark, config):
-    etl.run(spark, config(STATS, KILLS), "20240101")
+    etl.run(spark, config(STATS, KILLS, keys="plain"), "20240101")
     later = STATS.replace(",100,1,p1,", ",777,1,p1,")
-    made = config(later, KILLS, load_days="all", newest=True)
+    made = config(later, KILLS, load_days="all", newest=True, keys="plain")
     etl.run(spark, made, "20240102")
     star = etl.verified(etl.open_star(spark, made.database))
     assert star.fact.count() == 5

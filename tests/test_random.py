@@ -57,19 +57,32 @@ def lowest(found):
     return sorted(best.values(), key=repr)
 
 
+def named(*parts):
+    """Parts with their lengths before them."""
+    return "".join(f"{len(str(p))}:{p}" for p in parts)
+
+
+#: Keys of a player and of a kill, for each way to make them.
+STYLES = {
+    "cut": ({"prefix_len": 5}, lambda r: f"{r[2][:5]}-{r[10]}", lambda r: f"{r[6][:5]}{r[7]}{r[1]}"),
+    "plain": ({}, lambda r: f"{r[2]}-{r[10]}", lambda r: f"{r[6]}{r[7]}{r[1]}"),
+    "whole": ({"whole": True}, lambda r: named(r[2], r[10]), lambda r: named(r[6], r[7], r[1], r[8])),
+}
+
+
+@pytest.mark.parametrize("style", STYLES)
 @pytest.mark.parametrize("seed", range(3))
-def test_match_star(spark, seed):
+def test_match_star(spark, seed, style):
+    options, performance, detail = STYLES[style]
     raw_stats, raw_kills = tables(seed)
     stats = clean(spark.createDataFrame(raw_stats, STATS).repartition(seed + 1))
     kills = clean(spark.createDataFrame(raw_kills, ms.KILLS_SCHEMA).repartition(seed + 2))
-    star = ms.match_star(kills, stats)
+    star = ms.match_star(kills, stats, **options)
 
     s = whole(raw_stats)
     k = whole(raw_kills)
     assert rows(stats) == sorted(s, key=repr) and rows(kills) == sorted(k, key=repr)
     when = lambda text: datetime.strptime(text, "%Y-%m-%dT%H:%M:%S+%f")
-    performance = lambda r: f"{r[2][:5]}-{r[10]}"
-    detail = lambda r: f"{r[6][:5]}{r[7]}{r[1]}"
 
     assert rows(star.dims["performances"]) == lowest(
         (performance(r), r[10], r[2], r[5], r[6], r[7], r[8], r[9], r[11], r[4]) for r in s
@@ -96,7 +109,7 @@ def test_match_star(spark, seed):
 
     # The same facts and dimension rows when only a part is built.
     where = ms.area_and_month(1.0, 2.0, 10)
-    part = ms.match_star(kills, stats, where=where)
+    part = ms.match_star(kills, stats, where=where, **options)
     assert rows(part.join().drop("locations_location_id")) == rows(
         star.filtered(where).join().drop("locations_location_id")
     )
