@@ -177,7 +177,7 @@ class Star:
         for name in dims:
             link = links[name]
             keys = chosen.select(F.col(f"{self.name}_{link.fact_key}").alias(link.dim_key))
-            wanted = self.dims[name].join(keys.distinct(), link.dim_key, "left_semi")
+            wanted = self.dims[name].join(keys, link.dim_key, "left_semi")
             rows = self._lookup(rows, link, wanted)
         return rows.orderBy(*rank).limit(n)
 
