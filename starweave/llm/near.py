@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starweave.llm import text
 from starweave.llm.components import connected
@@ -12,25 +14,35 @@ from starweave.llm.scratch import Scratch
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Samples of a sketch, and shingles in each. Texts of similarity 0.8 agree in a sample
-#: with a chance of about 0.8 * 0.8, so they differ in all 16 with one of 1e-7.
+#: Samples of a sketch, and shingles in each.
 SAMPLES = 16
 PICKED = 2
-#: Classes of a bucket whose pairs are made by a join; those of larger ones are compared
-#: block by block, all the same.
+#: Classes of a bucket whose pairs are all compared, if its leader does not connect them.
 SMALL_BUCKET = 16
-#: Classes of a block, and shingles of its texts, at most on the average.
-BLOCK = 512
-BLOCK_SHINGLES = 2_000_000
-#: Samples that a pair must agree in to be aligned; at similarity 0.8 about 10 do, and
-#: fewer than 4 with a chance of 1e-4.
-AGREEING = 4
-#: Places of a shingle in a text from which its alignment keeps them as one number.
+#: Length of a shingle, samples and shingles in each of the sketches that large buckets are cut
+#: by. Texts of similarity 0.8 have that share of their labelled words in common, so they agree in a
+#: sample with a chance of 0.4; texts that share half of their words, in one passage, with one
+#: of 0.01 to 0.06. (Of five-word shingles both kinds would share about as many.)
+FINE = (1, 8, 4)
+#: Fine samples that a class and the leader of its bucket agree in if they are of one family, and
+#: the share of such classes that makes a bucket a family's.
+ALIKE, FAMILY = 2, 0.5
+#: Times that a bucket of dissimilar texts is cut by fresh samples, before what is left of it is
+#: treated like a family.
+LEVELS = 4
+#: Classes of a block.
+BLOCK = 256
+#: Places of a word in a text from which its alignment keeps them as one number.
 MANY_PLACES = 64
+#: Half the width of the first band that an alignment tries.
+FIRST_BAND = 32
 
 
-def sketches(w: text.Words, k: int = SHINGLE, samples: int = SAMPLES, picked: int = PICKED) -> np.ndarray:
-    """Order MinHash of each text: (texts, samples) keys; a text without words gets 0.
+def sketches(
+    w: text.Words, k: int = SHINGLE, samples: int = SAMPLES, picked: int = PICKED, level: int = 0
+) -> np.ndarray:
+    """Order MinHash of each text: (texts, samples) keys; a text without words gets 0. Each
+    ``level`` has samples of its own.
 
     A shingle is labelled with its occurrence number. Each sample has its own random
     order of labelled shingles, takes the ``picked`` lowest of a text and hashes them in
@@ -46,7 +58,7 @@ def sketches(w: text.Words, k: int = SHINGLE, samples: int = SAMPLES, picked: in
     some = np.flatnonzero(np.diff(bounds))
     begin, size = bounds[some], np.diff(bounds)[some]
     salt = text.seeded(picked, 22) | np.uint64(1)
-    for s, seed in enumerate(text.seeded(samples, 23)):
+    for s, seed in enumerate(text.seeded(samples, 23 + 100 * level)):
         value = text.mix(label ^ seed)
         found = []
         for j in range(picked):
@@ -66,30 +78,20 @@ def sketches(w: text.Words, k: int = SHINGLE, samples: int = SAMPLES, picked: in
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    """Whether two sequences of shingles are similar in order."""
-    return distance(a, b, similarity) is not None
-
-
-def rooms(total, similarity: float = SIMILARITY):
-    """Shingles of two similar sequences, ``total`` long together, that may stay unaligned."""
-    return total - 2 * np.ceil(similarity * total / (1 + similarity) - 1e-9).astype(np.int64)
+    """Whether two sequences are similar in order: m / (len(a) + len(b) - m) reaches
+    ``similarity``, with m the length of their longest common subsequence.
 
-
-def distance(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> int | None:
-    """How many shingles of two similar sequences stay unaligned; None if they are not similar.
-
-    The longest common subsequence, m long, is found by alignment within a band.
-    The similarity is m / (len(a) + len(b) - m). To reach the threshold, at most
-    ``room`` shingles may stay unaligned, so a path leaves the main diagonal by no
-    more than that: the band is exact.
+    At most ``room`` items of both may then stay unaligned, so a path leaves the main
+    diagonal by no more than that. Narrower bands are tried first: what they align is a
+    lower bound, which mostly settles it. The widest one is exact.
     """
     total = len(a) + len(b)
     if not len(a) or not len(b):
-        return None if total else 0
-    room = int(rooms(np.int64(total), similarity))
+        return not total
+    room = int(total - 2 * np.ceil(similarity * total / (1 + similarity) - 1e-9))
     least = (total - room) // 2
     if abs(len(a) - len(b)) > room or min(len(a), len(b)) < least:
-        return None
+        return False
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     head = int(differ[0]) if len(differ) else n
@@ -99,67 +101,96 @@ def distance(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> in
     tail = int(differ[0]) if len(differ) else n
     a, b = a[: len(a) - tail], b[: len(b) - tail]
     need = least - head - tail
-    if min(len(a), len(b)) < need or need > 0 and _common(a, b) < need:
-        return None
-    # Columns of the alignment as bits of one number: bit i falls when the best path to
-    # shingle i of ``a`` gains one. Only shingles within the band can match.
+    if need <= 0:
+        return True
+    if min(len(a), len(b)) < need or _common(a, b) < need:
+        return False
     where: dict[int, list[int]] = {}
     for i, x in enumerate(a.tolist()):
         where.setdefault(x, []).append(i)
-    # Only what stands in many places gets a number of its own.
-    masks = {x: sum(1 << i for i in at) for x, at in where.items() if len(at) > MANY_PLACES}
-    bits = full = (1 << len(a)) - 1
-    band = (1 << (2 * room + 1)) - 1
-    for j, x in enumerate(b.tolist()):
+    columns = b.tolist()
+    band = min(FIRST_BAND, room)
+    while banded(where, len(a), columns, band) < need:
+        if band == room:
+            return False
+        band = min(4 * band, room)
+    return True
+
+
+def banded(where: dict[int, list[int]], n: int, columns: list[int], band: int) -> int:
+    """Longest common subsequence of two sequences with matches at most ``band`` off the
+    main diagonal. ``where`` has the places of each item of the first one, ``n`` long.
+
+    Columns of the alignment are bits of one number, which holds the band only: bit i falls
+    when the best path to item ``low + i`` gains one. Bits that leave the band are counted.
+    """
+    # Items in many places of a wide band are found by one shift each.
+    masks = {}
+    if band > MANY_PLACES:
+        masks = {x: sum(1 << i for i in at) for x, at in where.items() if len(at) > MANY_PLACES}
+    width = 2 * band + 1
+    full = bits = (1 << width) - 1
+    low = gained = 0
+    for j, x in enumerate(columns):
+        if j > band:
+            gained += not bits & 1
+            bits = bits >> 1 | 1 << (width - 1)
+            low += 1
         if x in masks:
-            match = masks[x] & (band << (j - room) if j >= room else band >> (room - j))
+            match = masks[x] >> low & (1 << (j + band - low + 1)) - 1
         else:
             match = 0
-            for i in where.get(x, ()):
-                if abs(i - j) <= room:
-                    match |= 1 << i
+            at = where.get(x, ())
+            for k in range(bisect_left(at, low), len(at)):
+                if at[k] > j + band:
+                    break
+                match |= 1 << (at[k] - low)
         if match:
             hit = bits & match
             bits = ((bits + hit) | (bits - hit)) & full
-    found = len(a) - bits.bit_count()
-    return total - 2 * (head + tail + found) if found >= need else None
+    return gained + width - bits.bit_count()
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """Shingles that both have, with repeats: no alignment has more."""
+    """Items that both have, with repeats: no alignment has more."""
     x, n = np.unique(a, return_counts=True)
     y, m = np.unique(b, return_counts=True)
     _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     return int(np.minimum(n[i], m[j]).sum())
 
 
-def _sketch(batches):
-    for batch in text.blocks(batches, "text"):
-        w = text.words(text.encoded(batch.column("text")))
-        keys = sketches(w).view(np.int64)
-        flat = pa.array(keys.reshape(-1))
-        offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * SAMPLES)
-        length = np.maximum(np.diff(w.first) - SHINGLE + 1, np.diff(w.first) > 0)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("row"),
-                batch.column("same"),
-                pa.ListArray.from_arrays(offsets, flat),
-                pa.array(length.astype(np.int64)),
-            ],
-            names=["row", "same", "keys", "length"],
-        )
+def _sketch(level: int):
+    """A function that adds the sketches of a level to batches of texts."""
+
+    def add(batches):
+        for batch in text.blocks(batches, "text"):
+            w = text.words(text.encoded(batch.column("text")))
+            keys = sketches(w, *(FINE if level else ()), level=level).view(np.int64)
+            flat = pa.array(keys.reshape(-1))
+            offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1])
+            rest = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(n) for n in rest),
+                    pa.ListArray.from_arrays(offsets, flat),
+                    pa.array(np.diff(w.first).astype(np.int64)),
+                ],
+                names=[*rest, "keys", "length"],
+            )
+
+    return add
+
+
+def _word_lists(column: pa.Array) -> list[np.ndarray]:
+    """The words of each text as 64-bit hashes."""
+    w = text.words(text.encoded(column))
+    return [w.hash[i:j] for i, j in zip(w.first, w.first[1:])]
 
 
 def _verify(batches):
-    """Pairs whose texts align; both sides' shingles are made anew from the whole texts."""
+    """Pairs whose texts align, word by word over the whole texts."""
     for batch in text.blocks(batches, "text_a", "text_b"):
-        sides = []
-        for name in ("text_a", "text_b"):
-            w = text.words(text.encoded(batch.column(name)))
-            shingle, doc, _ = text.shingles(w, SHINGLE)
-            bounds = np.searchsorted(doc, np.arange(w.n_docs + 1))
-            sides.append([shingle[i:j] for i, j in zip(bounds, bounds[1:])])
+        sides = [_word_lists(batch.column(name)) for name in ("text_a", "text_b")]
         good = [aligned(a, b) for a, b in zip(*sides)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("a"), batch.column("b"), pa.array(good, pa.bool_())], names=["a", "b", "good"]
@@ -167,155 +198,150 @@ def _verify(batches):
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of row numbers with ``good``: whether their texts align."""
+    """Of pairs (a, b) of row numbers, those whose texts align."""
     left = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_verify, "a long, b long, good boolean")
-
-
-def similar_pairs(sequences: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of pairs of places in ``sequences``, those that are similar.
-
-    The number of unaligned shingles is a metric. So when a sequence has been aligned with
-    its partners, two of them that are near enough to it are similar without an alignment
-    of their own; pairs that this does not settle are aligned.
-    """
-    size = np.array([len(s) for s in sequences], np.int64)
-    good: list[tuple[np.ndarray, np.ndarray]] = [(a[:0], b[:0])]
-    while len(a):
-        pivot = int(np.argmax(np.bincount(a, minlength=len(size)) + np.bincount(b, minlength=len(size))))
-        own = (a == pivot) | (b == pivot)
-        away = np.full(len(size), np.inf)
-        for other in (a[own] + b[own] - pivot).tolist():
-            found = distance(sequences[pivot], sequences[other])
-            away[other] = np.inf if found is None else found
-        away[pivot] = 0
-        through = away[a] + away[b]
-        near = np.where(own, through < np.inf, through <= rooms(size[a] + size[b]))
-        good.append((a[near], b[near]))
-        rest = ~(near | own)
-        a, b = a[rest], b[rest]
-    return np.concatenate([g[0] for g in good]), np.concatenate([g[1] for g in good])
+    met = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    checked = met.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long, good boolean")
+    return checked.filter("good").select("a", "b")
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    """Links between the classes of two blocks of a bucket, or within one: of each class that
-    has any, their number and the lowest class that they lead to.
-
-    A pair that shares several large buckets is counted in the one of the lowest sample.
-    """
+    """Links that connect the classes of two blocks of a family, or of one. Pairs that share a
+    sample are aligned, those that share most first, unless they are connected by then."""
     table = table.combine_chunks().sort_by("class")
-    name = table["class"].to_numpy()
-    part, length = table["own"].to_numpy(), table["length"].to_numpy()
-    keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(name), SAMPLES)
-    mask, sample = table["large"].to_numpy(), table["sample"][0].as_py()
-    within = table["lo"][0] == table["hi"][0]
-    agree = np.zeros((len(name), len(name)), np.uint8)
-    todo = np.triu(np.ones(agree.shape, bool), 1)
-    if not within:
+    names, first = table["class"].to_pylist(), table["root"].to_pylist()
+    part = table["own"].to_numpy()
+    keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(names), -1)
+    agree = np.zeros((len(names), len(names)), np.uint8)
+    for s in range(keys.shape[1]):
+        agree += keys[:, s][:, None] == keys[:, s][None, :]
+    _, group = np.unique(first, return_inverse=True)
+    todo = np.triu(agree > 0, 1) & (group[:, None] != group[None, :])
+    if table["lo"][0] != table["hi"][0]:
         todo &= part[:, None] != part[None, :]
-    for s in range(SAMPLES):
-        same = keys[:, s][:, None] == keys[:, s][None, :]
-        agree += same
-        if s == sample:
-            todo &= same
-        elif s < sample:
-            todo &= ~(same & (mask >> s & 1).astype(bool)[:, None])
-    todo &= agree >= AGREEING
     a, b = np.nonzero(todo)
-    fits = np.minimum(length[a], length[b]) >= SIMILARITY * (1 - 1e-9) * np.maximum(length[a], length[b])
-    a, b = a[fits], b[fits]
+    order = np.argsort(-agree[a, b].astype(np.int16), kind="stable")
     used = np.unique(np.concatenate((a, b)))
-    root = np.arange(len(name))
-    links = np.zeros(len(name), np.int64)
-    if len(used):
-        w = text.words(text.encoded(table["text"].combine_chunks().take(pa.array(used))))
-        shingle, doc, _ = text.shingles(w, SHINGLE)
-        bounds = np.searchsorted(doc, np.arange(w.n_docs + 1))
-        sequences = [shingle[i:j] for i, j in zip(bounds, bounds[1:])]
-        a, b = (used[x] for x in similar_pairs(sequences, np.searchsorted(used, a), np.searchsorted(used, b)))
-        links = np.bincount(a, minlength=len(name)) + np.bincount(b, minlength=len(name))
-        before = None
-        while before is None or (before != root).any():
-            before = root.copy()
-            np.minimum.at(root, a, before[b])
-            np.minimum.at(root, b, before[a])
-            root = root[root]
-    some = links > 0
-    return pa.table(
-        [pa.array(name[some]), pa.array(name[root[some]]), pa.array(links[some].astype(np.int64))],
-        names=["a", "b", "n"],
-    )
+    words = dict(zip(used.tolist(), _word_lists(table["text"].combine_chunks().take(pa.array(used)))))
+    root = list(range(len(names)))  # of groups
+
+    def find(r):
+        while root[r] != r:
+            root[r] = r = root[root[r]]
+        return r
 
+    links = []
+    for i, j in zip(a[order].tolist(), b[order].tolist()):
+        x, y = find(group[i]), find(group[j])
+        if x != y and aligned(words[i], words[j]):
+            root[x] = y
+            links.append((names[i], names[j]))
+    return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-def large_links(shared: DataFrame, info: DataFrame, texts: DataFrame) -> DataFrame:
-    """What the large buckets link: (``a``, ``b``, ``n``), a class, one that it leads to and
-    the number of its links; a class may have several rows.
 
-    The classes of a bucket are dealt into blocks, and each two blocks are a group. So a
-    class is sent as often as its bucket has blocks, and no row is made for a pair.
+def family_links(near: DataFrame, links: DataFrame, keys: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) that connect classes of families, which ``near`` (a, b) tells of.
+
+    A class is in one family only, however many buckets tell so. The classes of a family
+    are dealt into blocks, and each two blocks are a group: a class is sent once for each block.
     """
-    parts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    family = connected(near, scratch.sub("families")).select(F.col("node").alias("class"), F.col("root").alias("family"))
+    rows = _rooted(scratch.keep(family, "family"), links, scratch.sub("family-roots"))
+    ends = rows.groupBy("family").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("n"))
     dealt = (
-        shared.filter(F.col("n") > SMALL_BUCKET)
-        .select("bucket", "sample", "class", parts.alias("parts"))
+        rows.join(ends.filter("_lo <> _hi").hint("merge"), "family")
+        .withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("class", F.lit(1)), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
-            "bucket", "sample", "class", "own",
+            "family", "class", "root", "own",
             F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
         )
     )
-    rows = dealt.join(info, "class").join(texts.withColumnRenamed("row", "class").hint("merge"), "class")
-    # By number: the work grows faster than the bytes, by which small partitions are merged.
-    tasks = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = rows.repartition(tasks, "bucket", "lo", "hi").groupBy("bucket", "lo", "hi")
-    return groups.applyInArrow(_compare, "a long, b long, n long")
-
-
-def small_pairs(shared: DataFrame, info: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes of small buckets that are to be aligned."""
-    few = shared.filter(F.col("n") <= SMALL_BUCKET).select("bucket", "class")
-    pairs = (
-        few.join(few.select("bucket", F.col("class").alias("other")), "bucket")
-        .filter("class < other")
-        .select(F.col("class").alias("a"), F.col("other").alias("b"))
-        .dropDuplicates()
-    )
-    x, y = (info.select(*(F.col(c).alias(f"{c}_{e}") for c in info.columns)) for e in "ab")
-    same = F.zip_with("keys_a", "keys_b", lambda p, q: p == q)
-    agree = F.aggregate(same, F.lit(0), lambda s, e: s + e.cast("int"))
-    # Pairs that share a large bucket are compared there.
-    wide = F.exists(
-        F.transform(same, lambda e, i: e & (F.call_function("getbit", F.col("large_a"), i) == 1)), lambda e: e
-    )
-    return (
-        pairs.join(x.withColumnRenamed("class_a", "a"), "a")
-        .join(y.withColumnRenamed("class_b", "b"), "b")
-        .filter(F.least("length_a", "length_b") >= SIMILARITY * (1 - 1e-9) * F.greatest("length_a", "length_b"))
-        .filter((agree >= AGREEING) & ~wide)
-        .select("a", "b")
-    )
+    met = dealt.join(keys.hint("merge"), "class").join(texts.withColumnRenamed("row", "class").hint("merge"), "class")
+    tasks = int(near.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = met.repartition(tasks, "family", "lo", "hi").groupBy("family", "lo", "hi")
+    return groups.applyInArrow(_compare, "a long, b long")
+
+
+def _pairs(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def leader_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of each class with the leader of its bucket, where they are not connected yet.
+
+    The leader is the class with the lowest hash: so the buckets of a family mostly have
+    the same one, and a class meets few. One row for each class of a bucket, whatever its size.
+    """
+    order = F.xxhash64("class", F.lit(3))
+    lead = rows.groupBy("bucket").agg(F.min(F.struct(order.alias("_h"), "class", "root")).alias("_lead"))
+    met = rows.join(lead.hint("merge"), "bucket").filter("root <> _lead.root")
+    return met.select(*_pairs(F.col("class"), F.col("_lead.class"))).dropDuplicates()
+
+
+def judged(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of large buckets with their leader and whether the bucket is a family's: most of its
+    classes then agree with the leader in several samples. A passage that many
+    dissimilar texts share brings them together in few."""
+    met = rows.join(keys.hint("merge"), "class")
+    lead = met.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("class", F.lit(3)).alias("_h"), "class", "keys")).alias("_lead"))
+    same = F.size(F.filter(F.zip_with("keys", "_lead.keys", lambda a, b: a == b), lambda e: e))
+    told = met.join(lead.hint("merge"), "bucket").select(
+        "bucket", "class", "root", "n", "parent",
+        F.col("_lead.class").alias("lead"), (same >= ALIKE).cast("int").alias("_alike"),
+    )
+    # A cut that leaves most of a bucket together has found a family too.
+    whole = F.max("n") > FAMILY * F.max("parent")
+    share = told.groupBy("bucket").agg(((F.avg("_alike") >= FAMILY) | F.coalesce(whole, F.lit(False))).alias("family"))
+    return told.drop("_alike").join(share.hint("merge"), "bucket")
+
+
+def cross_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs of classes of a small bucket that are not connected."""
+    other = rows.select("bucket", F.col("class").alias("other"), F.col("root").alias("other_root"))
+    met = rows.join(other.hint("merge"), "bucket").filter("class < other AND root <> other_root")
+    return met.select(F.col("class").alias("a"), F.col("other").alias("b")).dropDuplicates()
+
+
+def _rooted(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rows`` with the ``root`` of each class: the lowest of those that links connect."""
+    label = connected(links, scratch).withColumnRenamed("node", "class").withColumnRenamed("root", "_root")
+    return rows.join(label.hint("merge"), "class", "left").withColumn("root", F.coalesce("_root", "class")).drop("_root")
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets whose classes are not all connected."""
+    ends = rows.groupBy("bucket").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"))
+    return rows.join(ends.filter("_lo <> _hi").select("bucket").hint("merge"), "bucket")
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    """(``bucket``, ``class``) with the number of classes ``n``, without buckets of one."""
+    company = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    return rows.join(company.hint("merge"), "bucket")
 
 
 def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal texts (``row``, ``class``), and what links similar ones: (``a``,
-    ``b``, ``n``), a class, one that it is connected with, and the number of its links. The
-    links of a class are the sum of its ``n``. ``stored`` has ``row`` and ``text``.
+    """Classes of equal texts (``row``, ``class``), and links (``a``, ``b``) that connect
+    similar ones. ``stored`` has ``row`` and ``text``.
 
     1. Every text gets its sketch. Equal texts become one class, named by its lowest
-       row number.
-    2. Classes with an equal sample share a bucket.
-    3. All classes of a bucket are compared with each other, whatever its size. Pairs that
-       agree in fewer than ``AGREEING`` samples or whose lengths rule the similarity out
-       are passed over; the others are aligned, or settled by alignments with a third.
-    4. Pairs of buckets of up to ``SMALL_BUCKET`` classes are rows of a join; larger buckets
-       are cut into blocks, which are compared two by two without a row for a pair.
+       row number. Classes with an equal sample share a bucket.
+    2. Each class of a bucket is aligned with the bucket's leader: as many pairs as classes.
+       That connects families of similar texts.
+    3. In small buckets, pairs that are not connected then are all aligned.
+    4. Of larger ones, those that hold a family of alike texts make up one group with all others
+       that share its classes; its pairs that are not connected are compared in blocks.
+    5. The rest hold dissimilar texts that share a passage. They get fresh samples, and
+       classes that share the bucket and a fresh sample share a bucket of the next
+       level: dissimilar texts rarely agree again, similar ones mostly do.
     """
     same = F.sha2("text", 256).alias("same")
     sketch = scratch.keep(
         stored.select("row", same, "text").mapInArrow(
-            _sketch, "row long, same string, keys array<long>, length long"
+            _sketch(0), "row long, same string, keys array<long>, length long"
         ),
         "sketch",
     )
@@ -328,25 +354,47 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     )
     member = sketch.select("row", "same").join(classes.select("same", "class"), "same")
     member = scratch.keep(member.select("row", "class"), "members")
-    every = classes.select("class", "_s.length", "_s.keys").filter("length > 0")
-    wide = every.select("class", "length", F.posexplode("keys").alias("sample", "key"))
-    wide = wide.select("class", "length", "sample", F.xxhash64("sample", "key").alias("bucket"))
-    company = wide.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("length").alias("total"))
-    company = scratch.keep(company.filter("n > 1"), "company")
-    shared = scratch.keep(wide.drop("length").join(company, "bucket"), "shared")
-    size = shared.count()  # from the files' footers
-    # Of each class, the samples whose buckets are large, as bits.
-    large = F.expr(f"bit_or(if(n > {SMALL_BUCKET}, shiftleft(1L, sample), 0L))").alias("large")
-    several = scratch.keep(shared.groupBy("class").agg(large), "several", rows=size)
+    every = classes.select("class", F.posexplode("_s.keys").alias("sample", "key")).filter("key <> 0")
+    buckets = every.select("class", F.xxhash64("sample", "key").alias("bucket"))
+    shared = scratch.keep(_sized(buckets), "shared-0")
     # As many as there are copies: a side that grows with the input, not to be broadcast.
-    row = several.select(F.col("class").alias("row"))
-    texts = scratch.keep(stored.select("row", "text").join(row.hint("merge"), "row"), "texts")
-    info = scratch.keep(every.join(several, "class"), "info", rows=size)
-    good = verified(small_pairs(shared, info), texts).filter("good").select("a", "b")
-    good = scratch.keep(good, "small-links")
-    one = F.lit(1).cast("long").alias("n")
-    both = good.select("a", "b", one).unionAll(good.select("b", "a", one))
-    return member, both.unionAll(scratch.keep(large_links(shared, info, texts), "large-links"))
+    wanted = scratch.keep(shared.select(F.col("class").alias("row")).dropDuplicates(), "wanted")
+    texts = scratch.keep(stored.select("row", "text").join(wanted.hint("merge"), "row"), "texts")
+    links = wanted.sparkSession.createDataFrame([], "a long, b long")
+    near = links
+    first = None
+    rows = shared.select("*", F.col("class").alias("root"), F.lit(None).cast("long").alias("parent"))
+    level = 0
+    while True:
+        found = scratch.keep(verified(leader_pairs(rows), texts), f"led-{level}")
+        links = links.unionAll(found)
+        # Of two classes the only pair has been aligned.
+        larger = _rooted(rows.filter("n > 2").drop("root"), links, scratch.sub(f"roots-{level}"))
+        apart = scratch.keep(_apart(larger), f"apart-{level}")
+        small, large = (apart.filter(f"n {sign} {SMALL_BUCKET}") for sign in ("<=", ">"))
+        links = links.unionAll(scratch.keep(verified(cross_pairs(small), texts), f"crossed-{level}"))
+        if large.isEmpty():
+            break
+        large = large.select("bucket", "class", "root", "n", "parent")
+        level += 1
+        fresh = texts.join(large.select(F.col("class").alias("row")).dropDuplicates().hint("merge"), "row")
+        fresh = fresh.mapInArrow(_sketch(level), "row long, keys array<long>, length long")
+        keys = scratch.keep(fresh.select(F.col("row").alias("class"), "keys"), f"fresh-{level}")
+        first = first or keys
+        told = scratch.keep(judged(large, keys), f"judged-{level}")
+        family = F.col("family") if level <= LEVELS else F.lit(True)
+        near = near.unionAll(told.filter(family).select(F.col("class").alias("a"), F.col("lead").alias("b")))
+        cut = (
+            told.filter(~family)
+            .select("bucket", "class", "root", "n")
+            .join(keys.hint("merge"), "class")
+            .select("bucket", "class", "root", F.col("n").alias("parent"), F.posexplode("keys").alias("sample", "key"))
+            .select(F.xxhash64("bucket", "sample", "key").alias("bucket"), "class", "root", "parent")
+        )
+        rows = scratch.keep(_sized(cut), f"shared-{level}")
+    if first is None:
+        return member, links
+    return member, links.unionAll(scratch.keep(family_links(near, links, first, texts, scratch), "family-links"))
 
 
 def near_duplicates(
@@ -354,17 +402,18 @@ def near_duplicates(
 ) -> DataFrame:
     """Rows with their class of equal texts and their group of near duplicates.
 
-    Texts are sequences of five-word shingles (words are parted by white space; a
-    text of 1 to 4 words is one shingle). Two are near duplicates if a longest common
-    subsequence of m shingles gives m / (n1 + n2 - m) >= 0.8. Groups are
-    connected by such pairs and by equality.
+    Texts are sequences of words, which are parted by white space. Two are near duplicates if
+    a longest common subsequence of m words gives m / (n1 + n2 - m) >= 0.8 and their
+    sketches, samples of five-word shingles (a text of 1 to 4 words is one), meet: that is
+    likely, see ``near_links``, but for texts of a few words, where one change leaves no shingle.
+    Groups are connected by such pairs and by equality.
 
-    A null text counts as empty. Texts without words are similar to equal ones only.
+    A null text counts as empty. Texts without words are similar to equal ones only. An empty
+    table gives none; further columns are kept only as ``carry``.
     Repeated rows are rows of their own, ids may be null; no two rows of a group are
     kept. The row with the lowest ``order`` (null is last), then the lowest number, stays.
     Returns ``row``, the ``carry`` columns as ``_carry``, ``text``, ``class`` and ``group``
-    (row numbers), ``n_links`` (classes that the row's class is linked to by an
-    alignment), ``group_size`` and ``kept``.
+    (row numbers), ``group_size``, ``kept`` and ``keep_id``.
     """
     scratch = scratch or Scratch(docs.sparkSession, "near")
     columns = dict.fromkeys([order, *carry])
@@ -377,17 +426,8 @@ def near_duplicates(
         "rows",
     )
     member, links = near_links(stored.select("row", "text"), scratch)
-    root = connected(links, scratch).select(F.col("node").alias("class"), F.col("root").alias("_root"))
-    degree = links.groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("_links"))
-    linked = scratch.keep(root.join(degree, "class"), "linked", rows=links.count())
-    grouped = scratch.keep(
-        member.join(linked, "class", "left").select(
-            "row", "class",
-            F.coalesce("_root", "class").alias("group"),
-            F.coalesce("_links", F.lit(0)).alias("n_links"),
-        ),
-        "grouped",
-    )
+    grouped = _rooted(member, links, scratch.sub("groups")).select("row", "class", F.col("root").alias("group"))
+    grouped = scratch.keep(grouped, "grouped")
     # A null id comes after all others.
     key = F.col(f"_carry.`{order}`")
     rank = F.struct(key.isNull().alias("_null"), key.alias("_id"), "row")
@@ -399,7 +439,7 @@ def near_duplicates(
     )
     verdict = scratch.keep(
         grouped.join(best, "group").select(
-            "row", "class", "group", "n_links", "group_size",
+            "row", "class", "group", "group_size",
             (F.col("row") == F.col("_best.row")).alias("kept"),
             F.col("_best._id").alias("keep_id"),
         ),
@@ -407,5 +447,5 @@ def near_duplicates(
     )
     # The texts meet all that is known of them in one join.
     return stored.join(verdict.hint("merge"), "row").select(
-        "row", "_carry", "text", "class", "group", "n_links", "group_size", "kept", "keep_id"
+        "row", "_carry", "text", "class", "group", "group_size", "kept", "keep_id"
     )

@@ -67,17 +67,17 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of equal texts and its group of near duplicates.
 
-    ``class_id`` is the lowest ``doc_id`` with that text, ``n_links`` the number of other
-    classes that it is linked to, ``keep_id`` the document of the group that stays.
+    ``class_id`` is the lowest ``doc_id`` with that text, ``keep_id`` the document of the group
+    of near duplicates that stays: it names the group.
     """
     scratch = Scratch(spark, "op3")
     rows = near_duplicates(table(spark, sf_dir, "documents"), scratch=scratch)
     rows = scratch.keep(
-        rows.select("_carry.doc_id", "class", "n_links", "keep_id", "group_size", "kept"), "result"
+        rows.select("_carry.doc_id", "class", "keep_id", "group_size", "kept"), "result"
     )
     names = scratch.keep(rows.groupBy("class").agg(F.min("doc_id").alias("class_id")), "names")
     return rows.join(names, "class").select(
-        "doc_id", "class_id", "n_links", "keep_id", "group_size", "kept"
+        "doc_id", "class_id", "keep_id", "group_size", "kept"
     )
 
 

@@ -47,6 +47,12 @@ class Scratch:
         writer.parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
+    def sub(self, name: str) -> Scratch:
+        """A folder inside this one, for steps that name their tables alike."""
+        inner = object.__new__(Scratch)
+        inner.spark, inner.path = self.spark, f"{self.path}/{name}"
+        return inner
+
     def drop(self, *names: str) -> None:
         """Delete tables, or the whole folder if none is named."""
         for path in [f"{self.path}/{n}" for n in names] or [self.path]:
