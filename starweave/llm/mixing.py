@@ -267,7 +267,8 @@ def mixed_pieces(
     )
     n = F.least("hi", F.col("block") * b + F.col("take")) - F.col("lo")
     slots = block_plan(spark, draw)
-    pieces = cut.join(slots, ["s", "block"]).select(
+    # The slots grow with the corpus, which Spark cannot see in the range that they come from.
+    pieces = cut.join(slots.hint("merge"), ["s", "block"]).select(
         "row", "epoch", (F.col("lo") - F.col("start")).alias("word"), n.alias("n")
     )
     return places, sized, sources, pieces.filter("n > 0")

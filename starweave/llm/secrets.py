@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starweave.llm.scratch import Scratch
 
@@ -41,61 +41,52 @@ NEEDS = {
 }
 
 
-def spans_of(body: Column, pattern: str, kind: str) -> Column:
-    """Array of (kind, start, end) of a pattern's matches, leftmost and non-overlapping.
+def pieces_of(body: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
+    """Matches of a pattern, leftmost and non-overlapping, as (kind, before, length, ok).
 
     Splitting by the pattern gives the text between the matches, extracting the matches
-    themselves; places are the sums of their lengths, in code points.
+    themselves; ``before`` is the length of the text since the match before, in code points. ``ok``
+    tells whether ``group`` is ``least`` characters long: matches that are not use up text all the same.
     """
     between = F.transform(F.split(body, pattern, -1), F.length)
     inside = F.transform(F.regexp_extract_all(body, F.lit(pattern), F.lit(0)), F.length)
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-    walk = F.aggregate(
-        F.arrays_zip(between.alias("b"), inside.alias("n")),
-        first,
-        lambda s, x: F.when(x["n"].isNull(), s).otherwise(
-            F.struct(
-                (s["at"] + x["b"] + x["n"]).alias("at"),
-                F.concat(
-                    s["out"],
-                    F.array(
-                        F.struct(
-                            (s["at"] + x["b"]).alias("start"), (s["at"] + x["b"] + x["n"]).alias("end")
-                        )
-                    ),
-                ).alias("out"),
-            )
+    ok = F.transform(F.regexp_extract_all(body, F.lit(pattern), F.lit(group)), lambda v: F.length(v) >= least)
+    zipped = F.arrays_zip(between.alias("b"), inside.alias("n"), ok.alias("ok"))
+    named = F.transform(
+        F.filter(zipped, lambda x: x["n"].isNotNull()),
+        lambda x: F.struct(
+            F.lit(kind).alias("kind"), x["b"].alias("before"), x["n"].alias("length"), x["ok"].alias("ok")
         ),
-        lambda s: s["out"],
     )
-    named = F.transform(walk, lambda x: F.struct(F.lit(kind).alias("kind"), x["start"], x["end"]))
-    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    none = F.array().cast("array<struct<kind:string,before:int,length:int,ok:boolean>>")
     # Most texts have no match; one search tells.
     return F.when(body.rlike(pattern), named).otherwise(none)
 
 
-def base_spans(body: Column) -> Column:
-    """Spans of the base rules.
+def candidate_pieces(body: Column) -> Column:
+    """Matches of the base rules and weak candidates of a text.
 
     A run of hexadecimal digits is matched as a whole, so its least length can be part of the
-    pattern. The other two kinds drop short matches afterwards: these use up text.
+    pattern. The other base kinds drop short matches afterwards.
     """
-    value = F.transform(
-        F.regexp_extract_all(body, F.lit(ASSIGN), F.lit(1)), lambda v: F.length(v) >= ASSIGNED
-    )
-    assign = F.filter(
-        F.arrays_zip(spans_of(body, ASSIGN, "assign").alias("s"), value.alias("ok")),
-        lambda x: x["s"].isNotNull() & x["ok"],
+    return F.concat(
+        pieces_of(body, ASSIGN, "assign", 1, ASSIGNED),
+        pieces_of(body, ACCESS, "access", 0, ACCESS_CHARS),
+        pieces_of(body, HEX, "hex"),
+        *(pieces_of(body, p, k) for k, p in WEAK.items()),
     )
-    access = F.filter(
-        spans_of(body, ACCESS, "access"), lambda x: x["end"] - x["start"] >= ACCESS_CHARS
-    )
-    return F.concat(F.transform(assign, lambda x: x["s"]), access, spans_of(body, HEX, "hex"))
 
 
-def candidate_spans(body: Column) -> Column:
-    """Base spans and weak candidates of a text."""
-    return F.concat(base_spans(body), *(spans_of(body, p, k) for k, p in WEAK.items()))
+def spans_of(found: DataFrame) -> DataFrame:
+    """Spans (``row``, ``kind``, ``start``, ``end``) from rows with their ``pieces``.
+
+    Places are running sums over the matches of a text and kind, so the work is that of
+    sorting them: a text with very many matches costs no more for each.
+    """
+    each = found.filter(F.size("pieces") > 0).select("row", F.posexplode("pieces").alias("at", "_p"))
+    before = Window.partitionBy("row", "_p.kind").orderBy("at")
+    placed = each.withColumn("end", F.sum(F.col("_p.before") + F.col("_p.length")).over(before).cast("int"))
+    return placed.filter("_p.ok").select("row", "_p.kind", (F.col("end") - F.col("_p.length")).alias("start"), "end")
 
 
 def linked(spans: DataFrame, needs: Mapping[str, tuple[str, ...]] = NEEDS, scope: int = SCOPE) -> DataFrame:
@@ -153,21 +144,24 @@ def find_secrets(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     and the weak parts that are linked), both in order of start, then kind as listed.
 
     Whole texts are searched; a null text counts as empty. Repeated rows are rows of
-    their own. The texts are read once; only spans are stored, joined and shuffled.
+    their own, an empty table gives none, further columns go along in ``_row``. The texts
+    are read once; only spans are stored, joined and shuffled.
     """
     scratch = scratch or Scratch(docs.sparkSession, "secrets")
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(0).alias("_")]
     found = scratch.keep(
         docs.select(
             F.monotonically_increasing_id().alias("row"),
-            F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("_row"),
-            candidate_spans(body).alias("all"),
+            F.struct(*rest).alias("_row"),
+            candidate_pieces(body).alias("pieces"),
         ),
-        "spans",
+        "pieces",
     )
-    each = found.filter(F.size("all") > 0).select("row", F.explode("all").alias("_s"))
-    links = linked(each.select("row", "_s.*"))
-    more = links.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("linked"))
+    each = scratch.keep(spans_of(found.select("row", "pieces")), "spans")
+    weak = linked(each).select("row", "kind", "start", "end")
+    wanted = each.filter(F.col("kind").isin(*BASE)).unionAll(weak)
+    listed = wanted.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("all"))
     order = F.create_map(*(F.lit(x) for i, k in enumerate((*BASE, *WEAK)) for x in (k, i)))
     sort = lambda spans: F.transform(
         F.array_sort(
@@ -180,12 +174,13 @@ def find_secrets(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
         ),
         lambda x: F.struct(x["kind"], x["start"], x["end"]),
     )
-    base = F.filter("all", lambda x: x["kind"].isin(*BASE))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    return found.join(more, "row", "left").select(
+    every = found.select("row", "_row").join(listed, "row", "left")
+    every = every.select("_row", F.coalesce("all", none).alias("all"))
+    return every.select(
         "_row",
-        sort(base).alias("base"),
-        sort(F.concat(base, F.coalesce("linked", none))).alias("spans"),
+        sort(F.filter("all", lambda x: x["kind"].isin(*BASE))).alias("base"),
+        sort(F.col("all")).alias("spans"),
     )
 
 

@@ -277,9 +277,9 @@ def transform(df: DataFrame, w: Whitening, vector: str = "embedding") -> DataFra
     number; ``whitened`` has a number for each component. Repeated rows are rows of their own, in a
     table without usable vectors there are none.
     """
-    rest = [c for c in df.columns if c != vector]
+    rest = [F.col(f"`{c}`") for c in df.columns if c != vector] or [F.lit(0).alias("_")]
     rows = df.select(
-        F.struct(*(F.col(f"`{c}`") for c in rest), F.lit(0).alias("_")).alias("_row"),
+        F.struct(*rest).alias("_row"),
         F.col(f"`{vector}`").cast("array<double>").alias("vector"),
     )
     kind = rows.schema["_row"].dataType.simpleString()

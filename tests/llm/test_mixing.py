@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from starweave.llm import mixing
 from starweave.llm.mixing import Draw, Permutation, mix_counts, mix_documents, shares
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,3 +102,15 @@ def test_empty_tables(docs):
     assert mix_counts(docs()).count() == 0
     assert mix_documents(docs()).count() == 0
     assert mix_counts(docs((1, None), (2, " "))).select("taken").distinct().collect() == [(0,)]
+
+
+def test_slots_are_not_broadcast(spark, docs, scratch):
+    """They grow with the corpus, while Spark takes their range for a small one."""
+    from tests.conftest import plan
+
+    made = docs(*((i, "a b c d") for i in range(50)))
+    *_, pieces = mixing.mixed_pieces(made, scratch)
+    text = plan(pieces)
+    at = text.index("MapInArrow")
+    above = [line for line in text[:at].splitlines() if "Join" in line or "BroadcastExchange" in line]
+    assert "SortMergeJoin" in above[0] and "BroadcastExchange" not in above[-1]

@@ -99,3 +99,26 @@ def test_no_python_in_the_plan(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = secrets.find_secrets(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_many_matches_of_one_text_take_time_in_proportion(spark):
+    """64,000 matches of one kind, 2 MB of text."""
+    import time
+
+    body = "password=abcdefgh12345678 xyz " * 64_000
+    spark.createDataFrame([(0, body)], "doc_id long, text string").count()
+    start = time.perf_counter()
+    (row,) = secrets.find_secrets(spark.createDataFrame([(0, body)], "doc_id long, text string")).select("base").collect()
+    assert time.perf_counter() - start < 10
+    assert len(row["base"]) == 64_000
+    assert [tuple(row["base"][i]) for i in (0, 1, 63_999)] == [
+        ("assign", 30 * i, 30 * i + 25) for i in (0, 1, 63_999)
+    ]
+
+
+def test_clashing_columns_and_empty_table(spark):
+    schema = "doc_id long, text string, row string, kind int, start long, pieces string, _ int"
+    made = spark.createDataFrame([(1, "x password=abcdefgh12", "r", 1, 2, "p", 3), (None, None, None, None, None, None, None)], schema)
+    rows = secrets.find_secrets(made).select("_row.doc_id", "_row.row", "_row.pieces", "base").collect()
+    assert sorted((r["doc_id"] or 0, r["row"] or "", len(r["base"])) for r in rows) == [(0, "", 0), (1, "r", 1)]
+    assert secrets.find_secrets(made.limit(0)).count() == 0
