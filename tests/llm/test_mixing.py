@@ -109,7 +109,7 @@ def test_slots_are_not_broadcast(spark, docs, scratch):
     from tests.conftest import plan
 
     made = docs(*((i, "a b c d") for i in range(50)))
-    *_, pieces = mixing.mixed_pieces(made, scratch)
+    *_, pieces = mixing.mixed_pieces(made, scratch, carry=["doc_id"])
     text = plan(pieces)
     at = text.index("MapInArrow")
     above = [line for line in text[:at].splitlines() if "Join" in line or "BroadcastExchange" in line]
