@@ -30,8 +30,8 @@ ALIKE, FAMILY = 2, 0.5
 #: Times that a bucket of dissimilar texts is cut by fresh samples, before what is left of it is
 #: treated like a family.
 LEVELS = 4
-#: Classes of a block.
-BLOCK = 256
+#: Classes of a block, and words of its texts, at most on the average.
+BLOCK, BLOCK_WORDS = 1024, 4_000_000
 #: Places of a word in a text from which its alignment keeps them as one number.
 MANY_PLACES = 64
 #: Half the width of the first band that an alignment tries.
@@ -198,10 +198,11 @@ def _verify(batches):
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of row numbers, those whose texts align."""
+    """Of stored pairs (a, b) of row numbers, those whose texts align. Spark knows their size, so
+    few of them do not move all texts."""
     left = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
-    met = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    met = pairs.join(left, "a").join(right, "b")
     checked = met.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long, good boolean")
     return checked.filter("good").select("a", "b")
 
@@ -248,20 +249,23 @@ def family_links(near: DataFrame, links: DataFrame, keys: DataFrame, texts: Data
     """
     family = connected(near, scratch.sub("families")).select(F.col("node").alias("class"), F.col("root").alias("family"))
     rows = _rooted(scratch.keep(family, "family"), links, scratch.sub("family-roots"))
-    ends = rows.groupBy("family").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("n"))
+    held = rows.join(keys.hint("merge"), "class").join(texts.withColumnRenamed("row", "class"), "class")
+    ends = held.groupBy("family").agg(
+        F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("n"), F.sum("length").alias("total")
+    )
+    apart = scratch.keep(ends.filter("_lo <> _hi"), "families-apart")
+    parts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_WORDS)).cast("int")
     dealt = (
-        rows.join(ends.filter("_lo <> _hi").hint("merge"), "family")
-        .withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int"))
+        held.join(apart.select("family", parts.alias("parts")), "family")
         .withColumn("own", F.pmod(F.xxhash64("class", F.lit(1)), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
-            "family", "class", "root", "own",
+            "family", "class", "root", "own", "keys", "text",
             F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
         )
     )
-    met = dealt.join(keys.hint("merge"), "class").join(texts.withColumnRenamed("row", "class").hint("merge"), "class")
     tasks = int(near.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = met.repartition(tasks, "family", "lo", "hi").groupBy("family", "lo", "hi")
+    groups = dealt.repartition(tasks, "family", "lo", "hi").groupBy("family", "lo", "hi")
     return groups.applyInArrow(_compare, "a long, b long")
 
 
@@ -281,23 +285,34 @@ def leader_pairs(rows: DataFrame) -> DataFrame:
     return met.select(*_pairs(F.col("class"), F.col("_lead.class"))).dropDuplicates()
 
 
-def judged(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of large buckets with their leader and whether the bucket is a family's: most of its
-    classes then agree with the leader in several samples. A passage that many
+def judged(rows: DataFrame) -> DataFrame:
+    """Rows of large buckets, with their keys, leader and whether the bucket is a family's: most
+    of its classes then agree with the leader in several samples. A passage that many
     dissimilar texts share brings them together in few."""
-    met = rows.join(keys.hint("merge"), "class")
-    lead = met.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("class", F.lit(3)).alias("_h"), "class", "keys")).alias("_lead"))
+    order = F.xxhash64("class", F.lit(3)).alias("_h")
+    lead = rows.groupBy("bucket").agg(F.min(F.struct(order, "class", "keys")).alias("_lead"))
     same = F.size(F.filter(F.zip_with("keys", "_lead.keys", lambda a, b: a == b), lambda e: e))
-    told = met.join(lead.hint("merge"), "bucket").select(
-        "bucket", "class", "root", "n", "parent",
+    told = rows.join(lead.hint("merge"), "bucket").select(
+        "bucket", "class", "root", "n", "parent", "keys",
         F.col("_lead.class").alias("lead"), (same >= ALIKE).cast("int").alias("_alike"),
     )
     # A cut that leaves most of a bucket together has found a family too.
-    whole = F.max("n") > FAMILY * F.max("parent")
-    share = told.groupBy("bucket").agg(((F.avg("_alike") >= FAMILY) | F.coalesce(whole, F.lit(False))).alias("family"))
+    whole = F.coalesce(F.max("n") > FAMILY * F.max("parent"), F.lit(False))
+    share = told.groupBy("bucket").agg(((F.avg("_alike") >= FAMILY) | whole).alias("family"))
     return told.drop("_alike").join(share.hint("merge"), "bucket")
 
 
+def _by_class(rows: DataFrame) -> DataFrame:
+    """A row for each class, with its buckets: what is known of classes meets one row of each."""
+    return rows.groupBy("class").agg(
+        F.min("root").alias("root"), F.collect_list(F.struct("bucket", "n", "parent")).alias("in")
+    )
+
+
+def _by_bucket(held: DataFrame, *more: str) -> DataFrame:
+    return held.select("class", "root", *more, F.inline("in"))
+
+
 def cross_pairs(rows: DataFrame) -> DataFrame:
     """All pairs of classes of a small bucket that are not connected."""
     other = rows.select("bucket", F.col("class").alias("other"), F.col("root").alias("other_root"))
@@ -364,34 +379,35 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     near = links
     first = None
     rows = shared.select("*", F.col("class").alias("root"), F.lit(None).cast("long").alias("parent"))
+    held = scratch.keep(_by_class(rows), "held-0")
     level = 0
     while True:
-        found = scratch.keep(verified(leader_pairs(rows), texts), f"led-{level}")
-        links = links.unionAll(found)
+        asked = scratch.keep(leader_pairs(_by_bucket(held)), f"leads-{level}")
+        links = links.unionAll(scratch.keep(verified(asked, texts), f"led-{level}"))
+        held = _rooted(held.drop("root"), links, scratch.sub(f"roots-{level}"))
         # Of two classes the only pair has been aligned.
-        larger = _rooted(rows.filter("n > 2").drop("root"), links, scratch.sub(f"roots-{level}"))
-        apart = scratch.keep(_apart(larger), f"apart-{level}")
+        apart = scratch.keep(_apart(_by_bucket(held).filter("n > 2")), f"apart-{level}")
         small, large = (apart.filter(f"n {sign} {SMALL_BUCKET}") for sign in ("<=", ">"))
-        links = links.unionAll(scratch.keep(verified(cross_pairs(small), texts), f"crossed-{level}"))
+        asked = scratch.keep(cross_pairs(small), f"crosses-{level}")
+        links = links.unionAll(scratch.keep(verified(asked, texts), f"crossed-{level}"))
         if large.isEmpty():
             break
-        large = large.select("bucket", "class", "root", "n", "parent")
         level += 1
-        fresh = texts.join(large.select(F.col("class").alias("row")).dropDuplicates().hint("merge"), "row")
+        held = scratch.keep(_by_class(large), f"large-{level}")
+        fresh = texts.join(held.select(F.col("class").alias("row")), "row")
         fresh = fresh.mapInArrow(_sketch(level), "row long, keys array<long>, length long")
-        keys = scratch.keep(fresh.select(F.col("row").alias("class"), "keys"), f"fresh-{level}")
+        keys = scratch.keep(fresh.withColumnRenamed("row", "class"), f"fresh-{level}")
         first = first or keys
-        told = scratch.keep(judged(large, keys), f"judged-{level}")
+        told = judged(_by_bucket(held.join(keys.hint("merge"), "class"), "keys"))
+        told = scratch.keep(told, f"judged-{level}")
         family = F.col("family") if level <= LEVELS else F.lit(True)
         near = near.unionAll(told.filter(family).select(F.col("class").alias("a"), F.col("lead").alias("b")))
         cut = (
             told.filter(~family)
-            .select("bucket", "class", "root", "n")
-            .join(keys.hint("merge"), "class")
             .select("bucket", "class", "root", F.col("n").alias("parent"), F.posexplode("keys").alias("sample", "key"))
             .select(F.xxhash64("bucket", "sample", "key").alias("bucket"), "class", "root", "parent")
         )
-        rows = scratch.keep(_sized(cut), f"shared-{level}")
+        held = scratch.keep(_by_class(_sized(cut)), f"held-{level}")
     if first is None:
         return member, links
     return member, links.unionAll(scratch.keep(family_links(near, links, first, texts, scratch), "family-links"))
