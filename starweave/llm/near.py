@@ -274,28 +274,21 @@ def _pairs(a: Column, b: Column) -> list[Column]:
 
 
 def leader_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of each class with the leader of its bucket, where they are not connected yet.
+    """Pairs of each class with the leader of its bucket, where they are not connected yet: one
+    for each class of a bucket, whatever its size."""
+    met = rows.filter("root <> lead_root")
+    return met.select(*_pairs(F.col("class"), F.col("lead"))).dropDuplicates()
 
-    The leader is the class with the lowest hash: so the buckets of a family mostly have
-    the same one, and a class meets few. One row for each class of a bucket, whatever its size.
-    """
-    order = F.xxhash64("class", F.lit(3))
-    lead = rows.groupBy("bucket").agg(F.min(F.struct(order.alias("_h"), "class", "root")).alias("_lead"))
-    met = rows.join(lead.hint("merge"), "bucket").filter("root <> _lead.root")
-    return met.select(*_pairs(F.col("class"), F.col("_lead.class"))).dropDuplicates()
 
-
-def judged(rows: DataFrame) -> DataFrame:
-    """Rows of large buckets, with their keys, leader and whether the bucket is a family's: most
+def judged(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of large buckets, with their keys and whether the bucket is a family's: most
     of its classes then agree with the leader in several samples. A passage that many
     dissimilar texts share brings them together in few."""
-    order = F.xxhash64("class", F.lit(3)).alias("_h")
-    lead = rows.groupBy("bucket").agg(F.min(F.struct(order, "class", "keys")).alias("_lead"))
-    same = F.size(F.filter(F.zip_with("keys", "_lead.keys", lambda a, b: a == b), lambda e: e))
-    told = rows.join(lead.hint("merge"), "bucket").select(
-        "bucket", "class", "root", "n", "parent", "keys",
-        F.col("_lead.class").alias("lead"), (same >= ALIKE).cast("int").alias("_alike"),
-    )
+    led = keys.select(F.col("class").alias("lead"), F.col("keys").alias("_keys"))
+    same = F.size(F.filter(F.zip_with("keys", "_keys", lambda a, b: a == b), lambda e: e))
+    told = rows.join(led.hint("merge"), "lead").select(
+        "bucket", "class", "root", "n", "parent", "keys", "lead", (same >= ALIKE).cast("int").alias("_alike")
+    )
     # A cut that leaves most of a bucket together has found a family too.
     whole = F.coalesce(F.max("n") > FAMILY * F.max("parent"), F.lit(False))
     share = told.groupBy("bucket").agg(((F.avg("_alike") >= FAMILY) | whole).alias("family"))
@@ -305,7 +298,7 @@ def judged(rows: DataFrame) -> DataFrame:
 def _by_class(rows: DataFrame) -> DataFrame:
     """A row for each class, with its buckets: what is known of classes meets one row of each."""
     return rows.groupBy("class").agg(
-        F.min("root").alias("root"), F.collect_list(F.struct("bucket", "n", "parent")).alias("in")
+        F.min("root").alias("root"), F.collect_list(F.struct("bucket", "n", "parent", "lead", "lead_root")).alias("in")
     )
 
 
@@ -333,9 +326,18 @@ def _apart(rows: DataFrame) -> DataFrame:
 
 
 def _sized(rows: DataFrame) -> DataFrame:
-    """(``bucket``, ``class``) with the number of classes ``n``, without buckets of one."""
-    company = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    return rows.join(company.hint("merge"), "bucket")
+    """Rows (``bucket``, ``class``, ``root``) of buckets of several classes, with their number
+    ``n`` and leader. Of buckets with the same classes one will do.
+
+    The leader is the class with the lowest hash: so the buckets of a family mostly have
+    the same one, and a class meets few.
+    """
+    lead = F.min(F.struct(F.xxhash64("class", F.lit(3)).alias("_h"), "class", "root")).alias("_lead")
+    marks = [F.bit_xor(F.xxhash64("class", F.lit(4 + i))).alias(f"_mark{i}") for i in range(2)]
+    company = rows.groupBy("bucket").agg(F.count("*").alias("n"), lead, *marks).filter("n > 1")
+    once = company.groupBy("n", "_mark0", "_mark1").agg(F.min("bucket").alias("bucket"), F.min("_lead").alias("_lead"))
+    known = once.select("bucket", "n", F.col("_lead.class").alias("lead"), F.col("_lead.root").alias("lead_root"))
+    return rows.join(known.hint("merge"), "bucket")
 
 
 def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -371,15 +373,14 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     member = scratch.keep(member.select("row", "class"), "members")
     every = classes.select("class", F.posexplode("_s.keys").alias("sample", "key")).filter("key <> 0")
     buckets = every.select("class", F.xxhash64("sample", "key").alias("bucket"))
-    shared = scratch.keep(_sized(buckets), "shared-0")
+    rows = buckets.select("*", F.col("class").alias("root"), F.lit(None).cast("long").alias("parent"))
+    held = scratch.keep(_by_class(_sized(rows)), "held-0")
     # As many as there are copies: a side that grows with the input, not to be broadcast.
-    wanted = scratch.keep(shared.select(F.col("class").alias("row")).dropDuplicates(), "wanted")
+    wanted = held.select(F.col("class").alias("row"))
     texts = scratch.keep(stored.select("row", "text").join(wanted.hint("merge"), "row"), "texts")
     links = wanted.sparkSession.createDataFrame([], "a long, b long")
     near = links
     first = None
-    rows = shared.select("*", F.col("class").alias("root"), F.lit(None).cast("long").alias("parent"))
-    held = scratch.keep(_by_class(rows), "held-0")
     level = 0
     while True:
         asked = scratch.keep(leader_pairs(_by_bucket(held)), f"leads-{level}")
@@ -398,7 +399,7 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
         fresh = fresh.mapInArrow(_sketch(level), "row long, keys array<long>, length long")
         keys = scratch.keep(fresh.withColumnRenamed("row", "class"), f"fresh-{level}")
         first = first or keys
-        told = judged(_by_bucket(held.join(keys.hint("merge"), "class"), "keys"))
+        told = judged(_by_bucket(held.join(keys.hint("merge"), "class"), "keys"), keys)
         told = scratch.keep(told, f"judged-{level}")
         family = F.col("family") if level <= LEVELS else F.lit(True)
         near = near.unionAll(told.filter(family).select(F.col("class").alias("a"), F.col("lead").alias("b")))
