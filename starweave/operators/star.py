@@ -155,14 +155,17 @@ class Star:
         first: Sequence[str] = (),
         dims: Sequence[str] = (),
         bound: bool = False,
+        stored: bool = False,
     ) -> DataFrame:
         """The ``n`` lowest rows of the star join by fact columns ``order``.
 
         Dimensions in ``first`` restrict the rows (they carry predicates), those
-        in ``dims`` only add columns. On a complete star the rows are chosen once, before
-        the second kind is joined, and stored; these dimensions are cut to the stored keys by a
+        in ``dims`` only add columns. On a complete star the rows are chosen before
+        the second kind is joined, and these dimensions are cut to the chosen keys by a
         semi join. Spark moves that below a dimension's aggregate where the keys
-        are few. ``bound`` finds the ``n``-th value first, see ``bounded``.
+        are few. ``stored`` chooses the rows at once and stores them, so that they are found
+        once and not for each dimension; else nothing runs before the result is read.
+        ``bound`` finds the ``n``-th value first, see ``bounded``.
         """
         links = {k.dim: k for k in self.links}
         rank = [f"{self.name}_{c}" for c in order]
@@ -173,7 +176,8 @@ class Star:
             return star.join(every).orderBy(*rank).limit(n)
         star = self.bounded(order[0], n, first) if bound else self
         rows = star.join(first) if first else _prefixed(self.name, star.fact)
-        chosen = rows = materialize(rows.orderBy(*rank).limit(n), "top")
+        rows = rows.orderBy(*rank).limit(n)
+        chosen = rows = materialize(rows, "top") if stored else rows
         for name in dims:
             link = links[name]
             keys = chosen.select(F.col(f"{self.name}_{link.fact_key}").alias(link.dim_key))

@@ -353,7 +353,7 @@ def area_report(star: Star, low: float, high: float, month: int, n: int | None =
     if n is None:
         rows = part.join(["dates", *others])
     else:
-        rows = part.top(REPORT_ORDER, n, ["dates"], others)
+        rows = part.top(REPORT_ORDER, n, ["dates"], others, stored=True)
     return report_columns(rows)
 
 

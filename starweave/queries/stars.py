@@ -29,7 +29,8 @@ def flagship_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_top_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same report with more rows, of every month."""
     star = ms.for_report(roles.star(spark, sf_dir).stored("dates"))
-    rows = star.top(ms.REPORT_ORDER, LARGE, ["dates"], ["matches", "details", "performances"])
+    others = ["matches", "details", "performances"]
+    rows = star.top(ms.REPORT_ORDER, LARGE, ["dates"], others, stored=True)
     return rows.select(
         F.col("locations_killer_position_x").alias("killer_position_x"),
         F.col("locations_detail_id").alias("detail_id"),
@@ -44,7 +45,7 @@ def star_top_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = ms.in_area_and_month(ms.for_report(roles.star(spark, sf_dir).stored("dates")), LOW, HIGH, MONTH)
     rows = star.bounded("killer_position_x", ROWS, ["dates"])
     others = ["matches", "details", "performances"]
-    return ms.report_columns(rows.top(ms.REPORT_ORDER, ROWS, ["dates"], others))
+    return ms.report_columns(rows.top(ms.REPORT_ORDER, ROWS, ["dates"], others, stored=True))
 
 
 def star_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
