@@ -1,21 +1,19 @@
-"""Main text of web pages without the texts that the pages of a host share."""
+"""Main text of web pages: the slots of their host's template that hold the article."""
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from hashlib import blake2b
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from starweave.llm import text
 from starweave.llm.scratch import Scratch
-
-#: A host's template is deduced from this many different pages at least, and holds what
-#: occurs equally often on this share of them at least: on all, if they are fewer than ten.
-FEWEST_PAGES = 3
-SUPPORT = 0.9
+from starweave.llm.templates import Templates, templates
 
 # Element names of HTML by what they do to text.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math", "object"}
@@ -118,24 +116,43 @@ def _key(*parts: str) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-def blocks(page: str, marks: bool = True) -> tuple[list[tuple[str, int, bool, bool, bool]], dict[int, int]]:
-    """Blocks of text of a page in order, and the counts of its tokens.
+class Block(NamedTuple):
+    """Text between two tags that break lines. ``free`` is false inside elements that are
+    menus, forms and the like by name or mark; ``main`` tells whether an article element
+    encloses it; ``linked`` and ``size`` count characters of links and of all; ``at`` is its
+    place among the page's tokens."""
+
+    text: str
+    at: int
+    path: int
+    free: bool
+    main: bool
+    headline: bool
+    linked: int
+    size: int
+
+
+def blocks(page: str, marks: bool = True) -> tuple[list[Block], dict[int, list[int]]]:
+    """Blocks of text of a page in order, with character references decoded and white space
+    made one space, and the places of each of its tokens.
 
-    A block is the text between two tags that break lines, with character references
-    decoded and white space made one space: (text, token, article, main, links). ``article``
-    is false inside elements that are menus, forms and the like by name or mark; ``main``
-    tells whether an article element encloses it; ``links`` whether most of it is links. A
-    token is an element with its path, or a text with the path that it stands at. A page of
+    A token is an element with its path, or a text with the path that it stands at. A page of
     which marks leave nothing (of its article elements, if it has text in any) is cut
     without them.
     """
-    out: list[tuple[str, int, bool, bool, bool]] = []
-    counts: dict[int, int] = {}
+    out: list[Block] = []
+    places: dict[int, list[int]] = {}
     # Open elements: name, hash of the path, no article, in main.
     stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    is_open: Counter[str] = Counter()
     parts: list[str] = []
-    linked = total = 0
-    links = 0
+    linked = total = at = 0
+
+    def place(token: int) -> int:
+        nonlocal at
+        places.setdefault(token, []).append(at)
+        at += 1
+        return at - 1
 
     def flush():
         nonlocal linked, total
@@ -143,18 +160,15 @@ def blocks(page: str, marks: bool = True) -> tuple[list[tuple[str, int, bool, bo
             body = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if body:
                 _, path, off, main = stack[-1]
-                token = _key("text", str(path), body)
-                counts[token] = counts.get(token, 0) + 1
-                out.append((body, token, not off, main, 2 * linked > total))
+                spot = place(_key("text", str(path), body))
+                out.append(Block(body, spot, path, not off, main, is_open["h1"] > 0, linked, total))
             parts.clear()
         linked = total = 0
 
     def close(depth: int):
-        nonlocal links
-        for name, *_ in stack[depth:]:
-            links -= name == "a"
         if any(e[0] not in INLINE for e in stack[depth:]):
             flush()
+        is_open.subtract(e[0] for e in stack[depth:])
         del stack[depth:]
 
     for token in _tokens(page):
@@ -162,19 +176,20 @@ def blocks(page: str, marks: bool = True) -> tuple[list[tuple[str, int, bool, bo
             if stack[-1][0] not in RAW:
                 parts.append(token[1])
                 total += len(token[1])
-                linked += len(token[1]) if links > 0 else 0
+                linked += len(token[1]) if is_open["a"] > 0 else 0
         elif token[0] == "open":
             name, attributes = token[1], token[2]
             if name == "br":
                 parts.append(" ")
                 continue
             ends = ENDS.get(name, set()) | ({"p"} if name in CLOSES_P else set())
-            for depth in range(len(stack) - 1, 0, -1) if ends else ():
-                if stack[depth][0] in ends:
-                    close(depth)
-                    break
-                if stack[depth][0] in SCOPE:
-                    break
+            if any(is_open[e] for e in ends):
+                for depth in range(len(stack) - 1, 0, -1):
+                    if stack[depth][0] in ends:
+                        close(depth)
+                        break
+                    if stack[depth][0] in SCOPE:
+                        break
             if name not in INLINE:
                 flush()
             if name in VOID:
@@ -183,12 +198,12 @@ def blocks(page: str, marks: bool = True) -> tuple[list[tuple[str, int, bool, bo
             if name not in INLINE:
                 # The hash of the path to the element is its token.
                 path = _key(str(path), name, attributes.get("class", ""), attributes.get("id", ""))
-                counts[path] = counts.get(path, 0) + 1
+                place(path)
             header = name == "header" and not main
             off = off or name in NO_TEXT or header or marks and _marks(name, attributes)
             stack.append((name, path, off, main or name in MAIN))
-            links += name == "a"
-        else:
+            is_open[name] += 1
+        elif is_open[token[1]]:
             name = token[1]
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == name:
@@ -197,83 +212,87 @@ def blocks(page: str, marks: bool = True) -> tuple[list[tuple[str, int, bool, bo
                 if name in INLINE and stack[depth][0] not in INLINE:
                     break  # a stray end tag
     flush()
-    inside = [b for b in out if b[3]] or out
-    if marks and inside and not any(b[2] for b in inside):
+    inside = [b for b in out if b.main] or out
+    if marks and inside and not any(b.free for b in inside):
         return blocks(page, False)
-    return out, counts
+    return out, places
 
 
-_BLOCK = "struct<text: string, token: long, article: boolean, main: boolean, links: boolean>"
+# Columns of the blocks: their name, field and type.
+_COLUMNS = [
+    ("texts", "text", "string"), ("places", "at", "int"), ("paths", "path", "long"), ("free", "free", "boolean"),
+    ("main", "main", "boolean"), ("headline", "headline", "boolean"), ("linked", "linked", "int"), ("sizes", "size", "int"),
+]
+_ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_()}
 
 
 def _parse(batches):
-    block = pa.list_(
-        pa.struct(
-            [("text", pa.string()), ("token", pa.int64())]
-            + [(n, pa.bool_()) for n in ("article", "main", "links")]
-        )
-    )
     for batch in text.blocks(batches, "html"):
-        found, tokens, counts, bodies = [], [], [], []
-        for page in batch.column("html").to_pylist():
-            made, seen = blocks(page or "")
-            found.append([dict(zip(("text", "token", "article", "main", "links"), b)) for b in made])
-            tokens.append(list(seen))
-            counts.append(list(seen.values()))
-            bodies.append(_key(*(str(b[1]) for b in made)))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("_row"), batch.column("host"), pa.array(bodies, pa.int64()),
-                pa.array(found, block), pa.array(tokens, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32())),
-            ],
-            names=["_row", "host", "body", "blocks", "tokens", "counts"],
-        )
-
-
-def templates(parsed: DataFrame) -> DataFrame:
-    """Of each host, the tokens of its template.
-
-    A frequency rule: the template is the tokens that occur on nearly all different pages
-    of the host, the same number of times on each. ``classes`` is the number of different
-    occurrence vectors among them; a vector is known by the sum of a hash of each (page,
-    count), so it is summed up in parts and no task sees a host's pages together. Classes
-    are not tested for order and nesting, and elements do not make slots.
-    Copies of a page count once.
+        made = [blocks(page or "") for page in batch.column("html").to_pylist()]
+        columns = {
+            "_row": batch.column("_row"),
+            "host": batch.column("host"),
+            "body": pa.array([_key(*(f"{b.path} {b.text}" for b in found)) for found, _ in made], pa.int64()),
+            "tokens": pa.array([list(p) for _, p in made], pa.list_(pa.int64())),
+            "ats": pa.array([list(p.values()) for _, p in made], pa.list_(pa.list_(pa.int32()))),
+        }
+        for name, field, kind in _COLUMNS:
+            values = [[getattr(b, field) for b in found] for found, _ in made]
+            columns[name] = pa.array(values, pa.list_(_ARROW[kind]))
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def article(found: list[Block], slots: dict[int, tuple[int, int] | None], links: set[tuple[int, int]]) -> str:
+    """Texts of the blocks that are the article's, one a line.
+
+    ``slots`` has a slot for each place, or None for the template's own texts; it is empty for a
+    page without a template, whose slots are the paths of its blocks.
     """
-    pages = parsed.filter("host <> ''").select("host", "body", "tokens", "counts")
-    pages = pages.groupBy("host", "body").agg(F.max(F.struct("tokens", "counts")).alias("_p"))
-    many = pages.groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= FEWEST_PAGES)
-    each = pages.select(
-        "host", "body", F.explode(F.arrays_zip(F.col("_p.tokens").alias("token"), F.col("_p.counts").alias("n"))).alias("_t")
-    )
-    vectors = each.groupBy("host", F.col("_t.token").alias("token")).agg(
-        F.count("*").alias("seen"),
-        F.min("_t.n").alias("least"),
-        F.max("_t.n").alias("most"),
-        # Hashes are added in two halves that cannot overflow.
-        F.sum(F.xxhash64("body", "_t.n").bitwiseAND(F.lit((1 << 31) - 1))).alias("low"),
-        F.sum(F.shiftrightunsigned(F.xxhash64("body", "_t.n"), 33)).alias("high"),
-    )
-    # Most tokens stand on few pages and need not meet their host's number of pages.
-    even = vectors.filter((F.col("seen") >= SUPPORT * FEWEST_PAGES) & (F.col("least") == F.col("most")))
-    frequent = even.join(many, "host").filter(F.col("seen") >= SUPPORT * F.col("pages"))
-    classes = frequent.groupBy("host", "seen", "least", "low", "high").agg(F.collect_list("token").alias("tokens"))
-    return classes.groupBy(F.col("host").alias("_host")).agg(
-        F.flatten(F.collect_list("tokens")).alias("template"), F.count("*").alias("classes")
-    )
+    if not slots:
+        sums: dict[int, list[int]] = {}
+        for b in found:
+            s = sums.setdefault(b.path, [0, 0])
+            s[0] += b.linked
+            s[1] += b.size
+        menus = {p for p, (linked, size) in sums.items() if 2 * linked > size}
+    region = [b for b in found if b.free]
+    if any(b.main for b in region):
+        region = [b for b in region if b.main or b.headline]
+    free = [b for b in region if not slots or slots[b.at] is not None]
+    free = free or region
+    kept = [b for b in free if b.main or b.headline or not (slots[b.at] in links if slots else b.path in menus)]
+    return "\n".join(b.text for b in kept or free)
+
+
+def _articles(batches):
+    made = Templates()
+    for batch in batches:
+        names = ["host", "tokens", "ats", *(c for c, _, _ in _COLUMNS)]
+        out = []
+        known = batch.column("roles").is_valid().to_pylist()
+        for i, r in enumerate(batch.select(names).to_pylist()):
+            found = [Block(*values) for values in zip(*(r[c] for c, _, _ in _COLUMNS))]
+            slots, links = {}, set()
+            if known[i]:
+                template = made(batch, i, r["host"])
+                _, slots = template.walk(r["tokens"], r["ats"], r["places"])
+                links = template.links
+            out.append(article(found, slots, links))
+        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(out, pa.string())], names=["_row", "text"])
 
 
 def main_text(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """All rows as ``_row`` (without html) with the ``text`` of the article.
 
     Pages are cut into blocks in one pass. Blocks that are menus, forms, notices and the
-    like by their element or its marks are left out, and so are texts that belong to the
-    host's template. Of a page with an ``article`` or ``main``
-    element what is inside is taken, else all blocks that are not mostly links. If
-    nothing is left, the template's texts are not taken away.
+    like by their element or its marks are left out, and so are the texts of the host's template
+    and, outside ``article`` and ``main`` elements, slots whose texts are mostly links over all pages of the
+    host. Of a page with such an element what is inside is taken, and first-level headings outside; else all
+    blocks. If nothing is left, the template's texts or the links are not taken away.
 
     Null html is an empty page with an empty text. Pages without a host in their url
-    and those of hosts with one or two different pages have no template. Blocks are joined by line ends.
+    and those of hosts with one or two different pages have no template; their slots are the paths of
+    their own blocks. Repeated rows each have their text. An empty table gives no rows. Blocks are joined by line ends.
     """
     scratch = scratch or Scratch(pages.sparkSession, "pages")
     url = F.lower(F.coalesce(F.col("url").cast("string"), F.lit("")))
@@ -284,22 +303,13 @@ def main_text(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
         F.col("html").cast("string").alias("html"),
     )
     kind = rows.schema["_row"].dataType.simpleString()
+    columns = ", ".join(f"{name} array<{of}>" for name, _, of in _COLUMNS)
     parsed = scratch.keep(
         rows.mapInArrow(
-            _parse,
-            f"_row {kind}, host string, body long, blocks array<{_BLOCK}>, tokens array<long>, counts array<int>",
+            _parse, f"_row {kind}, host string, body long, tokens array<long>, ats array<array<int>>, {columns}"
         ),
         "parsed",
     )
-    template = scratch.keep(templates(parsed), "templates")
-    joined = parsed.select("_row", "host", "blocks").join(template, F.col("host") == F.col("_host"), "left")
-    inside = F.filter("blocks", lambda b: b["article"] & b["main"])
-    outside = F.filter("blocks", lambda b: b["article"] & ~b["links"])
-    region = F.when(F.size(inside) > 0, inside).otherwise(outside)
-    fixed = F.coalesce("template", F.array().cast("array<long>"))
-    free = F.filter(F.col("_region"), lambda b: ~F.array_contains(F.col("_fixed"), b["token"]))
-    chosen = joined.select("_row", region.alias("_region"), fixed.alias("_fixed")).select(
-        "_row", "_region", free.alias("_free")
-    )
-    slots = F.when(F.size("_free") > 0, F.col("_free")).otherwise(F.col("_region"))
-    return chosen.select("_row", F.array_join(F.transform(slots, lambda b: b["text"]), "\n").alias("text"))
+    template = templates(parsed, scratch)
+    joined = parsed.drop("body").join(template, F.col("host") == F.col("_host"), "left").drop("_host")
+    return joined.mapInArrow(_articles, f"_row {kind}, text string")

@@ -10,7 +10,7 @@ PAGES = "page_id long, url string, html string"
 
 
 def text(page):
-    return "\n".join(b[0] for b in blocks(page)[0] if b[2])
+    return "\n".join(b.text for b in blocks(page)[0] if b.free)
 
 
 def test_blocks_entities_and_white_space():

@@ -1,0 +1,186 @@
+"""Templates against a deduction that holds all pages of a host in memory."""
+
+from __future__ import annotations
+
+import random
+import time
+
+from pyspark.sql import functions as F
+
+from starweave.llm.pages import blocks, main_text
+from starweave.llm.templates import CLASS, ROLE, SUPPORT, Template, ordered, templates
+
+PAGES = "page_id long, url string, html string"
+PARSED = (
+    "host string, body long, tokens array<long>, ats array<array<int>>, places array<int>, free array<boolean>, "
+    "linked array<int>, sizes array<int>"
+)
+
+
+def deduced(pages: list[list[int]]) -> set[tuple[int, int]]:
+    """Roles (token, occurrence) of the valid classes of a host, from its pages' tokens in order."""
+    occurrences: dict[tuple[int, int], dict[int, list[int]]] = {}
+    for token in {t for page in pages for t in page}:
+        on = {p: [i for i, t in enumerate(page) if t == token] for p, page in enumerate(pages) if token in page}
+        if len({len(v) for v in on.values()}) == 1:
+            for k in range(len(next(iter(on.values())))):
+                occurrences[token, k + 1] = {p: [v[k]] for p, v in on.items()}
+        else:
+            occurrences[token, 0] = on
+    classes: dict[tuple, list[tuple[int, int]]] = {}
+    for role, on in occurrences.items():
+        if len(on) >= SUPPORT * len(pages):
+            vector = tuple(len(on.get(p, ())) for p in range(len(pages)))
+            classes.setdefault((vector, role[1] == 0), []).append(role)
+
+    # On pages made by one template all classes are in order: rounds are spans of places.
+    spans: dict[tuple, dict[int, list[list[int]]]] = {}
+    for name, roles in classes.items():
+        first = min(occurrences[roles[0]])
+        roles.sort(key=lambda r: occurrences[r][first][0])
+        spans[name] = {
+            p: [[occurrences[r][p][k] for r in roles] for k in range(len(occurrences[roles[0]][p]))]
+            for p in occurrences[roles[0]]
+        }
+    valid = set()
+    for name, of_page in spans.items():
+        in_order = all(
+            [x for one in rounds for x in one] == sorted(x for one in rounds for x in one) for rounds in of_page.values()
+        )
+        gaps = set()
+        for p, rounds in of_page.items():
+            for one in rounds:
+                around = [
+                    (other[-1] - other[0], str(n), sum(x < one[0] for x in other))
+                    for n, o in spans.items() if n != name for other in o.get(p, ()) if other[0] < one[0] and one[-1] < other[-1]
+                ]
+                gaps.add(min(around, default=("", "", -1))[1:])
+        if in_order and len(gaps) == 1:
+            valid.update(classes[name])
+    return valid
+
+
+def site(rng: random.Random, n: int):
+    """Pages without a telling element: a menu that varies, an article, related links, readers' rows."""
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    out = []
+    for _ in range(n):
+        links = lambda k: "".join(f"<p><a href=/>{word()} {word()}</a></p>" for _ in range(k))
+        body = [" ".join(word() for _ in range(25)) for _ in range(rng.randint(2, 6))]
+        body[0] = f"{word()} <a href=x>{body[0]}</a>"  # one paragraph is mostly a link
+        html = (
+            f"<body><div>{links(rng.randint(2, 5))}</div><div>Read this today</div><div><h2>{word()}</h2>"
+            + "".join(f"<p>{b}</p>" for b in body)
+            + f"</div><div><i>You may like</i>{links(rng.randint(1, 4))}</div><div>All rights kept</div></body>"
+        )
+        head = html.split("<h2>")[1].split("</h2>")[0]
+        plain = [b.replace("<a href=x>", "").replace("</a>", "") for b in body]
+        out.append((html, "\n".join([head, *plain])))
+    return out
+
+
+def test_host_without_telling_elements(spark, scratch):
+    made = site(random.Random(3), 30)
+    rows = [(i, f"https://plain.example/{i}", html) for i, (html, _) in enumerate(made)]
+    got = {r["_row"]["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, PAGES), scratch).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(made)}
+
+
+def parsed_rows(host, pages):
+    return [
+        (host, i, list(p), list(p.values()), [b.at for b in found], [b.free for b in found],
+         [b.linked for b in found], [b.size for b in found])
+        for i, (found, p) in enumerate(pages)
+    ]
+
+
+def test_classes_equal_the_deduction_in_memory(spark, scratch):
+    rng = random.Random(4)
+    hosts = {
+        "plain": [blocks(html) for html, _ in site(rng, 12)],
+        "rows": [
+            blocks("<div class=a>" + "".join(f"<li><b>from</b><div>{rng.random()}</div><div>Reply</div></li>" for _ in range(k)) + "</div><div>end</div>")
+            for k in (1, 2, 5, 3)
+        ],
+    }
+    rows = [r for host, made in hosts.items() for r in parsed_rows(host, made)]
+    got: dict[str, set] = {}
+    for r in templates(spark.createDataFrame(rows, PARSED), scratch).collect():
+        got[r["_host"]] = {(x["token"], x["nth"]) for x in r["roles"]}
+    for host, made in hosts.items():
+        flat = []
+        for _, places in made:
+            order = sorted((at, t) for t, ats in places.items() for at in ats)
+            flat.append([t for _, t in order])
+        assert got[host] == deduced(flat), host
+
+
+def test_text_that_is_out_of_place_is_kept(spark, scratch):
+    # The same sentence on all pages, but before or after what else all pages have: no order.
+    rows = [
+        (i, "https://moved.example/", f"<div>top</div><h2>own {i}</h2>" + ("<em>x</em><h3>moves</h3><h4>fixed</h4>" if i % 2 else "<h4>fixed</h4><h3>moves</h3>"))
+        for i in range(10)
+    ]
+    got = {r["_row"]["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, PAGES), scratch).collect()}
+    # One of the two stays in the class, the other is out of order on half of the pages.
+    assert {tuple(t.split("\n")[:1]) for t in got.values()} == {(f"own {i}",) for i in range(10)}
+    assert {tuple(t.split("\n")[1:]) for t in got.values()} in ({("moves",)}, {("fixed",)})
+
+
+def test_classes_that_cut_across_each_other():
+    # Class 1: tokens 10, 11, 12 once a page; class 2: rounds of 20, 21, the second across 11.
+    t = Template([(1, 0, 10, 1), (1, 1, 11, 1), (1, 2, 12, 1), (2, 3, 20, 0), (2, 4, 21, 0)])
+    said, _ = t.walk([10, 11, 12, 20, 21], [[0], [4], [7], [1, 3], [2, 5]])
+    assert (CLASS, 2, 0, 0) in said and not any(k == CLASS and c == 1 for k, c, *_ in said)
+    said, slots = t.walk([10, 11, 12, 20, 21], [[0], [6], [9], [1, 4], [3, 5]], [2, 7, 8, 10])
+    assert not any(k in (CLASS, ROLE) for k, *_ in said)
+    assert slots == {2: (2, 0), 7: (1, 1), 8: (1, 1), 10: (0, -1)}
+    # A round without its end.
+    assert (CLASS, 2, 0, 0) in t.walk([20, 21], [[0, 1], [2]])[0]
+    # A role out of order.
+    assert {r for r in t.walk([10, 11, 12], [[5], [1], [2]])[0] if r[0] == ROLE} == {(ROLE, 1, 10, 1)}
+
+
+def test_longest_order():
+    rng = random.Random(5)
+    for _ in range(200):
+        ranks = rng.choices(range(8), k=rng.randint(0, 9))
+        best = [0] * len(ranks)
+        for i, r in enumerate(ranks):
+            best[i] = 1 + max((best[j] for j in range(i) if ranks[j] < r), default=0)
+        found = [ranks[i] for i in sorted(ordered(ranks))]
+        assert all(a < b for a, b in zip(found, found[1:])) and len(found) == max(best, default=0)
+
+
+def test_one_linked_paragraph_and_headline_outside_stay(spark, scratch):
+    rows = [
+        (1, None, "<p><a href=x>all linked</a></p><p>one plain and longer</p><ul><li><a href=y>menu</a></li></ul>"),
+        (2, None, "<div><h1>Title</h1><p>side</p></div><main><p>body</p></main>"),
+        (3, None, "<ul><li><a href=y>only links</a></li></ul>"),
+    ]
+    got = {r["_row"]["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, PAGES), scratch).collect()}
+    assert got == {1: "all linked\none plain and longer", 2: "Title\nbody", 3: "only links"}
+
+
+def test_columns_that_clash(spark, scratch):
+    names = ["host", "body", "tokens", "ats", "places", "roles", "links", "_host", "texts"]
+    rows = [(i, "https://a.example/", f"<p>own {i}</p><p>same</p>", *["x"] * len(names)) for i in range(4)]
+    kind = PAGES + "".join(f", {n} string" for n in names)
+    got = {r["_row"]["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, kind), scratch).collect()}
+    assert got == {i: f"own {i}" for i in range(4)}
+
+
+def test_time_grows_with_the_page():
+    start = time.monotonic()
+    blocks("<div>" * 50_000 + "</p>" * 50_000 + "x")
+    blocks("<p>" + "</i>" * 50_000 + "<li>" * 50_000)
+    assert time.monotonic() - start < 4
+
+
+def test_copies_and_hot_host(spark, scratch):
+    made = site(random.Random(6), 40)
+    rows = [(i, "https://hot.example/", html) for i, (html, _) in enumerate(made)]
+    rows += [(1000 + i, "https://hot.example/", made[0][0]) for i in range(400)]
+    df = spark.createDataFrame(rows, PAGES).repartition(8)
+    got = main_text(df, scratch).select(F.col("_row.page_id").alias("i"), "text").collect()
+    assert {r["i"]: r["text"] for r in got} == {r[0]: made[r[0] if r[0] < 1000 else 0][1] for r in rows}
