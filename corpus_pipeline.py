@@ -22,23 +22,28 @@ TOKENIZER = "word_bpe_49k.json"
 _LAST: list[Scratch] = []
 
 
-def _scratch(spark: SparkSession, label: str) -> Scratch:
+def _scratch(spark: SparkSession, label: str, last: bool = False) -> Scratch:
     """The scratch folder of a stage. That of the stage before is deleted: its result has
-    been written by now, as a stage reads what the one before has stored."""
+    been written by now, as a stage reads what the one before has stored. The tables of the
+    last stage stay behind its lazy result, also when another run starts."""
     while _LAST:
         _LAST.pop().close()
-    _LAST.append(Scratch(spark, label))
-    return _LAST[-1]
+    scratch = Scratch(spark, label)
+    if not last:
+        _LAST.append(scratch)
+    return scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not find toxic."""
+    """Documents that the classifier does not find toxic. Null and empty texts stay, repeated rows each
+    have their own verdict; an empty table stays empty."""
     _scratch(spark, "toxicity")
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id."""
+    """Of equal texts, the row with the largest id; null counts as empty, so one such row stays.
+    Repeated rows are equal texts; an empty table stays empty."""
     rest = [c for c in docs.columns if c != "text"]
     scratch = _scratch(spark, "exact")
     rows = exact_duplicates(docs, carry=rest, keep_text=True, scratch=scratch).filter("kept")
@@ -46,7 +51,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates, the row with the lowest id."""
+    """Of near duplicates, the row with the lowest id. Texts without words are similar
+    to equal ones only; an empty table stays empty."""
     rest = tuple(c for c in docs.columns if c != "text")
     rows = near_duplicates(docs, carry=rest, scratch=_scratch(spark, "near")).filter("kept")
     return rows.select(*_columns(docs, "text"))
@@ -59,7 +65,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences that keep to the mixture."""
-    return pack(docs, public_tokenizers.path(TOKENIZER), scratch=_scratch(spark, "pack"))
+    return pack(docs, public_tokenizers.path(TOKENIZER), scratch=_scratch(spark, "pack", last=True))
 
 
 def _columns(docs: DataFrame, text: str) -> list[Column]:
