@@ -17,8 +17,9 @@ SIZE = 8
 #: Words that are averaged at a time; a text is as toxic as its worst window.
 WINDOW = 24
 FEWEST = 8
-#: Bound on the labelled rows that the classifier is fitted on, by label.
+#: Bounds on what the classifier is fitted on: labelled rows by label, and characters in all.
 SAMPLE = {1: 1800, 0: 2700}
+SAMPLE_CHARS = 1 << 25
 #: Weight of the toxic class in the loss.
 TOXIC_SHARE = 0.6
 
@@ -179,8 +180,19 @@ def _parts(n: int, size: int = 1 << 22) -> list[slice]:
     return [slice(a, min(n, a + size)) for a in range(0, n, size)]
 
 
-def train(
-    texts: Sequence[str],
+def _untrained() -> Model:
+    return Model(np.zeros(BUCKETS, np.float32), 0.0)
+
+
+def train(texts: Sequence[str], labels: Sequence[int], **how) -> Model:
+    """The model of some texts, see ``train_windows``."""
+    if not len(texts):
+        return _untrained()
+    return train_windows(joined([windows(texts[i : i + 200]) for i in range(0, len(texts), 200)]), labels, **how)
+
+
+def train_windows(
+    w: Windows,
     labels: Sequence[int],
     steps: int = 70,
     rate: float = 0.1,
@@ -196,12 +208,9 @@ def train(
     products; the gradients go back the same way.
     """
     rng = np.random.default_rng(seed)
-    if not len(texts):
-        return Model(np.zeros(BUCKETS, np.float32), 0.0)
-    w = joined([windows(texts[i : i + 200]) for i in range(0, len(texts), 200)])
     y = np.asarray(labels, np.float64)
     if not len(w.start):
-        return Model(np.zeros(BUCKETS, np.float32), 0.0)
+        return _untrained()
     # Buckets met less often than FEWEST times keep the zero vector.
     gram_n = np.maximum(w.gram_n, 1)
     gram_word = np.repeat(np.arange(len(gram_n), dtype=np.int32), w.gram_n)
@@ -211,7 +220,7 @@ def train(
         met += np.bincount(w.gram[part], often[gram_word[part]], BUCKETS)
     used = np.flatnonzero(met >= FEWEST)
     if not len(used):
-        return Model(np.zeros(BUCKETS, np.float32), 0.0)
+        return _untrained()
     place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
     known = place[w.gram] >= 0
@@ -270,11 +279,39 @@ def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.coalesce(checksum % folds == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> Model:
+def _fitted(most_chars: int):
+    """A function that trains on the rows of its partition and returns the model as one row.
+    Only the windows of a text are kept, as numbers."""
+
+    def run(batches):
+        parts, labels, left = [], [], most_chars
+        for batch in text.blocks(batches, "text"):
+            some = []
+            for body, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                if len(body) <= left:
+                    left -= len(body)
+                    some.append(body)
+                    labels.append(label)
+            if some:
+                parts.append(windows(some))
+        model = train_windows(joined(parts), labels) if len(set(labels)) > 1 else _untrained()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.bucket.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())],
+            names=["bucket", "bias"],
+        )
+
+    return run
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None, most_chars: int = SAMPLE_CHARS
+) -> Model:
     """Train on labelled rows that are not held out.
 
-    At most ``sample[label]`` ids of each label come to the driver, those whose hash is
-    lowest; the bound does not grow with the input. Of several labels of an id the
+    At most ``sample[label]`` ids of each label are learnt from, those whose hash is
+    lowest, and of these only as many as have ``most_chars`` characters in all (a text that
+    would exceed that is passed over); the bounds do not grow with the input. One task
+    learns from them, only the model comes to the driver. Of several labels of an id the
     toxic one counts, of several texts the last in order. Rows without label or text are
     left out. Without any row of both labels every score is 0.5.
     """
@@ -299,12 +336,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None
         .join(F.broadcast(some), "doc_id")  # the sample: its size is bounded
         .groupBy("doc_id", "toxic")
         .agg(F.max("text").alias("text"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .collect()
+        .coalesce(1)  # bounded, as above
+        .sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
     )
-    if len({r["toxic"] for r in rows}) < 2:
-        return Model(np.zeros(BUCKETS, np.float32), 0.0)
-    return train([r["text"] for r in rows], [r["toxic"] for r in rows])
+    found = rows.select("toxic", "text").mapInArrow(_fitted(most_chars), "bucket binary, bias double").first()
+    return Model(np.frombuffer(found["bucket"], np.float32), found["bias"]) if found else _untrained()
 
 
 def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:

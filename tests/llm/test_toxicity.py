@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starweave.llm import toxicity
 
@@ -97,6 +98,19 @@ def test_without_labels_or_rows(spark, docs):
     assert toxicity.fit(docs((1, "a")), one).bias == 0
 
 
+def test_fit_in_a_task_is_training_on_the_same_rows(spark, docs, rows):
+    made = docs(*((i, t) for i, t, _ in rows[:200]), (5000, "grumbolt " * 90_000), (5001, None))
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows[:200]] + [(5000, 1, 1), (5001, 1, 0)], LABELS)
+    order = {r["doc_id"]: n for n, r in enumerate(labels.orderBy(F.xxhash64("doc_id")).collect())}
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    # A text beyond the bound of characters is passed over, the rest is learnt from.
+    want = sorted((order[i], t, y) for i, t, y in [*rows[:200], (5001, "", 0)] if not held(i))
+    plain = toxicity.train([t for _, t, _ in want], [y for *_, y in want])
+    got = toxicity.fit(made.repartition(5), labels, most_chars=800_000)
+    assert np.allclose(got.bucket, plain.bucket, atol=1e-4) and abs(got.bias - plain.bias) < 1e-6
+    assert got.bucket.any()
+
+
 def test_kept_rows_have_all_their_columns(spark, docs):
     rng = random.Random(2)
     rows = corpus(rng, 300)
