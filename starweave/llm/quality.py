@@ -22,13 +22,15 @@ SPACE = " \t\n\x0b\x0c\r"
 MEASURES = {"chars_per_token": "both", "byte_share": "high", "token_entropy": "low"}
 #: A band reaches so many times the distance of the quartiles from the median, at least
 #: by the share ``LEAST`` of the median (of 1, for the share of byte tokens). It is made
-#: for texts of one group and about one length, as short texts scatter more; where there are
-#: fewer than ``FEWEST_ROWS`` different ones, for those of the neighbouring lengths too, then for the
-#: whole group, then for all rows.
+#: for texts of one group and about one length, as short texts scatter more. The quartiles of n
+#: different texts weigh n / (n + ``PRIOR_ROWS``) against those of the next wider set: the
+#: neighbouring lengths too, the whole group, all rows.
 REACH = 5.0
 LEAST = 0.05
-FEWEST_ROWS = 50
-ACCURACY = 10_000
+PRIOR_ROWS = 25
+#: Digits of the measures' values that the quartiles are made of: an exact count of each, so
+#: the order in which tasks meet does not matter, and the counts of a set stay few.
+DIGITS = 3
 
 
 class WordVocabulary:
@@ -215,28 +217,21 @@ def length_class() -> Column:
 
 def bands(measured: DataFrame) -> DataFrame:
     """The band of every measure for each group and length class, from texts that pass the
-    base rules: the class's own, or the narrowest wider set that has enough of them. Equal
-    texts count once, so that copies do not make the band."""
+    base rules: the class's own quartiles, blended with those of wider sets by the number of
+    texts in each. Equal texts count once, so that copies do not make the band."""
     alike = [F.max(c).alias(c) for c in ("n_tokens", *MEASURES)]
     rows = measured.filter(~base_failed()).groupBy("group", "same").agg(*alike)
     group, of = F.col("group"), length_class()
     none = F.lit(None)
     near = F.transform(F.array(of - 1, of, of + 1), lambda c: _level(1, group, c))
     sets = F.concat(F.array(_level(0, group, of)), near, F.array(_level(2, group, none), _level(3, none, none)))
-    quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], ACCURACY).alias(f"_{m}") for m in MEASURES]
+    quartiles = [F.percentile(F.round(m, DIGITS), F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias(m) for m in MEASURES]
     found = (
         rows.select(F.explode(sets).alias("_set"), *MEASURES)
         .groupBy("_set.level", "_set.group", "_set.class")
-        .agg(*quartiles, F.count("*").alias("_rows"))
+        .agg(*quartiles, F.count("*").alias("rows"))
     )
-    columns = []
-    for m in MEASURES:
-        low, mid, high = (F.col(f"_{m}")[i] for i in range(3))
-        least = F.lit(LEAST) if m == "byte_share" else LEAST * mid
-        reach = F.greatest(REACH * (high - low), least)
-        columns += [(mid - reach).alias(f"{m}_low"), (mid + reach).alias(f"{m}_high")]
-    enough = found.filter((F.col("_rows") >= FEWEST_ROWS) | (F.col("level") == 3))
-    enough = enough.select("level", "group", "class", F.struct(*columns).alias("_band"))
+    found = found.select("level", "group", "class", F.struct("rows", *MEASURES).alias("_found"))
     wanted = measured.select(group.alias("_group"), of.alias("_class")).distinct()
     own, length = F.col("_group"), F.col("_class")
     sets = F.array(_level(0, own, length), _level(1, own, length), _level(2, own, none), _level(3, none, none))
@@ -246,8 +241,25 @@ def bands(measured: DataFrame) -> DataFrame:
         & F.col("_set.group").eqNullSafe(F.col("group"))
         & F.col("_set.class").eqNullSafe(F.col("class"))
     )
-    chosen = wanted.join(enough, met).groupBy("_group", "_class").agg(F.min_by("_band", "level").alias("_band"))
-    return chosen.select("_group", "_class", "_band.*")
+    levels = [F.max(F.when(F.col("level") == k, F.col("_found"))).alias(f"_level{k}") for k in range(4)]
+    chosen = wanted.join(found, met).groupBy("_group", "_class").agg(*levels)
+    columns = []
+    for m in MEASURES:
+        low, mid, high = (_blended(m, i) for i in range(3))
+        least = F.lit(LEAST) if m == "byte_share" else LEAST * mid
+        reach = F.greatest(REACH * (high - low), least)
+        columns += [(mid - reach).alias(f"{m}_low"), (mid + reach).alias(f"{m}_high")]
+    return chosen.select("_group", "_class", *columns)
+
+
+def _blended(measure: str, quartile: int) -> Column:
+    """A quartile of the widest set, moved towards each narrower one by its number of texts."""
+    value = F.col(f"_level3.{measure}")[quartile]
+    for k in (2, 1, 0):
+        n = F.col(f"_level{k}.rows")
+        nearer = (n * F.col(f"_level{k}.{measure}")[quartile] + PRIOR_ROWS * value) / (n + PRIOR_ROWS)
+        value = F.coalesce(nearer, value)
+    return value
 
 
 def _level(level: int, group: Column, length: Column) -> Column:
@@ -266,7 +278,8 @@ def quality(
     A text is rejected if it fails the base rules, or if a measure leaves the band of
     its group (language or script; null is a group of its own) and length: characters per token on
     either side, the share of byte-fallback tokens above, the token entropy below. The
-    bands are made from all rows; few rows of a group and length take a wider band. Repeated rows are judged alike. Adds ``base_failed``,
+    bands are made from all rows; the fewer different texts a group and length has, the more
+    its band is that of wider sets. Repeated rows are judged alike. Adds ``base_failed``,
     ``out_of_band`` and ``kept``.
     """
     scratch = scratch or Scratch(docs.sparkSession, "quality")

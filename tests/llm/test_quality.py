@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 
@@ -106,6 +107,49 @@ def test_copies_do_not_make_the_band(spark):
     assert want[1] == want[150] and not any(want[1][i] for i in range(100))
 
 
+def plain_bands(rows):
+    """Bands of (group, length class) from measured rows, set by set."""
+    length = lambda r: int(math.log2(max(1, r["n_tokens"])))
+    good = list({(r["group"], r["same"]): r for r in rows if not r["base_failed"]}.values())
+    out = {}
+    for group, k in {(r["group"], length(r)) for r in rows}:
+        own = [r for r in good if r["group"] == group]
+        sets = [good, own, [r for r in own if abs(length(r) - k) <= 1], [r for r in own if length(r) == k]]
+        for m in ("chars_per_token", "byte_share", "token_entropy"):
+            value = None
+            for some in sets:
+                if some:
+                    q = np.percentile([round(r[m], 3) for r in some], [25, 50, 75])
+                    value = q if value is None else (len(some) * q + 25 * value) / (len(some) + 25)
+            reach = max(5 * (value[2] - value[0]), 0.05 if m == "byte_share" else 0.05 * value[1])
+            out[group, k, m] = value[1] - reach, value[1] + reach
+    return out
+
+
+def test_verdicts_against_plain_bands(spark):
+    rng = random.Random(5)
+    words = "time people water number sound place year back thing name sentence great help line differ".split()
+    rows = []
+    for i in range(240):
+        n = rng.choice([12, 40, 41, 170, 600])
+        body = " ".join(rng.choice(words) + rng.choice(["", "s", "", "zq"]) + str(rng.randint(0, 99)) for _ in range(n))
+        rows.append((i, rng.choice(["", "ü😀 "]) + body, rng.choice(["en", "de", "en", None, "en"])))
+    rows += [(300, "".join(rng.choices("qxzjvkw ", k=400)), "de"), (301, None, None), (302, rows[3][1], rows[3][2])]
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality(made, PATH).collect()
+    assert sorted(got) == sorted(quality(made.repartition(7), PATH).collect())
+    texts = dict((i, t) for i, t, _ in rows)
+    held = [r.asDict() | {"same": texts[r["_row"]["doc_id"]]} for r in got]
+    limits = plain_bands(held)
+    assert len(got) == len(rows) and 0 < sum(r["out_of_band"] for r in got) < 20
+    for r in held:
+        k = r["group"], int(math.log2(max(1, r["n_tokens"])))
+        low, high = limits[*k, "chars_per_token"]
+        outside = not low <= r["chars_per_token"] <= high
+        outside |= r["byte_share"] > limits[*k, "byte_share"][1] or r["token_entropy"] < limits[*k, "token_entropy"][0]
+        assert r["out_of_band"] == outside and r["kept"] == (not outside and not r["base_failed"])
+
+
 def test_scripts():
     assert [script(t) for t in ("", "12", "abc", "Привет x", "中文")] == ["NONE", "NONE", "LATIN", "CYRILLIC", "CJK"]
 
