@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starweave.operators.dedup import one_per_key
 from starweave.operators.star import Star
+from starweave.operators.surrogate import add_surrogate
 from starweave.plans import match_star as ms
 from starweave.queries import roles
 from starweave.session import scratch_dir
@@ -103,15 +104,22 @@ def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def _wide(star: Star) -> DataFrame:
+    """The wide star. Ids are made from the natural keys after the joins: digests, which do not
+    compress, would go through all shuffles. Details and performances are used once, and their keys are a
+    kill's and a player's: they are joined where they were aggregated."""
+    rows = star.stored("dates", "matches").join()
+    natural = [f"{star.name}_id_{c}" for c in NATURAL]
+    return add_surrogate(rows, f"{star.name}_location_id", "digest", natural).drop(*natural)
+
+
 def wide_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = roles.star(spark, sf_dir, ids="digest", id_columns=NATURAL)
-    return star.stored(*star.dims).join()
+    return _wide(roles.star(spark, sf_dir, late=True, ids="late", id_columns=NATURAL))
 
 
 def wide_star_full_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide star with whole match ids in the keys."""
-    star = roles.star(spark, sf_dir, prefix_len=None, ids="digest", id_columns=NATURAL)
-    return star.stored(*star.dims).join()
+    return _wide(roles.star(spark, sf_dir, prefix_len=None, late=True, ids="late", id_columns=NATURAL))
 
 
 def star_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
