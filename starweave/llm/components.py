@@ -11,9 +11,9 @@ def connected(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``node`` and ``root`` (the lowest node of its component) of all linked nodes.
 
     ``links`` has columns ``a`` and ``b``. In each round a node takes the lowest label
-    among its own and its neighbours' (a minimum with partial sums, so a node with very
-    many links sends one row per task), then the label of that label. Rounds grow with
-    the logarithm of the longest chain. Labels are stored tables, never collected.
+    among its own, its neighbours' (a minimum with partial sums, so a node with very
+    many links sends one row per task) and the label of its own. Rounds grow with
+    the logarithm of the longest chain, each is one job. Labels are stored tables, never collected.
     """
     both = links.select("a", "b").unionAll(links.select(F.col("b"), F.col("a"))).filter("a <> b")
     size = 2 * links.count()
@@ -27,29 +27,22 @@ def connected(links: DataFrame, scratch: Scratch) -> DataFrame:
     )
     round_ = 0
     while True:
-        near = scratch.keep(
+        near = (
             edge.join(label.select(F.col("node").alias("b"), F.col("root").alias("_r")), "b")
             .groupBy(F.col("a").alias("node"))
-            .agg(F.min("_r").alias("_near")),
-            f"near-{round_}",
-            rows=size,
+            .agg(F.min("_r").alias("_near"))
         )
-        lower = scratch.keep(
-            label.join(near, "node").select(
-                "node", F.least("root", "_near").alias("root"), F.col("root").alias("_old")
-            ),
-            f"lower-{round_}",
-            rows=size,
-        )
-        up = lower.select(F.col("node").alias("root"), F.col("root").alias("_up"))
+        up = label.select(F.col("node").alias("root"), F.col("root").alias("_up"))
         label = scratch.keep(
-            lower.join(up, "root").select("node", F.least("root", "_up").alias("root"), "_old"),
+            label.join(near, "node").join(up, "root").select(
+                "node", F.least("_near", "_up", "root").alias("root"), F.col("root").alias("_old")
+            ),
             f"labels-{round_ + 1}",
             rows=size,
         )
         moved = label.filter("root <> _old").isEmpty()
         label = label.drop("_old")
-        scratch.drop(f"near-{round_}", f"lower-{round_}", f"labels-{round_}")
+        scratch.drop(f"labels-{round_}")
         round_ += 1
         if moved:
             return label

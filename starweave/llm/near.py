@@ -36,6 +36,8 @@ BLOCK, BLOCK_WORDS = 1024, 4_000_000
 MANY_PLACES = 64
 #: Half the width of the first band that an alignment tries.
 FIRST_BAND = 32
+#: Two classes, and the roots that they had when their link was asked for.
+PAIR = ("a", "b", "root_a", "root_b")
 
 
 def sketches(
@@ -193,28 +195,29 @@ def _verify(batches):
         sides = [_word_lists(batch.column(name)) for name in ("text_a", "text_b")]
         good = [aligned(a, b) for a, b in zip(*sides)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(good, pa.bool_())], names=["a", "b", "good"]
+            [*(batch.column(n) for n in PAIR), pa.array(good, pa.bool_())], names=[*PAIR, "good"]
         )
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of stored pairs (a, b) of row numbers, those whose texts align. Spark knows their size, so
-    few of them do not move all texts."""
+    """Of stored pairs (a, b) of row numbers and their roots, those whose texts align. Spark knows
+    their size, so few of them do not move all texts."""
     left = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
     met = pairs.join(left, "a").join(right, "b")
-    checked = met.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long, good boolean")
-    return checked.filter("good").select("a", "b")
+    columns = ", ".join(f"{n} long" for n in PAIR)
+    checked = met.select(*PAIR, "text_a", "text_b").mapInArrow(_verify, f"{columns}, good boolean")
+    return checked.filter("good").drop("good")
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    """Links that connect the classes of two blocks of a family, or of one. Pairs that share a
+    """Links between the roots of two blocks of a family, or of one. Pairs of classes that share a
     sample are aligned, those that share most first, unless they are connected by then."""
     table = table.combine_chunks().sort_by("class")
-    names, first = table["class"].to_pylist(), table["root"].to_pylist()
+    first = table["root"].to_pylist()
     part = table["own"].to_numpy()
-    keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(names), -1)
-    agree = np.zeros((len(names), len(names)), np.uint8)
+    keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(first), -1)
+    agree = np.zeros((len(first), len(first)), np.uint8)
     for s in range(keys.shape[1]):
         agree += keys[:, s][:, None] == keys[:, s][None, :]
     _, group = np.unique(first, return_inverse=True)
@@ -225,7 +228,7 @@ def _compare(table: pa.Table) -> pa.Table:
     order = np.argsort(-agree[a, b].astype(np.int16), kind="stable")
     used = np.unique(np.concatenate((a, b)))
     words = dict(zip(used.tolist(), _word_lists(table["text"].combine_chunks().take(pa.array(used)))))
-    root = list(range(len(names)))  # of groups
+    root = list(range(len(first)))  # of groups
 
     def find(r):
         while root[r] != r:
@@ -237,18 +240,19 @@ def _compare(table: pa.Table) -> pa.Table:
         x, y = find(group[i]), find(group[j])
         if x != y and aligned(words[i], words[j]):
             root[x] = y
-            links.append((names[i], names[j]))
+            links.append((first[i], first[j]))
     return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def family_links(near: DataFrame, links: DataFrame, keys: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links (a, b) that connect classes of families, which ``near`` (a, b) tells of.
+def family_links(near: DataFrame, label: DataFrame, keys: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between the roots of classes of families, which ``near`` (a, b) tells of. ``label``
+    has the root of each linked class.
 
     A class is in one family only, however many buckets tell so. The classes of a family
     are dealt into blocks, and each two blocks are a group: a class is sent once for each block.
     """
     family = connected(near, scratch.sub("families")).select(F.col("node").alias("class"), F.col("root").alias("family"))
-    rows = _rooted(scratch.keep(family, "family"), links, scratch.sub("family-roots"))
+    rows = _rooted(family.withColumn("root", F.col("class")), label)
     held = rows.join(keys.hint("merge"), "class").join(texts.withColumnRenamed("row", "class"), "class")
     ends = held.groupBy("family").agg(
         F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count("*").alias("n"), F.sum("length").alias("total")
@@ -269,15 +273,16 @@ def family_links(near: DataFrame, links: DataFrame, keys: DataFrame, texts: Data
     return groups.applyInArrow(_compare, "a long, b long")
 
 
-def _pairs(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _pairs(a: Column, b: Column, root_a: Column, root_b: Column) -> list[Column]:
+    ends = (F.least(a, b), F.greatest(a, b), F.least(root_a, root_b), F.greatest(root_a, root_b))
+    return [end.alias(name) for end, name in zip(ends, PAIR)]
 
 
 def leader_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of each class with the leader of its bucket, where they are not connected yet: one
     for each class of a bucket, whatever its size."""
     met = rows.filter("root <> lead_root")
-    return met.select(*_pairs(F.col("class"), F.col("lead"))).dropDuplicates()
+    return met.select(*_pairs(*map(F.col, ("class", "lead", "root", "lead_root")))).dropDuplicates()
 
 
 def judged(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -287,17 +292,28 @@ def judged(rows: DataFrame, keys: DataFrame) -> DataFrame:
     led = keys.select(F.col("class").alias("lead"), F.col("keys").alias("_keys"))
     same = F.size(F.filter(F.zip_with("keys", "_keys", lambda a, b: a == b), lambda e: e))
     told = rows.join(led.hint("merge"), "lead").select(
-        "bucket", "class", "root", "n", "parent", "keys", "lead", (same >= ALIKE).cast("int").alias("_alike")
+        "bucket", "class", "root", "parent", "keys", "lead", (same >= ALIKE).cast("int").alias("_alike")
     )
     # A cut that leaves most of a bucket together has found a family too.
-    whole = F.coalesce(F.max("n") > FAMILY * F.max("parent"), F.lit(False))
-    share = told.groupBy("bucket").agg(((F.avg("_alike") >= FAMILY) | whole).alias("family"))
+    whole = F.coalesce(F.count("*") > FAMILY * F.max("parent"), F.lit(False))
+    share = told.groupBy("bucket").agg(
+        F.count("*").alias("n"), ((F.avg("_alike") >= FAMILY) | whole).alias("family")
+    )
     return told.drop("_alike").join(share.hint("merge"), "bucket")
 
 
 def _by_class(rows: DataFrame) -> DataFrame:
-    """A row for each class, with its buckets: what is known of classes meets one row of each."""
-    return rows.groupBy("class").agg(
+    """A row for each class, with its buckets: what is known of classes meets one row of each.
+
+    Large buckets with the same leader become one, of all their classes: a class is there
+    once, however many samples it shares with the leader, and no pair that shared a bucket is parted.
+    """
+    large = F.col("n") > SMALL_BUCKET
+    one = F.when(large, F.xxhash64("lead", F.lit(5))).otherwise(F.col("bucket")).alias("bucket")
+    met = rows.select("class", "root", one, "n", "parent", "lead", "lead_root").repartition("class")
+    told = [F.max(c).alias(c) for c in ("n", "parent", "lead", "lead_root")]
+    once = met.groupBy("class", "bucket").agg(F.min("root").alias("root"), *told)
+    return once.groupBy("class").agg(
         F.min("root").alias("root"), F.collect_list(F.struct("bucket", "n", "parent", "lead", "lead_root")).alias("in")
     )
 
@@ -310,13 +326,17 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     """All pairs of classes of a small bucket that are not connected."""
     other = rows.select("bucket", F.col("class").alias("other"), F.col("root").alias("other_root"))
     met = rows.join(other.hint("merge"), "bucket").filter("class < other AND root <> other_root")
-    return met.select(F.col("class").alias("a"), F.col("other").alias("b")).dropDuplicates()
+    return met.select(*_pairs(*map(F.col, ("class", "other", "root", "other_root")))).dropDuplicates()
+
+
+def _rooted(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """``rows`` with a new ``root``: that which ``label`` (node, root) has for the one before."""
+    new = label.select(F.col("node").alias("root"), F.col("root").alias("_root"))
+    return rows.join(new.hint("merge"), "root", "left").withColumn("root", F.coalesce("_root", "root")).drop("_root")
 
 
-def _rooted(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
-    """``rows`` with the ``root`` of each class: the lowest of those that links connect."""
-    label = connected(links, scratch).withColumnRenamed("node", "class").withColumnRenamed("root", "_root")
-    return rows.join(label.hint("merge"), "class", "left").withColumn("root", F.coalesce("_root", "class")).drop("_root")
+def _between_roots(links: DataFrame) -> DataFrame:
+    return links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
 
 
 def _apart(rows: DataFrame) -> DataFrame:
@@ -340,9 +360,9 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(known.hint("merge"), "bucket")
 
 
-def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal texts (``row``, ``class``), and links (``a``, ``b``) that connect
-    similar ones. ``stored`` has ``row`` and ``text``.
+def near_groups(stored: DataFrame, scratch: Scratch) -> DataFrame:
+    """Classes of equal texts (``row``, ``class``) with their ``root``: the lowest class of those that
+    links between similar ones connect. ``stored`` has ``row`` and ``text``.
 
     1. Every text gets its sketch. Equal texts become one class, named by its lowest
        row number. Classes with an equal sample share a bucket.
@@ -378,28 +398,31 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     # As many as there are copies: a side that grows with the input, not to be broadcast.
     wanted = held.select(F.col("class").alias("row"))
     texts = scratch.keep(stored.select("row", "text").join(wanted.hint("merge"), "row"), "texts")
-    links = wanted.sparkSession.createDataFrame([], "a long, b long")
-    near = links
+    links = wanted.sparkSession.createDataFrame([], ", ".join(f"{n} long" for n in PAIR))
+    near = links.select("a", "b")
+    crossed = links
     first = None
     level = 0
     while True:
         asked = scratch.keep(leader_pairs(_by_bucket(held)), f"leads-{level}")
-        links = links.unionAll(scratch.keep(verified(asked, texts), f"led-{level}"))
-        held = _rooted(held.drop("root"), links, scratch.sub(f"roots-{level}"))
+        led = scratch.keep(verified(asked, texts), f"led-{level}")
+        links = links.unionAll(led)
+        # What was connected before is one root.
+        label = connected(_between_roots(crossed.unionAll(led)), scratch.sub(f"roots-{level}"))
+        rows = _by_bucket(scratch.keep(_rooted(held, label), f"rooted-{level}"))
         # Of two classes the only pair has been aligned.
-        apart = scratch.keep(_apart(_by_bucket(held).filter("n > 2")), f"apart-{level}")
-        small, large = (apart.filter(f"n {sign} {SMALL_BUCKET}") for sign in ("<=", ">"))
-        asked = scratch.keep(cross_pairs(small), f"crosses-{level}")
-        links = links.unionAll(scratch.keep(verified(asked, texts), f"crossed-{level}"))
+        asked = scratch.keep(cross_pairs(rows.filter(f"n > 2 AND n <= {SMALL_BUCKET}")), f"crosses-{level}")
+        crossed = scratch.keep(verified(asked, texts), f"crossed-{level}")
+        links = links.unionAll(crossed)
+        large = scratch.keep(_by_class(_apart(rows.filter(f"n > {SMALL_BUCKET}"))), f"large-{level}")
         if large.isEmpty():
             break
         level += 1
-        held = scratch.keep(_by_class(large), f"large-{level}")
-        fresh = texts.join(held.select(F.col("class").alias("row")), "row")
+        fresh = texts.join(large.select(F.col("class").alias("row")), "row")
         fresh = fresh.mapInArrow(_sketch(level), "row long, keys array<long>, length long")
         keys = scratch.keep(fresh.withColumnRenamed("row", "class"), f"fresh-{level}")
         first = first or keys
-        told = judged(_by_bucket(held.join(keys.hint("merge"), "class"), "keys"), keys)
+        told = judged(_by_bucket(large.join(keys.hint("merge"), "class"), "keys"), keys)
         told = scratch.keep(told, f"judged-{level}")
         family = F.col("family") if level <= LEVELS else F.lit(True)
         near = near.unionAll(told.filter(family).select(F.col("class").alias("a"), F.col("lead").alias("b")))
@@ -409,9 +432,12 @@ def near_links(stored: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
             .select(F.xxhash64("bucket", "sample", "key").alias("bucket"), "class", "root", "parent")
         )
         held = scratch.keep(_by_class(_sized(cut)), f"held-{level}")
+    label = connected(links.select("a", "b"), scratch.sub("linked"))
+    grouped = _rooted(member.withColumn("root", F.col("class")), label)
     if first is None:
-        return member, links
-    return member, links.unionAll(scratch.keep(family_links(near, links, first, texts, scratch), "family-links"))
+        return grouped
+    more = scratch.keep(family_links(near, label, first, texts, scratch), "family-links")
+    return _rooted(grouped, connected(more, scratch.sub("groups")))
 
 
 def near_duplicates(
@@ -422,7 +448,7 @@ def near_duplicates(
     Texts are sequences of words, which are parted by white space. Two are near duplicates if
     a longest common subsequence of m words gives m / (n1 + n2 - m) >= 0.8 and their
     sketches, samples of five-word shingles (a text of 1 to 4 words is one), meet: that is
-    likely, see ``near_links``, but for texts of a few words, where one change leaves no shingle.
+    likely, see ``near_groups``, but for texts of a few words, where one change leaves no shingle.
     Groups are connected by such pairs and by equality.
 
     A null text counts as empty. Texts without words are similar to equal ones only. An empty
@@ -442,9 +468,8 @@ def near_duplicates(
         ),
         "rows",
     )
-    member, links = near_links(stored.select("row", "text"), scratch)
-    grouped = _rooted(member, links, scratch.sub("groups")).select("row", "class", F.col("root").alias("group"))
-    grouped = scratch.keep(grouped, "grouped")
+    grouped = near_groups(stored.select("row", "text"), scratch)
+    grouped = scratch.keep(grouped.select("row", "class", F.col("root").alias("group")), "grouped")
     # A null id comes after all others.
     key = F.col(f"_carry.`{order}`")
     rank = F.struct(key.isNull().alias("_null"), key.alias("_id"), "row")

@@ -273,3 +273,22 @@ def test_long_texts_align_in_narrow_bands():
     start = time.perf_counter()
     assert near.aligned(a, b[100:])
     assert time.perf_counter() - start < 5
+
+
+def test_large_buckets_with_one_leader_are_one(spark, monkeypatch):
+    """A class has one row for the large buckets that it shares with a leader, small ones stay apart."""
+    monkeypatch.setattr(near, "SMALL_BUCKET", 3)
+    rows = [(100 + b, c, c, None) for b in range(9) for c in range(5)]
+    rows += [(200 + b, c, c, None) for b in range(2) for c in (b, 7)]
+    made = spark.createDataFrame(rows, "bucket long, class long, root long, parent long")
+    # Buckets of the same classes are one already.
+    made = made.unionAll(made.filter("bucket < 109").selectExpr("bucket", "10 + bucket", "10 + bucket", "parent").distinct())
+    sized = near._sized(made)
+    leads = {r["bucket"]: r["lead"] for r in sized.collect()}
+    got = near._by_bucket(near._by_class(sized)).collect()
+    large = [(r["class"], r["lead"]) for r in got if r["n"] > 3]
+    assert len(large) == len(set(large))
+    for bucket, of, _, _ in (r for r in made.collect() if r["bucket"] in leads and r["bucket"] < 200):
+        assert (of, leads[bucket]) in large
+    small = {(r["bucket"], r["class"]) for r in got if r["n"] <= 3}
+    assert small == {(b, c) for b, c, *_ in rows if b >= 200}
