@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starweave.llm import text
 from starweave.llm.components import connected
-from starweave.llm.scratch import Scratch
+from starweave.llm.scratch import TASK_ROWS, Scratch, gathered
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -31,11 +32,15 @@ ALIKE, FAMILY = 2, 0.5
 #: treated like a family.
 LEVELS = 4
 #: Classes of a block, and words of its texts, at most on the average.
-BLOCK, BLOCK_WORDS = 1024, 4_000_000
+BLOCK, BLOCK_WORDS = 512, 2_000_000
 #: Places of a word in a text from which its alignment keeps them as one number.
 MANY_PLACES = 64
 #: Half the width of the first band that an alignment tries.
 FIRST_BAND = 32
+#: Pairs of texts that a task aligns, where there are fewer than fill all tasks of a shuffle.
+TASK_PAIRS = 100
+#: Pairs whose ids are sent to every task that reads texts, 16 bytes each.
+SENT_PAIRS = 50_000
 #: Two classes, and the roots that they had when their link was asked for.
 PAIR = ("a", "b", "root_a", "root_b")
 
@@ -200,11 +205,21 @@ def _verify(batches):
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of stored pairs (a, b) of row numbers and their roots, those whose texts align. Spark knows
-    their size, so few of them do not move all texts."""
+    """Of stored pairs (a, b) of row numbers and their roots, those whose texts align. The ids of
+    up to ``SENT_PAIRS`` of them go to every task, so that only their texts are moved."""
+    n = pairs.count()
+    if not n:
+        return pairs
+    if n <= SENT_PAIRS:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+        texts = texts.join(F.broadcast(ids), "row", "left_semi")
     left = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
     met = pairs.join(left, "a").join(right, "b")
+    # Few pairs are not worth a Python worker for each partition of the joins.
+    tasks = 1 + n // TASK_PAIRS
+    if tasks < int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        met = met.coalesce(tasks)
     columns = ", ".join(f"{n} long" for n in PAIR)
     checked = met.select(*PAIR, "text_a", "text_b").mapInArrow(_verify, f"{columns}, good boolean")
     return checked.filter("good").drop("good")
@@ -285,7 +300,7 @@ def leader_pairs(rows: DataFrame) -> DataFrame:
     return met.select(*_pairs(*map(F.col, ("class", "lead", "root", "lead_root")))).dropDuplicates()
 
 
-def judged(rows: DataFrame, keys: DataFrame) -> DataFrame:
+def judged(rows: DataFrame, keys: DataFrame, few: bool = False) -> DataFrame:
     """Rows of large buckets, with their keys and whether the bucket is a family's: most
     of its classes then agree with the leader in several samples. A passage that many
     dissimilar texts share brings them together in few."""
@@ -294,6 +309,7 @@ def judged(rows: DataFrame, keys: DataFrame) -> DataFrame:
     told = rows.join(led.hint("merge"), "lead").select(
         "bucket", "class", "root", "parent", "keys", "lead", (same >= ALIKE).cast("int").alias("_alike")
     )
+    told = _few(told, few)
     # A cut that leaves most of a bucket together has found a family too.
     whole = F.coalesce(F.count("*") > FAMILY * F.max("parent"), F.lit(False))
     share = told.groupBy("bucket").agg(
@@ -302,7 +318,7 @@ def judged(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return told.drop("_alike").join(share.hint("merge"), "bucket")
 
 
-def _by_class(rows: DataFrame) -> DataFrame:
+def _by_class(rows: DataFrame, few: bool = False) -> DataFrame:
     """A row for each class, with its buckets: what is known of classes meets one row of each.
 
     Large buckets with the same leader become one, of all their classes: a class is there
@@ -310,7 +326,8 @@ def _by_class(rows: DataFrame) -> DataFrame:
     """
     large = F.col("n") > SMALL_BUCKET
     one = F.when(large, F.xxhash64("lead", F.lit(5))).otherwise(F.col("bucket")).alias("bucket")
-    met = rows.select("class", "root", one, "n", "parent", "lead", "lead_root").repartition("class")
+    met = rows.select("class", "root", one, "n", "parent", "lead", "lead_root")
+    met = met if few else met.repartition("class")  # ``few`` are in one partition
     told = [F.max(c).alias(c) for c in ("n", "parent", "lead", "lead_root")]
     once = met.groupBy("class", "bucket").agg(F.min("root").alias("root"), *told)
     return once.groupBy("class").agg(
@@ -318,6 +335,11 @@ def _by_class(rows: DataFrame) -> DataFrame:
     )
 
 
+def _few(rows: DataFrame, few: bool) -> DataFrame:
+    """Of joined tables of one partition Spark no longer sees that they are in one."""
+    return rows.coalesce(1) if few else rows
+
+
 def _by_bucket(held: DataFrame, *more: str) -> DataFrame:
     return held.select("class", "root", *more, F.inline("in"))
 
@@ -398,23 +420,24 @@ def near_groups(stored: DataFrame, scratch: Scratch) -> DataFrame:
     # As many as there are copies: a side that grows with the input, not to be broadcast.
     wanted = held.select(F.col("class").alias("row"))
     texts = scratch.keep(stored.select("row", "text").join(wanted.hint("merge"), "row"), "texts")
-    links = wanted.sparkSession.createDataFrame([], ", ".join(f"{n} long" for n in PAIR))
-    near = links.select("a", "b")
-    crossed = links
+    crossed = wanted.sparkSession.createDataFrame([], ", ".join(f"{n} long" for n in PAIR))
+    near = crossed.select("a", "b")
+    labels = []
     first = None
     level = 0
     while True:
+        (held,) = gathered(held)
         asked = scratch.keep(leader_pairs(_by_bucket(held)), f"leads-{level}")
         led = scratch.keep(verified(asked, texts), f"led-{level}")
-        links = links.unionAll(led)
         # What was connected before is one root.
-        label = connected(_between_roots(crossed.unionAll(led)), scratch.sub(f"roots-{level}"))
-        rows = _by_bucket(scratch.keep(_rooted(held, label), f"rooted-{level}"))
+        labels.append(connected(_between_roots(crossed.unionAll(led)), scratch.sub(f"roots-{level}")))
+        (rooted,) = gathered(scratch.keep(_rooted(*gathered(held, labels[-1])), f"rooted-{level}"))
+        rows = _by_bucket(rooted)
         # Of two classes the only pair has been aligned.
         asked = scratch.keep(cross_pairs(rows.filter(f"n > 2 AND n <= {SMALL_BUCKET}")), f"crosses-{level}")
         crossed = scratch.keep(verified(asked, texts), f"crossed-{level}")
-        links = links.unionAll(crossed)
-        large = scratch.keep(_by_class(_apart(rows.filter(f"n > {SMALL_BUCKET}"))), f"large-{level}")
+        few = rooted.count() <= TASK_ROWS
+        large = scratch.keep(_by_class(_apart(rows.filter(f"n > {SMALL_BUCKET}")), few), f"large-{level}")
         if large.isEmpty():
             break
         level += 1
@@ -422,17 +445,23 @@ def near_groups(stored: DataFrame, scratch: Scratch) -> DataFrame:
         fresh = fresh.mapInArrow(_sketch(level), "row long, keys array<long>, length long")
         keys = scratch.keep(fresh.withColumnRenamed("row", "class"), f"fresh-{level}")
         first = first or keys
-        told = judged(_by_bucket(large.join(keys.hint("merge"), "class"), "keys"), keys)
+        few = large.count() <= TASK_ROWS
+        large, keys = gathered(large, keys)
+        known = _few(large.join(keys.hint("merge"), "class"), few)
+        told = judged(_by_bucket(known, "keys"), keys, few)
         told = scratch.keep(told, f"judged-{level}")
         family = F.col("family") if level <= LEVELS else F.lit(True)
         near = near.unionAll(told.filter(family).select(F.col("class").alias("a"), F.col("lead").alias("b")))
         cut = (
-            told.filter(~family)
+            _few(told, few)
+            .filter(~family)
             .select("bucket", "class", "root", F.col("n").alias("parent"), F.posexplode("keys").alias("sample", "key"))
             .select(F.xxhash64("bucket", "sample", "key").alias("bucket"), "class", "root", "parent")
         )
-        held = scratch.keep(_by_class(_sized(cut)), f"held-{level}")
-    label = connected(links.select("a", "b"), scratch.sub("linked"))
+        held = scratch.keep(_by_class(_sized(cut), few), f"held-{level}")
+    # All links, each by what it joined: a label tells of the roots that became one.
+    stars = [label.select(F.col("node").alias("a"), F.col("root").alias("b")) for label in labels]
+    label = connected(reduce(DataFrame.unionAll, stars, _between_roots(crossed)), scratch.sub("linked"))
     grouped = _rooted(member.withColumn("root", F.col("class")), label)
     if first is None:
         return grouped

@@ -6,8 +6,11 @@ import random
 
 import numpy as np
 
-from starweave.llm import near, text
+from pyspark.sql import functions as F
+
+from starweave.llm import components, near, text
 from starweave.llm.components import connected
+from starweave.llm.scratch import Scratch, gathered
 
 
 def lcs(a, b):
@@ -247,6 +250,53 @@ def test_components(spark, scratch):
     assert {(r["node"], r["root"]) for r in got} == {(n, find(n)) for n in root if n != 5000}
 
 
+def test_links_inside_a_part_are_not_followed_again(spark, scratch, monkeypatch):
+    """The links of a round are those between parts, not all of them in every round."""
+    followed = {}
+    keep = Scratch.keep
+
+    def kept(self, df, name, *args, **named):
+        out = keep(self, df, name, *args, **named)
+        if name.startswith("edges"):
+            followed[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", kept)
+    star = [(500, i) for i in range(1000) if i != 500]
+    got = connected(spark.createDataFrame(star + star, "a long, b long"), scratch).collect()
+    assert {(r["node"], r["root"]) for r in got} == {(i, 0) for i in range(1000)}
+    assert sum(followed.values()) < 2 * len(star)
+
+
+def test_few_links_and_classes_need_no_shuffle(spark, scratch):
+    made = [scratch.keep(spark.range(100).select("id", (F.col("id") % 7).alias("x")), n) for n in ("a", "b")]
+    a, b = gathered(*made)
+    plan = a.join(b.hint("merge"), "id").groupBy(a["x"]).count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert gathered(*made, most=99) == tuple(made)
+
+
+def test_few_pairs_move_their_own_texts_only(spark, scratch, monkeypatch):
+    texts = scratch.keep(spark.range(1000).selectExpr("id AS row", "'a b c d e f ' || (id % 2) AS text"), "texts")
+    schema = "a long, b long, root_a long, root_b long"
+    pairs = scratch.keep(spark.createDataFrame([(1, 3, 1, 3), (1, 5, 1, 5), (1, 2, 1, 2)], schema), "pairs")
+    some = near.verified(pairs, texts)
+    assert "LeftSemi" in some._jdf.queryExecution().optimizedPlan().toString()
+    want = {(1, 3, 1, 3), (1, 5, 1, 5)}
+    assert {tuple(r) for r in some.collect()} == want
+    monkeypatch.setattr(near, "SENT_PAIRS", 2)
+    assert {tuple(r) for r in near.verified(pairs, texts).collect()} == want
+    assert near.verified(pairs.filter("a < 0"), texts).isEmpty()
+
+
+def test_rounds_of_many_links_are_shuffled(spark, scratch, monkeypatch):
+    monkeypatch.setattr(components, "TASK_LINKS", 10)
+    links = [(i, i + 1) for i in range(100)] + [(1000 + i, 1001 + i // 2) for i in range(40)]
+    got = connected(spark.createDataFrame(links, "a long, b long"), scratch).collect()
+    want = parts(1100, links)
+    assert {(r["node"], r["root"]) for r in got} == {(n, min(g)) for g in want if len(g) > 1 for n in g}
+
+
 def test_empty_table(docs):
     assert near.near_duplicates(docs()).count() == 0
     assert near.near_duplicates(docs((1, None), (None, "x"))).count() == 2
