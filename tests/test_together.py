@@ -1,0 +1,121 @@
+"""Rows that lie together in buckets: the same results without their shuffles."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from starweave import session
+from starweave.operators.dedup import SEVERAL, latest_version_rows, one_per_key, repeated_digests
+from starweave.session import drop_together, stored_together
+from starweave.sinks.warehouse import TableSpec, create_tables, load
+from tests.conftest import plan, rows
+
+KEYED = "m string, k string, v double, w string"
+#: Key "a" stands for two matches, "b" for two rows of one, "d" for two rows that differ in v alone.
+ROWS = [
+    ("m1", "a", 2.0, "x"), ("m2", "a", 1.0, "y"), ("m1", "b", 3.0, "z"), ("m1", "b", 3.0, "u"),
+    ("m3", "c", -0.0, "t"), ("m3", "d", 5.0, "s"), ("m3", "d", 4.0, "s"), (None, "e", None, None),
+    (None, None, 1.0, "r"), ("m4", None, 0.0, "q"),
+]
+
+
+def test_rows_in_buckets_are_grouped_without_a_shuffle(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, KEYED).repartition(3)
+    stored, together = stored_together(df, ["m"], 4, "rows", str(tmp_path))
+    assert together and rows(stored) == rows(df)
+    assert "Exchange" not in plan(stored.groupBy("m", "k").count())
+    assert "Exchange" not in plan(stored.dropDuplicates())
+    drop_together(spark, str(tmp_path))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("starweave_")]
+    assert rows(spark.read.parquet(f"{tmp_path}/rows")) == rows(df)
+
+
+def test_a_hot_bucket_is_read_as_plain_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "HOT_ROWS", 10)
+    df = spark.range(100).select(F.when(F.col("id") < 90, "hot").otherwise(F.col("id").cast("string")).alias("m"), "id")
+    stored, together = stored_together(df, ["m"], 8, "rows", str(tmp_path), shuffle=True)
+    drop_together(spark, str(tmp_path))
+    assert not together and rows(stored) == rows(df)
+    assert "Exchange" in plan(stored.groupBy("m").count())
+    empty, together = stored_together(df.limit(0), ["m"], 8, "empty", str(tmp_path))
+    assert together and rows(empty) == []
+    drop_together(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("most", [64 << 20, 0])
+def test_keys_of_several_matches_are_found_among_bucketed_rows(spark, tmp_path, most):
+    df = spark.createDataFrame(ROWS, KEYED).repartition(3)
+    want = one_per_key(df, "k", natural=["m", "w"])
+    stored, _ = stored_together(df, ["m"], 4, "rows", str(tmp_path))
+    old = spark.conf.get("spark.starweave.broadcastBytes", None)
+    spark.conf.set("spark.starweave.broadcastBytes", str(most))
+    try:
+        got = one_per_key(stored, "k", rare=str(tmp_path), natural=["m", "w"], within=["m"])
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        assert {r["k"]: r[SEVERAL] for r in got.collect()}["a"]
+        plain = one_per_key(stored, "k", rare=str(tmp_path), within=["m"])
+        assert rows(plain) == rows(one_per_key(df, "k"))
+    finally:
+        spark.conf.unset("spark.starweave.broadcastBytes")
+        if old is not None:
+            spark.conf.set("spark.starweave.broadcastBytes", old)
+        drop_together(spark, str(tmp_path))
+
+
+def test_equal_rows_meet_in_their_bucket(spark, tmp_path):
+    df = spark.createDataFrame([*ROWS, ROWS[0], ROWS[7]], KEYED).repartition(3)
+    stored, _ = stored_together(df, ["m"], 4, "rows", str(tmp_path))
+    found = repeated_digests(stored, stored.columns, str(tmp_path), ["m"])
+    assert rows(found) == rows(repeated_digests(df, df.columns, str(tmp_path))) and found.count() == 2
+    drop_together(spark, str(tmp_path))
+
+
+def test_newest_versions_of_bucketed_rows(spark, tmp_path):
+    days = [(m, str(d), i) for m in "abc" for d in range(ord(m) - 95) for i in range(2)]
+    df = spark.createDataFrame([*days, ("a", "0", 0)], "m string, day string, i int").repartition(3)
+    stored, _ = stored_together(df, ["m"], 4, "rows", str(tmp_path))
+    got = latest_version_rows(stored, "m", "day", str(tmp_path), together=True)
+    want = latest_version_rows(df, "m", "day", str(tmp_path / "other"))
+    assert got.columns == want.columns and rows(got) == rows(want)
+    assert "Exchange hashpartitioning" not in plan(got)
+    drop_together(spark, str(tmp_path))
+
+
+def test_direct_loads_fill_the_same_buckets(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, KEYED).repartition(3)
+    specs = [TableSpec(n, KEYED, bucket_by=("m",), sort=("m",), buckets=4, direct=n == "direct") for n in ("direct", "once")]
+    create_tables(spark, specs, "together_db", f"{tmp_path}/db")
+    try:
+        for spec in specs:
+            load(df, spec, "together_db")
+        direct, once = (spark.table(f"together_db.{s.name}") for s in specs)
+        assert rows(direct) == rows(once) == rows(df)
+        joined = direct.hint("merge").join(once, "m")
+        assert "Exchange" not in plan(joined)
+        assert joined.count() == df.join(df.withColumnRenamed("k", "k2"), "m").count()
+    finally:
+        spark.sql("DROP DATABASE together_db CASCADE")
+
+
+def test_small_dimensions_are_joined_last(spark):
+    from starweave.operators.star import Link, Star
+
+    dims = {n: spark.createDataFrame([(1, *range(w))], ", ".join([f"{n} int", *(f"c{i} int" for i in range(w))])) for n, w in (("x", 1), ("y", 2))}
+    fact = spark.createDataFrame([(1, 1)], "fx int, fy int")
+    star = Star("f", fact, dims, (Link("x", "fx", "x"), Link("y", "fy", "y")), small=("x",))
+    text = star.join()._jdf.queryExecution().analyzed().toString()
+    joins = [line for line in text.splitlines() if "Join Inner" in line]
+    assert "x_x" in joins[0] and "y_y" in joins[1]  # the outer join is printed first
+
+
+def test_two_days_shuffle_few_rows(event_log):
+    events = event_log("""
+        from starweave.queries import loads
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.starweave.broadcastBytes", "0")
+        loads.etl_all_days(spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
+    """)
+    tasks = [e["Task Metrics"]["Shuffle Write Metrics"] for e in events if e["Event"] == "SparkListenerTaskEnd"]
+    assert sum(t["Shuffle Records Written"] for t in tasks) < 6 * 6000  # line items
